@@ -1,8 +1,14 @@
-"""Column helpers. All are built-in expressions, so they stay inside generated JVM code."""
+"""Scalar and aggregate helpers.
+
+Each helper takes SQL expressions (usually column names) and writes one SQL expression made of
+built-in functions, so the work stays inside generated JVM code. Calling it gives a Column;
+``helper.sql(...)`` gives the text, for use in ``selectExpr`` or inside another helper.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import wraps
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,155 +24,188 @@ MART_MONEY = "decimal(16,2)"
 RATE = "decimal(8,4)"
 DURATION = "decimal(20,6)"
 
+NUMBER_SHAPE = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?)$"
+
+
+def sql_helper(build: Callable[..., str]) -> Callable[..., Column]:
+    @wraps(build)
+    def column(*args, **kwargs) -> Column:
+        return F.expr(build(*args, **kwargs))
+
+    column.sql = build
+    return column
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+
+def literal(value: object) -> str:
+    """SQL literal of a text or number."""
+    if isinstance(value, str):
+        escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+        return f"'{escaped}'"
+    return str(value)
 
 
 # ---- text -----------------------------------------------------------------------------
 
 
-def identifier(c: Column | str) -> Column:
+@sql_helper
+def identifier(c: str) -> str:
     """Text key without surrounding spaces (an empty key stays empty)."""
-    return F.trim(_col(c))
+    return f"trim({c})"
 
 
-def code(c: Column | str) -> Column:
+@sql_helper
+def code(c: str) -> str:
     """Lower-case code without surrounding spaces."""
-    return F.lower(F.trim(_col(c)))
+    return f"lower(trim({c}))"
 
 
-def blank_to_null(c: Column | str) -> Column:
+@sql_helper
+def blank_to_null(c: str) -> str:
     """Trimmed text, with a blank value turned into null."""
-    return F.nullif(F.trim(_col(c)), F.lit(""))
+    return f"nullif(trim({c}), '')"
 
 
-def strict_cast(c: Column | str, data_type: str) -> Column:
+@sql_helper
+def strict_cast(c: str, data_type: str) -> str:
     """Typed value of a text column; empty is null and any other bad value aborts (ANSI)."""
-    return F.nullif(_col(c), F.lit("")).cast(data_type)
+    return f"cast(nullif({c}, '') as {data_type})"
 
 
-def is_blank(c: Column | str) -> Column:
+@sql_helper
+def is_blank(c: str) -> str:
     """Null, empty or only whitespace of any kind."""
-    return F.coalesce(_col(c).rlike(r"^\s*$"), F.lit(True))
+    return f"coalesce({c} rlike r'^\\s*$', true)"
 
 
-def parsed_number(c: Column | str) -> Column:
+@sql_helper
+def parsed_number(c: str) -> str:
     """Number in a text, or null when the text is not one.
 
     Spark would read ``1d`` and ``1f`` as numbers, so the shape is tested first.
     """
-    text = F.trim(_col(c))
-    shape = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?)$"
-    return F.when(text.rlike(shape), text.try_cast("double"))
+    return f"if(trim({c}) rlike r'{NUMBER_SHAPE}', try_cast(trim({c}) as double), null)"
+
+
+@sql_helper
+def unaccepted(c: str, accepted: Sequence[str]) -> str:
+    """True for a value outside the list; null is accepted."""
+    return f"coalesce({c} not in ({', '.join(map(literal, accepted))}), false)"
 
 
 # ---- keys -----------------------------------------------------------------------------
 
 
-def composite_text(*parts: Column | str) -> Column:
+@sql_helper
+def composite_text(*parts: str) -> str:
     """Parts joined by ``|``; null as soon as one part is null."""
-    pieces: list[Column] = []
-    for i, part in enumerate(parts):
-        if i:
-            pieces.append(F.lit("|"))
-        pieces.append(_col(part).cast("string"))
-    return F.concat(*pieces)
+    return "concat(" + ", '|', ".join(f"cast({part} as string)" for part in parts) + ")"
 
 
-def stable_key(*parts: Column | str) -> Column:
+@sql_helper
+def stable_key(*parts: str) -> str:
     """Run-independent 60-bit surrogate key: the leading hex digits of an MD5 as a bigint."""
-    text = composite_text(*parts) if len(parts) > 1 else _col(parts[0]).cast("string")
-    digest = F.md5(F.coalesce(text, F.lit(NULL_KEY_TEXT)))
-    return F.conv(F.substring(digest, 1, KEY_HEX_DIGITS), 16, 10).cast("bigint")
+    text = composite_text.sql(*parts) if len(parts) > 1 else f"cast({parts[0]} as string)"
+    digits = f"left(md5(coalesce({text}, '{NULL_KEY_TEXT}')), {KEY_HEX_DIGITS})"
+    return f"cast(conv({digits}, 16, 10) as bigint)"
 
 
-def first_known(c: Column | str, default: Column | str | int) -> Column:
-    value = default if isinstance(default, Column) else F.lit(default)
-    return F.coalesce(_col(c), value)
+# ---- time -----------------------------------------------------------------------------
 
 
-def newest(*columns: Column | str) -> Column:
+@sql_helper
+def newest(*columns: str) -> str:
     """Latest of several times, ignoring nulls."""
-    return F.greatest(*[_col(c) for c in columns])
-
-
-# ---- time -----------------------------------------------------------------------------
+    return f"greatest({', '.join(columns)})"
 
 
-def date_key(c: Column | str) -> Column:
+@sql_helper
+def date_key(c: str) -> str:
     """``yyyymmdd`` as an integer. Integer arithmetic: no formatter and no session zone."""
-    c = _col(c)
-    return (F.year(c) * 10000 + F.month(c) * 100 + F.dayofmonth(c)).cast("int")
+    return f"year({c}) * 10000 + month({c}) * 100 + day({c})"
 
 
-def elapsed(start: Column | str, end: Column | str, unit_seconds: int, scale: int = 6) -> Column:
+@sql_helper
+def elapsed(start: str, end: str, unit_seconds: int, data_type: str = DURATION) -> str:
     """Signed fractional time from ``start`` to ``end`` in units of ``unit_seconds``.
 
     The difference is taken as an interval, which for zone-less times needs no session zone.
     """
-    seconds = (_col(end) - _col(start)).cast("interval second").cast(DURATION)
-    return (seconds / F.lit(unit_seconds)).cast(f"decimal(20,{scale})")
+    seconds = f"cast(cast({end} - {start} as interval second) as {DURATION})"
+    return f"cast({seconds} / {unit_seconds} as {data_type})"
 
 
-def late_flag(delivered: Column | str, estimated: Column | str) -> Column:
+@sql_helper
+def late_flag(delivered: str, estimated: str) -> str:
     """Null while undelivered or without an estimate, else whether delivery came after it."""
-    delivered = _col(delivered)
-    return F.when(delivered.isNotNull(), delivered > _col(estimated))
+    return f"if({delivered} is not null, {delivered} > {estimated}, null)"
 
 
-def calendar_columns(day: Column | str) -> list[Column]:
+def calendar_columns(day: str) -> list[str]:
     """Calendar attributes of a date. Weekdays and weeks are ISO (Monday is 1)."""
-    day = _col(day)
-    iso_weekday = F.weekday(day) + 1
-    return [
-        date_key(day).alias("date_key"),
-        day.alias("full_date"),
-        F.dayofmonth(day).cast("smallint").alias("day_of_month"),
-        iso_weekday.cast("smallint").alias("day_of_week"),
-        F.date_format(day, "EEEE").alias("day_name"),
-        F.weekofyear(day).cast("smallint").alias("week_of_year"),
-        F.month(day).cast("smallint").alias("month_number"),
-        F.date_format(day, "MMMM").alias("month_name"),
-        F.quarter(day).cast("smallint").alias("quarter_number"),
-        F.year(day).cast("smallint").alias("year_number"),
-        iso_weekday.isin(6, 7).alias("is_weekend"),
-    ]
+    small = {
+        "day_of_month": f"day({day})",
+        "day_of_week": f"weekday({day}) + 1",
+        "week_of_year": f"weekofyear({day})",
+        "month_number": f"month({day})",
+        "quarter_number": f"quarter({day})",
+        "year_number": f"year({day})",
+    }
+    columns = {name: f"cast({value} as smallint)" for name, value in small.items()}
+    columns["date_key"] = date_key.sql(day)
+    columns["full_date"] = day
+    columns["day_name"] = f"date_format({day}, 'EEEE')"
+    columns["month_name"] = f"date_format({day}, 'MMMM')"
+    columns["is_weekend"] = f"weekday({day}) >= 5"
+    return [f"{columns[name]} as {name}" for name in CALENDAR_ORDER]
+
+
+CALENDAR_ORDER = (
+    "date_key",
+    "full_date",
+    "day_of_month",
+    "day_of_week",
+    "day_name",
+    "week_of_year",
+    "month_number",
+    "month_name",
+    "quarter_number",
+    "year_number",
+    "is_weekend",
+)
 
 
 # ---- exact arithmetic -----------------------------------------------------------------
 
 
-def total(c: Column | str, data_type: str = MART_MONEY) -> Column:
+@sql_helper
+def total(c: str, data_type: str = MART_MONEY) -> str:
     """Exact decimal sum."""
-    return F.sum(_col(c)).cast(data_type)
+    return f"cast(sum({c}) as {data_type})"
 
 
-def quotient(numerator: Column | str, denominator: Column | str, data_type: str) -> Column:
+@sql_helper
+def quotient(numerator: str, denominator: str, data_type: str) -> str:
     """``numerator / denominator`` in exact decimals, null for a zero denominator.
 
     Two bigints would divide as doubles, so a count has to become a decimal first. The
     inner quotient keeps 16 or more decimals, so the one visible rounding is the last cast.
     """
-    safe = F.nullif(_col(denominator).cast("decimal(20,0)"), F.lit(0).cast("decimal(20,0)"))
-    return (_col(numerator) / safe).cast(data_type)
+    safe = f"nullif(cast({denominator} as decimal(20,0)), cast(0 as decimal(20,0)))"
+    return f"cast(({numerator}) / {safe} as {data_type})"
 
 
-def rate(part: Column | str, whole: Column | str, data_type: str = RATE) -> Column:
-    return quotient(_col(part).cast("decimal(20,0)"), whole, data_type)
+@sql_helper
+def rate(part: str, whole: str, data_type: str = RATE) -> str:
+    return quotient.sql(f"cast({part} as decimal(20,0))", whole, data_type)
 
 
-def mean_money(c: Column | str, data_type: str = MART_MONEY) -> Column:
+@sql_helper
+def mean_money(c: str, data_type: str = MART_MONEY) -> str:
     """Average as sum over count, so that it is rounded once."""
-    return quotient(F.sum(_col(c)), F.count(_col(c)), data_type)
+    return quotient.sql(f"sum({c})", f"count({c})", data_type)
 
 
-def exact_mean(c: Column | str) -> Column:
+@sql_helper
+def exact_mean(c: str) -> str:
     """Average of decimals as a double; the sum is exact, so task order cannot change it."""
-    return F.sum(_col(c)).cast("double") / F.nullif(F.count(_col(c)), F.lit(0).cast("bigint"))
-
-
-def unaccepted(c: Column | str, accepted: Sequence[str]) -> Column:
-    """True for a value outside the list; null is accepted."""
-    c = _col(c)
-    return c.isNotNull() & ~c.isin(*accepted)
+    return f"cast(sum({c}) as double) / nullif(count({c}), 0)"

@@ -7,12 +7,11 @@ message. A check passes when no row fails, else its status is its severity.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.functions import is_blank, parsed_number, unaccepted
+from lakemart.functions import is_blank, literal, parsed_number, unaccepted
 from lakemart.operators.lookups import key_counts, missing_parents
 from lakemart.sources.contract import Contract, DatasetSpec, ForeignKey
 
@@ -36,33 +35,43 @@ def result_row(
     test_name: str,
     dataset: str,
     dimension: str,
-    failed: Column,
-    total: Column,
-    message: Column | str,
+    failed: str,
+    total: str,
+    message: str,
     severity: str = "ERROR",
-) -> list[Column]:
-    failed = failed.cast("bigint")
+) -> list[str]:
+    """Columns of one result; ``failed``, ``total`` and ``message`` are SQL expressions."""
+    level = literal(severity)
     return [
-        F.lit(test_name).alias("test_name"),
-        F.lit(dataset).alias("dataset"),
-        F.lit(dimension).alias("dimension"),
-        F.lit(severity).alias("severity"),
-        F.when(failed == 0, F.lit("PASS")).otherwise(F.lit(severity)).alias("status"),
-        failed.alias("failed_rows"),
-        total.cast("bigint").alias("total_rows"),
-        (F.lit(message) if isinstance(message, str) else message).alias("message"),
+        f"{literal(test_name)} as test_name",
+        f"{literal(dataset)} as dataset",
+        f"{literal(dimension)} as dimension",
+        f"{level} as severity",
+        f"if({failed} = 0, 'PASS', {level}) as status",
+        f"cast({failed} as bigint) as failed_rows",
+        f"cast({total} as bigint) as total_rows",
+        f"{message} as message",
     ]
 
 
+def _counted(number: str, words: str) -> str:
+    return f"concat(cast({number} as string), {literal(' ' + words)})"
+
+
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
+    """Union in pairs of pairs, so that each frame is analysed a few times only."""
+    frames = list(frames)
+    while len(frames) > 1:
+        pairs = [frames[i : i + 2] for i in range(0, len(frames), 2)]
+        frames = [p[0].unionByName(p[1]) if len(p) == 2 else p[0] for p in pairs]
+    return frames[0]
 
 
 def _fixed_result(
     spark: SparkSession, name: str, dataset: str, dimension: str, failed: int, total: int, message: str
 ) -> DataFrame:
-    row = result_row(name, dataset, dimension, F.lit(failed), F.lit(total), message)
-    return spark.range(1).select(*row)
+    row = result_row(name, dataset, dimension, str(failed), str(total), literal(message))
+    return spark.range(1).selectExpr(*row)
 
 
 def missing_file(spark: SparkSession, dataset: str, file: str) -> DataFrame:
@@ -81,89 +90,73 @@ def check_columns(df: DataFrame, dataset: str, spec: DatasetSpec) -> tuple[DataF
     return result, missing
 
 
-def _row_rules(spec: DatasetSpec) -> list[tuple[str, str, Column, str]]:
+def _row_rules(spec: DatasetSpec) -> list[tuple[str, str, str, str]]:
     """(test name, dimension, failed-row condition, message) of every row-level rule."""
     rules = []
     for c in spec.not_null:
-        rules.append((f"{c}_not_null", "completeness", is_blank(c), "null or blank values"))
+        bad = is_blank.sql(f"`{c}`")
+        rules.append((f"{c}_not_null", "completeness", bad, "null or blank values"))
     for c, values in spec.accepted_values.items():
-        bad = unaccepted(c, values)
+        bad = unaccepted.sql(f"`{c}`", values)
         rules.append((f"{c}_accepted_values", "validity", bad, "values outside the list"))
     for c in spec.non_negative:
-        number = parsed_number(c)
-        bad = F.col(c).isNotNull() & (number.isNull() | (number < 0))
+        bad = _unless(c, "{n} >= 0")
         rules.append((f"{c}_non_negative", "validity", bad, "negative or non-numeric values"))
     for c, (low, high) in spec.ranges.items():
-        number = parsed_number(c)
-        bad = F.col(c).isNotNull() & (number.isNull() | (number < low) | (number > high))
-        text = f"values outside [{low}, {high}]"
-        rules.append((f"{c}_range", "validity", bad, text))
+        bad = _unless(c, f"{{n}} between {low} and {high}")
+        rules.append((f"{c}_range", "validity", bad, f"values outside [{low}, {high}]"))
     return rules
 
 
+def _unless(column: str, good: str) -> str:
+    """True for a non-null text that is no number or whose number ``n`` is not ``good``."""
+    test = good.format(n=parsed_number.sql(f"`{column}`"))
+    return f"`{column}` is not null and not coalesce({test}, false)"
+
+
 def check_rows(df: DataFrame, dataset: str, spec: DatasetSpec) -> DataFrame:
     """Emptiness and all row-level rules in one pass: one conditional count per rule."""
     rules = _row_rules(spec)
-    counts = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.count_if(bad).alias(f"c{i}") for i, (_, _, bad, _) in enumerate(rules)],
+    counts = df.selectExpr(
+        "count(1) as n", *[f"count_if({bad}) as c{i}" for i, (_, _, bad, _) in enumerate(rules)]
     )
-    n = F.col("n")
+    empty = "cast(n = 0 as int)"
     rows = [
-        result_row(
-            "file_not_empty",
-            dataset,
-            "availability",
-            (n == 0).cast("int"),
-            n,
-            F.concat(n.cast("string"), F.lit(" rows")),
-        )
+        result_row("file_not_empty", dataset, "availability", empty, "n", _counted("n", "rows"))
     ]
     for i, (name, dimension, _, message) in enumerate(rules):
-        failed = F.col(f"c{i}")
-        text = F.concat(failed.cast("string"), F.lit(f" {message}"))
-        rows.append(result_row(name, dataset, dimension, failed, n, text))
-    return counts.select(F.inline(F.array(*[F.struct(*row) for row in rows])))
+        rows.append(result_row(name, dataset, dimension, f"c{i}", "n", _counted(f"c{i}", message)))
+    structs = ", ".join(f"struct({', '.join(row)})" for row in rows)
+    return counts.selectExpr(f"inline(array({structs}))")
 
 
 def duplicate_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row: rows in groups that share a key (nulls equal), and all rows."""
     groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return groups.agg(
-        F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("failed"),
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
+    return groups.selectExpr(
+        "coalesce(sum(n) filter (where n > 1), 0) as failed", "coalesce(sum(n), 0) as total"
     )
 
 
 def check_unique(df: DataFrame, dataset: str, keys: Sequence[str]) -> DataFrame:
-    message = F.concat(F.col("failed").cast("string"), F.lit(" rows share a key"))
-    row = result_row(
-        f"{'_'.join(keys)}_unique", dataset, "uniqueness", F.col("failed"), F.col("total"), message
-    )
-    return duplicate_rows(df, keys).select(*row)
+    message = _counted("failed", "rows share a key")
+    name = f"{'_'.join(keys)}_unique"
+    row = result_row(name, dataset, "uniqueness", "failed", "total", message)
+    return duplicate_rows(df, keys).selectExpr(*row)
 
 
 def check_foreign_key(child: DataFrame, parent: DataFrame, rule: ForeignKey) -> DataFrame:
     """Child rows whose non-null key the parent lacks, out of all non-null child rows."""
     keys = key_counts(child, rule.child_column)
-    known = key_counts(parent, rule.parent_column).select("key", F.lit(True).alias("known"))
-    lost = F.sum(F.when(F.col("known").isNull(), F.col("n")))
-    counts = keys.join(known, "key", "left").agg(
-        F.coalesce(lost, F.lit(0)).alias("failed"), F.coalesce(F.sum("n"), F.lit(0)).alias("total")
-    )
-    message = F.concat(
-        F.col("failed").cast("string"), F.lit(f" keys without a row in {rule.parent_dataset}")
+    known = key_counts(parent, rule.parent_column).selectExpr("key", "true as known")
+    counts = keys.join(known, "key", "left").selectExpr(
+        "coalesce(sum(n) filter (where known is null), 0) as failed", "coalesce(sum(n), 0) as total"
     )
+    message = _counted("failed", f"keys without a row in {rule.parent_dataset}")
     row = result_row(
-        rule.name,
-        rule.child_dataset,
-        "integrity",
-        F.col("failed"),
-        F.col("total"),
-        message,
-        rule.severity,
+        rule.name, rule.child_dataset, "integrity", "failed", "total", message, rule.severity
     )
-    return counts.select(*row)
+    return counts.selectExpr(*row)
 
 
 def unusable_foreign_key(spark: SparkSession, rule: ForeignKey, column: str) -> DataFrame:
@@ -253,22 +246,19 @@ def failing_relationships(
 
 def failing_accepted_values(df: DataFrame, column: str, accepted: Sequence[str]) -> DataFrame:
     """Values outside the list and how many rows hold them."""
-    bad = df.filter(unaccepted(column, accepted))
+    bad = df.filter(unaccepted.sql(column, accepted))
     return bad.groupBy(column).agg(F.count(F.lit(1)).alias("row_count"))
 
 
 def reconcile_counts(left: dict[str, DataFrame], right: dict[str, DataFrame]) -> DataFrame:
-    """Row counts of the data sets on both sides; both counts of a data set run side by side."""
-    rows = []
-    for name in left:
-        counts = []
-        for side, frames in (("source_count", left), ("target_count", right)):
-            tagged = frames[name].agg(F.count(F.lit(1)).alias("n"))
-            counts.append(tagged.select(F.lit(name).alias("dataset"), F.lit(side).alias("side"), "n"))
-        rows.extend(counts)
-    paired = union_all(rows).groupBy("dataset").agg(
-        F.max(F.when(F.col("side") == "source_count", F.col("n"))).alias("source_count"),
-        F.max(F.when(F.col("side") == "target_count", F.col("n"))).alias("target_count"),
+    """Row counts of the data sets on both sides; all counts run side by side."""
+    counted = [
+        frames[name].selectExpr(f"{literal(name)} as dataset", f"{ln} as l", f"{rn} as r")
+        for name in left
+        for frames, ln, rn in ((left, "count(1)", "cast(null as bigint)"), (right, "cast(null as bigint)", "count(1)"))
+    ]
+    paired = union_all(counted).groupBy("dataset").agg(
+        F.max("l").alias("source_count"), F.max("r").alias("target_count")
     )
-    equal = F.col("source_count") == F.col("target_count")
-    return paired.withColumn("status", F.when(equal, F.lit("PASS")).otherwise(F.lit("ERROR")))
+    status = "if(source_count = target_count, 'PASS', 'ERROR') as status"
+    return paired.selectExpr("*", status)

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakemart.functions import parsed_number
+from lakemart.functions import literal, parsed_number
 
 INTEGER_TEXT = r"^\s*[+-]?\d{1,18}\s*$"
 # The words a type-inferring CSV reader takes for booleans.
@@ -22,19 +22,16 @@ def infer_types(df: DataFrame) -> DataFrame:
 
     One pass over the text decides all columns; the answer is one row.
     """
-    tests: list[Column] = []
+    words = ", ".join(map(literal, (*TRUE_WORDS, *FALSE_WORDS)))
+    tests: list[str] = []
     for i, c in enumerate(df.columns):
-        text = F.col(c)
+        number = f"if(`{c}` is null, null, {parsed_number.sql(f'`{c}`')} is not null)"
         tests += [
-            F.coalesce(F.bool_and(text.rlike(INTEGER_TEXT)), F.lit(False)).alias(f"i{i}"),
-            F.coalesce(
-                F.bool_and(F.when(text.isNotNull(), parsed_number(c).isNotNull())), F.lit(True)
-            ).alias(f"d{i}"),
-            F.coalesce(F.bool_and(text.isin(*TRUE_WORDS, *FALSE_WORDS)), F.lit(False)).alias(
-                f"b{i}"
-            ),
+            f"coalesce(bool_and(`{c}` rlike r'{INTEGER_TEXT}'), false) as i{i}",
+            f"coalesce(bool_and({number}), true) as d{i}",
+            f"coalesce(bool_and(`{c}` in ({words})), false) as b{i}",
         ]
-    facts = df.agg(*tests).first()
+    facts = df.selectExpr(*tests).first()
     typed = []
     for i, c in enumerate(df.columns):
         kind = "string"
@@ -44,8 +41,8 @@ def infer_types(df: DataFrame) -> DataFrame:
             kind = "double"
         elif facts[f"b{i}"]:
             kind = "boolean"
-        typed.append(F.trim(F.col(c)).cast(kind).alias(c) if kind != "string" else F.col(c))
-    return df.select(*typed)
+        typed.append(f"cast(trim(`{c}`) as {kind}) as `{c}`" if kind != "string" else f"`{c}`")
+    return df.selectExpr(*typed)
 
 
 def _type_name(data_type: T.DataType) -> str:
@@ -57,11 +54,10 @@ def _type_name(data_type: T.DataType) -> str:
     return "bool" if isinstance(data_type, T.BooleanType) else "object"
 
 
-def _canonical(df: DataFrame, c: str) -> Column:
+def _canonical(f: T.StructField) -> str:
     """Text of a value under which equal values are equal (-0.0 is 0.0)."""
-    if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)):
-        return (F.col(c) + F.lit(0.0)).cast("string")
-    return F.col(c).cast("string")
+    zero = " + 0.0d" if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else ""
+    return f"cast(`{f.name}`{zero} as string)"
 
 
 def column_values(df: DataFrame) -> DataFrame:
@@ -70,12 +66,10 @@ def column_values(df: DataFrame) -> DataFrame:
     Values are counted per task first, so a value that fills a third of a column, or a column
     of few values, travels as a handful of rows.
     """
-    cells = [
-        F.struct(F.lit(i).alias("position"), _canonical(df, c).alias("value"))
-        for i, c in enumerate(df.columns)
-    ]
+    fields = df.schema.fields
+    cells = [f"struct({i} as position, {_canonical(f)} as value)" for i, f in enumerate(fields)]
     return (
-        df.select(F.inline(F.array(*cells)))
+        df.selectExpr(f"inline(array({', '.join(cells)}))")
         .groupBy("position", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )

@@ -5,8 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
-from pyspark.sql import functions as F
 
 
 def latest_version(
@@ -20,9 +18,10 @@ def latest_version(
     The rank-and-keep-first form lets Catalyst put a group limit before the exchange, so
     each task sends at most one row per key however many versions a hot key has.
     """
-    newest_first = [F.col(c).desc_nulls_last() for c in (*recency, *tie_breakers)]
-    window = W.partitionBy(*keys).orderBy(*newest_first)
-    return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
+    newest_first = ", ".join(f"`{c}` desc nulls last" for c in (*recency, *tie_breakers))
+    key = ", ".join(f"`{c}`" for c in keys)
+    rank = f"row_number() over (partition by {key} order by {newest_first}) as _rank"
+    return df.selectExpr("*", rank).filter("_rank = 1").drop("_rank")
 
 
 def current_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -83,7 +83,9 @@ def date_bounds(orders: DataFrame, items: DataFrame) -> DataFrame:
 
 def calendar(bounds: DataFrame) -> DataFrame:
     days = F.sequence("first_day", "last_day", F.expr("interval 1 day"))
-    return bounds.select(F.explode(days).alias("full_date")).select(*calendar_columns("full_date"))
+    return bounds.select(F.explode(days).alias("full_date")).selectExpr(
+        *calendar_columns("full_date")
+    )
 
 
 def dim_date(orders: DataFrame, items: DataFrame) -> DataFrame:

@@ -118,28 +118,18 @@ def with_order_totals(orders: DataFrame, items: DataFrame, payments: DataFrame)
     )
 
 
+# (name, start, end, seconds per unit)
+DURATIONS = (
+    ("approval_duration_minutes", "order_purchase_timestamp", "order_approved_at", 60),
+    ("delivery_duration_hours", "order_purchase_timestamp", "order_delivered_customer_date", 3600),
+    ("delivery_delay_days", "order_estimated_delivery_date", "order_delivered_customer_date", 86400),
+)
+
+
 def duration_columns(round_scale: int | None = None) -> list[Column]:
     """Approval minutes, delivery hours and delay days; ``round_scale`` rounds them."""
-    spans = {
-        "approval_duration_minutes": ("order_purchase_timestamp", "order_approved_at", 60),
-        "delivery_duration_hours": (
-            "order_purchase_timestamp",
-            "order_delivered_customer_date",
-            3600,
-        ),
-        "delivery_delay_days": (
-            "order_estimated_delivery_date",
-            "order_delivered_customer_date",
-            86400,
-        ),
-    }
-    if round_scale is None:
-        return [elapsed(a, b, unit).alias(name) for name, (a, b, unit) in spans.items()]
-    kind = f"decimal(14,{round_scale})"
-    return [
-        elapsed(a, b, unit, round_scale).cast(kind).alias(name)
-        for name, (a, b, unit) in spans.items()
-    ]
+    kind = DURATION if round_scale is None else f"decimal(14,{round_scale})"
+    return [elapsed(start, end, unit, kind).alias(name) for name, start, end, unit in DURATIONS]
 
 
 def fact_order_lifecycle(
@@ -176,15 +166,3 @@ def fact_order_lifecycle(
         newest(UPDATED, "_items_updated_at", "_payments_updated_at").alias(UPDATED),
     )
 
-
-__all__ = [
-    "DURATION",
-    "duration_columns",
-    "fact_order_items",
-    "fact_order_lifecycle",
-    "fact_payments",
-    "item_totals",
-    "join_order",
-    "payment_totals",
-    "with_order_totals",
-]

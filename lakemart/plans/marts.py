@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lakemart.functions import MART_MONEY, mean_money, quotient, rate, total
@@ -16,22 +15,18 @@ def _count() -> Column:
     return F.count(F.lit(1))
 
 
-def _delivered_with_date() -> Column:
-    return F.count("order_delivered_customer_date")
-
-
 def mart_executive_kpis(lifecycle: DataFrame) -> DataFrame:
     """Headline figures, one row."""
-    cancelled = F.count_if("is_cancelled")
-    late = F.count_if("is_delivered_late")
     return lifecycle.agg(
         _count().alias("total_orders"),
         total("payment_value").alias("total_revenue"),
         mean_money("payment_value").alias("average_order_value"),
         F.count_if(F.col("order_status") == "delivered").alias("delivered_orders"),
-        cancelled.alias("cancelled_orders"),
-        rate(cancelled, _count()).alias("cancellation_rate"),
-        rate(late, _delivered_with_date()).alias("late_delivery_rate"),
+        F.count_if("is_cancelled").alias("cancelled_orders"),
+        rate("count_if(is_cancelled)", "count(1)").alias("cancellation_rate"),
+        rate("count_if(is_delivered_late)", "count(order_delivered_customer_date)").alias(
+            "late_delivery_rate"
+        ),
     ).select(F.lit("all_time").alias("metric_scope"), "*")
 
 
@@ -87,7 +82,7 @@ def mart_category_performance(items: DataFrame, products: DataFrame) -> DataFram
         total("price").alias("merchandise_revenue"),
         total("freight").alias("freight_value"),
         total("gross").alias("gross_item_value"),
-        quotient(F.sum("price"), F.sum("priced"), MART_MONEY).alias("average_item_price"),
+        quotient("sum(price)", "sum(priced)", MART_MONEY).alias("average_item_price"),
     )
 
 
@@ -98,7 +93,7 @@ def mart_state_performance(lifecycle: DataFrame, customers: DataFrame) -> DataFr
         F.sum("payment_value").alias("paid"),
         F.count("payment_value").alias("paid_orders"),
         F.count_if("is_delivered_late").alias("late"),
-        _delivered_with_date().alias("delivered"),
+        F.count("order_delivered_customer_date").alias("delivered"),
     )
     states = customers.select(
         "customer_key", F.coalesce("state", F.lit(NO_LABEL)).alias("customer_state")
@@ -109,17 +104,16 @@ def mart_state_performance(lifecycle: DataFrame, customers: DataFrame) -> DataFr
         .agg(
             F.sum("orders").alias("order_count"),
             total("paid").alias("revenue"),
-            quotient(F.sum("paid"), F.sum("paid_orders"), MART_MONEY).alias("average_order_value"),
+            quotient("sum(paid)", "sum(paid_orders)", MART_MONEY).alias("average_order_value"),
             F.sum("late").alias("late_order_count"),
-            rate(F.sum("late"), F.sum("delivered")).alias("late_delivery_rate"),
+            rate("sum(late)", "sum(delivered)").alias("late_delivery_rate"),
         )
     )
 
 
 def with_share(df: DataFrame, count: str, name: str) -> DataFrame:
     """Share of each row's count in the total. For short results: the total is one window."""
-    everything = F.sum(count).over(W.partitionBy())
-    return df.withColumn(name, rate(F.col(count), everything))
+    return df.withColumn(name, rate(count, f"sum({count}) over ()"))
 
 
 def mart_order_status(lifecycle: DataFrame) -> DataFrame:

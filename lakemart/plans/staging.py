@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.functions import (
@@ -27,14 +27,15 @@ UPDATED = "record_updated_at"
 POINT = "decimal(20,15)"
 
 
-def _cast(data_type: str) -> Callable[[str], Column]:
-    return lambda name: strict_cast(name, data_type)
+def _cast(data_type: str) -> Callable[[str], str]:
+    return lambda name: strict_cast.sql(name, data_type)
 
 
-KINDS: dict[str, Callable[[str], Column]] = {
-    "id": identifier,
-    "code": code,
-    "text": blank_to_null,
+# SQL text of a staged value, by kind of column.
+KINDS: dict[str, Callable[[str], str]] = {
+    "id": identifier.sql,
+    "code": code.sql,
+    "text": blank_to_null.sql,
     "int": _cast("int"),
     "small": _cast("smallint"),
     "money": _cast(MONEY),
@@ -50,7 +51,7 @@ class StagingModel:
     keys: tuple[str, ...]
     columns: dict[str, tuple[str, str]]
 
-    def expression(self, name: str) -> Column:
+    def expression(self, name: str) -> str:
         raw_name, kind = self.columns[name]
         return KINDS[kind](raw_name)
 
@@ -151,8 +152,7 @@ MODELS: dict[str, StagingModel] = {
 }
 
 
-def record_updated_at() -> Column:
-    return F.coalesce("source_updated_at", "loaded_at")
+CHANGED_AT = "coalesce(source_updated_at, loaded_at)"
 
 
 def stage(dataset: str, raw: DataFrame, lineage: bool = False) -> DataFrame:
@@ -161,26 +161,27 @@ def stage(dataset: str, raw: DataFrame, lineage: bool = False) -> DataFrame:
         return stg_geolocation(raw)
     model = MODELS[dataset]
     rows = raw
+    staged = {name: model.expression(name) for name in model.columns}
     if model.keys:
-        cleaned = {f"_key_{k}": model.expression(k) for k in model.keys}
-        others = [c for c in model.raw_columns if c not in {model.columns[k][0] for k in model.keys}]
         spelled = [model.columns[k][0] for k in model.keys]
+        others = [c for c in model.raw_columns if c not in spelled]
+        cleaned = [f"{staged[k]} as _key_{k}" for k in model.keys]
         rows = latest_version(
-            raw.withColumns(cleaned),
-            keys=list(cleaned),
+            raw.selectExpr("*", *cleaned),
+            keys=[f"_key_{k}" for k in model.keys],
             recency=("source_updated_at", "loaded_at"),
             tie_breakers=("batch_id", *others, *spelled),
         )
-    key_of = {k: F.col(f"_key_{k}") for k in model.keys}
-    staged = [key_of.get(n, model.expression(n)).alias(n) for n in model.columns]
-    extra = [F.col("batch_id"), F.col("loaded_at")] if lineage else []
-    return rows.select(*staged, record_updated_at().alias(UPDATED), *extra)
+        staged.update({k: f"_key_{k}" for k in model.keys})
+    extra = ["batch_id", "loaded_at"] if lineage else []
+    columns = [f"{text} as {name}" for name, text in staged.items()]
+    return rows.selectExpr(*columns, f"{CHANGED_AT} as {UPDATED}", *extra)
 
 
 def staged_keys(dataset: str, raw: DataFrame) -> DataFrame:
     """Distinct natural keys of a staged table, reading only the key columns."""
     model = MODELS[dataset]
-    return raw.select(*[model.expression(k).alias(k) for k in model.keys]).distinct()
+    return raw.selectExpr(*[f"{model.expression(k)} as {k}" for k in model.keys]).distinct()
 
 
 def stg_customers(raw: DataFrame) -> DataFrame:
@@ -217,14 +218,20 @@ def stg_category_translation(raw: DataFrame) -> DataFrame:
 
 def stg_geolocation(raw: DataFrame) -> DataFrame:
     """One representative point per zip prefix."""
-    return raw.groupBy(
-        strict_cast("geolocation_zip_code_prefix", "int").alias("geolocation_zip_code_prefix")
-    ).agg(
-        exact_mean(strict_cast("geolocation_lat", POINT)).alias("latitude"),
-        exact_mean(strict_cast("geolocation_lng", POINT)).alias("longitude"),
-        F.min(blank_to_null("geolocation_city")).alias("city"),
-        F.min(blank_to_null("geolocation_state")).alias("state"),
-        F.max(record_updated_at()).alias(UPDATED),
+    points = raw.selectExpr(
+        f"{strict_cast.sql('geolocation_zip_code_prefix', 'int')} as geolocation_zip_code_prefix",
+        f"{strict_cast.sql('geolocation_lat', POINT)} as lat",
+        f"{strict_cast.sql('geolocation_lng', POINT)} as lng",
+        f"{blank_to_null.sql('geolocation_city')} as city",
+        f"{blank_to_null.sql('geolocation_state')} as state",
+        f"{CHANGED_AT} as {UPDATED}",
+    )
+    return points.groupBy("geolocation_zip_code_prefix").agg(
+        exact_mean("lat").alias("latitude"),
+        exact_mean("lng").alias("longitude"),
+        F.min("city").alias("city"),
+        F.min("state").alias("state"),
+        F.max(UPDATED).alias(UPDATED),
     )
 
 

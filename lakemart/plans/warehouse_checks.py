@@ -9,7 +9,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.functions import UNKNOWN_KEY
+from lakemart.functions import UNKNOWN_KEY, literal, rate
 from lakemart.operators.checks import union_all
 from lakemart.operators.lookups import lookup_join
 
@@ -23,27 +23,26 @@ def audit_row(
     table_name: str,
     dimension: str,
     severity: str,
-    failed: Column,
-    total: Column,
+    failed: str,
+    total: str,
     message: str,
-    passed: Column | None = None,
-) -> list[Column]:
-    """One result with its failure rate; an empty table has rate 0 and passes."""
-    failed, total = failed.cast("bigint"), total.cast("bigint")
-    passed = (failed == 0) if passed is None else passed
-    share = failed.cast("decimal(20,0)") / F.nullif(
-        total.cast("decimal(20,0)"), F.lit(0).cast("decimal(20,0)")
-    )
+    passed: str | None = None,
+) -> list[str]:
+    """One result with its failure rate; an empty table has rate 0 and passes.
+
+    ``failed``, ``total`` and ``passed`` are SQL expressions over the counts.
+    """
+    level = literal(severity)
     return [
-        F.lit(test_name).alias("test_name"),
-        F.lit(table_name).alias("table_name"),
-        F.lit(dimension).alias("quality_dimension"),
-        F.lit(severity).alias("severity"),
-        F.when(passed, F.lit("PASS")).otherwise(F.lit(severity)).alias("status"),
-        failed.alias("failed_rows"),
-        total.alias("total_rows"),
-        F.coalesce(share, F.lit(0)).cast(FAILURE_RATE).alias("failure_rate"),
-        F.lit(message).alias("error_message"),
+        f"{literal(test_name)} as test_name",
+        f"{literal(table_name)} as table_name",
+        f"{literal(dimension)} as quality_dimension",
+        f"{level} as severity",
+        f"if({passed or f'{failed} = 0'}, 'PASS', {level}) as status",
+        f"cast({failed} as bigint) as failed_rows",
+        f"cast({total} as bigint) as total_rows",
+        f"cast(coalesce({rate.sql(failed, total, FAILURE_RATE)}, 0) as {FAILURE_RATE}) as failure_rate",
+        f"{literal(message)} as error_message",
     ]
 
 
@@ -102,14 +101,14 @@ def grain_check(fact: DataFrame, table: str, grain: list[str]) -> DataFrame:
     counts = groups.agg(
         F.count_if(F.col("n") > 1).alias("failed"), F.coalesce(F.sum("n"), F.lit(0)).alias("total")
     )
-    return counts.select(
+    return counts.selectExpr(
         *audit_row(
             f"{table}_grain_unique",
             table,
             "uniqueness",
             "ERROR",
-            F.col("failed"),
-            F.col("total"),
+            "failed",
+            "total",
             "more than one row per " + " + ".join(grain),
         )
     )
@@ -132,15 +131,15 @@ def reconciliation_mismatch(staged: DataFrame, fact: DataFrame) -> DataFrame:
 
 
 def reconciliation_check(staged: DataFrame, fact: DataFrame, table: str) -> DataFrame:
-    gap = F.abs(F.col("staging_rows") - F.col("fact_rows"))
-    return reconciliation(staged, fact).select(
+    gap = "abs(staging_rows - fact_rows)"
+    return reconciliation(staged, fact).selectExpr(
         *audit_row(
             f"{table}_row_reconciliation",
             table,
             "consistency",
             "ERROR",
             gap,
-            F.col("staging_rows"),
+            "staging_rows",
             "the fact must have one row per current staged row",
         )
     )
@@ -156,44 +155,42 @@ def run_checks(
     shipping = _items_with_purchase(items, orders).agg(
         F.count_if(_limit_too_late()).alias("failed"), F.count(F.lit(1)).alias("total")
     )
-    failed, total = F.col("failed"), F.col("total")
-    unknown, rows = F.col("unknown_rows"), F.col("total_rows")
     return union_all(
         [
             grain_check(fact_items, "fact_order_items", ["order_id", "order_item_id"]),
             reconciliation_check(items, fact_items, "fact_order_items"),
             reconciliation_check(payments, star["fact_payments"], "fact_payments"),
-            delivery.select(
+            delivery.selectExpr(
                 *audit_row(
                     "order_delivery_after_purchase",
                     "fact_order_lifecycle",
                     "validity",
                     "ERROR",
-                    failed,
-                    total,
+                    "failed",
+                    "total",
                     "delivered before it was purchased",
                 )
             ),
-            unknown_rows(fact_items).select(
+            unknown_rows(fact_items).selectExpr(
                 *audit_row(
                     "unknown_dimension_rate",
                     "fact_order_items",
                     "integrity",
                     "WARN",
-                    unknown,
-                    rows,
+                    "unknown_rows",
+                    "total_rows",
                     "over 1% of the rows have an unknown customer, product or seller",
-                    passed=unknown <= rows * F.lit(UNKNOWN_LIMIT),
+                    passed=f"unknown_rows <= total_rows * {UNKNOWN_LIMIT}",
                 )
             ),
-            shipping.select(
+            shipping.selectExpr(
                 *audit_row(
                     "shipping_limit_reasonable",
                     "stg_order_items",
                     "validity",
                     "WARN",
-                    failed,
-                    total,
+                    "failed",
+                    "total",
                     "shipping limit over 365 days after the purchase",
                 )
             ),

@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Recording the Python call site of every expression slows the building of plans.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakemart.functions import literal
 from lakemart.sources.contract import Contract, DatasetSpec
 from lakemart.sources.lake import Files
 
@@ -62,9 +63,8 @@ def require_files(spark: SparkSession, data_dir: str, pattern: str) -> list[str]
 
 
 def na_to_null(df: DataFrame, words: Sequence[str] = NA_WORDS) -> DataFrame:
-    return df.select(
-        *[F.when(~F.col(f"`{c}`").isin(*words), F.col(f"`{c}`")).alias(c) for c in df.columns]
-    )
+    listed = ", ".join(map(literal, words))
+    return df.selectExpr(*[f"if(`{c}` in ({listed}), null, `{c}`) as `{c}`" for c in df.columns])
 
 
 def read_by_name(
