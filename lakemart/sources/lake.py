@@ -6,7 +6,7 @@ Readers see the newest document, so a job that dies half-way has published nothi
 table can be read while its next version is written. One writer at a time is expected; a
 second one loses the rename of the pointer file and raises.
 
-Layout: ``<root>/<table>/v=<commit>/[<partition>=<value>/]*.parquet`` and
+Layout: ``<root>/<table>/lake_version=<commit>/[<partition>=<value>/]*.parquet`` and
 ``<root>/_commits/<number>.json``.
 """
 
@@ -17,13 +17,13 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakemart.operators.upserts import sync_columns
 
-VERSION = "v"
+VERSION = "lake_version"
 COMMITS = "_commits"
 
 
@@ -33,23 +33,29 @@ class ConcurrentCommitError(RuntimeError):
 
 @dataclass
 class TableState:
-    """Folders of one table: ``(relative path, partition value or None)``."""
+    """Folders of one table: ``(relative path, partition value or None)``.
+
+    ``partition`` is the name of an integer layout column and ``by`` its SQL expression.
+    """
 
     schema: T.StructType
     partition: str | None = None
+    by: str | None = None
     folders: list[tuple[str, str | None]] = field(default_factory=list)
 
     def to_json(self) -> dict:
         return {
             "schema": self.schema.jsonValue(),
             "partition": self.partition,
+            "by": self.by,
             "folders": self.folders,
         }
 
     @staticmethod
     def from_json(doc: dict) -> TableState:
         folders = [(path, value) for path, value in doc["folders"]]
-        return TableState(T.StructType.fromJson(doc["schema"]), doc["partition"], folders)
+        schema = T.StructType.fromJson(doc["schema"])
+        return TableState(schema, doc["partition"], doc["by"], folders)
 
 
 class Files:
@@ -164,7 +170,7 @@ class Transaction:
         return self.lake._load(table, self.tables[table], layout)
 
     def _write(
-        self, table: str, df: DataFrame, partition: str | None = None, by: Column | None = None
+        self, table: str, df: DataFrame, partition: str | None = None, by: str | None = None
     ) -> list[tuple[str, str | None]]:
         """Write one new folder (or one per partition value) and list what was written."""
         self._parts += 1
@@ -175,27 +181,27 @@ class Transaction:
             return [(folder, None)]
         # The rebalance hint groups rows by partition value and lets the adaptive planner cut
         # a value with many rows into several tasks and merge small ones.
-        rows = df.withColumn(partition, by).hint("rebalance", partition)
+        rows = df.selectExpr("*", f"{by} as {partition}").hint("rebalance", partition)
         rows.write.mode("errorifexists").partitionBy(partition).parquet(target)
         names = self.lake.files.names(folder, f"{partition}=*")
         return [(f"{folder}/{name}", name.split("=", 1)[1]) for name in names]
 
     def append(self, table: str, df: DataFrame) -> DataFrame:
         """Add rows as a new folder and return them as written."""
-        folders = self._write(table, df)
         state = self.tables.get(table) or TableState(df.schema)
+        folders = self._write(table, df, state.partition, state.by)
         merged = list(state.schema.fields)
         merged += [f for f in df.schema.fields if f.name not in state.schema.names]
         self.tables[table] = TableState(
-            T.StructType(merged), state.partition, [*state.folders, *folders]
+            T.StructType(merged), state.partition, state.by, [*state.folders, *folders]
         )
-        return self.lake._load(table, TableState(df.schema, None, folders))
+        return self.lake._load(table, TableState(df.schema, folders=folders))
 
     def overwrite(
-        self, table: str, df: DataFrame, partition: str | None = None, by: Column | None = None
+        self, table: str, df: DataFrame, partition: str | None = None, by: str | None = None
     ) -> DataFrame:
         folders = self._write(table, df, partition, by)
-        self.tables[table] = TableState(df.schema, partition, folders)
+        self.tables[table] = TableState(df.schema, partition, by, folders)
         return self.read(table)
 
     def upsert(
@@ -204,7 +210,7 @@ class Transaction:
         changes: DataFrame,
         keys: Sequence[str],
         partition: str | None = None,
-        by: Column | None = None,
+        by: str | None = None,
     ) -> DataFrame:
         """Replace the rows that share a key with ``changes``; return the changes as written.
 
@@ -215,8 +221,8 @@ class Transaction:
         if table not in self.tables:
             return self.overwrite(table, changes, partition, by)
         old = self.tables[table]
-        fresh = self._write(table, changes, old.partition, by)
-        written = TableState(changes.schema, old.partition, fresh)
+        fresh = self._write(table, changes, old.partition, old.by)
+        written = TableState(changes.schema, old.partition, old.by, fresh)
         delta = self.lake._load(table, written)
         if delta.isEmpty() and changes.schema == old.schema:
             return delta
@@ -238,8 +244,9 @@ class Transaction:
             touched = self.lake._load(table, old, only=hit)
             kept = touched.join(changed_keys, list(keys), "left_anti")
             kept = sync_columns(kept, changes)
-            kept_folders += self._write(table, kept, old.partition, by)
-        self.tables[table] = TableState(changes.schema, old.partition, [*kept_folders, *fresh])
+            kept_folders += self._write(table, kept, old.partition, old.by)
+        folders = [*kept_folders, *fresh]
+        self.tables[table] = TableState(changes.schema, old.partition, old.by, folders)
         return delta
 
     def drop(self, table: str) -> None:
