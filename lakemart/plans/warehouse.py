@@ -18,7 +18,7 @@ from lakemart.operators.checks import gate
 from lakemart.operators.upserts import high_watermark, time_literal
 from lakemart.plans import dims, facts, marts
 from lakemart.plans.staging import MODELS, STAGED, UPDATED, stage, staged_keys
-from lakemart.plans.warehouse_checks import run_checks, stamp_run
+from lakemart.plans.warehouse_checks import latest_run, run_checks, stamp_run
 from lakemart.sources.lake import Lake, Transaction
 from lakemart.sources.raw_load import raw_table
 
@@ -353,3 +353,7 @@ def validate(lake: Lake) -> DataFrame:
 def validate_and_gate(lake: Lake) -> dict[str, int]:
     return gate(validate(lake))
 
+
+def latest_results(lake: Lake) -> DataFrame:
+    """Result rows of the newest validation run."""
+    return latest_run(lake.read(QUALITY_RESULTS))
