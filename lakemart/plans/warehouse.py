@@ -8,7 +8,9 @@ sizes Catalyst knows and whose skewed partitions it can split.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +21,7 @@ from lakemart.operators.upserts import high_watermark, time_literal
 from lakemart.plans import dims, facts, marts
 from lakemart.plans.staging import MODELS, STAGED, UPDATED, stage, staged_keys
 from lakemart.plans.warehouse_checks import latest_run, run_checks, stamp_run
+from lakemart.sources.contract import INCREMENTAL_DATASETS
 from lakemart.sources.lake import Lake, Transaction
 from lakemart.sources.raw_load import raw_table
 
@@ -69,23 +72,33 @@ def _month_layout(fact: str) -> dict:
     return {"partition": MONTH, "by": f"cast({FACT_DAY[fact]} div 100 as int)"}
 
 
+def _side_by_side(jobs: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+    """Submit independent writes from driver threads, so small ones do not wait for large ones."""
+    with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
+        running = {name: pool.submit(job) for name, job in jobs.items()}
+        return {name: future.result() for name, future in running.items()}
+
+
 # ---- full refresh ----------------------------------------------------------------------
 
 
 def stage_into(tx: Transaction, names: Sequence[str] = STAGED) -> dict[str, DataFrame]:
-    return {
-        name: tx.overwrite(staged_table(name), stage(name, tx.read(raw_table(name))))
-        for name in names
-    }
+    def write(name: str) -> DataFrame:
+        return tx.overwrite(staged_table(name), stage(name, tx.read(raw_table(name))))
+
+    return _side_by_side({name: partial(write, name) for name in names})
 
 
 def build_full(lake: Lake, round_scale: int | None = None) -> int:
     """Rebuild staging, dimensions, facts and marts; published in one commit."""
     with lake.transaction() as tx:
         staged = stage_into(tx)
-        for name, builder in DIM_BUILDERS.items():
+
+        def write_dim(name: str) -> DataFrame:
             main, extra = (staged[n] for n in DIM_INPUT[name])
-            tx.overwrite(model_table(name), builder(main, extra))
+            return tx.overwrite(model_table(name), DIM_BUILDERS[name](main, extra))
+
+        _side_by_side({name: partial(write_dim, name) for name in DIM_BUILDERS})
         ids = dimension_ids(tx)
         items, payments, orders = (staged[n] for n in ("order_items", "payments", "orders"))
         built = {
@@ -97,8 +110,12 @@ def build_full(lake: Lake, round_scale: int | None = None) -> int:
                 orders, items, payments, ids["customer_id"], round_scale
             ),
         }
-        for name, df in built.items():
-            tx.overwrite(model_table(name), df, **_month_layout(name))
+        _side_by_side(
+            {
+                name: partial(tx.overwrite, model_table(name), df, **_month_layout(name))
+                for name, df in built.items()
+            }
+        )
         build_marts(tx)
     return lake.state()[0]
 
@@ -131,8 +148,9 @@ def build_marts(tx: Transaction) -> None:
         "mart_state_performance": marts.mart_state_performance(lifecycle, customers),
         "mart_order_status": marts.mart_order_status(lifecycle),
     }
-    for name, df in built.items():
-        tx.overwrite(mart_table(name), df)
+    _side_by_side(
+        {name: partial(tx.overwrite, mart_table(name), df) for name, df in built.items()}
+    )
 
 
 # ---- increments ------------------------------------------------------------------------
@@ -269,42 +287,44 @@ def build_increment(
     """
     with lake.transaction() as tx:
         raw = {name: tx.read(raw_table(name)) for name in STAGED}
-        extras = {
-            name: tx.overwrite(staged_table(name), stage(name, raw[name]))
-            for name in ("geolocation", "category_translation")
-        }
-        for name, builder in DIM_BUILDERS.items():
+        extras = stage_into(tx, ("geolocation", "category_translation"))
+
+        def upsert_dim(name: str) -> DataFrame:
             main, extra = DIM_INPUT[name]
+            builder = DIM_BUILDERS[name]
             mark = _literal(tx.read(model_table(name)), lookback)
             if propagate_lookups:
                 delta = builder(stage(main, raw[main]), extras[extra], unknown=False)
                 delta = delta.filter(F.col(UPDATED) > mark)
             else:
                 delta = builder(changed_rows(main, raw[main], mark), extras[extra], unknown=False)
-            tx.upsert(model_table(name), delta, MODEL_KEYS[name])
+            return tx.upsert(model_table(name), delta, MODEL_KEYS[name])
+
+        _side_by_side({name: partial(upsert_dim, name) for name in DIM_BUILDERS})
         ids = dimension_ids(tx)
         customers, products, sellers = (ids[n] for n in ("customer_id", "product_id", "seller_id"))
         items, payments, orders = (raw[n] for n in ("order_items", "payments", "orders"))
 
-        def mark_of(fact: str) -> Column:
-            return _literal(tx.read(model_table(fact)), lookback)
+        def upsert_fact(name: str) -> DataFrame:
+            mark = _literal(tx.read(model_table(name)), lookback)
+            if name == "fact_order_items":
+                delta = item_delta(items, orders, mark, customers, products, sellers)
+            elif name == "fact_payments":
+                delta = payment_delta(payments, orders, mark, customers)
+            else:
+                delta = lifecycle_delta(orders, items, payments, mark, customers, round_scale)
+            return tx.upsert(model_table(name), delta, MODEL_KEYS[name], **_month_layout(name))
 
-        deltas = {
-            "fact_order_items": item_delta(
-                items, orders, mark_of("fact_order_items"), customers, products, sellers
-            ),
-            "fact_payments": payment_delta(payments, orders, mark_of("fact_payments"), customers),
-            "fact_order_lifecycle": lifecycle_delta(
-                orders, items, payments, mark_of("fact_order_lifecycle"), customers, round_scale
-            ),
-        }
-        for name, delta in deltas.items():
-            tx.upsert(model_table(name), delta, MODEL_KEYS[name], **_month_layout(name))
+        _side_by_side({name: partial(upsert_fact, name) for name in FACT_DAY})
         if repair_unknown:
             _repair(tx, raw, ids, round_scale)
-        for name in ("orders", "order_items", "payments", "customers", "products", "sellers"):
-            changes = changed_rows(name, raw[name], _literal(tx.read(staged_table(name)), lookback))
-            tx.upsert(staged_table(name), changes, MODELS[name].keys)
+
+        def upsert_staged(name: str) -> DataFrame:
+            mark = _literal(tx.read(staged_table(name)), lookback)
+            changes = changed_rows(name, raw[name], mark)
+            return tx.upsert(staged_table(name), changes, MODELS[name].keys)
+
+        _side_by_side({name: partial(upsert_staged, name) for name in INCREMENTAL_DATASETS})
         build_marts(tx)
     return lake.state()[0]
 
@@ -334,8 +354,14 @@ def _repair(
     fixed["fact_order_lifecycle"] = facts.fact_order_lifecycle(
         rows["orders"], rows["order_items"], rows["payments"], customers, round_scale
     )
-    for name, df in fixed.items():
-        tx.upsert(model_table(name), df, MODEL_KEYS[name], **_month_layout(name))
+    _side_by_side(
+        {
+            name: partial(
+                tx.upsert, model_table(name), df, MODEL_KEYS[name], **_month_layout(name)
+            )
+            for name, df in fixed.items()
+        }
+    )
 
 
 # ---- checks ----------------------------------------------------------------------------

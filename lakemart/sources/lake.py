@@ -12,6 +12,7 @@ Layout: ``<root>/<table>/lake_version=<commit>/[<partition>=<value>/]*.parquet``
 
 from __future__ import annotations
 
+import itertools
 import json
 import uuid
 from collections.abc import Sequence
@@ -152,7 +153,7 @@ class Transaction:
     def __init__(self, lake: Lake):
         self.lake = lake
         self.base, self.tables = lake.state()
-        self._parts = 0
+        self._parts = itertools.count(1)
         self._id = uuid.uuid4().hex[:12]
 
     def __enter__(self) -> Transaction:
@@ -173,8 +174,7 @@ class Transaction:
         self, table: str, df: DataFrame, partition: str | None = None, by: str | None = None
     ) -> list[tuple[str, str | None]]:
         """Write one new folder (or one per partition value) and list what was written."""
-        self._parts += 1
-        folder = f"{table}/{VERSION}={self.base + 1:08d}-{self._id}-{self._parts}"
+        folder = f"{table}/{VERSION}={self.base + 1:08d}-{self._id}-{next(self._parts)}"
         target = f"{self.lake.root}/{folder}"
         if partition is None:
             df.write.mode("errorifexists").parquet(target)

@@ -1,6 +1,7 @@
 """Full refresh, increments and replay through every layer."""
 
 import datetime as dt
+import shutil
 from decimal import Decimal
 
 import pytest
@@ -10,7 +11,9 @@ from lakemart.plans import warehouse
 from lakemart.plans.staging import register_views
 from lakemart.plans.warehouse import MODEL_KEYS, mart_table, model_table, staged_table
 from lakemart.sources import extracts
+from lakemart.sources.lake import Lake
 from lakemart.sources.raw_load import load_raw, raw_frames
+from tests.conftest import FILES
 
 UTC = dt.timezone.utc
 FAR = dt.datetime(2100, 1, 1, tzinfo=UTC)
@@ -63,11 +66,23 @@ def changes_at(spark, lake, t):
     }
 
 
-@pytest.fixture
-def built(spark, lake, data_dir):
-    load_raw(lake, data_dir)
+@pytest.fixture(scope="module")
+def template(spark, tmp_path_factory):
+    """A lake after the first full refresh; its paths are relative, so tests work on copies."""
+    folder = tmp_path_factory.mktemp("template")
+    (folder / "csv").mkdir()
+    for name, text in FILES.items():
+        (folder / "csv" / name).write_text(text, encoding="utf-8")
+    lake = Lake(spark, str(folder / "lake"))
+    load_raw(lake, str(folder / "csv"))
     warehouse.build_full(lake)
-    return lake
+    return folder / "lake"
+
+
+@pytest.fixture
+def built(spark, template, tmp_path):
+    shutil.copytree(template, tmp_path / "copy")
+    return Lake(spark, str(tmp_path / "copy"))
 
 
 def test_full_build(spark, built):
@@ -206,7 +221,7 @@ def test_watermarks(spark, built):
     assert late["rows_extracted"] == 1
 
 
-def test_file_reload_does_not_outrank_source_rows(spark, built, data_dir):
+def test_file_reload_does_not_outrank_source_rows(spark, built):
     t = dt.datetime.now(UTC) - dt.timedelta(minutes=1)
     known = source_rows(spark, built, "sellers", t, seller_id="s1", seller_city="from source")
     extracts.ingest(built, "sellers", known, upper=t)
