@@ -23,6 +23,11 @@ def source_bytes(df: DataFrame) -> int:
     return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
+def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
+    """Whether everything ``df`` is computed from is small enough to send to every task."""
+    return source_bytes(df) <= (BROADCAST_BYTES if limit is None else limit)
+
+
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
     """Values of ``key`` that hold at least about ``share`` of the rows.
 
@@ -43,7 +48,7 @@ def lookup_join(
     dim: DataFrame,
     key: str,
     how: str = "left",
-    broadcast_bytes: int = BROADCAST_BYTES,
+    broadcast_bytes: int | None = None,
     share: float = HOT_SHARE,
 ) -> DataFrame:
     """``fact`` joined to ``dim`` on ``key``, for a ``dim`` with one row per key.
@@ -54,7 +59,7 @@ def lookup_join(
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type: {how}")
-    if source_bytes(dim) <= broadcast_bytes:
+    if fits_broadcast(dim, broadcast_bytes):
         return fact.join(F.broadcast(dim), key, how)
     hot = hot_keys(fact, key, share)
     if not hot:
@@ -72,8 +77,8 @@ def lookup_key(
     natural_id: str,
     key: str,
     default: int = UNKNOWN_KEY,
-    broadcast_bytes: int = BROADCAST_BYTES,
-    missing_keys: int = MISSING_KEYS,
+    broadcast_bytes: int | None = None,
+    missing_keys: int | None = None,
 ) -> DataFrame:
     """Add the surrogate ``key`` of ``natural_id``; ``default`` where the dimension lacks it.
 
@@ -82,11 +87,11 @@ def lookup_key(
     while there are few the fact itself is never shuffled.
     """
     ids = dim_ids.select(natural_id)
-    small = source_bytes(ids) <= broadcast_bytes
-    if not small:
+    if not fits_broadcast(ids, broadcast_bytes):
+        most = MISSING_KEYS if missing_keys is None else missing_keys
         wanted = fact.select(natural_id).filter(F.col(natural_id).isNotNull()).distinct()
-        absent = wanted.join(ids, natural_id, "left_anti").limit(missing_keys + 1).collect()
-        if len(absent) <= missing_keys:
+        absent = wanted.join(ids, natural_id, "left_anti").limit(most + 1).collect()
+        if len(absent) <= most:
             return _key_unless_absent(fact, absent, natural_id, key, default)
     known = ids.filter(F.col(natural_id).isNotNull()).withColumn("_known", F.lit(True))
     joined = lookup_join(fact, known, natural_id, "left", broadcast_bytes)
