@@ -15,7 +15,7 @@ from lakemart.operators.lookups import lookup_join, lookup_key
 from lakemart.operators.upserts import changed_since, extract_delta, high_watermark, upsert
 from lakemart.operators.versions import latest_version
 from lakemart.plans import dashboard, dims, facts, marts, warehouse, warehouse_checks
-from lakemart.plans.staging import UPDATED
+from lakemart.plans.staging import UPDATED, stage
 from lakemart.sources import extracts, raw_load
 from lakemart.sources.contract import COMMERCE_CONTRACT, ForeignKey
 from lakemart.sources.csv_files import na_to_null
@@ -375,23 +375,33 @@ def changed_current_rows(c: Context) -> DataFrame:
     return warehouse.changed_rows("order_items", c.raw("order_items"), mark)
 
 
+def _changed(c: Context, mark, *names: str) -> list[DataFrame]:
+    """Staged rows of the orders that changed in any of the named RAW tables."""
+    ids = warehouse.fresh_order_ids([c.raw(name) for name in names], mark)
+    return [stage(name, warehouse.rows_of_orders(c.raw(name), ids)) for name in names]
+
+
 @query
 def incremental_model_delta(c: Context) -> DataFrame:
+    mark = _ntz(DELTA_MARK)
+    items, orders = _changed(c, mark, "order_items", "orders")
     ids = (c.ids("customers"), c.ids("products"), c.ids("sellers"))
-    return warehouse.item_delta(c.raw("order_items"), c.raw("orders"), _ntz(DELTA_MARK), *ids)
+    return warehouse.item_delta(items, orders, mark, *ids)
 
 
 @query
 def incremental_lifecycle_delta(c: Context) -> DataFrame:
-    return warehouse.lifecycle_delta(
-        c.raw("orders"), c.raw("order_items"), c.raw("payments"), _ntz(DELTA_MARK), c.ids("customers")
-    ).drop("order_key")
+    mark = _ntz(DELTA_MARK)
+    orders, items, payments = _changed(c, mark, "orders", "order_items", "payments")
+    delta = warehouse.lifecycle_delta(orders, items, payments, mark, c.ids("customers"))
+    return delta.drop("order_key")
 
 
 @query
 def incremental_payment_delta(c: Context) -> DataFrame:
     mark = _ntz("2024-01-20 00:00:00")
-    return warehouse.payment_delta(c.raw("payments"), c.raw("orders"), mark, c.ids("customers"))
+    payments, orders = _changed(c, mark, "payments", "orders")
+    return warehouse.payment_delta(payments, orders, mark, c.ids("customers"))
 
 
 @query

@@ -179,13 +179,23 @@ def check_dataset(df: DataFrame, dataset: str, spec: DatasetSpec) -> DataFrame:
 def run_contract(
     spark: SparkSession, frames: dict[str, DataFrame], contract: Contract
 ) -> DataFrame:
-    """Result rows of the whole contract; a data set without a frame has no file."""
-    results = [
-        check_dataset(frames[name], name, spec)
-        if name in frames
-        else missing_file(spark, name, spec.file)
-        for name, spec in contract.datasets.items()
-    ]
+    """Result rows of the whole contract; a data set without a frame has no file.
+
+    Each data set is read twice whatever the number of rules: once for the row-level rules
+    and once for all its key columns (see ``check_keys``).
+    """
+    results, complete = [], {}
+    for name, spec in contract.datasets.items():
+        if name not in frames:
+            results.append(missing_file(spark, name, spec.file))
+            continue
+        schema_result, missing = check_columns(frames[name], name, spec)
+        results.append(schema_result)
+        if missing:
+            spec = DatasetSpec(spec.file, spec.required_columns)
+        results.append(check_rows(frames[name], name, spec))
+        complete[name] = spec
+    rules = []
     for rule in contract.foreign_keys:
         child, parent = frames.get(rule.child_dataset), frames.get(rule.parent_dataset)
         if child is None or parent is None:
@@ -195,10 +205,90 @@ def run_contract(
         elif rule.parent_column not in parent.columns:
             results.append(unusable_foreign_key(spark, rule, rule.parent_column))
         else:
-            results.append(check_foreign_key(child, parent, rule))
+            rules.append(rule)
+    unique = [(name, keys) for name, spec in complete.items() for keys in spec.unique]
+    if unique or rules:
+        results.append(check_keys(spark, frames, unique, rules))
     return union_all(results)
 
 
+def check_keys(
+    spark: SparkSession,
+    frames: dict[str, DataFrame],
+    unique: Sequence[tuple[str, Sequence[str]]],
+    rules: Sequence[ForeignKey],
+) -> DataFrame:
+    """All uniqueness and foreign-key rules with one aggregation and no join.
+
+    A key space is a data set's key (a unique key, or the parent side of foreign keys). Slot 0
+    counts its own rows per key value, each further slot the rows of one child. Every data set
+    is scanned once and emits its key values, which are counted per task before the exchange,
+    so a hot key travels as a few rows. A key is duplicated if slot 0 counts more than one row
+    and orphaned if a child slot counts rows and slot 0 none.
+    """
+    spaces: dict[tuple, int] = {}
+    entries: dict[str, list[str]] = {}
+    found: list[tuple[int, int, list[str]]] = []
+    children: dict[int, int] = {}
+
+    def emit(dataset: str, space: int, slot: int, columns: Sequence[str]) -> None:
+        values = ", ".join(f"cast(`{c}` as string)" for c in columns)
+        entry = f"struct({space} as space, {slot} as slot, array({values}) as key)"
+        entries.setdefault(dataset, []).append(entry)
+
+    def space_of(dataset: str, columns: Sequence[str]) -> int:
+        name = (dataset, tuple(columns))
+        if name not in spaces:
+            spaces[name] = len(spaces)
+            emit(dataset, spaces[name], 0, columns)
+        return spaces[name]
+
+    counted = ("failed", "total")
+    for dataset, keys in unique:
+        message = _counted("failed", "rows share a key")
+        name = f"{'_'.join(keys)}_unique"
+        row = result_row(name, dataset, "uniqueness", *counted, message)
+        found.append((space_of(dataset, keys), 0, row))
+    for rule in rules:
+        space = space_of(rule.parent_dataset, [rule.parent_column])
+        slot = children[space] = children.get(space, 0) + 1
+        emit(rule.child_dataset, space, slot, [rule.child_column])
+        message = _counted("failed", f"keys without a row in {rule.parent_dataset}")
+        row = result_row(
+            rule.name, rule.child_dataset, "integrity", *counted, message, rule.severity
+        )
+        found.append((space, slot, row))
+
+    keys = union_all(
+        [frames[d].selectExpr(f"inline(array({', '.join(e)}))") for d, e in entries.items()]
+    ).filter("slot = 0 or key[0] is not null")
+    slots = range(1 + max(children.values(), default=0))
+    per_key = keys.groupBy("space", "key").agg(
+        *[F.expr(f"count_if(slot = {i}) as s{i}") for i in slots]
+    )
+    bad = {i: "s0 = 0" if i else "s0 > 1" for i in slots}
+    sums = [
+        f"struct({i} as slot, sum(if({bad[i]}, s{i}, 0)) as failed, sum(s{i}) as total)"
+        for i in slots
+    ]
+    per_slot = per_key.groupBy("space").agg(F.expr(f"array({', '.join(sums)}) as slots"))
+    counts = per_slot.selectExpr("space", "inline(slots)")
+    wanted = ", ".join(f"struct({space} as space, {slot} as slot)" for space, slot, _ in found)
+    listed = spark.range(1).selectExpr(f"inline(array({wanted}))")
+    # One row per rule on the left, at most one per space and slot on the right.
+    matched = listed.join(F.broadcast(counts), ["space", "slot"], "left").selectExpr(
+        "space",
+        "slot",
+        "coalesce(failed, 0) as failed",
+        "coalesce(total, 0) as total",
+    )
+    cases = " ".join(
+        f"when space = {space} and slot = {slot} then struct({', '.join(row)})"
+        for space, slot, row in found
+    )
+    return matched.selectExpr(f"case {cases} end as result").selectExpr("result.*")
+
+
 def summary(results: DataFrame) -> DataFrame:
     """One row: number of checks, passed, warnings, errors."""
     return results.agg(

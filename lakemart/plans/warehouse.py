@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.functions import UNKNOWN_KEY, identifier
-from lakemart.operators.checks import gate
+from lakemart.operators.checks import gate, union_all
 from lakemart.operators.upserts import high_watermark, time_literal
 from lakemart.plans import dims, facts, marts
 from lakemart.plans.staging import MODELS, STAGED, UPDATED, stage, staged_keys
@@ -26,7 +26,8 @@ from lakemart.sources.lake import Lake, Transaction
 from lakemart.sources.raw_load import raw_table
 
 QUALITY_RESULTS = "audit.data_quality_results"
-MONTH = "layout_month"
+MONTH, BUCKET = "layout_month", "layout_bucket"
+BUCKETS = 64
 
 # Key columns of the incremental models (fixed by their grain).
 MODEL_KEYS = {
@@ -43,6 +44,11 @@ FACT_DAY = {
     "fact_payments": "payment_date_key",
     "fact_order_lifecycle": "purchase_date_key",
 }
+FACT_INPUT = {
+    "fact_order_items": ("order_items", "orders"),
+    "fact_payments": ("payments", "orders"),
+    "fact_order_lifecycle": ("orders", "order_items", "payments"),
+}
 DIM_INPUT = {
     "dim_customer": ("customers", "geolocation"),
     "dim_product": ("products", "category_translation"),
@@ -67,9 +73,28 @@ def mart_table(name: str) -> str:
     return f"analytics.{name}"
 
 
-def _month_layout(fact: str) -> dict:
-    """Physical layout of a fact: integer ``yyyymm`` of its order day."""
-    return {"partition": MONTH, "by": f"cast({FACT_DAY[fact]} div 100 as int)"}
+# Tables with a business day are laid out by its month: a delta touches few, recent months, and
+# scans can skip the rest. The others are cut by a hash of their key, so that a small delta
+# rewrites a part of them only.
+STAGED_DAY = {"orders": "order_purchase_timestamp", "order_items": "shipping_limit_date"}
+
+
+def model_layout(name: str) -> dict[str, str]:
+    if name in FACT_DAY:
+        return {"partition": MONTH, "by": f"cast({FACT_DAY[name]} div 100 as int)"}
+    return _bucket_layout(MODEL_KEYS[name])
+
+
+def staged_layout(name: str) -> dict[str, str]:
+    if name in STAGED_DAY:
+        day = STAGED_DAY[name]
+        return {"partition": MONTH, "by": f"cast(year({day}) * 100 + month({day}) as int)"}
+    keys = MODELS[name].keys if name in MODELS else ()
+    return _bucket_layout(keys) if keys else {}
+
+
+def _bucket_layout(keys: Sequence[str]) -> dict[str, str]:
+    return {"partition": BUCKET, "by": f"cast(pmod(hash({', '.join(keys)}), {BUCKETS}) as int)"}
 
 
 def _side_by_side(jobs: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
@@ -84,7 +109,8 @@ def _side_by_side(jobs: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFra
 
 def stage_into(tx: Transaction, names: Sequence[str] = STAGED) -> dict[str, DataFrame]:
     def write(name: str) -> DataFrame:
-        return tx.overwrite(staged_table(name), stage(name, tx.read(raw_table(name))))
+        staged = stage(name, tx.read(raw_table(name)))
+        return tx.overwrite(staged_table(name), staged, **staged_layout(name))
 
     return _side_by_side({name: partial(write, name) for name in names})
 
@@ -96,7 +122,8 @@ def build_full(lake: Lake, round_scale: int | None = None) -> int:
 
         def write_dim(name: str) -> DataFrame:
             main, extra = (staged[n] for n in DIM_INPUT[name])
-            return tx.overwrite(model_table(name), DIM_BUILDERS[name](main, extra))
+            dim = DIM_BUILDERS[name](main, extra)
+            return tx.overwrite(model_table(name), dim, **model_layout(name))
 
         _side_by_side({name: partial(write_dim, name) for name in DIM_BUILDERS})
         ids = dimension_ids(tx)
@@ -112,7 +139,7 @@ def build_full(lake: Lake, round_scale: int | None = None) -> int:
         }
         _side_by_side(
             {
-                name: partial(tx.overwrite, model_table(name), df, **_month_layout(name))
+                name: partial(tx.overwrite, model_table(name), df, **model_layout(name))
                 for name, df in built.items()
             }
         )
@@ -192,74 +219,53 @@ def changed_rows(dataset: str, raw: DataFrame, watermark: Column) -> DataFrame:
     return timed.unionByName(reloaded)
 
 
-def rows_of_orders(raw: DataFrame, order_ids: DataFrame) -> DataFrame:
-    """RAW rows, of all versions, that belong to the given orders."""
-    tagged = raw.withColumn("_order", identifier("order_id"))
+def rows_of_orders(rows: DataFrame, order_ids: DataFrame) -> DataFrame:
+    """The rows, RAW or staged, that belong to the given orders."""
+    tagged = rows.withColumn("_order", identifier("order_id"))
     wanted = order_ids.select(F.col("order_id").alias("_order"))
     return tagged.join(wanted, "_order", "left_semi").drop("_order")
 
 
 def fresh_order_ids(raws: Sequence[DataFrame], watermark: Column) -> DataFrame:
-    """Ids of the orders with a fresh row in any of the RAW tables."""
+    """Ids of the orders with a fresh row in any of the RAW tables.
+
+    The change time of a fact row is the later of two or three tables, which no scan can
+    filter on. So changed orders are found per table first, and then all tables are cut to
+    them before they are joined.
+    """
     ids = [fresh_rows(raw, watermark).select(identifier("order_id").alias("order_id")) for raw in raws]
-    union = ids[0]
-    for part in ids[1:]:
-        union = union.unionAll(part)
-    return union.distinct()
+    return union_all(ids).distinct()
 
 
 def item_delta(
-    raw_items: DataFrame,
-    raw_orders: DataFrame,
+    items: DataFrame,
+    orders: DataFrame,
     watermark: Column,
     customer_ids: DataFrame,
     product_ids: DataFrame,
     seller_ids: DataFrame,
 ) -> DataFrame:
-    """Item fact rows whose item or order changed after the watermark.
-
-    The change time of a fact row is the later of two tables, which no scan can filter on. So
-    the changed order ids are found in each table first, and both tables are cut to them.
-    """
-    ids = fresh_order_ids([raw_items, raw_orders], watermark)
-    rows = facts.fact_order_items(
-        stage("order_items", rows_of_orders(raw_items, ids)),
-        stage("orders", rows_of_orders(raw_orders, ids)),
-        customer_ids,
-        product_ids,
-        seller_ids,
-    )
+    """Item fact rows whose item or order changed, from staged rows of the changed orders."""
+    rows = facts.fact_order_items(items, orders, customer_ids, product_ids, seller_ids)
     return rows.filter(F.col(UPDATED) > watermark)
 
 
 def payment_delta(
-    raw_payments: DataFrame, raw_orders: DataFrame, watermark: Column, customer_ids: DataFrame
+    payments: DataFrame, orders: DataFrame, watermark: Column, customer_ids: DataFrame
 ) -> DataFrame:
-    ids = fresh_order_ids([raw_payments, raw_orders], watermark)
-    rows = facts.fact_payments(
-        stage("payments", rows_of_orders(raw_payments, ids)),
-        stage("orders", rows_of_orders(raw_orders, ids)),
-        customer_ids,
-    )
+    rows = facts.fact_payments(payments, orders, customer_ids)
     return rows.filter(F.col(UPDATED) > watermark)
 
 
 def lifecycle_delta(
-    raw_orders: DataFrame,
-    raw_items: DataFrame,
-    raw_payments: DataFrame,
+    orders: DataFrame,
+    items: DataFrame,
+    payments: DataFrame,
     watermark: Column,
     customer_ids: DataFrame,
     round_scale: int | None = None,
 ) -> DataFrame:
-    ids = fresh_order_ids([raw_orders, raw_items, raw_payments], watermark)
-    rows = facts.fact_order_lifecycle(
-        stage("orders", rows_of_orders(raw_orders, ids)),
-        stage("order_items", rows_of_orders(raw_items, ids)),
-        stage("payments", rows_of_orders(raw_payments, ids)),
-        customer_ids,
-        round_scale,
-    )
+    rows = facts.fact_order_lifecycle(orders, items, payments, customer_ids, round_scale)
     return rows.filter(F.col(UPDATED) > watermark)
 
 
@@ -289,56 +295,60 @@ def build_increment(
         raw = {name: tx.read(raw_table(name)) for name in STAGED}
         extras = stage_into(tx, ("geolocation", "category_translation"))
 
+        def upsert_staged(name: str) -> DataFrame:
+            mark = _literal(tx.read(staged_table(name)), lookback)
+            changes = changed_rows(name, raw[name], mark)
+            keys = MODELS[name].keys
+            return tx.upsert(staged_table(name), changes, keys, **staged_layout(name))
+
+        _side_by_side({name: partial(upsert_staged, name) for name in INCREMENTAL_DATASETS})
+
         def upsert_dim(name: str) -> DataFrame:
             main, extra = DIM_INPUT[name]
             builder = DIM_BUILDERS[name]
             mark = _literal(tx.read(model_table(name)), lookback)
             if propagate_lookups:
-                delta = builder(stage(main, raw[main]), extras[extra], unknown=False)
+                delta = builder(tx.read(staged_table(main)), extras[extra], unknown=False)
                 delta = delta.filter(F.col(UPDATED) > mark)
             else:
                 delta = builder(changed_rows(main, raw[main], mark), extras[extra], unknown=False)
-            return tx.upsert(model_table(name), delta, MODEL_KEYS[name])
+            return tx.upsert(model_table(name), delta, MODEL_KEYS[name], **model_layout(name))
 
         _side_by_side({name: partial(upsert_dim, name) for name in DIM_BUILDERS})
         ids = dimension_ids(tx)
         customers, products, sellers = (ids[n] for n in ("customer_id", "product_id", "seller_id"))
-        items, payments, orders = (raw[n] for n in ("order_items", "payments", "orders"))
 
         def upsert_fact(name: str) -> DataFrame:
             mark = _literal(tx.read(model_table(name)), lookback)
+            inputs = FACT_INPUT[name]
+            changed = fresh_order_ids([raw[n] for n in inputs], mark)
+            staged = {n: rows_of_orders(tx.read(staged_table(n)), changed) for n in inputs}
+            items, orders, payments = (
+                staged.get(n) for n in ("order_items", "orders", "payments")
+            )
             if name == "fact_order_items":
                 delta = item_delta(items, orders, mark, customers, products, sellers)
             elif name == "fact_payments":
                 delta = payment_delta(payments, orders, mark, customers)
             else:
                 delta = lifecycle_delta(orders, items, payments, mark, customers, round_scale)
-            return tx.upsert(model_table(name), delta, MODEL_KEYS[name], **_month_layout(name))
+            return tx.upsert(model_table(name), delta, MODEL_KEYS[name], **model_layout(name))
 
         _side_by_side({name: partial(upsert_fact, name) for name in FACT_DAY})
         if repair_unknown:
-            _repair(tx, raw, ids, round_scale)
-
-        def upsert_staged(name: str) -> DataFrame:
-            mark = _literal(tx.read(staged_table(name)), lookback)
-            changes = changed_rows(name, raw[name], mark)
-            return tx.upsert(staged_table(name), changes, MODELS[name].keys)
-
-        _side_by_side({name: partial(upsert_staged, name) for name in INCREMENTAL_DATASETS})
+            _repair(tx, ids, round_scale)
         build_marts(tx)
     return lake.state()[0]
 
 
-def _repair(
-    tx: Transaction, raw: dict[str, DataFrame], ids: dict[str, DataFrame], round_scale: int | None
-) -> None:
+def _repair(tx: Transaction, ids: dict[str, DataFrame], round_scale: int | None) -> None:
     """Recompute the fact rows of orders that hold an unknown key."""
     customers = ids["customer_id"]
 
     def pick(fact: str, keys: Sequence[str] = ("customer_key",)) -> dict[str, DataFrame]:
         open_orders = unresolved(tx.read(model_table(fact)), keys)
         return {
-            name: stage(name, rows_of_orders(raw[name], open_orders))
+            name: rows_of_orders(tx.read(staged_table(name)), open_orders)
             for name in ("orders", "order_items", "payments")
         }
 
@@ -357,7 +367,7 @@ def _repair(
     _side_by_side(
         {
             name: partial(
-                tx.upsert, model_table(name), df, MODEL_KEYS[name], **_month_layout(name)
+                tx.upsert, model_table(name), df, MODEL_KEYS[name], **model_layout(name)
             )
             for name, df in fixed.items()
         }

@@ -194,6 +194,27 @@ def test_late_dimension_is_repaired_on_request(spark, built):
     assert key_of("o3") != -1
 
 
+def test_changed_lookups_reach_the_dimension_on_request(spark, built):
+    point = built.read("raw.geolocation").limit(1).withColumns(
+        {
+            "geolocation_zip_code_prefix": F.lit("1002"),
+            "geolocation_lat": F.lit("-20.0"),
+            "loaded_at": F.lit(dt.datetime.now(UTC) + dt.timedelta(hours=1)),
+        }
+    )
+    with built.transaction() as tx:
+        tx.append("raw.geolocation", point)
+
+    def latitude():
+        dim = built.read(model_table("dim_customer"))
+        return dim.filter("customer_id = 'c2'").first()["latitude"]
+
+    warehouse.build_increment(built)
+    assert latitude() == pytest.approx(-22.9)
+    warehouse.build_increment(built, propagate_lookups=True)
+    assert latitude() == pytest.approx(-21.45)
+
+
 def test_failed_extract_leaves_nothing(spark, built):
     t = dt.datetime.now(UTC)
     source = changes_at(spark, built, t)["orders"]
