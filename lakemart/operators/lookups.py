@@ -113,7 +113,7 @@ def _key_unless_absent(
 
 
 def _key_or(known: Column, natural_id: str, default: int) -> Column:
-    return F.when(known, stable_key(natural_id)).otherwise(F.lit(default).cast("bigint"))
+    return F.coalesce(F.when(known, stable_key(natural_id)), F.lit(default).cast("bigint"))
 
 
 def key_counts(df: DataFrame, key: str) -> DataFrame:
