@@ -130,72 +130,130 @@ def reconciliation_mismatch(staged: DataFrame, fact: DataFrame) -> DataFrame:
     return reconciliation(staged, fact).filter("staging_rows <> fact_rows")
 
 
-def reconciliation_check(staged: DataFrame, fact: DataFrame, table: str) -> DataFrame:
-    gap = "abs(staging_rows - fact_rows)"
-    return reconciliation(staged, fact).selectExpr(
-        *audit_row(
-            f"{table}_row_reconciliation",
-            table,
-            "consistency",
-            "ERROR",
-            gap,
-            "staging_rows",
-            "the fact must have one row per current staged row",
-        )
+def _numbers(df: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    """``(metric, value)`` rows of a one-row frame."""
+    cells = ", ".join(f"struct('{n}' as metric, cast({n} as bigint) as value)" for n in names)
+    return df.selectExpr(f"inline(array({cells}))")
+
+
+def _item_fact_numbers(fact_items: DataFrame) -> DataFrame:
+    """Rows, duplicated grain values and rows with an unknown key, from one aggregation."""
+    grain = fact_items.groupBy("order_id", "order_item_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(has_unknown_key()).alias("unknown")
+    )
+    counts = grain.selectExpr(
+        "count_if(n > 1) as item_duplicates",
+        "coalesce(sum(n), 0) as item_facts",
+        "coalesce(sum(unknown), 0) as item_unknowns",
     )
+    return _numbers(counts, ("item_duplicates", "item_facts", "item_unknowns"))
+
+
+def _staged_item_numbers(items: DataFrame, orders: DataFrame) -> DataFrame:
+    """Staged items, those with an order, and those shipped too late, from one join."""
+    bought = orders.selectExpr("order_id", "order_purchase_timestamp", "true as has_order")
+    joined = lookup_join(items.select("order_id", "shipping_limit_date"), bought, "order_id")
+    counts = joined.agg(
+        F.count(F.lit(1)).alias("items"),
+        F.count("has_order").alias("ordered_items"),
+        F.count_if(_limit_too_late()).alias("late_limits"),
+    )
+    return _numbers(counts, ("items", "ordered_items", "late_limits"))
 
 
 def run_checks(
     items: DataFrame, payments: DataFrame, orders: DataFrame, star: dict[str, DataFrame]
 ) -> DataFrame:
-    """All six checks. ``items``, ``payments`` and ``orders`` are the staged tables."""
-    fact_items, lifecycle = star["fact_order_items"], star["fact_order_lifecycle"]
+    """All six checks. ``items``, ``payments`` and ``orders`` are the staged tables.
+
+    Every table is read once; the checks are then formulas over the collected numbers.
+    """
+    lifecycle, fact_payments = star["fact_order_lifecycle"], star["fact_payments"]
     early = F.col("order_delivered_customer_date") < F.col("order_purchase_timestamp")
-    delivery = lifecycle.agg(F.count_if(early).alias("failed"), F.count(F.lit(1)).alias("total"))
-    shipping = _items_with_purchase(items, orders).agg(
-        F.count_if(_limit_too_late()).alias("failed"), F.count(F.lit(1)).alias("total")
-    )
-    return union_all(
+    delivery = lifecycle.agg(F.count(F.lit(1)).alias("orders"), F.count_if(early).alias("early"))
+    numbers = union_all(
         [
-            grain_check(fact_items, "fact_order_items", ["order_id", "order_item_id"]),
-            reconciliation_check(items, fact_items, "fact_order_items"),
-            reconciliation_check(payments, star["fact_payments"], "fact_payments"),
-            delivery.selectExpr(
-                *audit_row(
-                    "order_delivery_after_purchase",
-                    "fact_order_lifecycle",
-                    "validity",
-                    "ERROR",
-                    "failed",
-                    "total",
-                    "delivered before it was purchased",
-                )
-            ),
-            unknown_rows(fact_items).selectExpr(
-                *audit_row(
-                    "unknown_dimension_rate",
-                    "fact_order_items",
-                    "integrity",
-                    "WARN",
-                    "unknown_rows",
-                    "total_rows",
-                    "over 1% of the rows have an unknown customer, product or seller",
-                    passed=f"unknown_rows <= total_rows * {UNKNOWN_LIMIT}",
-                )
-            ),
-            shipping.selectExpr(
-                *audit_row(
-                    "shipping_limit_reasonable",
-                    "stg_order_items",
-                    "validity",
-                    "WARN",
-                    "failed",
-                    "total",
-                    "shipping limit over 365 days after the purchase",
-                )
-            ),
+            _item_fact_numbers(star["fact_order_items"]),
+            _staged_item_numbers(items, orders),
+            _numbers(payments.selectExpr("count(1) as payments"), ("payments",)),
+            _numbers(fact_payments.selectExpr("count(1) as payment_facts"), ("payment_facts",)),
+            _numbers(delivery, ("orders", "early")),
         ]
     )
+    names = (
+        "item_duplicates",
+        "item_facts",
+        "item_unknowns",
+        "items",
+        "ordered_items",
+        "late_limits",
+        "payments",
+        "payment_facts",
+        "orders",
+        "early",
+    )
+    wide = numbers.selectExpr(
+        *[f"max(value) filter (where metric = '{n}') as {n}" for n in names]
+    )
+    rows = [
+        audit_row(
+            "fact_order_items_grain_unique",
+            "fact_order_items",
+            "uniqueness",
+            "ERROR",
+            "item_duplicates",
+            "item_facts",
+            "more than one row per order_id + order_item_id",
+        ),
+        audit_row(
+            "fact_order_items_row_reconciliation",
+            "fact_order_items",
+            "consistency",
+            "ERROR",
+            "abs(items - item_facts)",
+            "items",
+            "the fact must have one row per current staged row",
+        ),
+        audit_row(
+            "fact_payments_row_reconciliation",
+            "fact_payments",
+            "consistency",
+            "ERROR",
+            "abs(payments - payment_facts)",
+            "payments",
+            "the fact must have one row per current staged row",
+        ),
+        audit_row(
+            "order_delivery_after_purchase",
+            "fact_order_lifecycle",
+            "validity",
+            "ERROR",
+            "early",
+            "orders",
+            "delivered before it was purchased",
+        ),
+        audit_row(
+            "unknown_dimension_rate",
+            "fact_order_items",
+            "integrity",
+            "WARN",
+            "item_unknowns",
+            "item_facts",
+            "over 1% of the rows have an unknown customer, product or seller",
+            passed=f"item_unknowns <= item_facts * {UNKNOWN_LIMIT}",
+        ),
+        audit_row(
+            "shipping_limit_reasonable",
+            "stg_order_items",
+            "validity",
+            "WARN",
+            "late_limits",
+            "ordered_items",
+            "shipping limit over 365 days after the purchase",
+        ),
+    ]
+    structs = ", ".join(f"struct({', '.join(row)})" for row in rows)
+    return wide.selectExpr(f"inline(array({structs}))")
 
 
 def stamp_run(
