@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lakemart.bindings import tables
+from lakemart.functions import stable_key
 from lakemart.plans import dims, facts, marts
-from lakemart.plans.staging import stage, staged_keys
+from lakemart.plans.staging import cleaned_ids, stage, staged_keys
 
 
 class Context:
@@ -37,6 +38,9 @@ class Context:
     def ids(self, name: str) -> DataFrame:
         return self._once(f"ids_{name}", lambda: staged_keys(name, self.raw(name)))
 
+    def seen(self, name: str) -> DataFrame:
+        return self._once(f"seen_{name}", lambda: cleaned_ids(name, self.raw(name)))
+
     def dim(self, name: str) -> DataFrame:
         builders = {
             "date": lambda: dims.dim_date(self.staged("orders"), self.staged("order_items")),
@@ -58,15 +62,22 @@ class Context:
                 self.ids("customers"),
                 self.ids("products"),
                 self.ids("sellers"),
+                seen_items=self.seen("order_items"),
+                seen_orders=self.seen("orders"),
             ),
             "payments": lambda: facts.fact_payments(
-                self.staged("payments"), self.staged("orders"), self.ids("customers")
+                self.staged("payments"),
+                self.staged("orders"),
+                self.ids("customers"),
+                seen_payments=self.seen("payments"),
+                seen_orders=self.seen("orders"),
             ),
             "order_lifecycle": lambda: facts.fact_order_lifecycle(
                 self.staged("orders"),
                 self.staged("order_items"),
                 self.staged("payments"),
                 self.ids("customers"),
+                seen_orders=self.seen("orders"),
             ),
         }
         return self._once(f"fact_{name}", builders[name])
@@ -77,7 +88,9 @@ class Context:
             "executive_kpis": lambda: marts.mart_executive_kpis(self.fact(lifecycle)),
             "sales_daily": lambda: marts.mart_sales_daily(self.fact(lifecycle), self.dim("date")),
             "category_performance": lambda: marts.mart_category_performance(
-                self.fact("order_items"), self.dim("product")
+                self.fact("order_items"),
+                self.dim("product"),
+                self.seen("order_items").select(stable_key("product_id").alias("product_key")),
             ),
             "state_performance": lambda: marts.mart_state_performance(
                 self.fact(lifecycle), self.dim("customer")

@@ -119,7 +119,7 @@ def late_flag(c: Context) -> DataFrame:
 def record_updated_at_greatest(c: Context) -> DataFrame:
     items = c.staged("order_items").select("order_id", "order_item_id", UPDATED)
     orders = c.staged("orders").select("order_id", F.col(UPDATED).alias("order_updated_at"))
-    joined = facts.join_order(items, orders)
+    joined = facts.join_order(items, orders, c.seen("order_items"))
     newest = fn.newest(UPDATED, "order_updated_at").alias(UPDATED)
     return joined.select("order_id", "order_item_id", newest)
 
@@ -138,13 +138,14 @@ def safe_ratio(c: Context) -> DataFrame:
 def join_items_orders(c: Context) -> DataFrame:
     orders = c.staged("orders").select("order_id", "customer_id", "order_status")
     items = c.staged("order_items").select("order_id", "order_item_id", "product_id", "price")
-    return facts.join_order(items, orders)
+    return facts.join_order(items, orders, c.seen("order_items"))
 
 
 @query
 def fk_lookup_unknown(c: Context) -> DataFrame:
     orders = c.staged("orders").select("order_id", "customer_id")
-    return lookup_key(orders, c.ids("customers"), "customer_id", "customer_key")
+    seen = c.seen("orders")
+    return lookup_key(orders, c.ids("customers"), "customer_id", "customer_key", seen=seen)
 
 
 @query
@@ -182,13 +183,15 @@ def role_playing_dates(c: Context) -> DataFrame:
 
 @query
 def fk_anti_join(c: Context) -> DataFrame:
-    missing = checks.missing_parents(c.raw("orders"), "customer_id", c.raw("customers"), "customer_id")
+    orders, customers = c.raw("orders"), c.raw("customers")
+    missing = checks.missing_parents(orders, "customer_id", customers, "customer_id")
     return missing.select(F.col("key").alias("customer_id"), F.col("n").alias("order_count"))
 
 
 @query
 def join_residual_interval(c: Context) -> DataFrame:
-    return warehouse_checks.late_shipping_limit(c.staged("order_items"), c.staged("orders"))
+    items, seen = c.staged("order_items"), c.seen("order_items")
+    return warehouse_checks.late_shipping_limit(items, c.staged("orders"), seen)
 
 
 # ---- aggregates and windows ------------------------------------------------------------------
@@ -581,7 +584,9 @@ def dq_foreign_key(c: Context) -> DataFrame:
             checks.check_foreign_key(
                 c.table("documents"),
                 c.table("labels"),
-                ForeignKey("documents_label_exists", "documents", "doc_id", "labels", "doc_id", "WARN"),
+                ForeignKey(
+                    "documents_label_exists", "documents", "doc_id", "labels", "doc_id", "WARN"
+                ),
             )
         ]
     ).drop("message")
@@ -656,7 +661,11 @@ def reconcile_raw(c: Context) -> DataFrame:
 def _warehouse_results(c: Context) -> DataFrame:
     star = {f"fact_{n}": c.fact(n) for n in ("order_items", "payments", "order_lifecycle")}
     return warehouse_checks.run_checks(
-        c.staged("order_items"), c.staged("payments"), c.staged("orders"), star
+        c.staged("order_items"),
+        c.staged("payments"),
+        c.staged("orders"),
+        star,
+        c.seen("order_items"),
     )
 
 

@@ -68,14 +68,21 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def _fixed_result(
-    spark: SparkSession, name: str, dataset: str, dimension: str, failed: int, total: int, message: str
+    spark: SparkSession,
+    name: str,
+    dataset: str,
+    dimension: str,
+    failed: int,
+    total: int,
+    message: str,
 ) -> DataFrame:
     row = result_row(name, dataset, dimension, str(failed), str(total), literal(message))
     return spark.range(1).selectExpr(*row)
 
 
 def missing_file(spark: SparkSession, dataset: str, file: str) -> DataFrame:
-    return _fixed_result(spark, "file_exists", dataset, "availability", 1, 1, f"missing file {file}")
+    message = f"missing file {file}"
+    return _fixed_result(spark, "file_exists", dataset, "availability", 1, 1, message)
 
 
 def check_columns(df: DataFrame, dataset: str, spec: DatasetSpec) -> tuple[DataFrame, list[str]]:
@@ -342,10 +349,11 @@ def failing_accepted_values(df: DataFrame, column: str, accepted: Sequence[str])
 
 def reconcile_counts(left: dict[str, DataFrame], right: dict[str, DataFrame]) -> DataFrame:
     """Row counts of the data sets on both sides; all counts run side by side."""
+    nothing = "cast(null as bigint)"
     counted = [
         frames[name].selectExpr(f"{literal(name)} as dataset", f"{ln} as l", f"{rn} as r")
         for name in left
-        for frames, ln, rn in ((left, "count(1)", "cast(null as bigint)"), (right, "cast(null as bigint)", "count(1)"))
+        for frames, ln, rn in ((left, "count(1)", nothing), (right, nothing, "count(1)"))
     ]
     paired = union_all(counted).groupBy("dataset").agg(
         F.max("l").alias("source_count"), F.max("r").alias("target_count")

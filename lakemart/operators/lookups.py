@@ -50,18 +50,22 @@ def lookup_join(
     how: str = "left",
     broadcast_bytes: int | None = None,
     share: float = HOT_SHARE,
+    seen: DataFrame | None = None,
 ) -> DataFrame:
     """``fact`` joined to ``dim`` on ``key``, for a ``dim`` with one row per key.
 
     A dimension read from little data is broadcast. Otherwise the rows of hot keys (a bounded
     number of keys, so a bounded number of dimension rows) join by broadcast where they lie,
     and only the evenly spread rest is shuffled. No row is dropped or sampled.
+
+    ``seen`` may name a cheaper table to look for hot keys in, such as the scan that an
+    expensive ``fact`` is computed from.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type: {how}")
     if fits_broadcast(dim, broadcast_bytes):
         return fact.join(F.broadcast(dim), key, how)
-    hot = hot_keys(fact, key, share)
+    hot = hot_keys(fact if seen is None else seen, key, share)
     if not hot:
         return fact.join(dim, key, how)
     # A null key matches nothing; it stays with the rows that are not shuffled.
@@ -79,22 +83,25 @@ def lookup_key(
     default: int = UNKNOWN_KEY,
     broadcast_bytes: int | None = None,
     missing_keys: int | None = None,
+    seen: DataFrame | None = None,
 ) -> DataFrame:
     """Add the surrogate ``key`` of ``natural_id``; ``default`` where the dimension lacks it.
 
     A surrogate key is a function of the natural id, so all the dimension has to tell is which
     ids it lacks. For a large dimension those are found from the distinct ids of the fact, and
-    while there are few the fact itself is never shuffled.
+    while there are few the fact itself is never shuffled. ``seen`` may name a cheaper table
+    that holds all ids of the fact.
     """
     ids = dim_ids.select(natural_id)
     if not fits_broadcast(ids, broadcast_bytes):
         most = MISSING_KEYS if missing_keys is None else missing_keys
-        wanted = fact.select(natural_id).filter(F.col(natural_id).isNotNull()).distinct()
+        source = fact if seen is None else seen
+        wanted = source.select(natural_id).filter(F.col(natural_id).isNotNull()).distinct()
         absent = wanted.join(ids, natural_id, "left_anti").limit(most + 1).collect()
         if len(absent) <= most:
             return _key_unless_absent(fact, absent, natural_id, key, default)
     known = ids.filter(F.col(natural_id).isNotNull()).withColumn("_known", F.lit(True))
-    joined = lookup_join(fact, known, natural_id, "left", broadcast_bytes)
+    joined = lookup_join(fact, known, natural_id, "left", broadcast_bytes, seen=seen)
     return joined.withColumn(key, _key_or(F.col("_known"), natural_id, default)).drop("_known")
 
 
@@ -125,7 +132,9 @@ def key_counts(df: DataFrame, key: str) -> DataFrame:
     return keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
 
 
-def missing_parents(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
+def missing_parents(
+    child: DataFrame, child_key: str, parent: DataFrame, parent_key: str
+) -> DataFrame:
     """``(key, n)``: child keys without a parent and how many child rows hold them."""
     parents = parent.select(F.col(parent_key).alias("key"))
     return key_counts(child, child_key).join(parents, "key", "left_anti")

@@ -128,13 +128,14 @@ def sample_values(df: DataFrame, order: Sequence[str], n: int = SAMPLES) -> Data
     key = F.struct(*order)
     picks = []
     for i, c in enumerate(df.columns):
-        held = F.when(F.col(c).isNotNull(), F.struct(key.alias("k"), F.col(c).cast("string").alias("v")))
-        picks.append(held.alias(f"p{i}"))
+        pick = F.struct(key.alias("k"), F.col(c).cast("string").alias("v"))
+        picks.append(F.when(F.col(c).isNotNull(), pick).alias(f"p{i}"))
     rows = df.select(*picks)
     result = []
     for i, c in enumerate(df.columns):
         top = rows.select(f"p{i}").filter(F.col(f"p{i}").isNotNull()).orderBy(f"p{i}").limit(n)
-        result.append(top.select(F.lit(c).alias("column_name"), F.col(f"p{i}.v").alias("sample_value")))
+        named = top.select(F.lit(c).alias("column_name"), F.col(f"p{i}.v").alias("sample_value"))
+        result.append(named)
     union = result[0]
     for part in result[1:]:
         union = union.unionAll(part)

@@ -2,6 +2,10 @@
 
 Items and payments are never joined to each other: each is summed per order first. Foreign
 keys are resolved where the rows are fewest (customers on orders, not on items).
+
+``seen`` arguments hold the ids of a staged table before ranking (``staging.cleaned_ids``).
+They are only needed where the staged table is not written yet but computed in the same plan:
+large lookups then search them for missing ids and hot keys, instead of ranking twice.
 """
 
 from __future__ import annotations
@@ -24,7 +28,9 @@ from lakemart.operators.lookups import lookup_join, lookup_key
 from lakemart.plans.staging import UPDATED
 
 
-def _order_side(orders: DataFrame, customer_ids: DataFrame) -> DataFrame:
+def _order_side(
+    orders: DataFrame, customer_ids: DataFrame, seen: DataFrame | None = None
+) -> DataFrame:
     """What a child row needs of its order: customer key, purchase day and change time."""
     slim = orders.select(
         "order_id",
@@ -32,12 +38,13 @@ def _order_side(orders: DataFrame, customer_ids: DataFrame) -> DataFrame:
         date_key("order_purchase_timestamp").alias("_purchase_key"),
         F.col(UPDATED).alias("_order_updated_at"),
     )
-    return lookup_key(slim, customer_ids, "customer_id", "customer_key").drop("customer_id")
+    keyed = lookup_key(slim, customer_ids, "customer_id", "customer_key", seen=seen)
+    return keyed.drop("customer_id")
 
 
-def join_order(child: DataFrame, orders: DataFrame) -> DataFrame:
+def join_order(child: DataFrame, orders: DataFrame, seen: DataFrame | None = None) -> DataFrame:
     """Inner join of item or payment rows to their order; orphans drop out."""
-    return lookup_join(child, orders, "order_id", "inner")
+    return lookup_join(child, orders, "order_id", "inner", seen=seen)
 
 
 def fact_order_items(
@@ -46,10 +53,12 @@ def fact_order_items(
     customer_ids: DataFrame,
     product_ids: DataFrame,
     seller_ids: DataFrame,
+    seen_items: DataFrame | None = None,
+    seen_orders: DataFrame | None = None,
 ) -> DataFrame:
-    rows = lookup_key(items, product_ids, "product_id", "product_key")
-    rows = lookup_key(rows, seller_ids, "seller_id", "seller_key")
-    rows = join_order(rows, _order_side(orders, customer_ids))
+    rows = lookup_key(items, product_ids, "product_id", "product_key", seen=seen_items)
+    rows = lookup_key(rows, seller_ids, "seller_id", "seller_key", seen=seen_items)
+    rows = join_order(rows, _order_side(orders, customer_ids, seen_orders), seen_items)
     return rows.select(
         stable_key("order_id", "order_item_id").alias("order_item_key"),
         "order_id",
@@ -67,8 +76,14 @@ def fact_order_items(
     )
 
 
-def fact_payments(payments: DataFrame, orders: DataFrame, customer_ids: DataFrame) -> DataFrame:
-    rows = join_order(payments, _order_side(orders, customer_ids))
+def fact_payments(
+    payments: DataFrame,
+    orders: DataFrame,
+    customer_ids: DataFrame,
+    seen_payments: DataFrame | None = None,
+    seen_orders: DataFrame | None = None,
+) -> DataFrame:
+    rows = join_order(payments, _order_side(orders, customer_ids, seen_orders), seen_payments)
     return rows.select(
         stable_key("order_id", "payment_sequential").alias("payment_key"),
         "order_id",
@@ -138,8 +153,9 @@ def fact_order_lifecycle(
     payments: DataFrame,
     customer_ids: DataFrame,
     round_scale: int | None = None,
+    seen_orders: DataFrame | None = None,
 ) -> DataFrame:
-    rows = lookup_key(orders, customer_ids, "customer_id", "customer_key")
+    rows = lookup_key(orders, customer_ids, "customer_id", "customer_key", seen=seen_orders)
     rows = with_order_totals(rows, items, payments)
     return rows.select(
         stable_key("order_id").alias("order_key"),

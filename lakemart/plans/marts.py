@@ -56,17 +56,20 @@ def mart_sales_daily(lifecycle: DataFrame, dates: DataFrame) -> DataFrame:
     return per_day.join(F.broadcast(days), "date_key").select(*days.columns, *measures)
 
 
-def mart_category_performance(items: DataFrame, products: DataFrame) -> DataFrame:
+def mart_category_performance(
+    items: DataFrame, products: DataFrame, seen_keys: DataFrame | None = None
+) -> DataFrame:
     """Per English category. Orders are counted once per category.
 
     Grouping by (category, order) first gives the distinct orders and spreads a hot category
-    over all tasks; the second step adds up one row per category and task.
+    over all tasks; the second step adds up one row per category and task. ``seen_keys`` holds
+    the product keys of an item fact that is computed in the same plan (see ``facts``).
     """
     labels = products.select(
         "product_key", F.coalesce("category_name_english", F.lit(NO_LABEL)).alias("category_name")
     )
     per_order = (
-        lookup_join(items, labels, "product_key", "inner")
+        lookup_join(items, labels, "product_key", "inner", seen=seen_keys)
         .groupBy("category_name", "order_id")
         .agg(
             F.sum("quantity").alias("items"),

@@ -184,6 +184,13 @@ def staged_keys(dataset: str, raw: DataFrame) -> DataFrame:
     return raw.selectExpr(*[f"{model.expression(k)} as {k}" for k in model.keys]).distinct()
 
 
+def cleaned_ids(dataset: str, raw: DataFrame) -> DataFrame:
+    """The id columns of all RAW versions, cleaned but not ranked: a plain scan."""
+    columns = MODELS[dataset].columns.items()
+    ids = [f"{identifier.sql(c)} as {name}" for name, (c, kind) in columns if kind == "id"]
+    return raw.selectExpr(*ids)
+
+
 def stg_customers(raw: DataFrame) -> DataFrame:
     return stage("customers", raw)
 

@@ -233,8 +233,8 @@ def fresh_order_ids(raws: Sequence[DataFrame], watermark: Column) -> DataFrame:
     filter on. So changed orders are found per table first, and then all tables are cut to
     them before they are joined.
     """
-    ids = [fresh_rows(raw, watermark).select(identifier("order_id").alias("order_id")) for raw in raws]
-    return union_all(ids).distinct()
+    order_id = identifier("order_id").alias("order_id")
+    return union_all([fresh_rows(raw, watermark).select(order_id) for raw in raws]).distinct()
 
 
 def item_delta(

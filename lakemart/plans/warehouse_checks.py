@@ -46,18 +46,22 @@ def audit_row(
     ]
 
 
-def late_shipping_limit(items: DataFrame, orders: DataFrame) -> DataFrame:
-    """Items whose shipping limit is over a year after the purchase."""
-    joined = _items_with_purchase(items, orders)
+def late_shipping_limit(
+    items: DataFrame, orders: DataFrame, seen_items: DataFrame | None = None
+) -> DataFrame:
+    """Items whose shipping limit is over a year after the purchase (``seen``: see ``facts``)."""
+    joined = _items_with_purchase(items, orders, seen_items)
     return joined.filter(_limit_too_late()).select(
         "order_id", "order_item_id", "shipping_limit_date", "order_purchase_timestamp"
     )
 
 
-def _items_with_purchase(items: DataFrame, orders: DataFrame) -> DataFrame:
+def _items_with_purchase(
+    items: DataFrame, orders: DataFrame, seen_items: DataFrame | None
+) -> DataFrame:
     slim_items = items.select("order_id", "order_item_id", "shipping_limit_date")
     slim_orders = orders.select("order_id", "order_purchase_timestamp")
-    return lookup_join(slim_items, slim_orders, "order_id", "inner")
+    return lookup_join(slim_items, slim_orders, "order_id", "inner", seen=seen_items)
 
 
 def _limit_too_late() -> Column:
@@ -149,10 +153,13 @@ def _item_fact_numbers(fact_items: DataFrame) -> DataFrame:
     return _numbers(counts, ("item_duplicates", "item_facts", "item_unknowns"))
 
 
-def _staged_item_numbers(items: DataFrame, orders: DataFrame) -> DataFrame:
+def _staged_item_numbers(
+    items: DataFrame, orders: DataFrame, seen_items: DataFrame | None
+) -> DataFrame:
     """Staged items, those with an order, and those shipped too late, from one join."""
     bought = orders.selectExpr("order_id", "order_purchase_timestamp", "true as has_order")
-    joined = lookup_join(items.select("order_id", "shipping_limit_date"), bought, "order_id")
+    limits = items.select("order_id", "shipping_limit_date")
+    joined = lookup_join(limits, bought, "order_id", seen=seen_items)
     counts = joined.agg(
         F.count(F.lit(1)).alias("items"),
         F.count("has_order").alias("ordered_items"),
@@ -162,7 +169,11 @@ def _staged_item_numbers(items: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def run_checks(
-    items: DataFrame, payments: DataFrame, orders: DataFrame, star: dict[str, DataFrame]
+    items: DataFrame,
+    payments: DataFrame,
+    orders: DataFrame,
+    star: dict[str, DataFrame],
+    seen_items: DataFrame | None = None,
 ) -> DataFrame:
     """All six checks. ``items``, ``payments`` and ``orders`` are the staged tables.
 
@@ -174,7 +185,7 @@ def run_checks(
     numbers = union_all(
         [
             _item_fact_numbers(star["fact_order_items"]),
-            _staged_item_numbers(items, orders),
+            _staged_item_numbers(items, orders, seen_items),
             _numbers(payments.selectExpr("count(1) as payments"), ("payments",)),
             _numbers(fact_payments.selectExpr("count(1) as payment_facts"), ("payment_facts",)),
             _numbers(delivery, ("orders", "early")),
