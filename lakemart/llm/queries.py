@@ -7,6 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lakemart.llm.bpe import op9_bpe_round_trip
+from lakemart.llm.pii import op10_pii
+from lakemart.llm.quality_rules import op5_quality_rules
+from lakemart.llm.secret_scan import op1_secret_scan
+from lakemart.llm.simhash import op7_simhash
 from lakemart.llm.token_counts import op4_token_counts
 
 
@@ -14,8 +18,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
+            op1_secret_scan,
             op4_token_counts,
+            op5_quality_rules,
+            op7_simhash,
             op9_bpe_round_trip,
+            op10_pii,
         )
     }
 
