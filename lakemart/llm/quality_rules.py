@@ -30,7 +30,7 @@ RULES = (
     ("word_length", "mean_word", "below", 2.0, 3.0),
     ("long_words", "mean_word", "above", 14.0, 10.0),
     ("symbols", "symbols_per_word", "above", 0.2, 0.05),
-    ("duplicate_lines", "duplicate_line_share", "above", 0.3, 0.05),
+    ("duplicate_lines", "duplicate_line_share", "above", 0.5, 0.05),
     ("repetition", "repeat_share", "above", 0.3, 0.1),
     ("capitals", "capital_share", "above", 0.4, 0.1),
     ("sentence_ends", "ended_line_share", "below", 0.1, 0.5),
@@ -98,7 +98,7 @@ def votes() -> list:
         "n_words": col("n_words").cast("double"),
         "mean_word": F.when(some, col("word_chars") / col("n_words")),
         "symbols_per_word": F.when(some, col("n_symbols") / col("n_words")),
-        "duplicate_line_share": F.when(col("n_lines") > 1, col("n_dup_lines") / col("n_lines")),
+        "duplicate_line_share": F.when(col("n_lines") > 3, col("n_dup_lines") / col("n_lines")),
         "repeat_share": F.when(col("n_words") >= 2 * WINDOW, col("n_repeat_words") / col("n_words")),
         "capital_share": F.when(some, col("n_capital_words") / col("n_words")),
         "ended_line_share": F.when(col("n_lines") > 0, col("n_ended_lines") / col("n_lines")),
@@ -114,13 +114,15 @@ def votes() -> list:
 def fit(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tuple[float, np.ndarray, np.ndarray]:
     """Share of good documents, P(vote | class) by rule, and the posterior of each pattern.
 
-    ``patterns`` has a row for each distinct pattern. Both classes start from rules that are
-    right four times in five; a rule that abstains says nothing. A rule may not become worse than
-    chance: that keeps the classes from changing places.
+    ``patterns`` has a row for each distinct pattern. A rule looks at one kind of fault, so a bad
+    document may well be kept by most rules, yet by not more than three in four; and a rule that
+    rejects over one good document in five hundred would not be among the rules. These bounds
+    keep faults that no other rule sees from passing for a habit of good documents, and the two
+    classes from changing places; a rule that abstains says nothing.
     """
     rules = patterns.shape[1]
-    right = np.full((2, rules), 0.8)  # of bad documents that get a vote, of good ones
-    share = 0.8
+    right = np.array([[0.4] * rules, [0.998] * rules])  # of bad documents that get a vote, of good ones
+    share = 0.9
     reject, keep = patterns == REJECT, patterns == KEEP
     posterior = np.full(len(patterns), share)
     for _ in range(rounds):
@@ -128,12 +130,9 @@ def fit(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tuple[fl
         bad = np.log(1 - share) + reject @ np.log(right[0]) + keep @ np.log(1 - right[0])
         posterior = 1 / (1 + np.exp(np.clip(bad - good, -700, 700)))
         weight = counts * posterior, counts * (1 - posterior)
-        share = float(np.clip(weight[0].sum() / max(counts.sum(), 1), 0.02, 0.98))
-        # One vote each way beforehand; bad documents are bad in one way or another, so a rule may
-        # keep most of them, but a reject vote always speaks against a document.
-        right[1] = np.clip((weight[0] @ keep + 9) / (weight[0] @ (keep | reject) + 10), 0.6, 0.999)
-        right[0] = (weight[1] @ reject + 1) / (weight[1] @ (keep | reject) + 2)
-        right[0] = np.clip(right[0], (1 - right[1]) * 1.5, 0.999)
+        share = float(np.clip(weight[0].sum() / max(counts.sum(), 1), 0.5, 0.99))
+        right[1] = np.clip((weight[0] @ keep + 99) / (weight[0] @ (keep | reject) + 100), 0.998, 0.9999)
+        right[0] = np.clip((weight[1] @ reject + 1) / (weight[1] @ (keep | reject) + 5), 0.25, 0.95)
     return share, right, posterior
 
 
