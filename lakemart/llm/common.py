@@ -89,3 +89,29 @@ def shuffle_tasks(spark: SparkSession) -> int:
 def crc_remainder(id_column: Column | str, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``."""
     return F.crc32(F.col(id_column).cast("string") if isinstance(id_column, str) else id_column.cast("string")) % modulus
+
+
+def appended(docs: DataFrame, column: str, added: str, function: Callable[[list], list], name: str) -> DataFrame:
+    """``docs`` with a last column ``name`` of type ``added``, computed from lists of ``column``.
+
+    All columns of ``docs`` pass through as they are, whatever their names, without a shuffle.
+    """
+    from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
+    from pyspark.sql.types import StructField, StructType, _parse_datatype_string
+
+    if name in docs.columns:
+        raise ValueError(f"the documents have a column {name}")
+    kind = _parse_datatype_string(added)
+    schema = StructType([*docs.schema.fields, StructField(name, kind)])
+    fields, arrow = to_arrow_schema(schema), to_arrow_type(kind)
+    at = docs.columns.index(column)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, ROWS_PER_CALL):
+                part = batch.slice(start, ROWS_PER_CALL)
+                values = pa.array(function(part.column(at).to_pylist()), type=arrow)
+                columns = [c.cast(f.type) for c, f in zip([*part.columns, values], fields, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, schema=fields)
+
+    return docs.mapInArrow(run, schema)
