@@ -111,17 +111,21 @@ def votes() -> list:
     return out
 
 
-def fit(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tuple[float, np.ndarray, np.ndarray]:
-    """Share of good documents, P(vote | class) by rule, and the posterior of each pattern.
+def fit(
+    patterns: np.ndarray, counts: np.ndarray, good_least=0.998, bad_least=0.25, rounds: int = 200,
+) -> tuple[float, np.ndarray, np.ndarray]:
+    """Share of good documents, P(right vote | class) by rule, and the posterior of each pattern.
 
     ``patterns`` has a row for each distinct pattern. A rule looks at one kind of fault, so a bad
     document may well be kept by most rules, yet by not more than three in four; and a rule that
-    rejects over one good document in five hundred would not be among the rules. These bounds
-    keep faults that no other rule sees from passing for a habit of good documents, and the two
-    classes from changing places; a rule that abstains says nothing.
+    rejects over one good document in five hundred would not be among the rules. These bounds,
+    ``bad_least`` and ``good_least`` (one for all rules or one each), keep faults that no other
+    rule sees from passing for a habit of good documents, and the two classes from changing
+    places; a rule that abstains says nothing.
     """
     rules = patterns.shape[1]
-    right = np.array([[0.4] * rules, [0.998] * rules])  # of bad documents that get a vote, of good ones
+    least = np.stack([np.broadcast_to(x, rules) for x in (bad_least, good_least)]).astype(float)
+    right = np.maximum(least, 0.4)  # rows: bad documents that get a vote, good ones
     share = 0.9
     reject, keep = patterns == REJECT, patterns == KEEP
     posterior = np.full(len(patterns), share)
@@ -131,8 +135,8 @@ def fit(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tuple[fl
         posterior = 1 / (1 + np.exp(np.clip(bad - good, -700, 700)))
         weight = counts * posterior, counts * (1 - posterior)
         share = float(np.clip(weight[0].sum() / max(counts.sum(), 1), 0.5, 0.99))
-        right[1] = np.clip((weight[0] @ keep + 99) / (weight[0] @ (keep | reject) + 100), 0.998, 0.9999)
-        right[0] = np.clip((weight[1] @ reject + 1) / (weight[1] @ (keep | reject) + 5), 0.25, 0.95)
+        right[1] = np.clip((weight[0] @ keep + 99) / (weight[0] @ (keep | reject) + 100), least[1], 0.99995)
+        right[0] = np.clip((weight[1] @ reject + 1) / (weight[1] @ (keep | reject) + 5), least[0], 0.95)
     return share, right, posterior
 
 

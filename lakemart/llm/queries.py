@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lakemart.llm.bpe import op9_bpe_round_trip
+from lakemart.llm.decontamination import op8_decontamination
 from lakemart.llm.pii import op10_pii
+from lakemart.llm.quality_classifier import op2_quality_classifier
 from lakemart.llm.quality_rules import op5_quality_rules
 from lakemart.llm.secret_scan import op1_secret_scan
 from lakemart.llm.simhash import op7_simhash
@@ -19,9 +21,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         f.__name__: f
         for f in (
             op1_secret_scan,
+            op2_quality_classifier,
             op4_token_counts,
             op5_quality_rules,
             op7_simhash,
+            op8_decontamination,
             op9_bpe_round_trip,
             op10_pii,
         )
