@@ -11,6 +11,7 @@ from lakemart.llm.decontamination import op8_decontamination
 from lakemart.llm.pii import op10_pii
 from lakemart.llm.quality_classifier import op2_quality_classifier
 from lakemart.llm.quality_rules import op5_quality_rules
+from lakemart.llm.repeats import op6_repeats
 from lakemart.llm.secret_scan import op1_secret_scan
 from lakemart.llm.simhash import op7_simhash
 from lakemart.llm.token_counts import op4_token_counts
@@ -24,6 +25,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op2_quality_classifier,
             op4_token_counts,
             op5_quality_rules,
+            op6_repeats,
             op7_simhash,
             op8_decontamination,
             op9_bpe_round_trip,
