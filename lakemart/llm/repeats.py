@@ -3,26 +3,30 @@
 Every string of 50 bytes is filed under the least hash of the 20-byte strings inside it, so equal
 strings are filed alike. Neighbouring strings filed alike make up one segment.
 
-1. Codes of these hashes are counted; only those that several documents hold go on.
-2. Groups of documents send the distinct segments of such codes to the tasks of their codes. What
-   an earlier document of the same group holds is settled within the group.
-3. A task collects the distinct segments of its codes, builds the Burrows-Wheeler transform of
-   them, and extends intervals of suffixes backwards, breadth first: the suffixes that share
-   d + 1 bytes are those of the intervals of d bytes, split by the byte in front. Common prefixes
-   so come out by increasing length; intervals of one suffix are dropped, and the expansion stops
-   at 50. The least document of an interval owns its string; all others lose it.
-4. Lost ranges return to their groups, where the bytes left are put together.
-
-A code that very many documents hold is not filed by segments, of which there may be as many as
-documents, but by whole strings of 50 bytes, of which a group sends each distinct one once.
+1. Every group of documents sends, for each distinct segment, a code of its least hash, a digest
+   of its bytes and the first document of the group with it. The tasks of the codes find the
+   first document of each segment, which owns it: every other document loses it whole. Segments
+   that share a code and are unlike may still share strings of 50 bytes; they stay open.
+2. Groups send the bytes of open segments from their owners. A task builds the Burrows-Wheeler
+   transform of the open segments of its codes and extends intervals of suffixes backwards,
+   breadth first: the suffixes that share d + 1 bytes are those of the intervals of d bytes, split
+   by the byte in front. Common prefixes so come out by increasing length; intervals of one suffix
+   are dropped, and the expansion stops at 50. The least document of an interval owns its string;
+   all others lose it.
+3. Verdicts and lost ranges return to their groups, where the bytes left are put together.
+
+A code with very many open segments is not filed by segments but by whole strings of 50 bytes,
+each of which finds its owner like a segment does.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
@@ -34,8 +38,10 @@ LENGTH = 50
 GRAM = 20
 #: Bytes of text in a group of documents, about.
 GROUP_BYTES = 24_000_000
-#: Documents that hold a code beyond which it is filed by whole strings.
-HOT_DOCS = 4096
+#: Verdicts on a segment of a document.
+LOST, OPEN, HOT = 1, 2, 3
+#: Open segments of a code beyond which it is filed by whole strings.
+HOT_SEGMENTS = 4096
 #: Bytes of segments that one transform covers, about; a code's segments stay together.
 TRANSFORM_BYTES = 4_000_000
 
@@ -55,18 +61,43 @@ def gram_hashes(raw: bytes) -> np.ndarray:
     return h
 
 
-def segments(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Least hash, first and last start of each run of 50-byte strings that share a least hash."""
+#: Odd factor of the digests, and its inverse modulo 2 ** 64.
+FACTOR = 0x9FB21C651E98DF25
+INVERSE = pow(FACTOR, -1, 1 << 64)
+
+
+@functools.lru_cache(maxsize=64)
+def powers(base: int, bits: int) -> np.ndarray:
+    """base ** i modulo 2 ** 64 for all i below 2 ** bits."""
+    out = np.ones(1 << bits, np.uint64)
+    for bit in range(bits):
+        out[1 << bit : 2 << bit] = out[: 1 << bit] * np.uint64(pow(base, 1 << bit, 1 << 64))
+    return out
+
+
+def segments(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of 50-byte strings that share a least hash: the hash, first and last start, digest.
+
+    The digest is a sum of the mixed hashes of the run's 20-byte strings, each times a power of an
+    odd factor that tells its place in the run.
+    """
     if len(raw) < LENGTH:
-        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
-    least, width = gram_hashes(raw), 1
+        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
+    hashes, width = gram_hashes(raw), 1
+    least = hashes
     while 2 * width <= LENGTH - GRAM + 1:
         least, width = np.minimum(least[:-width], least[width:]), 2 * width
     rest = LENGTH - GRAM + 1 - width
     if rest:
         least = np.minimum(least[:-rest], least[rest:])
     first = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
-    return least[first], first, np.append(first[1:], len(least)) - 1
+    last = np.append(first[1:], len(least)) - 1
+    bits = max(12, len(hashes).bit_length())
+    sums = np.concatenate(([np.uint64(0)], np.cumsum(hashes * powers(FACTOR, bits)[: len(hashes)], dtype=np.uint64)))
+    digest = (sums[last + LENGTH - GRAM + 1] - sums[first]) * powers(INVERSE, bits)[first]
+    digest += (last - first).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    digest ^= digest >> np.uint64(32)
+    return least[first], first, last, digest
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
@@ -126,8 +157,11 @@ def shared_strings(text: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray,
     return order[active], number[active]
 
 
-def lost_in(contents: list[bytes], owners: np.ndarray) -> list[list[tuple[int, int]]]:
-    """Ranges of each content that consist of 50-byte strings of a content with a lesser owner."""
+def lost_in(contents: list[bytes], owners: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ranges of ``contents`` that consist of 50-byte strings of a content with a lesser owner.
+
+    Returns the number of the content, start and end of each range.
+    """
     used = np.zeros(256, bool)
     joined = np.frombuffer(b"".join(contents), np.uint8)
     used[joined] = True
@@ -143,18 +177,17 @@ def lost_in(contents: list[bytes], owners: np.ndarray) -> list[list[tuple[int, i
     content = np.searchsorted(starts, at, "right") - 1
     whole = at + LENGTH <= (starts + lengths)[content]
     at, number, content = at[whole], number[whole], content[whole]
-    out: list[list[tuple[int, int]]] = [[] for _ in contents]
     if not len(at):
-        return out
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
     least = np.full(int(number.max()) + 1, np.iinfo(np.int64).max)
     np.minimum.at(least, number, owners[content])
-    lost = least[number] < owners[content]
-    for c, s in sorted(zip(content[lost].tolist(), (at - starts[content])[lost].tolist(), strict=True)):
-        if out[c] and s <= out[c][-1][1]:
-            out[c][-1] = (out[c][-1][0], s + LENGTH)
-        else:
-            out[c].append((s, s + LENGTH))
-    return out
+    at = np.sort(at[least[number] < owners[content]])
+    # Starts that follow each other closely within one content make one range.
+    content = np.searchsorted(starts, at, "right") - 1
+    first = np.concatenate(([True], (at[1:] > at[:-1] + LENGTH) | (content[1:] != content[:-1]))) if len(at) else np.empty(0, bool)
+    begin = np.flatnonzero(first)
+    end = np.append(begin[1:], len(at)) - 1
+    return content[begin], at[begin] - starts[content[begin]], at[end[: len(begin)]] + LENGTH - starts[content[begin]]
 
 
 def codes_of(hashes: np.ndarray, width: int) -> np.ndarray:
@@ -171,28 +204,43 @@ def packed(**columns) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
-def unpacked(blobs: Iterable[bytes]) -> pa.Table | None:
-    tables = [pa.ipc.open_stream(b).read_all() for b in blobs]
-    return pa.concat_tables(tables) if tables else None
-
-
-def pack_codes(codes: np.ndarray, width: int, **more: np.ndarray) -> bytes:
-    """Codes of ``width`` bytes each, byte by byte, with further arrays."""
-    planes = np.ascontiguousarray(codes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
-    parts = [planes, *(np.ascontiguousarray(x).tobytes() for x in more.values())]
-    return len(codes).to_bytes(8, "little") + zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
+def pack_numbers(*columns: tuple[np.ndarray, int]) -> bytes:
+    """Columns of numbers with so many low bytes each, compressed byte by byte."""
+    planes = [
+        np.ascontiguousarray(x.astype("<i8" if x.dtype.kind == "i" else "<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+        for x, width in columns
+    ]
+    return len(columns[0][0]).to_bytes(8, "little") + zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
 
 
-def unpack_codes(blob: bytes, width: int, **more: str) -> tuple[np.ndarray, ...]:
+def unpack_numbers(blob: bytes, *widths: int) -> list[np.ndarray]:
     n = int.from_bytes(blob[:8], "little")
     raw = zstandard.ZstdDecompressor().decompress(blob[8:])
-    codes = np.zeros((n, 8), np.uint8)
-    codes[:, :width] = np.frombuffer(raw, np.uint8, n * width).reshape(width, n).T
-    out, at = [codes.view("<u8").ravel()], n * width
-    for kind in more.values():
-        out.append(np.frombuffer(raw, kind, n, at))
-        at += n * np.dtype(kind).itemsize
-    return tuple(out)
+    out, at = [], 0
+    for width in widths:
+        full = np.zeros((n, 8), np.uint8)
+        full[:, :width] = np.frombuffer(raw, np.uint8, n * width, at).reshape(width, n).T
+        out.append(full.view("<u8").ravel())
+        at += n * width
+    return out
+
+
+def unpack_all(blobs: Iterable[bytes], *widths: int) -> list[np.ndarray]:
+    parts = [unpack_numbers(b, *widths) for b in blobs]
+    return [np.concatenate(x) for x in zip(*parts, strict=True)] if parts else [np.empty(0, np.uint64) for _ in widths]
+
+
+def cut(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each key with the positions that hold it, in order."""
+    order = np.argsort(keys, kind="stable")
+    names, first = np.unique(keys[order], return_index=True)
+    for name, a, b in zip(names.tolist(), first.tolist(), [*first[1:].tolist(), len(order)], strict=True):
+        yield name, order[a:b]
+
+
+def of_document(documents: np.ndarray, names: np.ndarray) -> np.ndarray:
+    """One number for each document and digest; a document's own digests never meet."""
+    return names ^ (documents.astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
 
 
 def batches_of(schema: str, *columns: list) -> pa.RecordBatch:
@@ -205,64 +253,62 @@ def batches_of(schema: str, *columns: list) -> pa.RecordBatch:
 class Deduplication:
     """The steps over one set of documents; ``grouped`` has (doc_id, text, grp)."""
 
-    def __init__(self, docs: DataFrame, id_col: str, text_col: str):
+    def __init__(self, docs: DataFrame, id_col: str, text_col: str, hot_segments: int = HOT_SEGMENTS):
+        self.hot_segments = hot_segments
         spark = docs.sparkSession
         rows = whole_texts(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("bigint"))
         total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         self.tasks = shuffle_tasks(spark)
         self.groups = max(self.tasks, -(-total // GROUP_BYTES))
-        #: Wide enough that unlike hashes rarely share a code; codes only sift.
-        self.width = min(8, (int(max(total, 1)).bit_length() + 8 + 7) // 8)
+        #: Wide enough that unlike hashes rarely share a code, which only leaves more segments open.
+        self.width = min(8, ((total // 16).bit_length() + 6 + 7) // 8)
         self.grouped = rows.withColumn("grp", F.pmod(F.xxhash64("doc_id", "text"), F.lit(self.groups)).cast("int"))
 
-    def repeated_codes(self) -> DataFrame:
-        """(grp, codes): the codes of each group that several documents hold."""
-        tasks, width = self.tasks, self.width
+    def verdicts(self) -> DataFrame:
+        """(grp, verdicts): segments that documents lose or hold open, by id and digest."""
+        tasks, width, hot_segments = self.tasks, self.width, self.hot_segments
 
-        def collect(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                codes, groups = [np.empty(0, np.uint64)], [np.empty(0, np.int32)]
-                for text, group in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                    own = np.unique(codes_of(segments(text.encode("utf-8", "surrogatepass"))[0], width))
-                    codes.append(own)
-                    groups.append(np.full(len(own), group, np.int32))
-                codes, groups = np.concatenate(codes), np.concatenate(groups)
-                order = np.lexsort((codes, groups))
-                codes, groups = codes[order], groups[order]
-                first = np.flatnonzero(np.concatenate(([True], (codes[1:] != codes[:-1]) | (groups[1:] != groups[:-1])))) if len(codes) else np.empty(0, int)
-                docs = np.diff(np.append(first, len(codes)))
-                codes, groups = codes[first], groups[first]
-                task = (codes % np.uint64(tasks)).astype(np.int64)
-                order = np.argsort(task, kind="stable")
-                edges = np.searchsorted(task[order], np.arange(tasks + 1))
-                found = [
-                    (t, pack_codes(codes[at], width, docs=np.minimum(docs[at], 65535).astype("<u2"), groups=groups[at].astype("<i4")))
-                    for t in range(tasks)
-                    if len(at := order[edges[t] : edges[t + 1]])
+                held = [(np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64))]
+                for doc, text, group in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    if doc is not None:
+                        least, _, _, digest = segments(text.encode("utf-8", "surrogatepass"))
+                        held.append((codes_of(least, width), digest, np.full(len(least), doc), np.full(len(least), group)))
+                code, digest, doc, group = (np.concatenate(x) for x in zip(*held, strict=True))
+                order = np.lexsort((doc, digest, group))
+                first = np.ones(len(order), bool)
+                d, g = digest[order], group[order]
+                first[1:] = (d[1:] != d[:-1]) | (g[1:] != g[:-1])
+                order = order[first]
+                out = [
+                    (task, pack_numbers((code[own], width), (digest[own], 8), (doc[own], 8), (group[own], 4)))
+                    for task, at in cut(code[order] % np.uint64(tasks))
+                    if len(own := order[at])
                 ]
-                yield batches_of("task int, blob binary", [t for t, _ in found], [b for _, b in found])
+                yield batches_of("task int, blob binary", [t for t, _ in out], [b for _, b in out])
 
-        def sift(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held = [unpack_codes(b, width, docs="<u2", groups="<i4") for batch in batches for b in batch.column(1).to_pylist()]
-            if not held:
+        def judge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            code, digest, doc, group = unpack_all((b for batch in batches for b in batch.column(1).to_pylist()), width, 8, 8, 4)
+            doc = doc.view(np.int64)
+            order = np.lexsort((doc, digest, code))
+            code, digest, doc, group = code[order], digest[order], doc[order], group[order].astype(np.int64)
+            if not len(code):
                 return
-            codes, docs, groups = (np.concatenate(x) for x in zip(*held, strict=True))
-            distinct, place = np.unique(codes, return_inverse=True)
-            holders = np.bincount(place, docs, len(distinct))[place]
-            several = holders > 1
-            codes, groups, hot = codes[several], groups[several], holders[several] > HOT_DOCS
-            order = np.argsort(groups, kind="stable")
-            codes, groups, hot = codes[order], groups[order], hot[order]
-            names, first = np.unique(groups, return_index=True)
-            ends = np.append(first[1:], len(groups))
-            yield batches_of(
-                "grp int, codes binary",
-                names.tolist(),
-                [pack_codes(codes[a:b], width, hot=hot[a:b].astype(np.uint8)) for a, b in zip(first, ends, strict=True)],
-            )
-
-        sent = self.grouped.mapInArrow(collect, "task int, blob binary")
-        return sent.repartition(tasks, "task").mapInArrow(sift, "grp int, codes binary")
+            new_code = np.concatenate(([True], code[1:] != code[:-1]))
+            new = new_code | np.concatenate(([True], digest[1:] != digest[:-1]))
+            content = np.cumsum(new) - 1
+            owner = doc[np.flatnonzero(new)][content]
+            number = np.cumsum(new_code) - 1
+            contents = np.bincount(number[new])[number]
+            verdict = np.where(doc > owner, LOST, np.where(contents > hot_segments, HOT, np.where(contents > 1, OPEN, 0)))
+            told = verdict > 0
+            digest, doc, group, verdict = digest[told], doc[told], group[told], verdict[told]
+            found = [(g, pack_numbers((doc[at], 8), (digest[at], 8), (verdict[at], 1))) for g, at in cut(group)]
+            yield batches_of("grp int, verdicts binary", [g for g, _ in found], [b for _, b in found])
+
+        sent = self.grouped.mapInArrow(send, "task int, blob binary")
+        return sent.repartition(tasks, "task").mapInArrow(judge, "grp int, verdicts binary")
 
     def texts(self) -> DataFrame:
         """(grp, texts): compressed documents by group."""
@@ -281,170 +327,146 @@ class Deduplication:
 
         return self.grouped.mapInArrow(pack, "grp int, texts binary")
 
-    def lost_ranges(self, codes: DataFrame) -> DataFrame:
-        """(grp, ranges): lost ranges of the documents of each group, by id and hash of the text."""
+    def lost_ranges(self, verdicts: DataFrame) -> DataFrame:
+        """(grp, ranges): what documents lose of segments and strings that were open, by id and digest."""
         tasks, width = self.tasks, self.width
-        found = "task int, kind int, grp int, blob binary"
-
-        def settle(texts: pa.Table, codes: pa.Table) -> pa.Table:
-            empty = batches_of(found, [], [], [], [])
-            if not texts.num_rows or not codes.num_rows:
-                return pa.Table.from_batches([empty])
-            group = texts.column("grp")[0].as_py()
-            wanted, hot = (np.concatenate(x) for x in zip(*(unpack_codes(b, width, hot="u1") for b in codes.column("codes").to_pylist()), strict=True))
-            order = np.argsort(wanted)
-            wanted, hot = wanted[order], hot[order] > 0
-            docs = unpacked(texts.column("texts").to_pylist())
-            rows = sorted({(i, t) for i, t in zip(docs.column(0).to_pylist(), docs.column(1).to_pylist(), strict=True) if i is not None})
-            holder: dict[bytes, tuple[int, int]] = {}  # content: the first document with it, its row
-            entries: dict[tuple[bytes, int], tuple[int, list[int]]] = {}  # content and row: code, starts
-            local: list[tuple[int, int, int, int]] = []
-            for row, (doc, raw) in enumerate(rows):
-                least, first, last = segments(raw)
-                own = codes_of(least, width)
-                place = np.minimum(np.searchsorted(wanted, own), len(wanted) - 1)
-                held = np.flatnonzero(wanted[place] == own)
-                digest = None
-                lost: list[list[int]] = []
-
-                def visit(content: bytes, code: int, start: int, row=row, doc=doc, lost=lost):
-                    owner = holder.setdefault(content, (doc, row))
-                    if owner[0] < doc:
-                        if lost and start <= lost[-1][1]:
-                            lost[-1][1] = max(lost[-1][1], start + len(content))
-                        else:
-                            lost.append([start, start + len(content)])
-                    elif (entry := entries.get((content, row))) is not None:
-                        entry[1].append(start)
-                    else:
-                        entries[content, row] = (code, [start])
-
-                for code, a, b, whole in zip(
-                    own[held].tolist(), first[held].tolist(), last[held].tolist(), hot[place[held]].tolist(), strict=True
-                ):
-                    if whole:
-                        for start in range(a, b + 1):
-                            content = raw[start : start + LENGTH]
-                            visit(content, xxhash.xxh64_intdigest(content), start)
-                    else:
-                        visit(raw[a : b + LENGTH], code, a)
-                if lost:
-                    digest = xxhash.xxh64_intdigest(raw)
-                    local += [(doc, digest, a, b) for a, b in lost]
-            out = [(group % tasks, 1, group, packed(**dict(zip(("doc_id", "digest", "start", "end"), _columns(local, ("i8", "u8", "i8", "i8")), strict=True))))] if local else []
-            digests = {}
-            by_task: dict[int, list] = {}
-            for (content, row), (code, starts) in entries.items():
-                if row not in digests:
-                    digests[row] = xxhash.xxh64_intdigest(rows[row][1])
-                by_task.setdefault(code % tasks, []).append((code, content, rows[row][0], digests[row], starts))
-            for task, held in by_task.items():
+
+        def send(texts: pa.Table, verdicts: pa.Table) -> pa.Table:
+            doc, digest, verdict = unpack_all(verdicts.column("verdicts").to_pylist(), 8, 8, 1)
+            open_, hot = (np.sort(of_document(doc[at], digest[at])) for at in (verdict == OPEN, verdict == HOT))
+            wanted = set(doc.view(np.int64)[verdict != LOST].tolist())
+            out: dict[int, list[tuple]] = {}
+            for i, raw in group_rows(texts):
+                if i not in wanted:
+                    continue
+                least, first, last, digest = segments(raw)
+                key, code, sent = of_document(np.full(len(least), i), digest), codes_of(least, width), set()
+                for at in np.flatnonzero(member(key, open_)).tolist():
+                    if digest[at] not in sent:
+                        sent.add(digest[at])
+                        c = int(code[at])
+                        out.setdefault(c % tasks, []).append((c, raw[first[at] : last[at] + LENGTH], i, int(digest[at])))
+                for at in np.flatnonzero(member(key, hot)).tolist():
+                    for start in range(first[at], last[at] + 1):
+                        whole = raw[start : start + LENGTH]
+                        c = xxhash.xxh64_intdigest(whole)
+                        if c not in sent:
+                            sent.add(c)
+                            out.setdefault(c % tasks, []).append((c, whole, i, c))
+            group = texts.column("grp")[0].as_py() if texts.num_rows else 0
+            blobs = []
+            for held in out.values():
                 held.sort(key=lambda e: e[:2])
-                c, s, d, h, p = zip(*held, strict=True)
-                out.append((task, 0, group, packed(
-                    code=pa.array(c, pa.uint64()), content=pa.array(s, pa.binary()), doc_id=pa.array(d, pa.int64()),
-                    digest=pa.array(h, pa.uint64()), starts=pa.array(p, pa.list_(pa.int64())),
-                )))
-            if not out:
-                return pa.Table.from_batches([empty])
-            return pa.Table.from_batches([batches_of(found, *map(list, zip(*out, strict=True)))])
+                c, s, d, h = zip(*held, strict=True)
+                blobs.append(packed(
+                    code=pa.array(c, pa.uint64()), content=pa.array(s, pa.binary()), doc_id=pa.array(d, pa.int64()), digest=pa.array(h, pa.uint64())
+                ))
+            return pa.Table.from_batches([batches_of("task int, grp int, blob binary", [*out], [group] * len(out), blobs)])
 
         def judge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            answer, sent = "grp int, ranges binary", []
-            for batch in batches:
-                for row in batch.to_pylist():
-                    if row["kind"]:
-                        yield batches_of(answer, [row["grp"]], [row["blob"]])
-                    else:
-                        sent.append((row["grp"], row["blob"]))
+            sent = [(row["grp"], row["blob"]) for batch in batches for row in batch.to_pylist()]
             if not sent:
                 return
-            tables = [(grp, pa.ipc.open_stream(blob).read_all()) for grp, blob in sent]
-            code = np.concatenate([t.column("code").to_numpy() for _, t in tables])
-            doc = np.concatenate([t.column("doc_id").to_numpy() for _, t in tables])
-            distinct, place, count = np.unique(code, return_inverse=True, return_counts=True)
-            several = count[place] > 1
-            content: list[bytes | None] = [c for _, t in tables for c in t.column("content").to_pylist()]
-            lost: dict[int, list[tuple[int, int]]] = {}
-            number: dict[bytes, int] = {}
-            named = np.full(len(content), -1)
-            for i in np.flatnonzero(several).tolist():
-                named[i] = number.setdefault(content[i], len(number))
-            names = [*number]
-            owner = np.full(len(names), np.iinfo(np.int64).max)
-            used = named >= 0
-            np.minimum.at(owner, named[used], doc[used])
-            of_code = np.zeros(len(names), np.int64)
-            of_code[named[used]] = place[used]
-            # Codes with a single content, and whole strings, are settled by the content's owner.
-            contents_of = np.bincount(of_code, minlength=len(distinct)) if len(names) else np.zeros(len(distinct), int)
-            open_ = np.flatnonzero((contents_of[of_code] > 1) & (np.array([len(c) for c in names]) >= LENGTH)) if len(names) else []
-            order = sorted(open_, key=lambda c: of_code[c])
+            tables = [pa.ipc.open_stream(blob).read_all() for _, blob in sent]
+            group = np.repeat([g for g, _ in sent], [t.num_rows for t in tables])
+            table = pa.concat_tables(tables).combine_chunks()
+            code, doc, digest = (table.column(n).to_numpy() for n in ("code", "doc_id", "digest"))
+            order = np.argsort(code, kind="stable")
+            size = pa.compute.binary_length(table.column("content")).to_numpy()[order]
+            same = np.concatenate((code[order][1:] == code[order][:-1], [False]))
             at = 0
-            while at < len(order):
-                end, size = at, 0
-                while end < len(order) and (size < TRANSFORM_BYTES or of_code[order[end]] == of_code[order[end - 1]]):
-                    size += len(names[order[end]])
+            while at < len(order):  # whole codes, up to TRANSFORM_BYTES
+                end = at + max(1, int(np.searchsorted(np.cumsum(size[at:]), TRANSFORM_BYTES)))
+                while end < len(order) and same[end - 1]:
                     end += 1
                 part = order[at:end]
-                for c, ranges in zip(part, lost_in([names[c] for c in part], owner[part]), strict=True):
-                    if ranges:
-                        lost[c] = ranges
                 at = end
-            row = 0
-            for grp, table in tables:
-                ranges = []
-                columns = (table.column(n).to_pylist() for n in ("doc_id", "digest", "starts"))
-                for i, (d, h, starts) in enumerate(zip(*columns, strict=True), row):
-                    if named[i] < 0:
-                        continue
-                    mine = [(0, len(names[named[i]]))] if d > owner[named[i]] else lost.get(named[i])
-                    if mine:
-                        ranges += [(d, h, s + a, s + b) for s in starts for a, b in mine]
-                row += table.num_rows
-                if ranges:
-                    yield batches_of(answer, [grp], [packed(**dict(zip(("doc_id", "digest", "start", "end"), _columns(ranges, ("i8", "u8", "i8", "i8")), strict=True)))])
-
-        settled = self.texts().groupBy("grp").cogroup(codes.groupBy("grp")).applyInArrow(settle, found)
-        return settled.repartition(tasks, "task").mapInArrow(judge, "grp int, ranges binary")
-
-    def remaining(self, ranges: DataFrame) -> DataFrame:
+                rows, starts, ends = lost_in(table.column("content").take(pa.array(part)).to_pylist(), doc[part])
+                rows = part[rows]
+                for g, own in cut(group[rows]):
+                    yield batches_of("grp int, ranges binary", [g], [
+                        pack_numbers((doc[rows[own]], 8), (digest[rows[own]], 8), (starts[own], 8), (ends[own], 8))
+                    ])
+
+        opened = self.texts().groupBy("grp").cogroup(verdicts.groupBy("grp")).applyInArrow(send, "task int, grp int, blob binary")
+        return opened.repartition(tasks, "task").mapInArrow(judge, "grp int, ranges binary")
+
+    def remaining(self, verdicts: DataFrame, ranges: DataFrame) -> DataFrame:
         """(doc_id, n_bytes, n_removed, n_spans, kept) with the bytes left of every document."""
         schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
 
-        def remove(texts: pa.Table, ranges: pa.Table) -> pa.Table:
-            docs = unpacked(texts.column("texts").to_pylist())
-            if docs is None:
+        def remove(texts: pa.Table, told: pa.Table) -> pa.Table:
+            if not texts.num_rows:
                 return pa.Table.from_batches([batches_of(schema, *[[]] * 5)])
-            lost: dict[tuple[int, int], list[tuple[int, int]]] = {}
-            for blob in ranges.column("ranges").to_pylist():
-                table = pa.ipc.open_stream(blob).read_all()
-                for d, h, a, b in zip(*(c.to_pylist() for c in table.columns), strict=True):
-                    lost.setdefault((d, h), []).append((a, b))
-            out = []
-            ids = {d for d, _ in lost}
-            for doc, raw in zip(docs.column(0).to_pylist(), docs.column(1).to_pylist(), strict=True):
-                spans: list[list[int]] = []
-                for a, b in sorted(lost.get((doc, xxhash.xxh64_intdigest(raw)), ())) if doc in ids else ():
-                    if spans and a <= spans[-1][1]:
-                        spans[-1][1] = max(spans[-1][1], b)
-                    else:
-                        spans.append([a, b])
-                at, kept = 0, []
-                for a, b in spans:
-                    kept.append(raw[at:a])
-                    at = b
-                out.append((doc, len(raw), sum(b - a for a, b in spans), len(spans), b"".join([*kept, raw[at:]])))
-            return pa.Table.from_batches([batches_of(schema, *map(list, zip(*out, strict=True)))])
-
-        return self.texts().groupBy("grp").cogroup(ranges.groupBy("grp")).applyInArrow(remove, schema)
-
-
-def _columns(rows: list[tuple], kinds: tuple[str, ...]) -> list[np.ndarray]:
-    return [np.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
-
-
-def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+            doc, digest, verdict = unpack_all((b for b in told.column("verdicts").to_pylist() if b is not None), 8, 8, 1)
+            lost, hot = (np.sort(of_document(doc[at], digest[at])) for at in (verdict == LOST, verdict == HOT))
+            doc, digest, start, end = unpack_all((b for b in told.column("ranges").to_pylist() if b is not None), 8, 8, 8, 8)
+            parts: dict[int, list[tuple[int, int]]] = {}
+            for name, a, b in zip(of_document(doc, digest).tolist(), start.tolist(), end.tolist(), strict=True):
+                parts.setdefault(name, []).append((a, b))
+            partial = np.sort(np.fromiter(parts, np.uint64, len(parts)))
+            rows = [(i, raw, *segments(raw)[1:]) for i, raw in group_rows(texts)]
+            # The first document of the group with a segment; the others lose it.
+            of_row = np.repeat(np.arange(len(rows)), [len(r[2]) for r in rows])
+            ids = np.array([r[0] for r in rows], np.int64)
+            digests = np.concatenate([r[4] for r in rows]) if rows else np.empty(0, np.uint64)
+            _, first, place = np.unique(digests, return_index=True, return_inverse=True)
+            local = ids[of_row] > ids[of_row[first]][place] if rows else np.empty(0, bool)
+            out, at = {}, 0
+            for i, raw, starts, lasts, names in rows:
+                key = of_document(np.full(len(names), i), names)
+                whole = local[at : at + len(names)] | member(key, lost)
+                at += len(names)
+                edges = np.zeros(len(raw) + 1, np.int64)
+                np.add.at(edges, starts[whole], 1)
+                np.add.at(edges, lasts[whole] + LENGTH, -1)
+                for k in np.flatnonzero(member(key, partial)).tolist():
+                    for a, b in parts[int(key[k])]:
+                        edges[starts[k] + a] += 1
+                        edges[starts[k] + b] -= 1
+                for k in np.flatnonzero(member(key, hot)).tolist():
+                    for s in range(starts[k], lasts[k] + 1):
+                        name = np.array([xxhash.xxh64_intdigest(raw[s : s + LENGTH])], np.uint64)
+                        if int(of_document(np.array([i]), name)[0]) in parts:
+                            edges[s] += 1
+                            edges[s + LENGTH] -= 1
+                gone = np.cumsum(edges[:-1]) > 0
+                kept = np.frombuffer(raw, np.uint8)[~gone].tobytes()
+                spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
+                out[i, raw] = (i, len(raw), len(raw) - len(kept), spans, kept)
+            result = [
+                out.get((i, raw), (i, len(raw), 0, 0, raw))
+                for blob in texts.column("texts").to_pylist()
+                for i, raw in zip(*(c.to_pylist() for c in pa.ipc.open_stream(blob).read_all().columns), strict=True)
+            ]
+            return pa.Table.from_batches([batches_of(schema, *map(list, zip(*result, strict=True)))])
+
+        none = F.lit(None).cast("binary")
+        told = verdicts.select("grp", "verdicts", none.alias("ranges")).unionAll(ranges.select("grp", none, "ranges"))
+        return self.texts().groupBy("grp").cogroup(told.groupBy("grp")).applyInArrow(remove, schema)
+
+
+def group_rows(texts: pa.Table) -> list[tuple[int, bytes]]:
+    """Distinct (id, text) of a group by id, without null ids."""
+    rows = {
+        (i, raw)
+        for blob in texts.column("texts").to_pylist()
+        for i, raw in zip(*(c.to_pylist() for c in pa.ipc.open_stream(blob).read_all().columns), strict=True)
+        if i is not None
+    }
+    return sorted(rows)
+
+
+def member(keys: np.ndarray, ranked: np.ndarray) -> np.ndarray:
+    """Which ``keys`` the sorted array holds."""
+    if not len(ranked):
+        return np.zeros(len(keys), bool)
+    return ranked[np.minimum(np.searchsorted(ranked, keys), len(ranked) - 1)] == keys
+
+
+def without_repeats(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_segments: int = HOT_SEGMENTS,
+) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept) of every row; ``kept`` are the bytes left.
 
     A byte goes where a 50-byte string over it also starts in a document with a smaller id.
@@ -452,10 +474,10 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     a null id neither takes nor loses. Texts under 50 bytes stay as they are, an empty table gives
     no rows, other columns are not read. Ids must be whole numbers.
     """
-    steps = Deduplication(docs, id_col, text_col)
-    codes = stored(steps.repeated_codes(), "repeated-codes")
-    ranges = stored(steps.lost_ranges(codes), "lost-ranges")
-    return steps.remaining(ranges)
+    steps = Deduplication(docs, id_col, text_col, hot_segments)
+    verdicts = stored(steps.verdicts(), "segment-verdicts")
+    ranges = stored(steps.lost_ranges(verdicts), "lost-ranges")
+    return steps.remaining(verdicts, ranges)
 
 
 def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
