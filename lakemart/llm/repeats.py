@@ -43,7 +43,7 @@ LOST, OPEN, HOT = 1, 2, 3
 #: Open segments of a code beyond which it is filed by whole strings.
 HOT_SEGMENTS = 4096
 #: Bytes of segments that one transform covers, about; a code's segments stay together.
-TRANSFORM_BYTES = 4_000_000
+TRANSFORM_BYTES = 1_000_000
 
 
 def gram_hashes(raw: bytes) -> np.ndarray:
@@ -100,24 +100,31 @@ def segments(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     return least[first], first, last, digest
 
 
-def suffix_array(text: np.ndarray) -> np.ndarray:
-    """Suffixes of ``text`` (uint8) in the order of their first 64 bytes, by prefix doubling."""
-    n = len(text)
-    padded = np.concatenate([text, np.zeros(8, np.uint8)])
-    key = np.zeros(n, np.uint64)
-    for i in range(8):
-        key = (key << np.uint64(8)) | padded[i : i + n]
-    width = 8
+#: Bytes that the first sort of suffixes compares, and from whose intervals the expansion starts.
+HEAD = 8
+
+
+def heads(text: np.ndarray) -> np.ndarray:
+    """The first HEAD bytes of each suffix of ``text`` (uint8) as one number."""
+    padded = np.concatenate([text, np.zeros(HEAD, np.uint8)])
+    key = np.zeros(len(text), np.uint64)
+    for i in range(HEAD):
+        key = (key << np.uint64(8)) | padded[i : i + len(text)]
+    return key
+
+
+def suffix_array(head: np.ndarray) -> np.ndarray:
+    """Suffixes in the order of their first 64 bytes, by prefix doubling from their heads."""
+    n, width, key = len(head), HEAD, head
     while True:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         ranked = key[order]
-        new = np.concatenate(([False], ranked[1:] != ranked[:-1]))
         rank = np.empty(n, np.uint64)
-        rank[order] = np.cumsum(new)
+        rank[order] = np.cumsum(np.concatenate(([False], ranked[1:] != ranked[:-1])))
         if width >= 64 or n == 0 or int(rank[order[-1]]) == n - 1:
             return order
         second = np.zeros(n, np.uint64)
-        second[: n - width] = rank[width:] + np.uint64(1)
+        second[: max(0, n - width)] = rank[width:] + np.uint64(1)
         key = (rank << np.uint64(32)) | second
         width *= 2
 
@@ -125,36 +132,39 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
 def shared_strings(text: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
     """Starts of strings of ``length`` bytes that occur twice or more, and a number for each string.
 
-    ``text`` must hold under 2 ** 32 bytes. The transform is walked backwards from the interval of
-    all suffixes: ``active`` are the ranks of suffixes in intervals of two and more, ``number``
-    the interval of each rank.
+    ``length`` is at least HEAD; ``text`` holds under 2 ** 31 bytes. ``after`` leads from the rank of a suffix to that of
+    the suffix a byte later: the transform's mapping, read backwards. The interval of a byte c and
+    a string w is therefore the run of neighbouring ranks that start with c and lead into the
+    interval of w. ``active`` are the ranks in intervals of two and more, ``number`` the interval
+    of each (0: none), ``new`` where the next interval starts. As an interval lies inside that of
+    any shorter prefix, nothing once dropped comes back.
     """
     n = len(text)
-    order = suffix_array(text)
-    rank = np.empty(n, np.int64)
-    rank[order] = np.arange(n)
-    before = order - 1  # the suffix that starts a byte earlier
-    front = text[before]  # the transform itself; of the first suffix it is never used
-    step = np.where(before >= 0, rank[before], -1)  # rank of the suffix with that byte in front
-    active, number = np.arange(n), np.zeros(n, np.int64)
-    for _ in range(length):
-        parent = active[step[active] >= 0]
-        to = step[parent]
-        mark = np.zeros(n, bool)
-        mark[to] = True
-        came = np.zeros(n, np.int64)
-        came[to] = number[parent]
-        byte = np.zeros(n, np.uint8)
-        byte[to] = front[parent]
-        active = np.flatnonzero(mark)
+    head = heads(text)
+    order = suffix_array(head)
+    rank = np.empty(n + 1, np.int32)
+    rank[order] = np.arange(n, dtype=np.int32)
+    rank[n] = n
+    after = rank[order + 1]
+    ranked = head[order]
+    active = np.arange(n, dtype=np.int32)
+    number = np.zeros(n + 1, np.int32)
+    new = np.concatenate(([True], ranked[1:] != ranked[:-1]))[:n]
+    for depth in range(min(HEAD, length), length + 1):
+        if depth > HEAD:
+            came = number[after]
+            new[1:] |= came[1:] != came[:-1]
+            new |= came == 0
+        single = new.copy()
+        single[:-1] &= new[1:]
+        keep = ~single
+        number[active] = 0
+        active, after, new = active[keep], after[keep], new[keep]
         if not len(active):
-            return np.empty(0, np.int64), np.empty(0, np.int64)
-        split = np.concatenate(([True], (byte[active[1:]] != byte[active[:-1]]) | (came[active[1:]] != came[active[:-1]])))
-        interval = np.cumsum(split) - 1
-        several = np.bincount(interval)[interval] > 1
-        active, interval = active[several], interval[several]
-        number[active] = interval
-    return order[active], number[active]
+            break
+        new[0] = True
+        number[active] = np.cumsum(new, dtype=np.int32)
+    return order[active], number[active].astype(np.int64)
 
 
 def lost_in(contents: list[bytes], owners: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
