@@ -27,9 +27,9 @@ SPACES = r"\t\n\x0b\x0c\r\x20\x85\xa0  -     　"
 #: The contractions that byte-level pre-tokenizers split off.
 ENDINGS = "'s|'t|'re|'ve|'m|'ll|'d"
 #: A task forgets its encoded words beyond so many, which bounds its memory and no result.
-WORDS_HELD = 400_000
+WORDS_HELD = 200_000
 #: Characters of text whose words are encoded in one walk.
-CHARS_PER_WALK = 6_000_000
+CHARS_PER_WALK = 3_000_000
 
 
 def ranges(most: int, wanted) -> str:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lakemart.llm.bpe import op9_bpe_round_trip
 from lakemart.llm.decontamination import op8_decontamination
+from lakemart.llm.language_model import op3_language_model
 from lakemart.llm.pii import op10_pii
 from lakemart.llm.quality_classifier import op2_quality_classifier
 from lakemart.llm.quality_rules import op5_quality_rules
@@ -23,6 +24,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         for f in (
             op1_secret_scan,
             op2_quality_classifier,
+            op3_language_model,
             op4_token_counts,
             op5_quality_rules,
             op6_repeats,

@@ -28,16 +28,14 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 import xxhash
-import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.llm.common import documents, shuffle_tasks, stored, whole_texts
+from lakemart.llm.groups import batches_of, cut, group_rows, group_texts, grouped, pack_numbers, packed, unpack_all
 
 LENGTH = 50
 GRAM = 20
-#: Bytes of text in a group of documents, about.
-GROUP_BYTES = 24_000_000
 #: Verdicts on a segment of a document.
 LOST, OPEN, HOT = 1, 2, 3
 #: Open segments of a code beyond which it is filed by whole strings.
@@ -205,61 +203,11 @@ def codes_of(hashes: np.ndarray, width: int) -> np.ndarray:
     return hashes >> np.uint64(64 - 8 * width)
 
 
-def packed(**columns) -> bytes:
-    """Columns as one compressed Arrow stream."""
-    sink = pa.BufferOutputStream()
-    batch = pa.RecordBatch.from_pydict(columns)
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
-        writer.write_batch(batch)
-    return sink.getvalue().to_pybytes()
-
-
-def pack_numbers(*columns: tuple[np.ndarray, int]) -> bytes:
-    """Columns of numbers with so many low bytes each, compressed byte by byte."""
-    planes = [
-        np.ascontiguousarray(x.astype("<i8" if x.dtype.kind == "i" else "<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
-        for x, width in columns
-    ]
-    return len(columns[0][0]).to_bytes(8, "little") + zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
-
-
-def unpack_numbers(blob: bytes, *widths: int) -> list[np.ndarray]:
-    n = int.from_bytes(blob[:8], "little")
-    raw = zstandard.ZstdDecompressor().decompress(blob[8:])
-    out, at = [], 0
-    for width in widths:
-        full = np.zeros((n, 8), np.uint8)
-        full[:, :width] = np.frombuffer(raw, np.uint8, n * width, at).reshape(width, n).T
-        out.append(full.view("<u8").ravel())
-        at += n * width
-    return out
-
-
-def unpack_all(blobs: Iterable[bytes], *widths: int) -> list[np.ndarray]:
-    parts = [unpack_numbers(b, *widths) for b in blobs]
-    return [np.concatenate(x) for x in zip(*parts, strict=True)] if parts else [np.empty(0, np.uint64) for _ in widths]
-
-
-def cut(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Each key with the positions that hold it, in order."""
-    order = np.argsort(keys, kind="stable")
-    names, first = np.unique(keys[order], return_index=True)
-    for name, a, b in zip(names.tolist(), first.tolist(), [*first[1:].tolist(), len(order)], strict=True):
-        yield name, order[a:b]
-
-
 def of_document(documents: np.ndarray, names: np.ndarray) -> np.ndarray:
     """One number for each document and digest; a document's own digests never meet."""
     return names ^ (documents.astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
 
 
-def batches_of(schema: str, *columns: list) -> pa.RecordBatch:
-    """Columns under a schema of int, bigint and binary columns."""
-    kinds = {"int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary()}
-    fields = pa.schema([(name, kinds[kind]) for name, kind in map(str.split, schema.split(", "))])
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, fields, strict=True)], schema=fields)
-
-
 class Deduplication:
     """The steps over one set of documents; ``grouped`` has (doc_id, text, grp)."""
 
@@ -267,12 +215,10 @@ class Deduplication:
         self.hot_segments = hot_segments
         spark = docs.sparkSession
         rows = whole_texts(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("bigint"))
-        total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        self.grouped, total = grouped(rows)
         self.tasks = shuffle_tasks(spark)
-        self.groups = max(self.tasks, -(-total // GROUP_BYTES))
         #: Wide enough that unlike hashes rarely share a code, which only leaves more segments open.
         self.width = min(8, ((total // 16).bit_length() + 6 + 7) // 8)
-        self.grouped = rows.withColumn("grp", F.pmod(F.xxhash64("doc_id", "text"), F.lit(self.groups)).cast("int"))
 
     def verdicts(self) -> DataFrame:
         """(grp, verdicts): segments that documents lose or hold open, by id and digest."""
@@ -320,23 +266,6 @@ class Deduplication:
         sent = self.grouped.mapInArrow(send, "task int, blob binary")
         return sent.repartition(tasks, "task").mapInArrow(judge, "grp int, verdicts binary")
 
-    def texts(self) -> DataFrame:
-        """(grp, texts): compressed documents by group."""
-
-        def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                groups = batch.column(2).to_numpy()
-                order = np.argsort(groups, kind="stable")
-                names, first = np.unique(groups[order], return_index=True)
-                ends = np.append(first[1:], len(order))
-                blobs = []
-                for a, b in zip(first, ends, strict=True):
-                    part = batch.take(pa.array(order[a:b]))
-                    blobs.append(packed(doc_id=part.column(0), text=part.column(1).cast(pa.binary())))
-                yield batches_of("grp int, texts binary", names.tolist(), blobs)
-
-        return self.grouped.mapInArrow(pack, "grp int, texts binary")
-
     def lost_ranges(self, verdicts: DataFrame) -> DataFrame:
         """(grp, ranges): what documents lose of segments and strings that were open, by id and digest."""
         tasks, width = self.tasks, self.width
@@ -398,7 +327,7 @@ class Deduplication:
                         pack_numbers((doc[rows[own]], 8), (digest[rows[own]], 8), (starts[own], 8), (ends[own], 8))
                     ])
 
-        opened = self.texts().groupBy("grp").cogroup(verdicts.groupBy("grp")).applyInArrow(send, "task int, grp int, blob binary")
+        opened = group_texts(self.grouped).groupBy("grp").cogroup(verdicts.groupBy("grp")).applyInArrow(send, "task int, grp int, blob binary")
         return opened.repartition(tasks, "task").mapInArrow(judge, "grp int, ranges binary")
 
     def remaining(self, verdicts: DataFrame, ranges: DataFrame) -> DataFrame:
@@ -453,18 +382,7 @@ class Deduplication:
 
         none = F.lit(None).cast("binary")
         told = verdicts.select("grp", "verdicts", none.alias("ranges")).unionAll(ranges.select("grp", none, "ranges"))
-        return self.texts().groupBy("grp").cogroup(told.groupBy("grp")).applyInArrow(remove, schema)
-
-
-def group_rows(texts: pa.Table) -> list[tuple[int, bytes]]:
-    """Distinct (id, text) of a group by id, without null ids."""
-    rows = {
-        (i, raw)
-        for blob in texts.column("texts").to_pylist()
-        for i, raw in zip(*(c.to_pylist() for c in pa.ipc.open_stream(blob).read_all().columns), strict=True)
-        if i is not None
-    }
-    return sorted(rows)
+        return group_texts(self.grouped).groupBy("grp").cogroup(told.groupBy("grp")).applyInArrow(remove, schema)
 
 
 def member(keys: np.ndarray, ranked: np.ndarray) -> np.ndarray:

@@ -21,8 +21,8 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import documents, map_rows, stored, whole_texts
-from lakemart.llm.spans import SPANS, digest_columns, one_per_code_point, ordered, without_overlap
+from lakemart.llm.common import appended, documents, map_rows, stored, whole_texts
+from lakemart.llm.spans import SPANS, digest_columns, one_per_code_point, ordered, redacted, without_overlap
 
 BASE = ("assign", "access", "hex")
 KINDS = (*BASE, "random")
@@ -153,6 +153,33 @@ def thresholds(candidates: DataFrame, false_share: float = FALSE_SHARE) -> dict[
     return out
 
 
+def spans_of(text: str, least: dict[tuple[str, int], int]) -> list[dict]:
+    """Base spans of a text, and its candidates that count as random and overlap none of them."""
+    base, candidates = scan(text)
+    extra = [("random", a, b) for a, b, e, s, p in candidates if p >= least.get((e, s), BINS)]
+    return [{"kind": k, "start": a, "end": b} for k, a, b in ordered(base + without_overlap(extra, base), KINDS)]
+
+
+def redact(docs: DataFrame, text_col: str = "text", false_share: float = FALSE_SHARE, mark: str = "[{}]") -> DataFrame:
+    """``docs`` with each secret of the texts replaced by its kind, in no shuffle of the texts.
+
+    The texts are read twice: once for the families' thresholds, once to redact. A null text
+    stays null; all other columns pass through.
+    """
+    rows = docs.select(F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
+
+    def count(batch: list[dict]) -> list[tuple]:
+        return [(e, s, p) for r in batch for *_, e, s, p in scan(r["text"])[1]]
+
+    least = thresholds(map_rows(rows, "encoding string, size_class int, bin int", count), false_share)
+
+    def clean(texts: list) -> list:
+        return [None if t is None else redacted(t, spans_of(t, least), mark) for t in texts]
+
+    name = "_".join(["redacted", *docs.columns])
+    return appended(docs, text_col, "string", clean, name).withColumn(text_col, F.col(f"`{name}`")).drop(name)
+
+
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", false_share: float = FALSE_SHARE) -> DataFrame:
     """(doc_id, spans) of every row; positions count code points, ends are exclusive.
 
