@@ -4,27 +4,69 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-import public_tokenizers
 from lakemart.llm.bpe import round_trip
 from lakemart.llm.common import documents, stored
+from lakemart.llm.decontamination import with_leaks
+from lakemart.llm.quality_classifier import LEAST_QUALITY, with_quality
+from lakemart.llm.secret_scan import redact
+from lakemart.llm.simhash import MAX_BITS, SHINGLE, simhash_components
 
 TOKENIZER = "byte_bpe_50k.json"
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    name = "_".join(["quality_score", *docs.columns])
+    return with_quality(docs, labels, name=name).filter(F.col(f"`{name}`") >= LEAST_QUALITY).drop(name)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, the one with the smallest id, of each group of near duplicates.
+
+    Documents with a null id cannot be named and stay; repeated ids stay or go together.
+    """
+    groups = simhash_components(docs, SHINGLE, MAX_BITS)
+    copies = groups.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents into which no benchmark item leaks."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    name = "_".join(["leaks", *docs.columns])
+    return with_leaks(docs, benchmark, name=name).filter(F.size(f"`{name}`") == 0).drop(name)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with secrets replaced by their kinds, and ``n_chars`` of the new texts."""
+    clean = redact(docs)
+    if "n_chars" in docs.columns:
+        count = F.length("text").cast(docs.schema["n_chars"].dataType)
+        clean = clean.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(count))
+    return clean
+
+
 def encode_and_decode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of ids and decoded texts of the documents left."""
     return round_trip(docs, public_tokenizers.path(TOKENIZER))
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality classifier", classify_quality),
+    ("SimHash near-dedup", drop_near_duplicates),
+    ("benchmark decontamination", decontaminate),
+    ("secret scans", redact_secrets),
     ("BPE encoding and decoding", encode_and_decode),
 ]
 
-#: The stages train models and hash text in ways that SQL cannot express.
+#: The stages train a model and hash, align and encode texts in ways that SQL cannot express.
 ORACLE_SQL = None
 
 
