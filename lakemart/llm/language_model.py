@@ -28,7 +28,7 @@ PIECE_SHARE = 16
 PIECE = 4 * gru.WINDOW
 ROUNDS = 2
 #: Tokens that one call of the scorer runs side by side, about.
-TOKENS_PER_CALL = 2_000_000
+TOKENS_PER_CALL = 1_000_000
 #: The end of a document as a token; words hold no space.
 END = b" "
 
@@ -61,18 +61,19 @@ def word_counts(texts: DataFrame, tasks: int) -> DataFrame:
     answer = "grp int, counts binary, n bigint, v bigint, hash bigint, count bigint, band int"
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                table = pa.ipc.open_stream(row["texts"]).read_all()
-                seen: dict[bytes, int] = {}
-                for doc, raw in zip(*(c.to_pylist() for c in table.columns), strict=True):
-                    learned = 0 if is_held_out(doc) else 1
-                    for word in words_of(raw):
-                        seen[word] = seen.get(word, 0) + learned
-                names, counts = hashes_of(seen), np.fromiter(seen.values(), np.int64)
-                group = np.full(len(names), row["grp"])
-                found = [(t, pack_numbers((names[at], 8), (counts[at], 8), (group[at], 4))) for t, at in cut(names % np.uint64(tasks))]
-                yield batches_of(schema, [t for t, _ in found], [b for _, b in found])
+        held = [(np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64))]
+        for row in (row for batch in batches for row in batch.to_pylist()):
+            table = pa.ipc.open_stream(row["texts"]).read_all()
+            seen: dict[bytes, int] = {}
+            for doc, raw in zip(*(c.to_pylist() for c in table.columns), strict=True):
+                learned = 0 if is_held_out(doc) else 1
+                for word in words_of(raw):
+                    seen[word] = seen.get(word, 0) + learned
+            held.append((hashes_of(seen), np.fromiter(seen.values(), np.int64), np.full(len(seen), row["grp"])))
+        # One blob for each task that this one sends to, whatever the number of groups.
+        names, counts, group = (np.concatenate(x) for x in zip(*held, strict=True))
+        found = [(t, pack_numbers((names[at], 8), (counts[at], 8), (group[at], 4))) for t, at in cut(names % np.uint64(tasks))]
+        yield batches_of(schema, [t for t, _ in found], [b for _, b in found])
 
     def total(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, counts, group = unpack_all((b for batch in batches for b in batch.column(1).to_pylist()), 8, 8, 4)
