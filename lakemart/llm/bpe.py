@@ -26,7 +26,7 @@ from lakemart.llm.token_counts import byte_level_vocabulary, is_plain_byte_level
 SPACES = r"\t\n\x0b\x0c\r\x20\x85\xa0  -     　"
 #: The contractions that byte-level pre-tokenizers split off.
 ENDINGS = "'s|'t|'re|'ve|'m|'ll|'d"
-#: A task forgets its encoded words beyond so many, which bounds its memory and no result.
+#: Encoded words of a generation; older generations are forgotten, which bounds memory and no result.
 WORDS_HELD = 200_000
 #: Characters of text whose words are encoded in one walk.
 CHARS_PER_WALK = 3_000_000
@@ -83,11 +83,11 @@ class TrieEncoder:
         self.tokens, self.special, merges = byte_level_vocabulary(path)
         self.merged = {(self.tokens[a], self.tokens[b]): self.tokens[a + b] for a, b in merges}
         self.parts = {t: pair for pair, t in self.merged.items()}
-        self.bytes_of = {t: b for b, t in self.tokens.items()} | {i: s.encode() for s, i in self.special.items()}
         self.at_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.apart: dict[tuple[int, int], bool] = {}
+        self.apart: dict[int, bool] = {}  # by left token * 2 ** 24 + right token
         self.held: dict[str, bytes] = {}
-        self.raw_id = {t: t.to_bytes(4, "little") for t in self.bytes_of}
+        self.older: dict[str, bytes] = {}
+        self.raw_id = {t: t.to_bytes(4, "little") for t in (*self.tokens.values(), *self.special.values())}
         self.goto, self.fail, self.ends = self.automaton()
 
     def automaton(self) -> tuple[list[dict[int, int]], list[int], list[tuple]]:
@@ -157,10 +157,10 @@ class TrieEncoder:
                 for token, length in ends[state]:
                     if length == end:
                         break
-                    pair = (last[end - length], token)
-                    fits = apart.get(pair)
+                    left = last[end - length]
+                    fits = apart.get(left << 24 | token)
                     if fits is None:
-                        fits = apart[pair] = self.keeps_apart(*pair)
+                        fits = apart[left << 24 | token] = self.keeps_apart(left, token)
                     if fits:
                         break
                 last.append(token)
@@ -180,11 +180,13 @@ class TrieEncoder:
             parts = self.at_special.split(text) if self.at_special and any(s in text for s in self.special) else [text]
             split.append([p if i % 2 else pieces(p, self.path) for i, p in enumerate(parts)])
         if len(self.held) > WORDS_HELD:
-            self.held.clear()
-        if len(self.apart) > 4 * WORDS_HELD:
+            self.older, self.held = self.held, {}
+        if len(self.apart) > 2 * WORDS_HELD:
             self.apart.clear()
         held = self.held
-        self.encode_words([*{w for parts in split for p in parts[::2] for w in p if w not in held}])
+        fresh = {w for parts in split for p in parts[::2] for w in p if w not in held}
+        held |= {w: self.older[w] for w in fresh if w in self.older}
+        self.encode_words([w for w in fresh if w not in held])
         return [
             b"".join(
                 self.raw_id[self.special[p]] if i % 2 else b"".join(map(held.__getitem__, p))
@@ -193,15 +195,25 @@ class TrieEncoder:
             for parts in split
         ]
 
-    def decode(self, ids: bytes) -> str:
-        """Text of little-endian 32-bit ids; bytes that are no UTF-8 become U+FFFD."""
-        raw = b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
-        return raw.decode("utf-8", "replace")
+
+@functools.cache
+def token_bytes(path: str) -> dict[int, bytes]:
+    """Bytes of each token, special ones included; all that decoding needs."""
+    tokens, special, _ = byte_level_vocabulary(path)
+    byte_level_vocabulary.cache_clear()
+    return {t: b for b, t in tokens.items()} | {t: s.encode() for s, t in special.items()}
+
+
+def decoded(ids: bytes, path: str) -> str:
+    """Text of little-endian 32-bit ids; bytes that are no UTF-8 become U+FFFD."""
+    raw = b"".join(map(token_bytes(path).__getitem__, np.frombuffer(ids, "<u4").tolist()))
+    return raw.decode("utf-8", "replace")
 
 
 @functools.cache
 def encoder(path: str) -> TrieEncoder:
     built = TrieEncoder(path)
+    byte_level_vocabulary.cache_clear()
     gc.collect()
     gc.freeze()  # its tables live as long as the worker; the collector need not walk them
     return built
@@ -240,7 +252,7 @@ def decode(encoded: DataFrame, tokenizer_path: str, id_col: str = "doc_id", ids_
     rows = encoded.select(encoded[id_col].alias("doc_id"), F.coalesce(encoded[ids_col], F.lit(b"")).alias("ids"))
 
     def call(batch: list[dict]) -> list[tuple]:
-        return [(r["doc_id"], r["ids"], encoder(tokenizer_path).decode(r["ids"])) for r in batch]
+        return [(r["doc_id"], r["ids"], decoded(r["ids"], tokenizer_path)) for r in batch]
 
     return map_rows(rows, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids binary, text string", call)
 

@@ -68,7 +68,9 @@ def train(rows: list[np.ndarray], target: np.ndarray) -> np.ndarray:
     """Logistic regression by mini-batches with Adagrad; the bias is the last weight."""
     size = 1 << FEATURE_BITS
     weights, squares = np.zeros(size + 1, np.float32), np.full(size + 1, 1e-2, np.float32)
-    docs = np.bincount(np.concatenate(rows), minlength=size) if rows else np.zeros(size, int)
+    docs = np.zeros(size, np.int32)
+    for row in rows:
+        docs[row] += 1  # a row's features are distinct
     rows = [r[docs[r] >= LEAST_DOCS] for r in rows]
     lengths = np.array([len(r) for r in rows])
     # Both classes weigh the same, and a short text as much as a long one.
