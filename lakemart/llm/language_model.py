@@ -51,7 +51,7 @@ def is_held_out(doc) -> bool:
     return zlib.crc32(str(doc).encode()) % HELD_OUT[0] == HELD_OUT[1] if doc is not None else False
 
 
-def word_counts(texts: DataFrame, tasks: int) -> DataFrame:
+def word_counts(dealt: DataFrame, tasks: int) -> DataFrame:
     """(grp, counts, n, v, hash, count): for each group the counts of its words in all training documents.
 
     Rows without a group hold sums for one task: its training tokens (n), distinct training words
@@ -62,14 +62,15 @@ def word_counts(texts: DataFrame, tasks: int) -> DataFrame:
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [(np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64))]
-        for row in (row for batch in batches for row in batch.to_pylist()):
-            table = pa.ipc.open_stream(row["texts"]).read_all()
-            seen: dict[bytes, int] = {}
-            for doc, raw in zip(*(c.to_pylist() for c in table.columns), strict=True):
-                learned = 0 if is_held_out(doc) else 1
-                for word in words_of(raw):
-                    seen[word] = seen.get(word, 0) + learned
-            held.append((hashes_of(seen), np.fromiter(seen.values(), np.int64), np.full(len(seen), row["grp"])))
+        for batch in batches:
+            for group, at in cut(batch.column(2).to_numpy()):
+                seen: dict[bytes, int] = {}
+                part = batch.take(pa.array(at))
+                for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    learned = 0 if is_held_out(doc) else 1
+                    for word in words_of(text.encode("utf-8", "surrogatepass")):
+                        seen[word] = seen.get(word, 0) + learned
+                held.append((hashes_of(seen), np.fromiter(seen.values(), np.int64), np.full(len(seen), group)))
         # One blob for each task that this one sends to, whatever the number of groups.
         names, counts, group = (np.concatenate(x) for x in zip(*held, strict=True))
         found = [(t, pack_numbers((names[at], 8), (counts[at], 8), (group[at], 4))) for t, at in cut(names % np.uint64(tasks))]
@@ -90,7 +91,7 @@ def word_counts(texts: DataFrame, tasks: int) -> DataFrame:
         rows += [(None, None, None, None, int(h), int(c), None) for h, c in zip(distinct[most].view(np.int64), sums[most], strict=True) if c > 0]
         yield batches_of(answer, *map(list, zip(*rows, strict=True)))
 
-    return texts.mapInArrow(count, schema).repartition(tasks, "task").mapInArrow(total, answer)
+    return dealt.mapInArrow(count, schema).repartition(tasks, "task").mapInArrow(total, answer)
 
 
 class Vocabulary:
@@ -258,7 +259,7 @@ def log_likelihoods(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     tasks = shuffle_tasks(docs.sparkSession)
     dealt, _ = grouped(rows)
     texts = group_texts(dealt)
-    counts = stored(word_counts(texts, tasks), "word-counts")
+    counts = stored(word_counts(dealt, tasks), "word-counts")
     vocabulary = Vocabulary(counts)
     of_groups = counts.filter("counts is not null").select("grp", "counts")
     corpus = stored(encoded(texts, of_groups, vocabulary), "encoded-documents")
