@@ -53,6 +53,8 @@ def unpack_all(blobs: Iterable[bytes], *widths: int) -> list[np.ndarray]:
 
 def cut(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """Each key with the positions that hold it, in order."""
+    if not len(keys):
+        return
     order = np.argsort(keys, kind="stable")
     names, first = np.unique(keys[order], return_index=True)
     for name, a, b in zip(names.tolist(), first.tolist(), [*first[1:].tolist(), len(order)], strict=True):
