@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -115,3 +118,11 @@ def appended(docs: DataFrame, column: str, added: str, function: Callable[[list]
                 yield pa.RecordBatch.from_arrays(columns, schema=fields)
 
     return docs.mapInArrow(run, schema)
+
+
+def release_memory() -> None:
+    """Gives memory of finished steps back to the machine: Spark reuses Python workers for later tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only where the C library can do it
+        ctypes.CDLL(None).malloc_trim(0)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.llm import gru
-from lakemart.llm.common import crc_remainder, documents, shuffle_tasks, stored, whole_texts
+from lakemart.llm.common import crc_remainder, documents, release_memory, shuffle_tasks, stored, whole_texts
 from lakemart.llm.groups import batches_of, cut, group_texts, grouped, pack_numbers, unpack_all
 
 HELD_OUT = (7, 2)
@@ -28,7 +28,7 @@ PIECE_SHARE = 16
 PIECE = 4 * gru.WINDOW
 ROUNDS = 2
 #: Tokens that one call of the scorer runs side by side, about.
-TOKENS_PER_CALL = 1_000_000
+TOKENS_PER_CALL = 600_000
 #: The end of a document as a token; words hold no space.
 END = b" "
 
@@ -74,7 +74,10 @@ def word_counts(dealt: DataFrame, tasks: int) -> DataFrame:
         # One blob for each task that this one sends to, whatever the number of groups.
         names, counts, group = (np.concatenate(x) for x in zip(*held, strict=True))
         found = [(t, pack_numbers((names[at], 8), (counts[at], 8), (group[at], 4))) for t, at in cut(names % np.uint64(tasks))]
+        del names, counts, group, held
         yield batches_of(schema, [t for t, _ in found], [b for _, b in found])
+        del found
+        release_memory()
 
     def total(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, counts, group = unpack_all((b for batch in batches for b in batch.column(1).to_pylist()), 8, 8, 4)
@@ -89,7 +92,10 @@ def word_counts(dealt: DataFrame, tasks: int) -> DataFrame:
             rows.append((None, None, int(own.sum()), len(own), None, None, b))
         most = np.lexsort((distinct, -sums))[: gru.HEAD_WORDS]
         rows += [(None, None, None, None, int(h), int(c), None) for h, c in zip(distinct[most].view(np.int64), sums[most], strict=True) if c > 0]
+        del names, counts, group, distinct, place, sums, band
         yield batches_of(answer, *map(list, zip(*rows, strict=True)))
+        del rows
+        release_memory()
 
     return dealt.mapInArrow(count, schema).repartition(tasks, "task").mapInArrow(total, answer)
 
@@ -164,7 +170,10 @@ def encoded(texts: DataFrame, counts: DataFrame, vocabulary: Vocabulary) -> Data
             for doc, at in rows
         ]
         columns = zip(*out, strict=True) if out else [()] * len(arrow)
-        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
+        table = pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
+        del index, rows, out, columns, own, seen
+        release_memory()
+        return table
 
     return texts.groupBy("grp").cogroup(counts.groupBy("grp")).applyInArrow(encode, schema)
 
@@ -243,6 +252,8 @@ def scored(corpus: DataFrame, weights: gru.Weights) -> DataFrame:
                     held, tokens = [], 0
         if held:
             yield done(held)
+        del held
+        release_memory()
 
     return corpus.mapInArrow(run, schema)
 

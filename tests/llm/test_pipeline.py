@@ -2,8 +2,8 @@ import corpus_pipeline
 
 
 def test_stages_keep_the_columns_and_clean_documents(spark, tmp_path):
-    clean = "A quiet morning by the river where {} walked along the old stone bridge and looked at boats. " * 2
-    rows = [(i, clean.replace("{}", f"person{i}") + f"Number {i * 7919} closes the day.", "en", "s", 0) for i in range(30)]
+    clean = "A quiet morning by the river where {} walked along the old stone bridge and looked at boats. "
+    rows = [(i, clean.replace("{}", f"person{i}") + f"Number {i * 7919} closes day {i * i * 31} for all who went home after it was over and done.", "en", "s", 0) for i in range(30)]
     rows += [(100, rows[0][1], "en", "s", 0), (101, None, "en", "s", 0), (102, "", "en", "s", 0), (None, "no id here at all.", "en", "s", 0)]
     folder = str(tmp_path)
     spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars int").write.parquet(f"{folder}/documents.parquet")
