@@ -23,9 +23,11 @@ from lakemart.plans.staging import MODELS, STAGED, UPDATED, stage, staged_keys
 from lakemart.plans.warehouse_checks import latest_run, run_checks, stamp_run
 from lakemart.sources.contract import INCREMENTAL_DATASETS
 from lakemart.sources.lake import Lake, Transaction
-from lakemart.sources.raw_load import raw_table
+from lakemart.sources.raw_load import LOAD_HISTORY, raw_table
 
 QUALITY_RESULTS = "audit.data_quality_results"
+# Ids of the RAW batches that the models already hold.
+BUILT_BATCHES = "audit.built_batches"
 MONTH, BUCKET = "layout_month", "layout_bucket"
 BUCKETS = 64
 
@@ -144,6 +146,8 @@ def build_full(lake: Lake, round_scale: int | None = None) -> int:
             }
         )
         build_marts(tx)
+        if tx.has(LOAD_HISTORY):
+            tx.overwrite(BUILT_BATCHES, tx.read(LOAD_HISTORY).select("batch_id").distinct().coalesce(1))
     return lake.state()[0]
 
 
@@ -233,8 +237,43 @@ def fresh_order_ids(raws: Sequence[DataFrame], watermark: Column) -> DataFrame:
     filter on. So changed orders are found per table first, and then all tables are cut to
     them before they are joined.
     """
+    return order_ids_of([fresh_rows(raw, watermark) for raw in raws])
+
+
+def order_ids_of(raws: Sequence[DataFrame]) -> DataFrame:
     order_id = identifier("order_id").alias("order_id")
-    return union_all([fresh_rows(raw, watermark).select(order_id) for raw in raws]).distinct()
+    return union_all([raw.select(order_id) for raw in raws]).distinct()
+
+
+def unbuilt_batches(tx: Transaction) -> list[str]:
+    """Ids of the loaded batches that no build has read yet: one for each load since then.
+
+    What is new is decided by batch and not by change time, so a row that arrives after younger
+    rows of its own or of another table is not missed.
+    """
+    if not tx.has(LOAD_HISTORY):
+        return []
+    loaded = tx.read(LOAD_HISTORY).select("batch_id").distinct()
+    if tx.has(BUILT_BATCHES):
+        loaded = loaded.join(tx.read(BUILT_BATCHES), "batch_id", "left_anti")
+    return sorted(row["batch_id"] for row in loaded.collect())
+
+
+def current_rows(dataset: str, raw: DataFrame, fresh: DataFrame, watermark: Column) -> DataFrame:
+    """Staged current rows of all keys with a fresh RAW row, whenever that row was changed.
+
+    Fresh rows younger than everything staged (``watermark``) outrank all older versions, so
+    ranking them alone is enough. As soon as one is not, or has no source time, all versions of
+    the fresh keys are ranked.
+    """
+    model = MODELS[dataset]
+    late = F.col("source_updated_at").isNull() | (F.col("source_updated_at") <= watermark)
+    if not model.keys or fresh.filter(late).isEmpty():
+        return stage(dataset, fresh)
+    wanted = staged_keys(dataset, fresh).toDF(*[f"_fresh_{k}" for k in model.keys])
+    tagged = raw.selectExpr("*", *[f"{model.expression(k)} as _fresh_{k}" for k in model.keys])
+    versions = tagged.join(wanted, wanted.columns, "left_semi").drop(*wanted.columns)
+    return stage(dataset, versions)
 
 
 def item_delta(
@@ -284,34 +323,44 @@ def build_increment(
     repair_unknown: bool = False,
     round_scale: int | None = None,
 ) -> int:
-    """Upsert what changed since the last build; one commit.
+    """Upsert what the RAW batches loaded since the last build changed; one commit.
 
-    Each model compares with the highest change time it holds, strictly. ``lookback`` moves
-    that bound back for rows that were committed late. ``propagate_lookups`` also rebuilds
+    ``lookback`` also takes rows up to that much older than the youngest staged row, for RAW
+    rows that were appended without a batch of their own. ``propagate_lookups`` also rebuilds
     dimension rows whose geolocation or label changed. ``repair_unknown`` re-keys fact rows
     whose dimension member arrived after them. Upserts are idempotent, so none can add rows.
     """
     with lake.transaction() as tx:
+        batches = unbuilt_batches(tx)
         raw = {name: tx.read(raw_table(name)) for name in STAGED}
+        # Taken before staging is updated, so that dimensions and facts see the same fresh rows.
+        marks = {name: _literal(tx.read(staged_table(name)), None) for name in INCREMENTAL_DATASETS}
+        fresh = {}
+        for name, mark in marks.items():
+            unbuilt = F.col("batch_id").isin(batches)
+            if lookback:
+                since = mark - F.lit(lookback)
+                unbuilt = unbuilt | (F.col("source_updated_at") > since) | (
+                    F.col("source_updated_at").isNull() & (F.col("loaded_at") > since)
+                )
+            fresh[name] = raw[name].filter(unbuilt)
         extras = stage_into(tx, ("geolocation", "category_translation"))
 
         def upsert_staged(name: str) -> DataFrame:
-            mark = _literal(tx.read(staged_table(name)), lookback)
-            changes = changed_rows(name, raw[name], mark)
+            changes = current_rows(name, raw[name], fresh[name], marks[name])
             keys = MODELS[name].keys
             return tx.upsert(staged_table(name), changes, keys, **staged_layout(name))
 
-        _side_by_side({name: partial(upsert_staged, name) for name in INCREMENTAL_DATASETS})
+        changed = _side_by_side({n: partial(upsert_staged, n) for n in INCREMENTAL_DATASETS})
 
         def upsert_dim(name: str) -> DataFrame:
             main, extra = DIM_INPUT[name]
             builder = DIM_BUILDERS[name]
-            mark = _literal(tx.read(model_table(name)), lookback)
             if propagate_lookups:
                 delta = builder(tx.read(staged_table(main)), extras[extra], unknown=False)
-                delta = delta.filter(F.col(UPDATED) > mark)
+                delta = delta.subtract(tx.read(model_table(name)))
             else:
-                delta = builder(changed_rows(main, raw[main], mark), extras[extra], unknown=False)
+                delta = builder(changed[main], extras[extra], unknown=False)
             return tx.upsert(model_table(name), delta, MODEL_KEYS[name], **model_layout(name))
 
         _side_by_side({name: partial(upsert_dim, name) for name in DIM_BUILDERS})
@@ -319,25 +368,27 @@ def build_increment(
         customers, products, sellers = (ids[n] for n in ("customer_id", "product_id", "seller_id"))
 
         def upsert_fact(name: str) -> DataFrame:
-            mark = _literal(tx.read(model_table(name)), lookback)
             inputs = FACT_INPUT[name]
-            changed = fresh_order_ids([raw[n] for n in inputs], mark)
-            staged = {n: rows_of_orders(tx.read(staged_table(n)), changed) for n in inputs}
+            touched = order_ids_of([fresh[n] for n in inputs])
+            staged = {n: rows_of_orders(tx.read(staged_table(n)), touched) for n in inputs}
             items, orders, payments = (
                 staged.get(n) for n in ("order_items", "orders", "payments")
             )
             if name == "fact_order_items":
-                delta = item_delta(items, orders, mark, customers, products, sellers)
+                delta = facts.fact_order_items(items, orders, customers, products, sellers)
             elif name == "fact_payments":
-                delta = payment_delta(payments, orders, mark, customers)
+                delta = facts.fact_payments(payments, orders, customers)
             else:
-                delta = lifecycle_delta(orders, items, payments, mark, customers, round_scale)
+                delta = facts.fact_order_lifecycle(orders, items, payments, customers, round_scale)
             return tx.upsert(model_table(name), delta, MODEL_KEYS[name], **model_layout(name))
 
         _side_by_side({name: partial(upsert_fact, name) for name in FACT_DAY})
         if repair_unknown:
             _repair(tx, ids, round_scale)
         build_marts(tx)
+        if batches:
+            built = lake.spark.createDataFrame([(b,) for b in batches], "batch_id string")
+            tx.append(BUILT_BATCHES, built)
     return lake.state()[0]
 
 
