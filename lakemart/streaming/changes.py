@@ -1,12 +1,14 @@
 """The incremental load as a stream: change files land in a folder and become RAW batches.
 
 The stream's checkpoint takes the place of the watermark. Each micro-batch is one commit that
-holds the RAW rows and their history row; its batch id is derived from the stream, so a batch
-that is replayed after a failure is recognised and skipped.
+holds the RAW rows and their history row; its batch id is derived from the id that the checkpoint
+gives the stream, so a batch that is replayed after a failure is recognised and skipped, while a
+stream with a new checkpoint is another one.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lakemart.sources.contract import COMMERCE_CONTRACT, INCREMENTAL_DATASETS, Contract
 from lakemart.sources.extracts import UPDATED_AT, as_raw_text
-from lakemart.sources.lake import Lake
+from lakemart.sources.lake import Files, Lake
 from lakemart.sources.raw_load import (
     LOAD_HISTORY,
     NO_FILE_HASH,
@@ -38,6 +40,13 @@ def already_loaded(lake: Lake, batch: str) -> bool:
     return not lake.read(LOAD_HISTORY).filter(F.col("batch_id") == batch).isEmpty()
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a stream keeps in its checkpoint over all its runs."""
+    # The file holds a JSON document, in some versions after a line with the format's version.
+    text = Files(spark, checkpoint).read_text("metadata")
+    return json.loads(text[text.index("{") :])["id"]
+
+
 def append_batch(
     lake: Lake, dataset: str, rows: DataFrame, batch: str, contract: Contract = COMMERCE_CONTRACT
 ) -> int:
@@ -70,7 +79,8 @@ def start(
         raise ValueError(f"data set has no incremental extract: {dataset}")
 
     def load(rows: DataFrame, number: int) -> None:
-        append_batch(lake, dataset, rows, f"stream-{dataset}-{number}")
+        stream = stream_id(lake.spark, checkpoint)
+        append_batch(lake, dataset, rows, f"stream-{dataset}-{stream}-{number}")
         if after_batch:
             after_batch(lake)
 

@@ -39,7 +39,12 @@ def test_stream_equals_batch(spark, lake, tmp_path):
 
     # a replayed micro-batch adds nothing
     again = spark.read.schema(SCHEMA).parquet(folder)
-    assert changes.append_batch(lake, "sellers", again, "stream-sellers-0") == 0
+    batch = f"stream-sellers-{changes.stream_id(spark, checkpoint)}-0"
+    assert changes.append_batch(lake, "sellers", again, batch) == 0
     assert lake.read("raw.sellers").count() == 3
+    # a stream with a new checkpoint is no replay of the first
+    checkpoint = str(tmp_path / "another")
+    run()
+    assert lake.read("raw.sellers").count() == 6
     with pytest.raises(ValueError, match="no incremental extract"):
         changes.start(lake, "reviews", again, checkpoint)
