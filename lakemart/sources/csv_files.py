@@ -46,7 +46,9 @@ def _reader(spark: SparkSession, multi_line: bool):
         "quote": '"',
         "escape": '"',
         "encoding": "UTF-8",
-        "mode": "PERMISSIVE",
+        # A row with too few or too many fields stops the read, also where few columns are asked for.
+        "mode": "FAILFAST",
+        "columnPruning": False,
     }
     return spark.read.options(**options)
 
@@ -73,8 +75,12 @@ def read_by_name(
     multi_line: bool = False,
     na_words: Sequence[str] | None = NA_WORDS,
 ) -> DataFrame:
-    """All columns as text under their header names; ``na_words`` become null."""
-    df = _reader(spark, multi_line).option("inferSchema", False).csv(list(paths))
+    """All columns as text under their header names; ``na_words`` become null.
+
+    All files must have the same header; another one stops the read.
+    """
+    options = {"inferSchema": False, "enforceSchema": False}
+    df = _reader(spark, multi_line).options(**options).csv(list(paths))
     return na_to_null(df, na_words) if na_words else df
 
 

@@ -106,3 +106,21 @@ def test_report(spark, data_dir, tmp_path):
     assert csv_files.report_name("profile", at) == "profile_20260102T030405Z.json"
     with pytest.raises(FileNotFoundError):
         csv_files.require_files(spark, data_dir, "*.xml")
+
+
+@pytest.mark.parametrize("body", ["1,x,EXTRA\n", "2\n"])
+def test_rows_of_another_width_stop_the_read(spark, tmp_path, body):
+    (tmp_path / "a.csv").write_text("id,name\n1,x\n" + body)
+    paths = [str(tmp_path / "a.csv")]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        csv_files.read_by_position(spark, paths, ["id", "name"]).collect()
+    with pytest.raises(Exception, match="(?i)malformed"):
+        csv_files.row_count(spark, paths)
+
+
+def test_files_with_other_headers_stop_the_read(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,name\n1,x\n")
+    (tmp_path / "b.csv").write_text("name,id\nz,3\n")
+    paths = [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")]
+    with pytest.raises(Exception, match="(?i)header"):
+        csv_files.read_by_name(spark, paths).collect()
