@@ -73,8 +73,8 @@ def strict_cast(c: str, data_type: str) -> str:
 
 @sql_helper
 def is_blank(c: str) -> str:
-    """Null, empty or only whitespace of any kind."""
-    return f"coalesce({c} rlike r'^\\s*$', true)"
+    """Null, empty or only whitespace of any kind, as Unicode and its separators have it."""
+    return f"coalesce({c} rlike r'(?U)^[\\s\\x1c-\\x1f]*$', true)"
 
 
 @sql_helper

@@ -67,6 +67,8 @@ def lookup_join(
         return fact.join(F.broadcast(dim), key, how)
     hot = hot_keys(fact if seen is None else seen, key, share)
     if not hot:
+        if how == "left" and fact.schema[key].nullable:
+            return _join_with_spread_nulls(fact, dim, key)
         return fact.join(dim, key, how)
     # A null key matches nothing; it stays with the rows that are not shuffled.
     stays = F.col(key).isNull() | F.col(key).isin(hot)
@@ -75,6 +77,16 @@ def lookup_join(
     return even.unionByName(skewed)
 
 
+def _join_with_spread_nulls(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+    """Left join in which rows without a key, which match nothing, spread over all partitions.
+
+    Their place follows from their other columns, so that a task that runs again deals them alike.
+    """
+    spread = F.when(F.col(key).isNull(), F.xxhash64(*fact.columns)).otherwise(F.lit(0))
+    sides = fact.withColumn("_spread", spread), dim.withColumn("_spread", F.lit(0).cast("bigint"))
+    return sides[0].join(sides[1], [key, "_spread"], "left").drop("_spread")
+
+
 def lookup_key(
     fact: DataFrame,
     dim_ids: DataFrame,

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from lakemart.functions import literal, parsed_number
 
-INTEGER_TEXT = r"^\s*[+-]?\d{1,18}\s*$"
+INTEGER_TEXT = r"^\s*[+-]?\d+\s*$"
 # The words a type-inferring CSV reader takes for booleans.
 TRUE_WORDS = ("True", "TRUE", "true")
 FALSE_WORDS = ("False", "FALSE", "false")
@@ -27,7 +27,8 @@ def infer_types(df: DataFrame) -> DataFrame:
     for i, c in enumerate(df.columns):
         number = f"if(`{c}` is null, null, {parsed_number.sql(f'`{c}`')} is not null)"
         tests += [
-            f"coalesce(bool_and(`{c}` rlike r'{INTEGER_TEXT}'), false) as i{i}",
+            f"coalesce(bool_and(`{c}` rlike r'{INTEGER_TEXT}'), false) as w{i}",
+            f"coalesce(bool_and(if(`{c}` is null, null, try_cast(trim(`{c}`) as bigint) is not null)), false) as i{i}",
             f"coalesce(bool_and({number}), true) as d{i}",
             f"coalesce(bool_and(`{c}` in ({words})), false) as b{i}",
         ]
@@ -35,8 +36,9 @@ def infer_types(df: DataFrame) -> DataFrame:
     typed = []
     for i, c in enumerate(df.columns):
         kind = "string"
-        if facts[f"i{i}"]:
-            kind = "bigint"
+        if facts[f"w{i}"]:
+            # Whole numbers that 64 bits do not hold stay text: doubles would make some equal.
+            kind = "bigint" if facts[f"i{i}"] else "string"
         elif facts[f"d{i}"]:
             kind = "double"
         elif facts[f"b{i}"]:

@@ -24,7 +24,7 @@ from lakemart.functions import (
 from lakemart.operators.versions import latest_version
 
 UPDATED = "record_updated_at"
-POINT = "decimal(20,15)"
+POINT = "decimal(28,15)"
 
 
 def _cast(data_type: str) -> Callable[[str], str]:

@@ -23,16 +23,17 @@ def test_stable_key_matches_md5(spark):
 
 
 def test_text(spark):
-    row = "select '  A b ' as a, '   ' as blank, '\t' as tab, cast(null as string) as nothing"
+    row = "select '  A b ' as a, '   ' as blank, '\t' as tab, cast(null as string) as nothing, '\u00a0\u2003' as wide"
     assert one(spark, fn.identifier("a"), row) == "A b"
     assert one(spark, fn.code("a"), row) == "a b"
     assert one(spark, fn.blank_to_null("blank"), row) is None
     assert one(spark, fn.blank_to_null("tab"), row) == "\t"
-    assert [one(spark, fn.is_blank(c), row) for c in ("a", "blank", "tab", "nothing")] == [
+    assert [one(spark, fn.is_blank(c), row) for c in ("a", "blank", "tab", "nothing", "wide")] == [
         False,
         True,
         True,
         True,
+        True,
     ]
 
 

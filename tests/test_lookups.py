@@ -38,6 +38,15 @@ def test_hot_keys_are_found(fact):
     assert set(lookups.hot_keys(fact, "key", 0.05)) == {"k0", "k1"}
 
 
+def test_rows_without_a_key_are_kept_and_spread(spark):
+    fact = spark.range(400).selectExpr("id as n", "if(id % 4 = 0, cast(id as string), null) as k")
+    other = spark.range(400).selectExpr("cast(id as string) as k", "id as x")
+    got = lookups.lookup_join(fact, other, "k", "left", broadcast_bytes=0, share=0.5)
+    assert got.columns == ["k", "n", "x"]
+    found = {r["n"]: r["x"] for r in got.collect()}
+    assert found == {n: (n if n % 4 == 0 else None) for n in range(400)}
+
+
 def test_other_join_types_are_refused(fact, dim):
     with pytest.raises(ValueError, match="unsupported"):
         lookups.lookup_join(fact, dim, "key", "full")

@@ -33,6 +33,14 @@ def test_against_pandas(spark, tmp_path):
     assert tuple(table) == (5, 8, int(expected.duplicated().sum()))
 
 
+def test_long_integers_stay_distinct(spark):
+    ids = ["9007199254740993000", "9007199254740993001", "99999999999999999999", "99999999999999999998"]
+    df = spark.createDataFrame([(i, i[:19]) for i in ids], "long string, bigint string")
+    got = {r["column_name"]: r for r in profiles.profile_columns(profiles.infer_types(df)).collect()}
+    assert (got["long"]["inferred_type"], got["long"]["distinct_count"]) == ("object", 4)
+    assert got["bigint"]["distinct_count"] == 3
+
+
 def test_first_values_in_file_order(spark, tmp_path):
     (tmp_path / "a.csv").write_text(TEXT)
     df = read_by_name(spark, [str(tmp_path / "a.csv")])

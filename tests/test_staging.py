@@ -75,3 +75,9 @@ def test_geolocation_point(spark):
     rows = [("01", "1.5", "", "b ", " ", None, None), ("1", "2.5", "7", " a", "S", None, None)]
     got = stage("geolocation", spark.createDataFrame(rows, columns)).first()
     assert (got[0], got["latitude"], got["longitude"], got["city"], got["state"]) == (1, 2.0, 7.0, "a", "S")
+
+
+def test_large_coordinates_are_staged(spark):
+    columns = "geolocation_zip_code_prefix string, geolocation_lat string, geolocation_lng string, geolocation_city string, geolocation_state string, source_updated_at timestamp_ntz, loaded_at timestamp_ntz"
+    points = spark.createDataFrame([("1", "-20.5", "150000", "x", "SP", None, None)], columns)
+    assert stage("geolocation", points).first()["longitude"] == 150000.0
