@@ -789,6 +789,7 @@ QUERIES = {
               union all select 'payments', count(*), count(*) from events
               union all select 'order_items', count(*) filter (l_quantity < 50), count(*)
               from lineitem)""",
+    "payment_grain_check": grain_audit("stg_payments", "order_id, payment_sequential", "stg_payments"),
     "warehouse_check_rows": union(
         grain_audit("fact_order_items", "order_id, order_item_id", "fact_order_items"),
         audit(

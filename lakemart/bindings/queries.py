@@ -674,6 +674,12 @@ def warehouse_check_rows(c: Context) -> DataFrame:
     return _warehouse_results(c).drop("error_message")
 
 
+@query
+def payment_grain_check(c: Context) -> DataFrame:
+    grain = ["order_id", "payment_sequential"]
+    return warehouse_checks.grain_check(c.staged("payments"), "stg_payments", grain).drop("error_message")
+
+
 @query
 def latest_run_results(c: Context) -> DataFrame:
     first = warehouse_checks.grain_check(c.raw("payments"), "payments", ["order_id"])
