@@ -356,11 +356,13 @@ def build_increment(
         def upsert_dim(name: str) -> DataFrame:
             main, extra = DIM_INPUT[name]
             builder = DIM_BUILDERS[name]
+            held = tx.read(model_table(name))
+            lacks_unknown = held.filter(F.col(MODEL_KEYS[name][0]) == UNKNOWN_KEY).isEmpty()
             if propagate_lookups:
-                delta = builder(tx.read(staged_table(main)), extras[extra], unknown=False)
-                delta = delta.subtract(tx.read(model_table(name)))
+                delta = builder(tx.read(staged_table(main)), extras[extra], unknown=lacks_unknown)
+                delta = delta.subtract(held)
             else:
-                delta = builder(changed[main], extras[extra], unknown=False)
+                delta = builder(changed[main], extras[extra], unknown=lacks_unknown)
             return tx.upsert(model_table(name), delta, MODEL_KEYS[name], **model_layout(name))
 
         _side_by_side({name: partial(upsert_dim, name) for name in DIM_BUILDERS})

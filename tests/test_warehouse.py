@@ -180,6 +180,14 @@ def test_increments_equal_a_full_build(spark, built):
     assert {name: rows(built.read(name)) for name in tables} == step_by_step
 
 
+def test_a_lost_unknown_member_comes_back(spark, built):
+    table = model_table("dim_seller")
+    with built.transaction() as tx:
+        tx.overwrite(table, built.read(table).filter("seller_key <> -1"))
+    warehouse.build_increment(built)
+    assert built.read(table).filter("seller_key = -1").count() == 1
+
+
 def test_rows_that_arrive_late_are_built(spark, built):
     """A payment changed before, and loaded after, the youngest order; a customer below a late point."""
     t = dt.datetime.now(UTC) + dt.timedelta(days=10)
