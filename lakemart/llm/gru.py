@@ -10,6 +10,7 @@ document.
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterable
 
 import numpy as np
 
@@ -90,24 +91,36 @@ def steps(weights: Weights, inputs: np.ndarray, state: np.ndarray, reset: np.nda
     return out, kept
 
 
-def log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def softmax(x: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Natural log of the chosen row's probability in each column, and all probabilities; ``x`` is overwritten."""
+    x -= x.max(axis=0)
+    logs = x[chosen, np.arange(x.shape[1])]
+    np.exp(x, out=x)
+    total = x.sum(axis=0)
+    x /= total
+    return logs - np.log(total), x
+
+
+def by_class(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of tokens by class, their classes in that order, and where each class of frequent words starts."""
+    classes = classes_of(tokens).astype(np.uint8)
+    order = np.argsort(classes, kind="stable")
+    classes = classes[order]
+    return order, classes, np.searchsorted(classes, np.arange(HEAD_CLASSES + 1))
 
 
 def log_probabilities(weights: Weights, states: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     """Natural log of each token's class, and of a frequent word in its class, given the states."""
-    classes = classes_of(tokens)
-    at = np.arange(len(tokens))
-    out = log_softmax(states @ weights["to_class"] + weights["class_bias"])[at, classes]
-    order = np.argsort(classes, kind="stable")
-    edges = np.searchsorted(classes[order], np.arange(HEAD_CLASSES + 1))
+    order, classes, edges = by_class(tokens)
+    states, tokens = states[order], tokens[order]
+    logs, _ = softmax(weights["to_class"].T @ states.T + weights["class_bias"][:, None], classes)
     for c in range(HEAD_CLASSES):
-        own = order[edges[c] : edges[c + 1]]
-        if len(own):
+        own = slice(edges[c], edges[c + 1])
+        if edges[c] < edges[c + 1]:
             words = slice(c * CLASS_WORDS, (c + 1) * CLASS_WORDS)
-            scores = log_softmax(states[own] @ weights["to_word"][words].T + weights["word_bias"][words])
-            out[own] += scores[np.arange(len(own)), tokens[own] - c * CLASS_WORDS]
+            logs[own] += softmax(weights["to_word"][words] @ states[own].T + weights["word_bias"][words, None], tokens[own] - c * CLASS_WORDS)[0]
+    out = np.empty_like(logs)
+    out[order] = logs
     return out
 
 
@@ -115,75 +128,108 @@ def gradients(weights: Weights, inputs: np.ndarray, tokens: np.ndarray, state: n
     """Gradient of the mean negative log-likelihood of a window, the state after it, and the mean."""
     states, kept = steps(weights, inputs, state, reset)
     grad = {k: np.zeros(s, np.float32) for k, s in SHAPES.items()}
-    flat, target, mask = states.reshape(-1, HIDDEN), tokens.ravel(), held.ravel()
-    share = np.float32(1 / max(1, int(mask.sum())))
-    classes = classes_of(target)
-    logs = log_softmax(flat @ weights["to_class"] + weights["class_bias"])
+    order, classes, edges = by_class(tokens.ravel())
+    flat, target = states.reshape(-1, HIDDEN)[order], tokens.ravel()[order]
+    share = held.ravel()[order] * np.float32(1 / max(1, int(held.sum())))
     at = np.arange(len(target))
-    loss = -logs[at, classes]
-    d = np.exp(logs)
-    d[at, classes] -= 1
-    d *= (mask * share)[:, None]
-    grad["to_class"] = flat.T @ d
-    grad["class_bias"] = d.sum(axis=0)
-    d_states = d @ weights["to_class"].T
-    order = np.argsort(classes, kind="stable")
-    edges = np.searchsorted(classes[order], np.arange(HEAD_CLASSES + 1))
+    logs, d = softmax(weights["to_class"].T @ flat.T + weights["class_bias"][:, None], classes)
+    d[classes, at] -= 1
+    d *= share
+    grad["to_class"] = (d @ flat).T
+    grad["class_bias"] = d.sum(axis=1)
+    d_flat = (weights["to_class"] @ d).T
     for c in range(HEAD_CLASSES):
-        own = order[edges[c] : edges[c + 1]]
-        if len(own):
+        own = slice(edges[c], edges[c + 1])
+        if edges[c] < edges[c + 1]:
             words = slice(c * CLASS_WORDS, (c + 1) * CLASS_WORDS)
-            logs = log_softmax(flat[own] @ weights["to_word"][words].T + weights["word_bias"][words])
-            mine = np.arange(len(own)), target[own] - c * CLASS_WORDS
-            loss[own] -= logs[mine]
-            d = np.exp(logs)
-            d[mine] -= 1
-            d *= (mask[own] * share)[:, None]
-            grad["to_word"][words] = d.T @ flat[own]
-            grad["word_bias"][words] = d.sum(axis=0)
-            d_states[own] += d @ weights["to_word"][words]
+            by_word, word = weights["to_word"][words], target[own] - c * CLASS_WORDS
+            more, d = softmax(by_word @ flat[own].T + weights["word_bias"][words, None], word)
+            logs[own] += more
+            d[word, at[: len(word)]] -= 1
+            d *= share[own]
+            grad["to_word"][words] = d @ flat[own]
+            grad["word_bias"][words] = d.sum(axis=1)
+            d_flat[own] += (by_word.T @ d).T
+    d_states = np.empty_like(d_flat, order="C")
+    d_states[order] = d_flat
     d_states = d_states.reshape(states.shape)
     back = np.zeros_like(state)
-    d_inputs = np.empty((*inputs.shape, 3 * HIDDEN), np.float32)
-    for t in range(inputs.shape[1] - 1, -1, -1):
+    lanes, length = inputs.shape
+    d_inputs = np.empty((length, lanes, 3 * HIDDEN), d_states.dtype)
+    d_given = np.empty_like(d_inputs)
+    for t in range(length - 1, -1, -1):
         h, z, r, n, last = kept[t]
         dh = d_states[:, t] + back
         dn = dh * (1 - z) * (1 - n * n)
-        dz = dh * (h - n) * z * (1 - z)
-        dr = dn * last * r * (1 - r)
-        d_inputs[:, t] = np.concatenate([dz, dr, dn], axis=1)
-        du = np.concatenate([dz, dr, dn * r], axis=1)
-        grad["state"] += h.T @ du
-        back = (dh * z + du @ weights["state"].T) * ~reset[:, t, None]
-    np.add.at(grad["inputs"], inputs.ravel(), d_inputs.reshape(-1, 3 * HIDDEN))
-    return grad, states[:, -1], float((loss * mask).sum() * share)
-
-
-def train(weights: Weights, pieces: list[tuple[int, np.ndarray]], lanes: int = 64) -> Weights:
-    """Weights after one pass over pieces (input before the first token, tokens) of documents.
-
-    Pieces of like length run side by side; the state is carried through a piece.
+        d_inputs[t, :, :HIDDEN] = dh * (h - n) * z * (1 - z)
+        d_inputs[t, :, HIDDEN : 2 * HIDDEN] = dn * last * r * (1 - r)
+        d_inputs[t, :, 2 * HIDDEN :] = dn
+        d_given[t] = d_inputs[t]
+        d_given[t, :, 2 * HIDDEN :] *= r
+        back = (dh * z + d_given[t] @ weights["state"].T) * ~reset[:, t, None]
+    grad["state"] = np.concatenate([k[0] for k in kept]).T @ d_given.reshape(-1, 3 * HIDDEN)
+    named = inputs.T.ravel().astype(np.uint16)
+    order = np.argsort(named, kind="stable")
+    named = named[order]
+    first = np.flatnonzero(np.concatenate(([True], named[1:] != named[:-1])))
+    grad["inputs"][named[first]] = np.add.reduceat(d_inputs.reshape(-1, 3 * HIDDEN)[order], first, axis=0)
+    return grad, states[:, -1], -float((logs * share).sum())
+
+
+class Lanes:
+    """Documents dealt to lanes that run side by side, the longest lane first."""
+
+    def __init__(self, documents: list[np.ndarray], lanes: int, rng: np.random.Generator | None = None):
+        """``rng`` puts the documents of each lane in random order; else the longest is first."""
+        ends: list[tuple[int, int]] = [(0, i) for i in range(min(lanes, len(documents)))]
+        dealt: list[list[int]] = [[] for _ in ends]
+        for i in sorted(range(len(documents)), key=lambda i: -len(documents[i])):
+            length, lane = heapq.heappop(ends)
+            dealt[lane].append(i)
+            heapq.heappush(ends, (length + len(documents[i]), lane))
+        if rng:
+            dealt = [rng.permutation(lane).tolist() for lane in dealt]
+        rows = [np.concatenate([documents[i] for i in lane]).astype(np.int64) for lane in dealt]
+        order = sorted(range(len(rows)), key=lambda i: -len(rows[i]))
+        rows, dealt = [rows[i] for i in order], [dealt[i] for i in order]
+        self.lengths = np.array([len(r) for r in rows])
+        self.longest = int(self.lengths[0]) if rows else 0
+        shape = (len(rows), self.longest)
+        self.tokens, self.owner, self.reset = np.zeros(shape, np.int32), np.zeros(shape, np.int32), np.zeros(shape, bool)
+        for row, (own, numbers) in enumerate(zip(rows, dealt, strict=True)):
+            self.tokens[row, : len(own)] = own
+            sizes = [len(documents[i]) for i in numbers]
+            self.owner[row, : len(own)] = np.repeat(numbers, sizes)
+            self.reset[row, np.cumsum([0, *sizes[:-1]])] = True
+        self.inputs = np.concatenate([np.full((len(rows), 1), START, np.int32), self.tokens[:, :-1]], axis=1) if self.longest else self.tokens
+        self.inputs[self.reset] = START
+
+    def windows(self):
+        """Each window's part of the lanes that still hold tokens there, and where they hold some."""
+        for start in range(0, self.longest, WINDOW):
+            live = int((self.lengths > start).sum())
+            part = (slice(0, live), slice(start, start + WINDOW))
+            width = min(WINDOW, self.longest - start)
+            yield part, (start + np.arange(width))[None] < self.lengths[:live, None]
+
+
+def train(weights: Weights, parts: Iterable[list[np.ndarray]], lanes: int = 64) -> Weights:
+    """Weights after one pass over all tokens of whole documents, given in parts that fit the memory.
+
+    The state is carried from window to window and starts anew with each document.
     """
     weights = {k: v.copy() for k, v in weights.items()}
     squares = {k: np.full(v.shape, 1e-3, np.float32) for k, v in weights.items()}
-    order = sorted(range(len(pieces)), key=lambda i: -len(pieces[i][1]))
-    groups = [order[i : i + lanes] for i in range(0, len(order), lanes)]
-    for g in np.random.default_rng(3).permutation(len(groups)):
-        own = [pieces[i] for i in groups[g]]
-        longest = max(len(p) for _, p in own)
-        tokens = np.zeros((len(own), longest), np.int64)
-        inputs = np.zeros((len(own), longest), np.int64)
-        held = np.zeros((len(own), longest), bool)
-        for row, (before, piece) in enumerate(own):
-            tokens[row, : len(piece)] = piece
-            inputs[row, 0] = before
-            inputs[row, 1 : len(piece)] = piece[:-1]
-            held[row, : len(piece)] = True
-        state = np.zeros((len(own), HIDDEN), np.float32)
-        for start in range(0, longest, WINDOW):
-            part = slice(start, start + WINDOW)
-            grad, state, _ = gradients(weights, inputs[:, part], tokens[:, part], state, np.zeros_like(held[:, part]), held[:, part])
+    rng = np.random.default_rng(3)
+    for documents in parts:
+        dealt = Lanes(documents, lanes, rng)
+        state = np.zeros((len(dealt.lengths), HIDDEN), np.float32)
+        for part, held in dealt.windows():
+            grad, state, _ = gradients(weights, dealt.inputs[part], dealt.tokens[part], state[: len(held)], dealt.reset[part], held)
+            # Windows with few tokens count less, so that every token of a part has the same weight.
+            share = np.float32(held.sum() / (len(dealt.lengths) * WINDOW))
             for k, d in grad.items():
+                d = d * share
                 squares[k] += d * d
                 weights[k] -= RATE * d / np.sqrt(squares[k])
     return weights
@@ -195,36 +241,12 @@ def score(weights: Weights, documents: list[np.ndarray]) -> np.ndarray:
     Documents are dealt to lanes that run side by side; the state is carried from window to
     window and starts anew with each document.
     """
-    lanes: list[tuple[int, int]] = [(0, i) for i in range(min(LANES, len(documents)))]
-    dealt: list[list[int]] = [[] for _ in lanes]
-    for i in sorted(range(len(documents)), key=lambda i: -len(documents[i])):
-        length, lane = heapq.heappop(lanes)
-        dealt[lane].append(i)
-        heapq.heappush(lanes, (length + len(documents[i]), lane))
-    rows = [np.concatenate([documents[i] for i in lane]).astype(np.int64) for lane in dealt]
-    order = sorted(range(len(rows)), key=lambda i: -len(rows[i]))
-    rows, dealt = [rows[i] for i in order], [dealt[i] for i in order]
-    lengths = np.array([len(r) for r in rows])
+    dealt = Lanes(documents, LANES)
     out = np.zeros(len(documents))
-    if not len(rows):
-        return out
-    tokens = np.zeros((len(rows), lengths[0]), np.int32)
-    owner = np.zeros((len(rows), lengths[0]), np.int32)
-    reset = np.zeros((len(rows), lengths[0]), bool)
-    for row, (own, numbers) in enumerate(zip(rows, dealt, strict=True)):
-        tokens[row, : len(own)] = own
-        sizes = [len(documents[i]) for i in numbers]
-        owner[row, : len(own)] = np.repeat(numbers, sizes)
-        reset[row, np.cumsum([0, *sizes[:-1]])] = True
-    inputs = np.concatenate([np.full((len(rows), 1), START, np.int32), tokens[:, :-1]], axis=1)
-    inputs[reset] = START
-    state = np.zeros((len(rows), HIDDEN), np.float32)
-    for start in range(0, int(lengths[0]), WINDOW):
-        live = int((lengths > start).sum())
-        part = (slice(0, live), slice(start, start + WINDOW))
-        states, _ = steps(weights, inputs[part], state[:live], reset[part])
+    state = np.zeros((len(dealt.lengths), HIDDEN), np.float32)
+    for part, held in dealt.windows():
+        states, _ = steps(weights, dealt.inputs[part], state[: len(held)], dealt.reset[part])
         state = states[:, -1]
-        held = (start + np.arange(states.shape[1]))[None] < lengths[:live, None]
-        logs = log_probabilities(weights, states[held], tokens[part][held].astype(np.int64))
-        out += np.bincount(owner[part][held], logs, minlength=len(documents))
+        logs = log_probabilities(weights, states[held], dealt.tokens[part][held].astype(np.int64))
+        out += np.bincount(dealt.owner[part][held], logs, minlength=len(documents))
     return out

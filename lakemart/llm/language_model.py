@@ -1,8 +1,8 @@
 """Log-likelihoods of whole documents by a recurrent language model trained on the corpus.
 
 Counts of all words of all training documents decide the vocabulary, its classes and the
-probabilities of words that are not frequent. The network learns from a fixed share of the pieces
-of every training document, in tasks of their own that start from the same weights; the weights
+probabilities of words that are not frequent. The network learns from every token of every training
+document, its state carried from end to end, in tasks that start from the same weights; the weights
 are averaged after each round. All documents are then scored from end to end.
 """
 
@@ -23,11 +23,9 @@ from lakemart.llm.common import crc_remainder, documents, release_memory, shuffl
 from lakemart.llm.groups import batches_of, cut, group_texts, grouped, pack_numbers, unpack_all
 
 HELD_OUT = (7, 2)
-#: One in so many pieces of PIECE tokens of every training document trains the network.
-PIECE_SHARE = 16
-PIECE = 4 * gru.WINDOW
-ROUNDS = 2
-#: Tokens that one call of the scorer runs side by side, about.
+#: Passes over all training documents.
+ROUNDS = 1
+#: Tokens that one call of the scorer, or one part of the training, runs side by side, about.
 TOKENS_PER_CALL = 600_000
 #: The end of a document as a token; words hold no space.
 END = b" "
@@ -178,30 +176,38 @@ def encoded(texts: DataFrame, counts: DataFrame, vocabulary: Vocabulary) -> Data
     return texts.groupBy("grp").cogroup(counts.groupBy("grp")).applyInArrow(encode, schema)
 
 
-def pieces_of(doc, ids: np.ndarray) -> list[tuple[int, np.ndarray]]:
-    """The pieces of a training document that train the network, chosen by id and place."""
-    out = []
-    for start in range(0, len(ids), PIECE):
-        if zlib.crc32(f"{doc}:{start}".encode()) % PIECE_SHARE == 0:
-            out.append((int(ids[start - 1]) if start else gru.START, ids[start : start + PIECE].astype(np.int64)))
-    return out
+def parts_of(batches: Iterable[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """All documents' token numbers, in lists of about TOKENS_PER_CALL tokens."""
+    held, tokens = [], 0
+    for batch in batches:
+        for ids in batch.column(0).to_pylist():
+            held.append(np.frombuffer(ids, "<u2"))
+            tokens += len(held[-1])
+            if tokens >= TOKENS_PER_CALL:
+                yield held
+                held, tokens = [], 0
+    if held:
+        yield held
 
 
 def trained(corpus: DataFrame, weights: gru.Weights, tasks: int) -> gru.Weights:
     """Weights after ROUNDS rounds of training in ``tasks`` tasks, averaged by tokens learned."""
-    learned = corpus.filter(crc_remainder("doc_id", HELD_OUT[0]) != HELD_OUT[1]).select("doc_id", "ids")
+    learned = corpus.filter(crc_remainder("doc_id", HELD_OUT[0]) != HELD_OUT[1]).select("ids")
     schema = "weights binary, tokens double, part int"
 
     def learner(start: bytes):
         def learn(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            pieces = [
-                p for batch in batches
-                for doc, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
-                for p in pieces_of(doc, np.frombuffer(ids, "<u2"))
-            ]
-            tokens = float(sum(len(p) for _, p in pieces))
-            if pieces:
-                after = gru.pack(gru.train(gru.unpack(start), pieces))
+            tokens = 0.0
+
+            def counted() -> Iterator[list[np.ndarray]]:
+                nonlocal tokens
+                for documents in parts_of(batches):
+                    tokens += sum(map(len, documents))
+                    yield documents
+
+            after = gru.pack(gru.train(gru.unpack(start), counted()))
+            release_memory()
+            if tokens:
                 part = zlib.crc32(after) % max(1, math.isqrt(tasks))
                 yield pa.RecordBatch.from_arrays([pa.array([after], pa.binary()), pa.array([tokens]), pa.array([part], pa.int32())], names=["weights", "tokens", "part"])
 

@@ -377,3 +377,33 @@ def test_language_model_base_scores(docs, empty):
         assert any(math.isclose(r[4], base, rel_tol=1e-9) for r in rows)
         assert all(r[5] < 0 for r in rows)
     assert language_model.log_likelihoods(empty).count() == 0
+
+
+def test_the_language_model_learns_from_every_training_document(spark):
+    counts = np.arange(1.0, gru.CLASSES + 1), np.arange(1.0, gru.HEAD_WORDS + 1)
+    start = gru.initial(*counts)
+    for doc in range(20):
+        if zlib.crc32(str(doc).encode()) % 7 != 2:
+            ids = np.arange(5, dtype="<u2")
+            corpus = spark.createDataFrame([(doc, ids.tobytes())], "doc_id bigint, ids binary")
+            assert gru.pack(language_model.trained(corpus, start, 2)) != gru.pack(start)
+    corpus = spark.createDataFrame([], "doc_id bigint, ids binary")
+    assert gru.pack(language_model.trained(corpus, start, 2)) == gru.pack(start)
+
+
+def test_training_carries_the_state_through_every_token_of_a_document(monkeypatch):
+    rng = np.random.default_rng(2)
+    documents = [rng.integers(0, gru.START, n) for n in (1, 700, 31, 32, 33, 300)]
+    seen, plain = [], gru.gradients
+
+    def watched(weights, inputs, tokens, state, reset, held):
+        out = plain(weights, inputs, tokens, state, reset, held)
+        seen.append((tokens[held], reset[held], state, out[1]))
+        return out
+
+    monkeypatch.setattr(gru, "gradients", watched)
+    gru.train(gru.initial(np.ones(gru.CLASSES), np.ones(gru.HEAD_WORDS)), [documents[:4], documents[4:]], lanes=2)
+    assert sorted(np.concatenate([t for t, *_ in seen]).tolist()) == sorted(np.concatenate(documents).tolist())
+    assert sum(int(r.sum()) for _, r, *_ in seen) == len(documents)
+    carried = [np.array_equal(b[2], a[3][: len(b[2])]) for a, b in zip(seen, seen[1:])]
+    assert carried.count(False) == 1  # only where the second part begins
