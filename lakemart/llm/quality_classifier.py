@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.llm.common import appended, documents, id_and_text, map_rows, stored, whole_texts
-from lakemart.llm.quality_rules import ABSTAIN, KEEP, MEASURES, REJECT, RULES, fit, measure, votes
+from lakemart.llm.quality_rules import ABSTAIN, GOOD_LEAST, KEEP, MEASURES, REJECT, RULES, fit, measure, votes
 
 #: Labelled documents that the scorer is trained on, at most.
 SAMPLE_DOCS = 20_000
@@ -127,9 +127,9 @@ def posteriors(docs: DataFrame, labels: DataFrame | None, id_col: str = "doc_id"
     seen = voted.groupBy(*names).count().collect()
     patterns = np.array([r[:-1] for r in seen], np.int64).reshape(len(seen), len(names))
     human = np.array([n.startswith("vote_human") for n in names])
-    *_, posterior = fit(
-        patterns, np.array([r["count"] for r in seen], float), np.where(human, 0.9999, 0.998), np.where(human, 0.5, 0.25)
-    )
+    # People judge the document itself: their votes are the measure of the rules'.
+    least = np.concatenate([GOOD_LEAST[[r[0] != "words" for r in RULES]], np.full(len(HUMAN), 0.9999)])
+    *_, posterior = fit(patterns, np.array([r["count"] for r in seen], float), least, np.where(human, 0.5, 0.25))
     table = docs.sparkSession.createDataFrame(
         [(*map(int, p), float(x)) for p, x in zip(patterns, posterior, strict=True)],
         ", ".join(f"{n} int" for n in names) + ", posterior double",

@@ -187,6 +187,22 @@ def test_expectation_maximisation_finds_faults_that_one_rule_sees():
     assert posterior[0] > 0.9 and posterior[1] < 0.5 and posterior[2] < 0.1
 
 
+@pytest.mark.parametrize("share", [0.01, 0.1, 0.3])
+def test_a_clean_source_that_one_rule_often_rejects_is_kept(spark, share):
+    rng = np.random.default_rng(11)
+    word = lambda: "".join(rng.choice(list("abcdefghij"), 6))
+    lines = lambda end: "\n".join(" ".join(word() for _ in range(10)) + end for _ in range(7))
+    junk = lambda: "\n".join(["BUY NOW # " * 6] * 7)
+    n = 1000
+    rows = [(i, lines("" if i < share * n else ".")) for i in range(n - 30)] + [(i, junk()) for i in range(n - 30, n)]
+    texts = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r["doc_id"]: r for r in quality_rules.quality(texts).collect()}
+    assert found[0]["vote_sentence_ends"] == quality_rules.REJECT
+    assert all(found[i]["kept"] for i in range(n - 30)) and not any(found[i]["posterior"] >= 0.5 for i in range(n - 30, n))
+    posterior = {r["doc_id"]: r["posterior"] for r in quality_classifier.posteriors(texts, None).collect()}
+    assert all((posterior[i] >= 0.5) == (i < n - 30) for i in range(n))
+
+
 def test_quality_classifier_learns_from_labels(spark, docs, empty):
     rng = np.random.default_rng(6)
     plain = [" ".join(rng.choice(["apple", "river", "stone", "cloud", "green"], 60)) + "." for _ in range(300)]
