@@ -144,8 +144,9 @@ def trained(docs: DataFrame, labels: DataFrame | None, sample_docs: int = SAMPLE
     documents where none is labelled.
     """
     judged = posteriors(docs, labels, id_col, text_col).dropDuplicates(["doc_id"])
-    if labels is not None and not labels.isEmpty():
-        judged = judged.filter("labelled")
+    labelled = judged.filter("labelled")
+    if not labelled.isEmpty():
+        judged = labelled
     sample = judged.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs).select(F.col("doc_id").alias("sample_id"), "posterior")
     texts = whole_texts(docs, id_col, text_col)
     picked = texts.join(F.broadcast(sample), F.col("doc_id") == F.col("sample_id"))  # at most sample_docs rows

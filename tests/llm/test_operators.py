@@ -215,6 +215,15 @@ def test_quality_classifier_learns_from_labels(spark, docs, empty):
     assert quality_classifier.with_quality(empty, labels.filter("false"), name="q").count() == 0
 
 
+def test_labels_that_match_no_document_leave_the_training_to_the_rules(spark):
+    rng = np.random.default_rng(12)
+    good = lambda: " ".join(rng.choice(["apple", "river", "stone", "cloud", "green"], 60)) + "."
+    texts = spark.createDataFrame([(i, good() if i % 5 else "BUY NOW # " * 20) for i in range(100)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(500, 520)], "doc_id bigint, quality int, toxic int")
+    scores = {r["doc_id"]: r["quality_score"] for r in quality_classifier.with_quality(texts, labels).collect()}
+    assert all((scores[i] > 0.5) == bool(i % 5) for i in range(100))
+
+
 def simhash_of(text):
     w = words(lower(text))
     grams = [" ".join(w[k : k + 3]) for k in range(max(1, len(w) - 2))] if w else []
