@@ -14,7 +14,7 @@ import ahocorasick
 from pyspark.sql import DataFrame, SparkSession
 
 from lakemart.llm.common import documents, map_rows, whole_texts
-from lakemart.llm.spans import SPANS, digest_columns, one_per_code_point, ordered, without_overlap
+from lakemart.llm.spans import SPANS, digest_columns, not_inside, one_per_code_point, ordered
 
 BASE = ("email", "ip", "card", "phone")
 #: What the method adds: bank accounts, other cued identifiers, and credentials in URLs.
@@ -119,15 +119,15 @@ def find(text: str) -> list[tuple[str, int, int]]:
                 extra.append(("iban", *number.span(1)))
             elif number := IDENTIFIER.match(raw, last + 1):
                 extra.append(("account", *number.span(1)))
-    return ordered(base + without_overlap(extra, base), KINDS)
+    return ordered(base + not_inside(extra, base), KINDS)
 
 
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, spans) of every row; positions count code points, ends are exclusive.
 
     A null text counts as empty and has no spans; repeated rows each give a row; an empty table
-    gives none; other columns are not read. Spans of different base kinds may overlap; spans that
-    the method adds never overlap base ones.
+    gives none; other columns are not read. Spans of different kinds may overlap; of the spans that
+    the method adds, those wholly inside a base span are left out.
     """
     rows = whole_texts(docs, id_col, text_col)
     kind = rows.schema["doc_id"].dataType.simpleString()

@@ -36,6 +36,16 @@ def without_overlap(extra: list[tuple[str, int, int]], base: list[tuple[str, int
     return out
 
 
+def not_inside(extra: list[tuple[str, int, int]], base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """``extra`` without spans that lie wholly inside one of ``base``."""
+    base = sorted((s[1], s[2]) for s in base)
+    most = [0]
+    for _, end in base:
+        most.append(max(most[-1], end))
+    starts = [s for s, _ in base]
+    return [x for x in extra if most[bisect.bisect_right(starts, x[1])] < x[2]]
+
+
 def as_text(spans: Column) -> Column:
     """kind:start:end of each span, comma-joined."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")

@@ -132,6 +132,17 @@ def test_personal_data_the_method_adds():
     assert [k for k, *_ in pii.find(text)] == ["iban", "account", "login"]
 
 
+def test_personal_data_the_method_adds_beside_base_spans():
+    found = lambda text: [(k, text[a:b]) for k, a, b in pii.find(text)]
+    assert found("https://bob:pw@example.org/x") == [("login", "bob:pw"), ("email", "pw@example.org")]
+    for n in range(10**13, 10**13 + 400):
+        number = next(f"GB{c:02d}WEST{n}" for c in range(2, 99) if pii.iban_valid(f"GB{c:02d}WEST{n}".encode()))
+        kinds = [k for k, _ in found(f"IBAN {number} end")]
+        assert ("iban", number) in found(f"IBAN {number} end")
+        assert ("card" in kinds) == pii.luhn(str(n).encode())
+    assert found("account no: 4111 1111 1111 1111") == [("card", "4111 1111 1111 1111")]
+
+
 def test_secrets_base_spans(docs, empty):
     rng = np.random.default_rng(4)
     parts = ["password", "Token", "API_KEY", "apikey", "passwd", ":", "=", " ", '"', "AKIA", "ABCD1234", "deadbeef", "0123", "é", "ſ", ".", "/", "tokeN"]
