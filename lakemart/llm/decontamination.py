@@ -10,6 +10,7 @@ kept, and a banded alignment decides.
 from __future__ import annotations
 
 import functools
+import itertools
 import math
 
 import numpy as np
@@ -21,12 +22,17 @@ from lakemart.llm.common import appended, documents, id_and_text
 Q = 8
 #: Edits allowed, as a share of a passage's characters.
 EDIT_SHARE = 0.1
-#: Items are cut into passages of this many characters, a new one every half; shorter ones stay whole.
-PASSAGE = 120
-#: Items with fewer letters and digits are too short to tell a leak from chance, and have no passage.
-LEAST_CHARS = 40
+#: Items are cut into passages of each of these lengths, a new one every half; shorter ones stay whole.
+#: The long ones allow edits that crowd together, the short ones find short copies: any verbatim
+#: copy of LEAST_COPY letters and digits of an item holds a whole short passage.
+PASSAGES = (120, 60)
+LEAST_COPY = PASSAGES[-1] + PASSAGES[-1] // 2 - 1
+#: Items with fewer letters and digits are looked for exactly, and between word borders.
+EXACT_CHARS = 20
+#: Items with fewer letters and digits hold no q-gram, as "yes" or a year, and say nothing of a leak.
+LEAST_CHARS = Q
 #: Characters of benchmark text that one pass over the documents looks for.
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 8_000_000
 #: Bits of the table that sifts a document's q-grams.
 SIEVE_BITS = 20
 
@@ -54,6 +60,39 @@ def budget(length: int) -> int:
     return max(0, min(int(EDIT_SHARE * length), (length - Q) // Q))
 
 
+def masks_of(passage: bytes) -> dict[int, int]:
+    """For each byte of a passage the set of its places, as bits."""
+    masks: dict[int, int] = {}
+    for i, c in enumerate(passage):
+        masks[c] = masks.get(c, 0) | 1 << i
+    return masks
+
+
+def within(masks: dict[int, int], length: int, text: bytes, most: int) -> bool:
+    """Whether a part of ``text`` is at most ``most`` edits from a passage, by Myers' bit vectors."""
+    whole, last = (1 << length) - 1, 1 << length - 1
+    up, down, distance = whole, 0, length
+    left = len(text) + most
+    for equal in map(masks.get, text, itertools.repeat(0)):
+        across = (((equal & up) + up) ^ up) | equal
+        more = down | ~(across | up) & whole
+        less = up & across
+        left -= 1
+        if more & last:
+            distance += 1
+        elif less & last:
+            distance -= 1
+            if distance <= most:
+                return True
+        if distance > left:
+            return False
+        more, less = more << 1 & whole, less << 1 & whole
+        same = equal | down
+        up = less | ~(same | more) & whole
+        down = more & same
+    return False
+
+
 def band_distance(passage: bytes, text: bytes, slack: int) -> tuple[int, int, int]:
     """Least edits that turn ``passage`` into a part of ``text``, with the part's start and end.
 
@@ -81,6 +120,17 @@ def band_distance(passage: bytes, text: bytes, slack: int) -> tuple[int, int, in
     return int(row[best] >> shift), int(row[best] & ((1 << shift) - 1)), int(columns[best] + m)
 
 
+def places(whole: bytes) -> np.ndarray:
+    """Where the bytes of ``normalised(whole)`` are in ``whole``."""
+    return np.flatnonzero(np.isin(np.frombuffer(whole, np.uint8), np.frombuffer(DROPPED, np.uint8), invert=True))
+
+
+def on_borders(letters: np.ndarray, start: int, end: int) -> bool:
+    """Whether no letter or digit touches the letters from ``start`` to ``end`` from outside."""
+    before = start == 0 or letters[start - 1] + 1 < letters[start]
+    return bool(before and (end == len(letters) or letters[end - 1] + 1 < letters[end]))
+
+
 class Passages:
     """Index of the passages of a block of benchmark items."""
 
@@ -90,9 +140,12 @@ class Passages:
             raw = normalised((text or "").encode("utf-8", "surrogatepass"))
             if len(raw) < LEAST_CHARS:
                 continue
-            last = max(0, len(raw) - PASSAGE)
-            for start in sorted({*range(0, last + 1, PASSAGE // 2), last}):
-                part = raw[start : start + PASSAGE]
+            parts = set()
+            for length in PASSAGES:
+                last = max(0, len(raw) - length)
+                parts |= {(start, min(start + length, len(raw))) for start in (*range(0, last + 1, length // 2), last)}
+            for start, end in sorted(parts):
+                part = raw[start:end]
                 own = codes(part)
                 grams.append(own)
                 owner.append(np.full(len(own), len(self.raw)))
@@ -105,11 +158,18 @@ class Passages:
         self.grams = self.grams[order]
         self.owner = np.concatenate(owner or none)[order]
         self.offset = np.concatenate(offset or none)[order]
-        self.edits = np.array([budget(len(p)) for p in self.raw], np.int64)
-        self.least = np.array([len(p) - Q + 1 - Q * budget(len(p)) for p in self.raw], np.int64)
+        self.bits: list[dict[int, int] | None] = [None] * len(self.raw)
+        lengths = np.array([len(p) for p in self.raw], np.int64)
+        self.edits = np.array([budget(len(p)) if len(p) >= EXACT_CHARS else 0 for p in self.raw], np.int64)
+        self.least = lengths - Q + 1 - Q * self.edits
         self.table = np.zeros(1 << SIEVE_BITS, bool)
         self.table[sieve(self.grams)] = True
 
+    def masks(self, p: int) -> dict[int, int]:
+        if self.bits[p] is None:
+            self.bits[p] = masks_of(self.raw[p])
+        return self.bits[p]
+
     def bands(self, raw: bytes) -> list[tuple[int, int, int]]:
         """(passage, lowest diagonal, highest) of the bands that hold enough of a passage's q-grams."""
         own = codes(raw)
@@ -122,6 +182,12 @@ class Passages:
         entry = np.repeat(first - np.concatenate(([0], np.cumsum(count)[:-1])), count) + np.arange(total)
         passage, offset = self.owner[entry], self.offset[entry]
         diagonal = np.repeat(at, count) - offset
+        # A passage without enough shared q-grams in the whole text has none in a band.
+        often = np.bincount(passage, minlength=len(self.least)) >= self.least
+        some = often[passage]
+        passage, offset, diagonal = passage[some], offset[some], diagonal[some]
+        if not len(passage):
+            return []
         # Every range of e + 1 diagonals lies in one of the bands of 2 * (e + 1) that start every e + 1.
         step = self.edits[passage] + 1
         band = np.floor_divide(diagonal, step)
@@ -131,20 +197,26 @@ class Passages:
         # Distinct q-grams of a passage in a band; sorting by one number keeps this cheap.
         low = int(band.min())
         span = int(band.max()) - low + 1
-        key = np.unique(((passage * span + band - low) << 10) | offset) >> 10
-        groups, sizes = np.unique(key, return_counts=True)
+        key = np.sort(((passage * span + band - low) << 10) | offset)
+        key = key[np.concatenate(([True], key[1:] != key[:-1]))] >> 10
+        first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        groups, sizes = key[first], np.diff(first, append=len(key))
         owner = groups // span
         held = sizes >= self.least[owner]
         out = []
         for p, b in zip(owner[held].tolist(), (groups[held] % span + low).tolist(), strict=True):
             width = int(self.edits[p]) + 1
-            out.append((p, b * width, (b + 2) * width - 1))
+            if out and out[-1][0] == p and out[-1][1:] == ((b - 1) * width, (b + 1) * width - 1):
+                out[-1] = (p, (b - 1) * width, (b + 2) * width - 1)  # a pair of bands that overlap is aligned once
+            else:
+                out.append((p, b * width, (b + 2) * width - 1))
         return out
 
     def leaks(self, text: str) -> list[tuple[str, int, int, int, int]]:
         """(item, start, end, passages, least distance) of a text; positions count code points."""
         whole = text.encode("utf-8", "surrogatepass")
         raw = normalised(whole)
+        letters: np.ndarray | None = None
         found: dict[str, list[tuple[int, int, int, int]]] = {}
         seen: dict[int, int] = {}
         for p, low, high in self.bands(raw):
@@ -154,13 +226,19 @@ class Passages:
             start = max(0, low - edits)
             end = min(len(raw), high + len(passage) + edits)
             exact = raw.find(passage, start, end)
+            if len(passage) < EXACT_CHARS:
+                letters = places(whole) if letters is None else letters
+                while exact >= 0 and not on_borders(letters, exact, exact + len(passage)):
+                    exact = raw.find(passage, exact + 1, end)
+            if exact < 0 and (not edits or not within(self.masks(p), len(passage), raw[start:end], edits)):
+                continue
             distance, a, b = (0, exact - start, exact - start + len(passage)) if exact >= 0 else band_distance(passage, raw[start:end], edits)
             if distance <= edits:
                 seen[p] = min(distance, seen.get(p, distance))
                 found.setdefault(self.items[p], []).append((p, distance, start + a, start + b))
         if not found:
             return []
-        kept = np.flatnonzero(np.isin(np.frombuffer(whole, np.uint8), np.frombuffer(DROPPED, np.uint8), invert=True))
+        kept = places(whole) if letters is None else letters
         points = np.cumsum((np.frombuffer(whole, np.uint8) & 0xC0) != 0x80)  # code points up to each byte
         out = []
         for item, hits in sorted(found.items()):
@@ -191,8 +269,10 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", na
 
     A null text leaks nothing; repeated rows each have their leaks; repeated or null items of the
     benchmark are looked for once or not at all; a null item id is the empty one; without items
-    or documents nothing leaks. Every item of the benchmark is looked for in every whole text: a
-    benchmark of more than BLOCK_CHARS characters in several passes, one for each block.
+    or documents nothing leaks. Every item of LEAST_CHARS letters and digits or more is looked for in
+    every whole text, those under EXACT_CHARS exactly: a benchmark of more than BLOCK_CHARS
+    characters in several passes, one for each block. Of longer items any verbatim copy of
+    LEAST_COPY letters and digits is found; shorter copies are found where they hold a passage.
     """
     out, names = docs, []
     for i, items in enumerate(blocks(benchmark)):

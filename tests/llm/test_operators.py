@@ -368,6 +368,31 @@ def test_leaks_are_those_within_the_edit_budget(spark, docs, empty):
     assert decontamination.with_leaks(docs, benchmark.filter("false")).count() == len(TEXTS)
 
 
+def test_short_items_and_short_copies_are_found():
+    rng = np.random.default_rng(13)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 5))
+    long = [word() for _ in range(80)]
+    short, tiny = "What is the boiling point?", "Blue whales"
+    found = decontamination.index((("long", " ".join(long)), ("short", short), ("tiny", tiny), ("none", "Yes")))
+    around = lambda text: " ".join(word() for _ in range(30)) + ", " + text + " " + " ".join(word() for _ in range(30))
+    ids = lambda text: {x[0] for x in found.leaks(text)}
+    for start in range(80 - 18):  # 90 letters
+        assert ids(around(" ".join(long[start : start + 18]))) == {"long"}
+    assert ids(around(short)) == ids(around("what is the boilng point")) == {"short"}
+    (leak,) = found.leaks(text := around("bluE-WHALES; pinkblue whales"))
+    assert leak[0] == "tiny" and text[leak[1] : leak[2]] == "bluE-WHALES"
+    assert ids(around("pinkblue whales")) == ids(around("blue whalesong")) == ids(around("yes")) == set()
+
+
+def test_bit_vectors_agree_with_the_edit_distance():
+    rng = np.random.default_rng(14)
+    for _ in range(300):
+        passage, text = (bytes(rng.choice(list(b"abc"), rng.integers(least, 30)).tolist()) for least in (1, 0))
+        distance = edit_distance_in(passage, text)
+        for most in range(len(passage)):
+            assert decontamination.within(decontamination.masks_of(passage), len(passage), text, most) == (distance <= most)
+
+
 def test_gradients_of_the_language_model():
     rng = np.random.default_rng(0)
     weights = {k: v.astype(float) * 3 for k, v in gru.initial(np.full(gru.CLASSES, 5.0), np.full(gru.HEAD_WORDS, 3.0)).items()}
