@@ -170,6 +170,36 @@ def test_random_strings_are_found_and_identifiers_are_not(spark):
     assert not any(found[i][0][0] for i in range(200, 400))
 
 
+def test_secrets_in_paths_short_ones_and_lone_ones_are_found(spark):
+    rng = np.random.default_rng(15)
+    letters = list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
+    token = lambda n, of=letters: "".join(rng.choice(of, n))
+    rows, want = [], {}
+    for i in range(60):
+        key = token(40)
+        rows.append((i, ("see /my-app/{} end", "see a_b/{} end", "see services/T_x/B-y/{} end")[i % 3].format(key)))
+        want[i] = key
+    for i in range(60, 120):
+        want[i] = token(21, list("0123456789abcdef"))
+        rows.append((i, f"see {want[i]} end"))
+    rows += [(i, "see the/quick-brown/fox_jumps/over-the/lazy_dog/near/the-river end") for i in range(120, 180)]
+    texts = spark.createDataFrame(rows, "doc_id bigint, text string")
+    spans = {i: x[0][0] for i, x in by_id(secret_scan.find_secrets(texts)).items()}
+    clean = {r["doc_id"]: r["text"] for r in secret_scan.redact(texts).collect()}
+    got = {i: [rows[i][1][s["start"] : s["end"]] for s in x] for i, x in spans.items()}
+    assert sum(got[i] == [want[i]] for i in range(60)) > 50 and sum(got[i] == [want[i]] for i in range(60, 120)) > 40
+    assert not any(got[i] for i in range(120, 180))
+    assert all((want[i] not in clean[i]) == bool(got[i]) for i in range(120))
+    found = 0
+    for _ in range(100):  # a family of one candidate
+        ((*_, encoding, size_class, p),) = secret_scan.scan(f"see {token(40)} end")[1]
+        found += p >= min((b for b in range(secret_scan.BINS) if secret_scan.ordinary_share(encoding, size_class, b) <= secret_scan.FALSE_SHARE))
+    assert found > 90
+    lone = next(t for t in (token(40) for _ in range(1000)) if 8 <= secret_scan.scan(t)[1][0][-1] < 32)
+    (row,) = secret_scan.find_secrets(spark.createDataFrame([(1, f"see {lone} end")], "doc_id bigint, text string")).collect()
+    assert [(s["kind"], s["start"]) for s in row["spans"]] == [("random", 4)]
+
+
 def test_redaction_covers_overlaps():
     assert redacted("abcdefgh", [{"kind": "x", "start": 1, "end": 4}, {"kind": "y", "start": 3, "end": 6}], "[{}]") == "a[x]gh"
 
