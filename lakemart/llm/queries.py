@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from lakemart.llm.bpe import op9_bpe_round_trip
 from lakemart.llm.decontamination import op8_decontamination
 from lakemart.llm.language_model import op3_language_model
+from lakemart.llm.manifest import op13_merkle_manifest
+from lakemart.llm.oracles import merkle_manifest
 from lakemart.llm.pii import op10_pii
 from lakemart.llm.quality_classifier import op2_quality_classifier
 from lakemart.llm.quality_rules import op5_quality_rules
@@ -32,9 +34,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_decontamination,
             op9_bpe_round_trip,
             op10_pii,
+            op13_merkle_manifest,
         )
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op13_merkle_manifest": merkle_manifest()}
