@@ -184,7 +184,7 @@ def manifest(
     first in a source. Repeated ids are ordered by their leaves; repeated rows are leaves of their
     own, in places next to each other that their copies share out in any way. Texts are hashed
     whole. An empty table gives no rows. Columns other than ``fields`` are not read. A lone leaf is
-    the root, with an empty proof. Texts take part in one scan only, digests in all else.
+    the root, with an empty proof.
     """
     claimed = claimed or {}
     own = [docs[c] for c in fields]
@@ -196,7 +196,8 @@ def manifest(
         leaf_of(*own).alias("leaf"),
         (leaf_of(*held) if claimed else F.lit(None).cast("string")).alias("claimed"),
     )
-    places = in_parts(ranked(leaves), fanout, local)
+    # Stored before they are sorted, as ranges are sampled first: texts are read and hashed once.
+    places = in_parts(ranked(stored(leaves, "leaves")), fanout, local)
     parts = stored(butterfly(part_roots(places, fanout, local), fanout), "parts-of-manifest")
     sources = paths_of_sources(parts.filter("part = 0").select("key", F.col("digest").alias("subroot")), fanout, local)
     above = parts.select("key", "part", "parts", F.col("path").alias("own_path")).join(sources, "key").select(

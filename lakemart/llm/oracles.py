@@ -72,3 +72,61 @@ def merkle_manifest() -> str:
     FROM placed p JOIN tops t ON t.source_key = p.key JOIN above a ON a.n = 1
         JOIN folded f ON f.r = p.r LEFT JOIN proofs q ON q.r = p.r
     """
+
+
+def embedding_dedup() -> str:
+    return """
+    WITH RECURSIVE usable AS (
+        SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+        WHERE label IS NOT NULL AND len(embedding) > 0
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    ), links AS (
+        SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id
+        WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+    ), reach(a, b) AS (
+        SELECT vec_id, vec_id FROM embeddings
+        UNION
+        SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b
+    ), component AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a)
+    SELECT vec_id, (SELECT count(*) FROM links l WHERE l.a = c.vec_id) AS n_links, component_id, vec_id = component_id AS kept
+    FROM component c
+    """
+
+
+def spelling_variants() -> str:
+    return f"""
+    WITH RECURSIVE {CRC_TABLE}, runs AS (
+        SELECT doc_id, run, count(*) AS times FROM (
+            SELECT doc_id, unnest(regexp_extract_all({ascii_lower("text")}, '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents
+        ) WHERE length(run) >= 6 GROUP BY doc_id, run
+    ), drawn AS (
+        SELECT run, times, {crc32("doc_id || ':' || run")} AS h FROM runs, crc
+    ), words AS (
+        SELECT word, sum(times)::BIGINT AS n FROM (
+            SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, times
+            FROM drawn
+        ) WHERE length(word) >= 6 GROUP BY word HAVING sum(times) >= 5
+    ), holes AS (
+        SELECT word, n, i, substr(word, 1, i - 1) AS head, substr(word, i + 1) AS tail
+        FROM words, unnest(range(1, length(word) + 1)) AS r(i)
+    ), near AS (
+        SELECT a.word, b.word AS other, b.n AS other_n FROM holes a JOIN holes b ON a.head = b.head AND a.tail = b.tail AND a.word <> b.word
+        UNION
+        SELECT h.word, w.word, w.n FROM holes h JOIN words w ON w.word = h.head || h.tail
+        UNION
+        SELECT w.word, h.word, h.n FROM holes h JOIN words w ON w.word = h.head || h.tail
+    ), best AS (
+        SELECT word, count(*) AS n_near, max(other_n) AS most, arg_min(other, (-other_n, other)) AS other FROM near GROUP BY word
+    ), formed AS (
+        SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 5 * w.n THEN other END AS form, CASE WHEN most >= 5 * w.n THEN most END AS form_n
+        FROM words w LEFT JOIN best b ON b.word = w.word
+    ), walk(word, place) AS (
+        SELECT word, word FROM words
+        UNION ALL
+        SELECT k.word, f.form FROM walk k JOIN formed f ON f.word = k.place WHERE f.form IS NOT NULL
+    ), ends AS (
+        SELECT k.word, k.place AS root FROM walk k JOIN formed f ON f.word = k.place WHERE f.form IS NULL
+    )
+    SELECT f.word, form, root, n, n_near, form_n FROM formed f JOIN ends e ON e.word = f.word
+    """
