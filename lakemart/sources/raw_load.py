@@ -92,10 +92,10 @@ def load_raw(
         for name, spec in contract.datasets.items():
             columns = list(spec.required_columns)
             if by_name:
-                rows = read_by_name(spark, paths[name], spec.multi_line, None).select(*columns)
+                rows = read_by_name(spark, paths[name], spec.multi_line, None, "_file").select(*columns, "_file")
             else:
-                rows = read_by_position(spark, paths[name], columns, spec.multi_line)
-            stamped = stamp(rows, batch_id, loaded_at, F.col("_metadata.file_name"))
+                rows = read_by_position(spark, paths[name], columns, spec.multi_line, "_file")
+            stamped = stamp(rows, batch_id, loaded_at, F.col("_file")).drop("_file")
             written = tx.append(raw_table(name), stamped)
             per_file = written.groupBy("source_file").agg(F.count(F.lit(1)).alias("n"))
             counts = {row["source_file"]: row["n"] for row in per_file.collect()}
