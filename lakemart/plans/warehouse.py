@@ -8,6 +8,7 @@ sizes Catalyst knows and whose skewed partitions it can split.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import partial
@@ -17,8 +18,10 @@ from pyspark.sql import functions as F
 
 from lakemart.functions import UNKNOWN_KEY, identifier
 from lakemart.operators.checks import gate, union_all
+from lakemart.operators.model_tests import FAILURE_COLUMNS, ModelTest, failures, observed, outcome
 from lakemart.operators.upserts import high_watermark, time_literal
 from lakemart.plans import dims, facts, marts
+from lakemart.plans.model_suite import tested_models
 from lakemart.plans.staging import MODELS, STAGED, UPDATED, stage, staged_keys
 from lakemart.plans.warehouse_checks import latest_run, run_checks, stamp_run
 from lakemart.sources.contract import INCREMENTAL_DATASETS
@@ -26,6 +29,9 @@ from lakemart.sources.lake import Lake, Transaction
 from lakemart.sources.raw_load import LOAD_HISTORY, raw_table
 
 QUALITY_RESULTS = "audit.data_quality_results"
+# Plain folders beside the tables, so that they outlive a build that is not published.
+TEST_FAILURES, TEST_RESULTS = "audit/test_failures", "audit/test_results"
+RESULT_COLUMNS = "test_name string, model string, kind string, severity string, status string, failed_rows bigint"
 # Ids of the RAW batches that the models already hold.
 BUILT_BATCHES = "audit.built_batches"
 MONTH, BUCKET = "layout_month", "layout_bucket"
@@ -106,25 +112,96 @@ def _side_by_side(jobs: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFra
         return {name: future.result() for name, future in running.items()}
 
 
+# ---- model tests -----------------------------------------------------------------------
+
+
+class Watch:
+    """Counts the failures of row tests while models are written."""
+
+    def __init__(self, tests: Sequence[ModelTest] = ()):
+        self.tests = tests
+        self._seen: list = []
+
+    def __call__(self, model: str, df: DataFrame) -> DataFrame:
+        df, seen = observed(df, model, self.tests)
+        if seen:
+            self._seen.append(seen)
+        return df
+
+    def counts(self) -> dict[str, int]:
+        """Failures by test, of the models written through this watch."""
+        return {name: n for seen in self._seen for name, n in seen.get.items()}
+
+
+def model_frames(tx: Lake | Transaction, models: Sequence[str]) -> dict[str, DataFrame]:
+    def table(name: str) -> str:
+        kind = name.split("_", 1)[0]
+        return staged_table(name.removeprefix("stg_")) if kind == "stg" else mart_table(name) if kind == "mart" else model_table(name)
+
+    return {name: tx.read(table(name)) for name in models}
+
+
+def run_model_tests(
+    tx: Lake | Transaction, tests: Sequence[ModelTest], counted: dict[str, int] | None = None, run_id: str | None = None,
+    shown: dict[str, Sequence[str]] | None = None,
+) -> DataFrame:
+    """Store all failing rows, one folder for each test, and one result row for each test.
+
+    Returns the stored results. ``counted``: see ``operators.model_tests.failures``.
+    """
+    lake = tx if isinstance(tx, Lake) else tx.lake
+    run_id = run_id or str(uuid.uuid4())
+    failed = failures(model_frames(tx, tested_models(tests)), tests, counted, shown)
+    stamped = failed.withColumn("test_run_id", F.lit(run_id))
+    stamped.write.mode("append").partitionBy("test_run_id", "test_name").parquet(f"{lake.root}/{TEST_FAILURES}")
+    results = outcome(lake.spark, test_failures(lake, run_id), tests)
+    results.withColumn("test_run_id", F.lit(run_id)).coalesce(1).write.mode("append").partitionBy("test_run_id").parquet(
+        f"{lake.root}/{TEST_RESULTS}"
+    )
+    return test_results(lake, run_id)
+
+
+def _of_run(lake: Lake, folder: str, columns: str, run_id: str) -> DataFrame:
+    stored = lake.spark.read.schema(f"{columns}, test_run_id string").parquet(f"{lake.root}/{folder}")
+    return stored.filter(F.col("test_run_id") == run_id).drop("test_run_id")
+
+
+def test_failures(lake: Lake, run_id: str) -> DataFrame:
+    """(test_name, failed_rows, failure) of one run; a test's rows are one folder."""
+    return _of_run(lake, TEST_FAILURES, FAILURE_COLUMNS, run_id)
+
+
+def test_results(lake: Lake, run_id: str) -> DataFrame:
+    return _of_run(lake, TEST_RESULTS, RESULT_COLUMNS, run_id)
+
+
 # ---- full refresh ----------------------------------------------------------------------
 
 
-def stage_into(tx: Transaction, names: Sequence[str] = STAGED) -> dict[str, DataFrame]:
+def stage_into(tx: Transaction, names: Sequence[str] = STAGED, watch: Watch | None = None) -> dict[str, DataFrame]:
+    watch = watch or Watch()
+
     def write(name: str) -> DataFrame:
-        staged = stage(name, tx.read(raw_table(name)))
+        staged = watch(f"stg_{name}", stage(name, tx.read(raw_table(name))))
         return tx.overwrite(staged_table(name), staged, **staged_layout(name))
 
     return _side_by_side({name: partial(write, name) for name in names})
 
 
-def build_full(lake: Lake, round_scale: int | None = None) -> int:
-    """Rebuild staging, dimensions, facts and marts; published in one commit."""
+def build_full(lake: Lake, round_scale: int | None = None, tests: Sequence[ModelTest] = (), run_id: str | None = None) -> int:
+    """Rebuild staging, dimensions, facts and marts; published in one commit.
+
+    With ``tests``, they run before the commit, and an ERROR raises, so nothing is published; the
+    failing rows and the results are stored all the same. Rows are counted while they are written,
+    so only models with a failing row are read again for tests of rows.
+    """
     with lake.transaction() as tx:
-        staged = stage_into(tx)
+        watch = Watch(tests)
+        staged = stage_into(tx, watch=watch)
 
         def write_dim(name: str) -> DataFrame:
             main, extra = (staged[n] for n in DIM_INPUT[name])
-            dim = DIM_BUILDERS[name](main, extra)
+            dim = watch(name, DIM_BUILDERS[name](main, extra))
             return tx.overwrite(model_table(name), dim, **model_layout(name))
 
         _side_by_side({name: partial(write_dim, name) for name in DIM_BUILDERS})
@@ -141,13 +218,15 @@ def build_full(lake: Lake, round_scale: int | None = None) -> int:
         }
         _side_by_side(
             {
-                name: partial(tx.overwrite, model_table(name), df, **model_layout(name))
+                name: partial(tx.overwrite, model_table(name), watch(name, df), **model_layout(name))
                 for name, df in built.items()
             }
         )
-        build_marts(tx)
+        build_marts(tx, watch)
         if tx.has(LOAD_HISTORY):
             tx.overwrite(BUILT_BATCHES, tx.read(LOAD_HISTORY).select("batch_id").distinct().coalesce(1))
+        if tests:
+            gate(run_model_tests(tx, tests, watch.counts(), run_id))
     return lake.state()[0]
 
 
@@ -164,10 +243,11 @@ def dimension_ids(tx: Transaction) -> dict[str, DataFrame]:
     return ids
 
 
-def build_marts(tx: Transaction) -> None:
+def build_marts(tx: Transaction, watch: Watch | None = None) -> None:
     """The calendar and the five marts are always rebuilt."""
+    watch = watch or Watch()
     orders, items = tx.read(staged_table("orders")), tx.read(staged_table("order_items"))
-    dates = tx.overwrite(model_table("dim_date"), dims.dim_date(orders, items).coalesce(1))
+    dates = tx.overwrite(model_table("dim_date"), watch("dim_date", dims.dim_date(orders, items)).coalesce(1))
     lifecycle = tx.read(model_table("fact_order_lifecycle"))
     fact_items = tx.read(model_table("fact_order_items"))
     products = tx.read(model_table("dim_product"))
@@ -180,7 +260,7 @@ def build_marts(tx: Transaction) -> None:
         "mart_order_status": marts.mart_order_status(lifecycle),
     }
     _side_by_side(
-        {name: partial(tx.overwrite, mart_table(name), df) for name, df in built.items()}
+        {name: partial(tx.overwrite, mart_table(name), watch(name, df)) for name, df in built.items()}
     )
 
 
@@ -322,9 +402,14 @@ def build_increment(
     propagate_lookups: bool = False,
     repair_unknown: bool = False,
     round_scale: int | None = None,
+    tests: Sequence[ModelTest] = (),
+    run_id: str | None = None,
 ) -> int:
     """Upsert what the RAW batches loaded since the last build changed; one commit.
 
+    ``tests`` run over the whole models before the commit, as in ``build_full``; only models that
+    are written whole are not read again for tests of rows.
+
     ``lookback`` also takes rows up to that much older than the youngest staged row, for RAW
     rows that were appended without a batch of their own. ``propagate_lookups`` also rebuilds
     dimension rows whose geolocation or label changed. ``repair_unknown`` re-keys fact rows
@@ -344,7 +429,8 @@ def build_increment(
                     F.col("source_updated_at").isNull() & (F.col("loaded_at") > since)
                 )
             fresh[name] = raw[name].filter(unbuilt)
-        extras = stage_into(tx, ("geolocation", "category_translation"))
+        watch = Watch(tests)
+        extras = stage_into(tx, ("geolocation", "category_translation"), watch)
 
         def upsert_staged(name: str) -> DataFrame:
             changes = current_rows(name, raw[name], fresh[name], marks[name])
@@ -387,10 +473,12 @@ def build_increment(
         _side_by_side({name: partial(upsert_fact, name) for name in FACT_DAY})
         if repair_unknown:
             _repair(tx, ids, round_scale)
-        build_marts(tx)
+        build_marts(tx, watch)
         if batches:
             built = lake.spark.createDataFrame([(b,) for b in batches], "batch_id string")
             tx.append(BUILT_BATCHES, built)
+        if tests:
+            gate(run_model_tests(tx, tests, watch.counts(), run_id))
     return lake.state()[0]
 
 
