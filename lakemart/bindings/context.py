@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from lakemart.bindings import tables
 from lakemart.functions import stable_key
 from lakemart.plans import dims, facts, marts
-from lakemart.plans.staging import cleaned_ids, stage, staged_keys
+from lakemart.plans.staging import STAGED, cleaned_ids, stage, staged_keys
+from lakemart.session import work_path
+from lakemart.sources.lake import Lake
+from lakemart.sources.raw_load import raw_table
 
 
 class Context:
@@ -35,6 +38,23 @@ class Context:
     def staged(self, name: str) -> DataFrame:
         return self._once(f"stg_{name}", lambda: stage(name, self.raw(name)))
 
+    def keep(self, *names: str) -> None:
+        """Rank the RAW history of these data sets once, for all branches of the query that read them."""
+        for name in names:
+            path = work_path(self.spark, f"stg_{name}")
+            staged = self.staged(name)
+            staged.write.parquet(path)
+            self._built[f"stg_{name}"] = self.spark.read.schema(staged.schema).parquet(path)
+
+    def lake(self, only: dict[str, str] | None = None) -> Lake:
+        """A lake whose RAW tables hold the test tables; ``only`` filters those of some data sets."""
+        lake = Lake(self.spark, work_path(self.spark, "lake"))
+        with lake.transaction() as tx:
+            for name in STAGED:
+                rows = self.raw(name)
+                tx.append(raw_table(name), rows.filter(only[name]) if only and name in only else rows)
+        return lake
+
     def ids(self, name: str) -> DataFrame:
         return self._once(f"ids_{name}", lambda: staged_keys(name, self.raw(name)))
 

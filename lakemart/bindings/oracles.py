@@ -8,6 +8,9 @@ from __future__ import annotations
 
 import re
 
+from lakemart.operators.model_tests import ModelTest
+from lakemart.plans.model_suite import declared_tests
+
 LOADED = "timestamp '2024-01-31 00:00:00'"
 EPOCH = "timestamp '1970-01-01 00:00:00'"
 
@@ -558,7 +561,73 @@ LATE_ITEMS = """from stg_order_items i join stg_orders o on o.order_id = i.order
     where shipping_limit_date > order_purchase_timestamp + to_days(365)"""
 ANY_UNKNOWN = "customer_key = -1 or product_key = -1 or seller_key = -1"
 
+
+def failing(test: ModelTest) -> str:
+    """(failed_rows, failing_key, n_records) of one declared test."""
+    model, column = test.model, test.columns[0] if test.columns else ""
+    order = "order_id" if model.startswith(("stg_o", "stg_pay", "fact_")) else "null::varchar"
+    if test.kind == "not_null":
+        return f"select 1, {order}, null from {model} where {column} is null"
+    if test.kind == "unique":
+        keys = ", ".join(test.columns)
+        shown = f"{column}::varchar"
+        known = f"where {column} is not null" if len(test.columns) == 1 else ""
+        return f"select 1, {shown}, count(*) from {model} {known} group by {keys} having count(*) > 1"
+    if test.kind == "relationships":
+        parent, field = test.parent
+        return f"""select count(*), {column}::varchar, count(*) from {model}
+            where {column} is not null and {column} not in (select {field} from {parent}) group by {column}"""
+    if test.kind == "accepted_values":
+        listed = ", ".join(f"'{v}'" for v in test.accepted)
+        return f"select 1, {column}, count(*) from {model} where {column} not in ({listed}) group by {column}"
+    return {
+        "order_delivery_after_purchase": f"select 1, order_id, null from {model} where order_delivered_customer_date < order_purchase_timestamp",
+        "shipping_limit_reasonable": f"select 1, i.order_id, null {LATE_ITEMS}",
+        "unknown_dimension_rate": f"""select 1, unknown_rows::varchar, null from (select count(*) filter ({ANY_UNKNOWN}) as unknown_rows,
+            count(*) as total_rows from fact_order_items) where unknown_rows * 100 > total_rows""",
+        "fact_order_items_reconciliation": f"""select 1, null, null from {counts("stg_order_items", "fact_order_items")}
+            where staging_rows <> fact_rows""",
+        "fact_payments_reconciliation": f"""select 1, null, null from {counts("stg_payments", "fact_payments")}
+            where staging_rows <> fact_rows""",
+    }[test.name]
+
+
+FAILURES = "\nunion all\n".join(
+    f"""select '{t.name}' as test_name, failed_rows::bigint as failed_rows, failing_key::varchar as failing_key, n_records::bigint as n_records
+    from ({failing(t)}) as f(failed_rows, failing_key, n_records)"""
+    for t in declared_tests()
+)
+DECLARED = ", ".join(f"('{t.name}', '{t.model}', '{t.kind}', '{t.severity}')" for t in declared_tests())
+
 QUERIES = {
+    "model_tests": f"""
+        select d.test_name, model, kind, severity, case when n > 0 then severity else 'PASS' end as status,
+               coalesce(n, 0)::bigint as failed_rows
+        from (values {DECLARED}) as d(test_name, model, kind, severity)
+        left join (select test_name, sum(failed_rows) as n from ({FAILURES}) group by 1) f on f.test_name = d.test_name""",
+    "test_failures": FAILURES,
+    "reconcile_files": """
+        select dataset, source_count, target_count,
+               case when source_count = target_count then 'PASS' else 'ERROR' end as status
+        from (select 'documents' as dataset, count(*) as source_count, count(*) as target_count from documents
+              union all select 'order_items', count(*), count(*) from lineitem
+              union all select 'payments', count(*), count(*) filter (event_type <> 'click') from events)""",
+    "read_quoted_csv": """
+        select doc_id::varchar as doc_id, text, lang, source, n_chars::varchar as n_chars from documents""",
+    "quality_report": f"""
+        select '2024-01-02T00:00:00+00:00' as generated_at_utc, count(*) over () as total_checks,
+               count(*) filter (status = 'PASS') over () as passed, count(*) filter (status = 'WARN') over () as warnings,
+               count(*) filter (status = 'ERROR') over () as errors, test_name, dataset, status, failed_rows, total_rows
+        from ({CONTRACT})""",
+    "increment_order_items": "select * from fact_order_items",
+    "increment_order_lifecycle": "select * from fact_order_lifecycle",
+    "stored_upsert": UPSERTED,
+    "category_orders_bucketed": "select * from mart_category_performance",
+    "profile_duplicates": """
+        select sum(n)::bigint as row_count, 11::bigint as column_count, sum(n - 1)::bigint as duplicate_rows
+        from (select count(*) as n from (select * from lineitem union all select * from lineitem where l_linenumber = 1)
+              group by l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice,
+                  l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate)""",
     "raw_stamp_batch": """
         select o_orderkey::varchar as order_id, o_orderstatus as order_status,
                'orders.parquet' as source_file, 'batch-1' as batch_id,
@@ -869,7 +938,12 @@ QUERIES = {
         profile_column("product_text", "product_height_cm", "float64"),
         profile_column("product_text", "product_width_cm", "float64"),
     ),
-    "profile_samples": union(*[sample(c) for c in ("o_orderkey", "o_orderstatus", "o_orderpriority")]),
+    "profile_samples": union(
+        *[
+            sample(c)
+            for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+        ]
+    ),
 }
 for _name in (
     "stg_customers",

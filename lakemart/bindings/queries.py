@@ -11,14 +11,18 @@ from pyspark.sql import functions as F
 from lakemart import functions as fn
 from lakemart.bindings.context import Context
 from lakemart.operators import checks, profiles
+from lakemart.operators.checks import QualityGateError
 from lakemart.operators.lookups import lookup_join, lookup_key
 from lakemart.operators.upserts import changed_since, extract_delta, high_watermark, upsert
 from lakemart.operators.versions import latest_version
 from lakemart.plans import dashboard, dims, facts, marts, warehouse, warehouse_checks
+from lakemart.plans.model_suite import declared_tests
 from lakemart.plans.staging import UPDATED, stage
-from lakemart.sources import extracts, raw_load
-from lakemart.sources.contract import COMMERCE_CONTRACT, ForeignKey
+from lakemart.session import work_path
+from lakemart.sources import csv_files, extracts, raw_load
+from lakemart.sources.contract import COMMERCE_CONTRACT, INCREMENTAL_DATASETS, ForeignKey
 from lakemart.sources.csv_files import na_to_null
+from lakemart.sources.folders import FolderTable, folder_count, folder_of, write_bucketed
 
 Query = Callable[[Context], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -173,6 +177,7 @@ def join_preaggregated(c: Context) -> DataFrame:
 
 @query
 def role_playing_dates(c: Context) -> DataFrame:
+    c.keep("orders", "order_items")
     lifecycle = c.fact("order_lifecycle").select(
         "order_id", "purchase_date_key", "approved_date_key", "delivered_date_key"
     )
@@ -407,6 +412,59 @@ def incremental_payment_delta(c: Context) -> DataFrame:
     return warehouse.payment_delta(payments, orders, mark, c.ids("customers"))
 
 
+BATCH_MARK = "timestamp_ntz'1999-01-01 00:00:00'"
+
+
+def _incremented(c: Context) -> warehouse.Lake:
+    """A lake built from the older rows, and then from a batch of the younger ones.
+
+    The batches overlap: the second brings rows of the first again, and versions of orders and
+    items that the first build holds in an older form.
+    """
+    old = {name: f"source_updated_at < {BATCH_MARK}" for name in ("orders", "order_items")}
+    lake = c.lake(old | {"payments": "source_updated_at < timestamp_ntz'2024-01-20 00:00:00'"})
+    warehouse.build_full(lake)
+    now, batch = dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc), "batch-1"
+    with lake.transaction() as tx:
+        for name in INCREMENTAL_DATASETS:
+            since = "2024-01-15" if name == "payments" else "1998-07-01"
+            late = c.raw(name).filter(f"source_updated_at >= timestamp_ntz'{since} 00:00:00'").withColumn("batch_id", F.lit(batch))
+            tx.append(raw_load.raw_table(name), late)
+            raw_load.append_history(tx, [(batch, name, "source", raw_load.NO_FILE_HASH, None, "SUCCESS", now)])
+    warehouse.build_increment(lake)
+    return lake
+
+
+@query
+def increment_order_items(c: Context) -> DataFrame:
+    return _incremented(c).read(warehouse.model_table("fact_order_items"))
+
+
+@query
+def increment_order_lifecycle(c: Context) -> DataFrame:
+    return _incremented(c).read(warehouse.model_table("fact_order_lifecycle"))
+
+
+@query
+def stored_upsert(c: Context) -> DataFrame:
+    """Orders kept in folders by their key, then changed in place."""
+    target, delta = _order_versions(c)
+    keys = ["o_orderkey"]
+    by = folder_of(keys, folder_count(target.count(), rows_per_folder=4096))
+    table = FolderTable(c.spark, work_path(c.spark, "orders"), target.schema, keys, by)
+    table.overwrite(target)
+    table.upsert(delta)
+    return table.read()
+
+
+@query
+def category_orders_bucketed(c: Context) -> DataFrame:
+    """The category mart over facts bucketed by order: items are not shuffled again."""
+    path = work_path(c.spark, "fact_order_items")
+    facts_of = write_bucketed(c.fact("order_items"), path.rsplit("/", 1)[-1].replace("-", "_"), path, "order_id", 8)
+    return marts.mart_category_performance(facts_of, c.dim("product"))
+
+
 @query
 def incremental_fact_upsert(c: Context) -> DataFrame:
     everything = c.fact("payments")
@@ -592,6 +650,41 @@ def dq_foreign_key(c: Context) -> DataFrame:
     ).drop("message")
 
 
+# CSV files written from test tables: texts of documents have line breaks and quotes.
+CSV_TABLES = {"documents": "documents", "order_items": "lineitem", "payments": "events"}
+
+
+def _csv_files(c: Context, name: str) -> list[str]:
+    path = work_path(c.spark, f"csv_{name}")
+    quoted = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    c.table(CSV_TABLES[name]).write.options(**quoted).csv(path)
+    return csv_files.require_files(c.spark, path, "part-*")
+
+
+@query
+def reconcile_files(c: Context) -> DataFrame:
+    """Rows of CSV files, by their quotes and line breaks alone, against RAW rows read from them; payments lack some."""
+    loaded = []
+    for name, table in CSV_TABLES.items():
+        paths, columns = _csv_files(c, name), c.table(table).columns
+        counted = csv_files.quick_row_counts(c.spark, paths).agg(F.sum("n").alias("source_count"))
+        rows = csv_files.read_by_position(c.spark, paths, columns, multi_line=True)
+        if name == "payments":
+            rows = rows.filter("event_type <> 'click'")
+        target = rows.agg(F.count(F.lit(1)).alias("target_count"))
+        both = counted.select(F.lit(name).alias("dataset"), "source_count", F.lit(None).cast("bigint").alias("target_count"))
+        loaded += [both, target.select(F.lit(name).alias("dataset"), F.lit(None).cast("bigint").alias("source_count"), "target_count")]
+    paired = checks.union_all(loaded).groupBy("dataset").agg(F.max("source_count").alias("source_count"), F.max("target_count").alias("target_count"))
+    return paired.selectExpr("*", "if(source_count = target_count, 'PASS', 'ERROR') as status")
+
+
+@query
+def read_quoted_csv(c: Context) -> DataFrame:
+    """Documents through CSV files, read split by split."""
+    read = csv_files.read_by_name(c.spark, _csv_files(c, "documents"), multi_line=True, na_words=None)
+    return read.select("doc_id", "text", "lang", "source", "n_chars")
+
+
 def _contract_results(c: Context) -> DataFrame:
     frames = {name: _contract_frame(c, name) for name in COMMERCE_CONTRACT.datasets}
     return checks.run_contract(c.spark, frames, COMMERCE_CONTRACT)
@@ -607,6 +700,17 @@ def check_summary(c: Context) -> DataFrame:
     return checks.summary(_contract_results(c))
 
 
+@query
+def quality_report(c: Context) -> DataFrame:
+    """The report document written as JSON, read back, its results as rows beside its summary."""
+    path = work_path(c.spark, "report")
+    csv_files.write_report(checks.report_document(_contract_results(c), dt.datetime(2024, 1, 2, tzinfo=dt.timezone.utc)), path)
+    document = c.spark.read.json(path)
+    return document.select("generated_at_utc", "summary.*", F.explode("results").alias("r")).select(
+        "generated_at_utc", "total_checks", "passed", "warnings", "errors", "r.test_name", "r.dataset", "r.status", "r.failed_rows", "r.total_rows"
+    )
+
+
 @query
 def test_not_null(c: Context) -> DataFrame:
     return checks.failing_not_null(c.staged("reviews"), "review_score").select("review_id")
@@ -630,6 +734,30 @@ def test_accepted_values(c: Context) -> DataFrame:
     return checks.failing_accepted_values(c.staged("orders"), "order_status", accepted)
 
 
+def _suite(c: Context, results: bool) -> DataFrame:
+    """A full build with all declared tests, which the test tables do not pass."""
+    lake, run_id = c.lake(), "suite"
+    try:
+        warehouse.build_full(lake, tests=declared_tests(), run_id=run_id)
+    except QualityGateError:
+        pass  # nothing is published; results and failing rows are stored
+    return (warehouse.test_results if results else warehouse.test_failures)(lake, run_id)
+
+
+@query
+def model_tests(c: Context) -> DataFrame:
+    return _suite(c, results=True)
+
+
+@query
+def test_failures(c: Context) -> DataFrame:
+    field = lambda name: F.get_json_object("failure", f"$.{name}")
+    keys = [field(name) for name in ("from_field", "value_field", "unique_field", "order_id", "unknown_rows")]
+    return _suite(c, results=False).select(
+        "test_name", "failed_rows", F.coalesce(*keys).alias("failing_key"), field("n_records").cast("bigint").alias("n_records")
+    )
+
+
 @query
 def unknown_rate_check(c: Context) -> DataFrame:
     return warehouse_checks.unknown_rate_exceeded(c.fact("order_items"))
@@ -671,6 +799,7 @@ def _warehouse_results(c: Context) -> DataFrame:
 
 @query
 def warehouse_check_rows(c: Context) -> DataFrame:
+    c.keep("orders", "order_items", "payments")
     return _warehouse_results(c).drop("error_message")
 
 
@@ -713,8 +842,14 @@ def profile_text_columns(c: Context) -> DataFrame:
 
 @query
 def profile_samples(c: Context) -> DataFrame:
-    orders = c.table("orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
-    return profiles.sample_values(orders, ["o_orderkey"])
+    return profiles.sample_values(c.table("orders"), ["o_orderkey"])
+
+
+@query
+def profile_duplicates(c: Context) -> DataFrame:
+    """Later copies of whole rows of a table in which many rows occur twice."""
+    items = c.table("lineitem")
+    return profiles.profile_table(items.unionByName(items.filter("l_linenumber = 1")))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

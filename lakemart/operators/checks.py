@@ -6,6 +6,7 @@ message. A check passes when no row fails, else its status is its severity.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -306,6 +307,23 @@ def summary(results: DataFrame) -> DataFrame:
     )
 
 
+def report_document(results: DataFrame, generated_at: dt.datetime) -> DataFrame:
+    """One row: the whole report as a nested document of ``generated_at_utc``, ``summary`` and ``results``.
+
+    ``results`` are one row for each declared check, so they fit one row.
+    """
+    tallies = [
+        F.count(F.lit(1)).alias("total_checks"),
+        *[F.count_if(F.col("status") == s).alias(name) for s, name in (("PASS", "passed"), ("WARN", "warnings"), ("ERROR", "errors"))],
+    ]
+    listed = F.sort_array(F.collect_list(F.struct(*RESULT_COLUMNS)))
+    whole = results.agg(*tallies, listed.alias("results"))
+    at = generated_at.astimezone(dt.timezone.utc).isoformat()
+    return whole.select(
+        F.lit(at).alias("generated_at_utc"), F.struct("total_checks", "passed", "warnings", "errors").alias("summary"), "results"
+    )
+
+
 def gate(results: DataFrame) -> dict[str, int]:
     """Raise if a check ended in ERROR, else return the tallies."""
     row = summary(results).first().asDict()

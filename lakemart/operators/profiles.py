@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from lakemart.functions import literal, parsed_number
 
@@ -102,12 +103,23 @@ def profile_columns(df: DataFrame) -> DataFrame:
 
 
 def profile_table(df: DataFrame) -> DataFrame:
-    """One row: row count, column count and later copies of equal rows."""
-    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("n"))
-    return groups.agg(
+    """One row: row count, column count and later copies of equal rows.
+
+    Rows are first grouped by a digest of 128 bits, so that 16 bytes of each travel. Only rows that
+    share a digest are then compared in full, which keeps the count exact.
+    """
+    digest = {"_h1": F.xxhash64(*df.columns), "_h2": F.xxhash64(F.lit(1), *df.columns)}
+    digests = df.select(*[value.alias(name) for name, value in digest.items()])
+    groups = digests.groupBy(*digest).agg(F.count(F.lit(1)).alias("n"))
+    shared = groups.filter("n > 1").select(*digest)
+    suspects = df.withColumns(digest).join(shared, list(digest), "left_semi")
+    copies = suspects.groupBy(*digest, *df.columns).agg(F.count(F.lit(1)).alias("n"))
+    counted = groups.select(F.col("n"), F.lit(0).cast("bigint").alias("later"))
+    both = counted.unionByName(copies.select(F.lit(0).cast("bigint").alias("n"), (F.col("n") - 1).alias("later")))
+    return both.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
         F.lit(len(df.columns)).cast("bigint").alias("column_count"),
-        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_rows"),
+        F.coalesce(F.sum("later"), F.lit(0)).alias("duplicate_rows"),
     )
 
 
@@ -123,22 +135,17 @@ def first_values(df: DataFrame, columns: Sequence[str], n: int = SAMPLES) -> dic
 
 
 def sample_values(df: DataFrame, order: Sequence[str], n: int = SAMPLES) -> DataFrame:
-    """Per column its ``n`` non-null values with the lowest ``order``, as rows.
+    """Per column its ``n`` non-null values with the lowest ``order``, as rows, from one scan.
 
-    Each column is a top-n: every task keeps ``n`` candidates, nothing else is exchanged.
+    Cells become rows of (column, order, value), ranked per column. The ranking's limit is applied
+    in every task first, so that each task sends at most ``n`` rows for a column.
     """
-    key = F.struct(*order)
-    picks = []
-    for i, c in enumerate(df.columns):
-        pick = F.struct(key.alias("k"), F.col(c).cast("string").alias("v"))
-        picks.append(F.when(F.col(c).isNotNull(), pick).alias(f"p{i}"))
-    rows = df.select(*picks)
-    result = []
-    for i, c in enumerate(df.columns):
-        top = rows.select(f"p{i}").filter(F.col(f"p{i}").isNotNull()).orderBy(f"p{i}").limit(n)
-        named = top.select(F.lit(c).alias("column_name"), F.col(f"p{i}.v").alias("sample_value"))
-        result.append(named)
-    union = result[0]
-    for part in result[1:]:
-        union = union.unionAll(part)
-    return union
+    key = ", ".join(f"`{c}`" for c in order)
+    cells = ", ".join(
+        f"if(`{c}` is null, null, struct({i} as position, struct({key}) as k, cast(`{c}` as string) as v))" for i, c in enumerate(df.columns)
+    )
+    names = F.array(*[F.lit(c) for c in df.columns])
+    ranked = df.selectExpr(f"inline(filter(array({cells}), x -> x is not null))").withColumn(
+        "place", F.row_number().over(Window.partitionBy("position").orderBy("k", "v"))
+    )
+    return ranked.filter(F.col("place") <= n).select(names[F.col("position")].alias("column_name"), F.col("v").alias("sample_value"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -28,3 +31,21 @@ def build_session(app_name: str = "lakemart", master: str | None = None, **conf:
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
+
+
+_local: dict[str, str] = {}
+
+
+def work_path(spark: SparkSession, name: str) -> str:
+    """A new path for tables of one run, in the folder that the cluster names in spark.checkpoint.dir.
+
+    Without that setting a folder of this machine is taken, only where the master is local.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        app = spark.sparkContext
+        if not app.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = _local.setdefault(app.applicationId, "") or tempfile.mkdtemp(prefix="lakemart-")
+        _local[app.applicationId] = root
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

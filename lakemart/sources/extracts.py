@@ -52,6 +52,16 @@ def _stored_watermark(lake: Lake, dataset: str) -> dt.datetime:
     return row["watermark_value"].astimezone(dt.timezone.utc) if row else epoch
 
 
+def source_bound(source: DataFrame, previous: dt.datetime) -> dt.datetime:
+    """The latest change time that the source holds, or ``previous`` where that is later.
+
+    It comes from the source itself, so that no clock but the one that stamped the rows decides
+    what has been read. Of a Parquet or a database source only the one column is read.
+    """
+    latest = source.agg(F.max(F.col(UPDATED_AT).cast("timestamp")).alias("latest")).first()["latest"]
+    return max(previous, latest.astimezone(dt.timezone.utc)) if latest else previous
+
+
 def ingest(
     lake: Lake,
     dataset: str,
@@ -62,15 +72,17 @@ def ingest(
 ) -> dict:
     """Append the rows with ``previous < updated_at <= upper`` to RAW.
 
-    ``upper`` is a clock read taken before the extract. The RAW rows, the new watermark and
+    ``upper`` is the source's own clock, read before the extract; without one it is the latest
+    change time in the source (``source_bound``), never the clock of this driver: one that is ahead
+    would move the watermark past rows that the source has yet to stamp. The RAW rows, the new watermark and
     the history row are one commit: a failed run leaves nothing and the next one re-reads the
-    same range. The watermark moves to ``upper`` even when there was no row. ``lookback``
+    same range. The watermark moves to a given ``upper`` even when there was no row. ``lookback``
     re-reads a stretch below the watermark for rows that were committed late; the extra
     versions are removed by staging.
     """
     _guard(dataset)
     previous = _stored_watermark(lake, dataset)
-    upper = upper or utc_now()
+    upper = upper or source_bound(source, previous)
     lower = previous - lookback if lookback else previous
     batch_id, now = str(uuid.uuid4()), utc_now()
     uri = f"source://{dataset}"
