@@ -7,6 +7,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 
 from lakemart.operators.profiles import first_values, infer_types, profile_columns, profile_table
+from lakemart.session import work_path
 from lakemart.sources.csv_files import file_sizes, read_by_name, require_files
 
 
@@ -34,14 +35,17 @@ def profile_directory(
 ) -> list[dict]:
     """One report per file, sorted by name; raises when there is none.
 
-    ``multi_line`` reads quoted line breaks correctly at the price of one task per file.
+    ``multi_line`` reads quoted line breaks correctly. Files are parsed once, into a work folder. Of
+    a file in several splits, samples are first values of splits, in their order.
     """
     paths = require_files(spark, data_dir, pattern)
     sizes = {row["file"]: row["size_bytes"] for row in file_sizes(spark, paths).collect()}
     reports = []
     for path in paths:
         file = path.rsplit("/", 1)[-1]
-        typed = infer_types(read_by_name(spark, [path], multi_line))
+        parsed, held = read_by_name(spark, [path], multi_line), work_path(spark, "profile")
+        parsed.write.parquet(held)
+        typed = infer_types(spark.read.schema(parsed.schema).parquet(held))
         reports.append({"file": file, "size_bytes": sizes[file], **profile_frame(typed)})
     return reports
 

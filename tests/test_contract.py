@@ -11,54 +11,55 @@ from lakemart.sources.contract import (
 from lakemart.sources.csv_files import contract_frames, read_dataset
 
 SPEC = DatasetSpec(
-    file="orders.csv",
-    required_columns=("order_id", "customer_id", "status", "amount"),
-    not_null=("order_id", "customer_id"),
-    unique=(("order_id",),),
-    accepted_values={"status": ("paid", "pending")},
-    non_negative=("amount",),
+    file="tickets.csv",
+    required_columns=("ticket", "guest", "class", "fare"),
+    not_null=("ticket", "guest"),
+    unique=(("ticket",),),
+    accepted_values={"class": ("first", "second", "sleeper")},
+    non_negative=("fare",),
 )
-HEADER = "order_id,customer_id,status,amount\n"
+HEADER = "ticket,guest,class,fare\n"
 
 
 def run(spark, folder, rows, spec=SPEC, header=HEADER):
-    (folder / "orders.csv").write_text(header + rows, encoding="utf-8")
+    (folder / "tickets.csv").write_text(header + rows, encoding="utf-8")
     df = read_dataset(spark, str(folder), spec)
-    return {r["test_name"]: r for r in checks.check_dataset(df, "orders", spec).collect()}
+    return {r["test_name"]: r for r in checks.check_dataset(df, "tickets", spec).collect()}
 
 
-def test_valid_rows_pass(spark, tmp_path):
-    results = run(spark, tmp_path, "o-1,c-1,paid,10.50\no-2,c-2,pending,0\n")
+def test_rows_that_keep_the_contract(spark, tmp_path):
+    results = run(spark, tmp_path, "t7,ada,first,120\nt8,bo,sleeper,0.0\nt9,ada,second,33.25\n")
     assert len(results) == 7
     assert {r["status"] for r in results.values()} == {"PASS"}
 
 
-def test_invalid_rows_are_counted(spark, tmp_path):
-    results = run(spark, tmp_path, "o-1,c-1,paid,10\no-1,,unexpected,-2\n")
+def test_every_rule_counts_its_rows(spark, tmp_path):
+    rows = "t1,ada,first,5\nt2,,roof,-1\nt1,bo,second,7\nt3,cy,roof,-0.5\nt1,di,deck,abc\n"
+    results = run(spark, tmp_path, rows)
     failed = {n: (r["failed_rows"], r["total_rows"]) for n, r in results.items() if r["status"] == "ERROR"}
     assert failed == {
-        "customer_id_not_null": (1, 2),
-        "order_id_unique": (2, 2),
-        "status_accepted_values": (1, 2),
-        "amount_non_negative": (1, 2),
+        "guest_not_null": (1, 5),
+        "ticket_unique": (3, 5),
+        "class_accepted_values": (3, 5),
+        "fare_non_negative": (3, 5),
     }
 
 
 def test_numbers_and_missing_words(spark, tmp_path):
-    rows = "a,c,paid,1d\nb,c,paid,NA\nc,c,paid, 1e3 \nd,c,paid,x\ne,NULL,paid,.5\nf,\t,paid,-0.1\n"
+    rows = "a,c,first,1d\nb,c,first,NA\nc,c,first, 1e3 \nd,c,first,x\ne,NULL,first,.5\nf,\t,first,-0.1\n"
     results = run(spark, tmp_path, rows)
-    assert results["amount_non_negative"]["failed_rows"] == 3  # 1d, x, -0.1
-    assert results["customer_id_not_null"]["failed_rows"] == 2
+    assert results["fare_non_negative"]["failed_rows"] == 3  # 1d, x, -0.1
+    assert results["guest_not_null"]["failed_rows"] == 2
 
 
 def test_range_bounds_are_inclusive(spark, tmp_path):
-    spec = DatasetSpec("orders.csv", ("a",), ranges={"a": (1, 5)})
+    spec = DatasetSpec("tickets.csv", ("a",), ranges={"a": (1, 5)})
     results = run(spark, tmp_path, "1\n5\n0.99\n6\nx\nNaN\n", spec, "a\n")
     assert results["a_range"]["failed_rows"] == 3
 
 
 def test_missing_column_stops_after_schema(spark, tmp_path):
-    results = run(spark, tmp_path, "o,c,paid\n", header="order_id,customer_id,status\n")
+    results = run(spark, tmp_path, "t,ada,first\n", header="ticket,guest,class\n")
     assert set(results) == {"file_not_empty", "required_columns"}
     assert results["required_columns"]["failed_rows"] == 1
 
@@ -66,7 +67,7 @@ def test_missing_column_stops_after_schema(spark, tmp_path):
 def test_empty_file(spark, tmp_path):
     results = run(spark, tmp_path, "")
     assert results["file_not_empty"]["status"] == "ERROR"
-    assert results["order_id_unique"]["status"] == "PASS"
+    assert results["ticket_unique"]["status"] == "PASS"
 
 
 def test_missing_file_and_foreign_keys(spark):

@@ -37,11 +37,11 @@ def changes_at(spark, lake, t):
     day = t.strftime("%Y-%m-%d %H:%M:%S")
     new_customer = source_rows(
         spark, lake, "customers", t, customer_id="c9", customer_unique_id="u9",
-        customer_zip_code_prefix="1003", customer_city="sao paulo", customer_state="SP",
+        customer_zip_code_prefix="1002", customer_city="niteroi", customer_state="RJ",
     )
     touched = source_rows(
         spark, lake, "customers", t, customer_id="c1", customer_unique_id="u1",
-        customer_zip_code_prefix="1001", customer_city="sao paulo", customer_state="SP",
+        customer_zip_code_prefix="1001", customer_city="campinas", customer_state="SP",
     )
     return {
         "customers": new_customer.unionByName(touched),
@@ -57,11 +57,11 @@ def changes_at(spark, lake, t):
         ),
         "order_items": source_rows(
             spark, lake, "order_items", t, order_id="o9", order_item_id="1", product_id="p1",
-            seller_id="s1", shipping_limit_date=day, price="99.90", freight_value="10.00",
+            seller_id="s1", shipping_limit_date=day, price="42.40", freight_value="7.60",
         ),
         "payments": source_rows(
             spark, lake, "payments", t, order_id="o9", payment_sequential="1",
-            payment_type="credit_card", payment_installments="1", payment_value="109.90",
+            payment_type="voucher", payment_installments="3", payment_value="50.00",
         ),
     }
 
@@ -136,7 +136,7 @@ def test_increment_trace_and_replay(spark, built):
         "payments": 1,
     }
     assert extracts.require_watermarks(built) == 6
-    assert built.read("raw.order_items").filter("order_id = 'o9'").first()["price"] == "99.90"
+    assert built.read("raw.order_items").filter("order_id = 'o9'").first()["price"] == "42.40"
     counts = {m: built.read(model_table(m)).count() for m in MODEL_KEYS}
     warehouse.build_increment(built)
     grown = {m: built.read(model_table(m)).count() for m in MODEL_KEYS}
@@ -203,7 +203,7 @@ def test_rows_that_arrive_late_are_built(spark, built):
     extracts.ingest(built, "orders", older, upper=t, lookback=dt.timedelta(days=20))
     warehouse.build_increment(built, repair_unknown=True)
     order = built.read(model_table("fact_order_lifecycle")).filter("order_id = 'o9'").first()
-    assert (order["payment_value"], order["item_count"], order["order_status"]) == (Decimal("109.90"), 1, "approved")
+    assert (order["payment_value"], order["item_count"], order["order_status"]) == (Decimal("50.00"), 1, "approved")
     tables = [*map(model_table, MODEL_KEYS), *map(staged_table, ("orders", "order_items", "payments", "customers"))]
     step_by_step = {name: rows(built.read(name)) for name in tables}
     warehouse.build_full(built)
