@@ -21,24 +21,31 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts."""
+    """Documents that the quality classifier accepts; of repeated ids each row by its own text."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     name = "_".join(["quality_score", *docs.columns])
     return with_quality(docs, labels, name=name).filter(F.col(f"`{name}`") >= LEAST_QUALITY).drop(name)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the smallest id, of each group of near duplicates.
+    """One row of each group of near duplicates: the one with the smallest id, nulls last.
 
-    Documents with a null id cannot be named and stay; repeated ids stay or go together.
+    Rows are told apart by a number made here, so repeated rows are near duplicates like any others,
+    and an unlike text stays whatever other texts share its id. A null text counts as empty.
     """
-    groups = simhash_components(docs, SHINGLE, MAX_BITS)
-    copies = groups.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    row = "row"
+    while row.lower() in {c.lower() for c in docs.columns}:
+        row += "_"
+    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    groups = simhash_components(numbered, SHINGLE, MAX_BITS, id_col=row).select(F.col("doc_id").alias(row), "component_id")
+    known = numbered.select(row, "doc_id").join(groups, row)
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.col(row).alias("row"))
+    first = known.groupBy("component_id").agg(F.min(order).alias("first")).select(F.col("first.row").alias(row))
+    return numbered.join(first, row, "left_semi").select(*[f"`{c}`" for c in docs.columns])
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents into which no benchmark item leaks."""
+    """Documents into which no benchmark item leaks; a null text is clean."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     name = "_".join(["leaks", *docs.columns])
     return with_leaks(docs, benchmark, name=name).filter(F.size(f"`{name}`") == 0).drop(name)
@@ -54,7 +61,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def encode_and_decode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of ids and decoded texts of the documents left."""
+    """Token counts and digests of ids and decoded texts of the documents left; a null text has no tokens."""
     return round_trip(docs, public_tokenizers.path(TOKENIZER))
 
 
