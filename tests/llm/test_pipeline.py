@@ -28,3 +28,19 @@ def test_every_operator_has_a_query():
     names = __spark_entry__.queries()
     assert "pipeline" in names
     assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+
+
+def dedup(spark, rows, schema):
+    docs = spark.createDataFrame(rows, schema)
+    out = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert out.columns == docs.columns
+    return sorted(map(tuple, out.collect()), key=str)
+
+
+def test_near_duplicates_are_told_apart_by_row(spark):
+    t, u = "one two three four five six", "quite another text about some other things"
+    schema = "doc_id bigint, text string, `row` int, `a.b` int, component_id int, first int"
+    rows = [(1, t), (1, t), (2, t), (3, u), (3, t), (None, "a third text that nobody else has"), (None, u), (4, None), (None, "")]
+    kept = dedup(spark, [(*r, 1, 2, 3, 4) for r in rows], schema)
+    assert [r[:2] for r in kept] == [(1, t), (3, u), (4, None), (None, "a third text that nobody else has")]
+    assert dedup(spark, [], schema) == []
