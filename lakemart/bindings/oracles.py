@@ -679,6 +679,12 @@ QUERIES = {
     "fk_lookup_unknown": """
         select o.order_id, o.customer_id, coalesce(customer_key, -1) as customer_key
         from stg_orders o left join customer_keys c on c.customer_id = o.customer_id""",
+    "fk_lookup_late_dimensions": f"""
+        select order_id, order_item_id, product_id, seller_id,
+               case when p_size > 10 then {key("product_id")} else -1 end as product_key,
+               case when s_acctbal >= 0 then {key("seller_id")} else -1 end as seller_key
+        from stg_order_items left join part on p_partkey::varchar = product_id
+        left join supplier on s_suppkey::varchar = seller_id""",
     "enrich_geo": """
         select customer_id, customer_zip_code_prefix, latitude, city
         from stg_customers left join stg_geolocation

@@ -152,6 +152,16 @@ def fk_lookup_unknown(c: Context) -> DataFrame:
     return lookup_key(orders, c.ids("customers"), "customer_id", "customer_key", seen=seen)
 
 
+@query
+def fk_lookup_late_dimensions(c: Context) -> DataFrame:
+    """Items whose product or seller is not in its dimension yet: small parts and sellers in debt arrive later."""
+    items = c.staged("order_items").select("order_id", "order_item_id", "product_id", "seller_id")
+    products = c.staged("products").filter("product_length_cm > 10").select("product_id")
+    sellers = c.table("supplier").filter("s_acctbal >= 0").select(F.col("s_suppkey").cast("string").alias("seller_id"))
+    keyed = lookup_key(items, products, "product_id", "product_key", seen=c.seen("order_items"))
+    return lookup_key(keyed, sellers, "seller_id", "seller_key", seen=c.seen("order_items"))
+
+
 @query
 def enrich_geo(c: Context) -> DataFrame:
     points = c.staged("geolocation").select(
@@ -511,6 +521,12 @@ _register(
 )
 
 
+@query
+def mart_sales_daily(c: Context) -> DataFrame:
+    c.keep("orders", "order_items")  # facts and calendar read both
+    return c.mart("sales_daily")
+
+
 # ---- dashboard -------------------------------------------------------------------------------
 
 

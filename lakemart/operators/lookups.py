@@ -8,12 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.functions import UNKNOWN_KEY, stable_key
+from lakemart.session import work_path
 
 # A side is broadcast only if the files it is read from stay below this.
 BROADCAST_BYTES = 32 * 1024 * 1024
 # A key is hot from this share of the rows on, so there are fewer than 1 / share of them.
 HOT_SHARE = 0.001
-# Missing keys up to this number are sent to the tasks instead of shuffling the fact.
+# Missing keys up to this number are broadcast instead of shuffling the fact.
 MISSING_KEYS = 100_000
 
 
@@ -109,25 +110,28 @@ def lookup_key(
         most = MISSING_KEYS if missing_keys is None else missing_keys
         source = fact if seen is None else seen
         wanted = source.select(natural_id).filter(F.col(natural_id).isNotNull()).distinct()
-        absent = wanted.join(ids, natural_id, "left_anti").limit(most + 1).collect()
-        if len(absent) <= most:
+        absent = _stored(wanted.join(ids, natural_id, "left_anti"), "absent-keys")
+        if absent.count() <= most:
             return _key_unless_absent(fact, absent, natural_id, key, default)
     known = ids.filter(F.col(natural_id).isNotNull()).withColumn("_known", F.lit(True))
     joined = lookup_join(fact, known, natural_id, "left", broadcast_bytes, seen=seen)
     return joined.withColumn(key, _key_or(F.col("_known"), natural_id, default)).drop("_known")
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a work folder and read back: its rows are then counted from file footers."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _key_unless_absent(
-    fact: DataFrame, absent: Sequence, natural_id: str, key: str, default: int
+    fact: DataFrame, absent: DataFrame, natural_id: str, key: str, default: int
 ) -> DataFrame:
-    known: Column = F.col(natural_id).isNotNull()
-    if not absent:
-        return fact.withColumn(key, _key_or(known, natural_id, default))
-    schema = fact.select(natural_id).schema
-    gone = fact.sparkSession.createDataFrame([(r[0],) for r in absent], schema)
-    gone = gone.withColumn("_absent", F.lit(True))
+    """``absent`` holds at most ``missing_keys`` ids, which are broadcast; none passes the driver."""
+    gone = absent.withColumn("_absent", F.lit(True))
     joined = fact.join(F.broadcast(gone), natural_id, "left")
-    known = known & F.col("_absent").isNull()
+    known = F.col(natural_id).isNotNull() & F.col("_absent").isNull()
     return joined.withColumn(key, _key_or(known, natural_id, default)).drop("_absent")
 
 

@@ -193,8 +193,9 @@ def fingerprints(
 ) -> DataFrame:
     """``file, sha256``: SHA-256 of the content of each file.
 
-    A file above ``whole_file_bytes`` does not fit a task. It gets a SHA-256 over the count
-    and the sums of its line hashes, which can be computed in parts and in any order.
+    SHA-256 runs from the first byte to the last, so a file above ``whole_file_bytes`` would be one
+    long task. It gets a digest of its lines in their order instead, computed split by split
+    (``csv_scan.line_digests``): there too any changed, added or moved byte changes the digest.
     """
     listed = spark.read.format("binaryFile").load(list(paths))
     small = listed.filter(F.col("length") <= whole_file_bytes).select(
@@ -206,16 +207,8 @@ def fingerprints(
     ]
     if not large:
         return small
-    lines = spark.read.text(large).select("value", F.col("_metadata.file_path").alias("path"))
-    digest = F.sha2("value", 256)
-    halves = [F.conv(F.substring(digest, at, 15), 16, 10).cast("decimal(20,0)") for at in (1, 16)]
-    summed = lines.groupBy("path").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(halves[0]).alias("a"), F.sum(halves[1]).alias("b")
-    )
-    combined = F.concat_ws("-", *[F.col(c).cast("string") for c in ("n", "a", "b")])
-    return small.unionByName(
-        summed.select(_base_name(F.col("path")).alias("file"), F.sha2(combined, 256).alias("sha256"))
-    )
+    digests = csv_scan.line_digests(spark, large)
+    return small.unionByName(digests.select(_base_name(F.col("path")).alias("file"), F.col("digest").alias("sha256")))
 
 
 def report_name(prefix: str, at: dt.datetime | None = None) -> str:

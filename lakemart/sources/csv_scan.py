@@ -12,6 +12,7 @@ Quotes must be balanced as in RFC 4180. Blank lines between records are no recor
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
@@ -151,3 +152,58 @@ def records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     )
     both = whole.unionByName(joined.select("path", "header", "text"))
     return both.withColumn("text", F.regexp_replace("text", "\r$", ""))
+
+
+# ---- digests of whole files -----------------------------------------------------------------
+
+#: Line digests are the coefficients of a polynomial modulo this prime, taken at BASE.
+PRIME = 2**255 - 19
+BASE = int.from_bytes(hashlib.sha256(b"order-keeping digest of lines").digest(), "big") % PRIME
+
+
+def line_digests(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(path, digest) of every file, from its bytes in their order, computed split by split.
+
+    Digests of neighbouring stretches of lines combine like numbers written one after the other:
+    the digest of a file does not depend on where it is cut, and a moved line changes it. With the
+    file's size, which tells whether the last line has an end, it is hashed once more.
+    """
+    read = spark.read.option("lineSep", "\n").text(list(paths))
+    raw = read.select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"),
+        F.col("_metadata.file_size").alias("size"), F.col("value").cast("binary").alias("line"),
+    )
+    schema = f"{SPLIT}, size bigint, lines bigint, value binary"
+
+    def stretch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count, value = None, 0, 0
+
+        def row() -> pa.RecordBatch:
+            values = [*held, count, value.to_bytes(32, "big")]
+            return pa.RecordBatch.from_arrays([pa.array([v]) for v in values], names=["path", "start", "size", "lines", "value"])
+
+        for batch in batches:
+            path, start, size = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            texts = batch.column(3).to_pylist()
+            for a, b in _runs(path, start):
+                if held is None or held[:2] != (path[a], int(start[a])):
+                    if held:
+                        yield row()
+                    held, count, value = (path[a], int(start[a]), int(size[a])), 0, 0
+                for line in texts[a:b]:
+                    value = (value * BASE + int.from_bytes(hashlib.sha256(line).digest(), "big")) % PRIME
+                count += b - a
+        if held:
+            yield row()
+
+    def combine(rows: pa.Table) -> pa.Table:
+        parts = rows.sort_by("start").to_pylist()
+        total, value = 0, 0
+        for part in parts:
+            value = (value * pow(BASE, part["lines"], PRIME) + int.from_bytes(part["value"], "big")) % PRIME
+            total += part["lines"]
+        digest = hashlib.sha256(f"{parts[0]['size']}:{total}:{value:x}".encode()).hexdigest()
+        return pa.table({"path": [parts[0]["path"]], "digest": [digest]})
+
+    # One row for each split of a file meets there.
+    return raw.mapInArrow(stretch, schema).groupBy("path").applyInArrow(combine, "path string, digest string")

@@ -71,6 +71,7 @@ LARGE = (
     "dim_customer",
     "translate_category",
     "join_residual_interval",
+    "fk_lookup_late_dimensions",
 )
 
 

@@ -88,14 +88,26 @@ def test_row_count_and_sizes(spark, data_dir):
     assert [tuple(r) for r in sizes] == [(path.name, path.stat().st_size)]
 
 
-def test_fingerprint_of_large_files_ignores_order(spark, tmp_path):
-    (tmp_path / "a.csv").write_text("1\n2\n3\n")
-    (tmp_path / "b.csv").write_text("3\n1\n2\n")
-    (tmp_path / "c.csv").write_text("3\n1\n4\n")
-    paths = [str(tmp_path / f"{n}.csv") for n in "abc"]
-    got = {r["file"]: r["sha256"] for r in csv_files.fingerprints(spark, paths, 0).collect()}
-    assert got["a.csv"] == got["b.csv"] != got["c.csv"]
+def test_fingerprint_of_large_files_keeps_order_and_ignores_splits(spark, tmp_path):
+    texts = {"a": "1\n2\n3\n", "copy": "1\n2\n3\n", "moved": "3\n1\n2\n", "changed": "1\n2\n4\n", "open": "1\n2\n3", "blank": "1\n2\n\n3\n"}
+    texts |= {"long": "line,with,fields\n" * 4000, "other": "line,with,fields\n" * 3999 + "line,with,Fields\n"}
+    for name, text in texts.items():
+        (tmp_path / f"{name}.csv").write_text(text)
+    paths = [str(tmp_path / f"{name}.csv") for name in texts]
+
+    def found():
+        return {r["file"].removesuffix(".csv"): r["sha256"] for r in csv_files.fingerprints(spark, paths, 0).collect()}
+
+    got = found()
+    assert got["a"] == got["copy"]
+    assert len({v for name, v in got.items() if name != "copy"}) == len(texts) - 1
     assert all(len(v) == 64 for v in got.values())
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        assert found() == got
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
 def test_report(spark, data_dir, tmp_path):
