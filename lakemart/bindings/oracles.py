@@ -45,12 +45,12 @@ def span(start: str, end: str, micros: int, kind: str = "decimal(20,6)", digits:
 
 TABLES = {
     "stg_customers": f"""
-        select trim(c_custkey::varchar, ' ') as customer_id, c_name as customer_unique_id,
+        select case when c_acctbal >= 0 then c_custkey::varchar else 'x' || c_custkey end as customer_id,
+               c_name as customer_unique_id,
                c_nationkey::integer as customer_zip_code_prefix,
                c_mktsegment as customer_city, n_name as customer_state,
                {LOADED} as record_updated_at
-        from customer left join nation on n_nationkey = c_nationkey
-        where c_acctbal >= 0""",
+        from customer left join nation on n_nationkey = c_nationkey""",
     "stg_orders": """
         select o_orderkey::varchar as order_id, o_custkey::varchar as customer_id,
                case o_orderstatus when 'F' then 'delivered' when 'O' then 'shipped'
@@ -96,7 +96,7 @@ TABLES = {
                null::timestamp as review_answer_timestamp, {LOADED} as record_updated_at
         from documents d left join labels l on l.doc_id = d.doc_id""",
     "stg_products": f"""
-        select p_partkey::varchar as product_id,
+        select case when p_size % 25 = 0 then 'x' || p_partkey else p_partkey::varchar end as product_id,
                case when p_size % 10 <> 0 then p_brand end as product_category_name,
                length(p_name)::integer as product_name_length,
                case when p_size % 7 <> 0 then p_size end::integer as product_description_length,
@@ -107,21 +107,21 @@ TABLES = {
                null::decimal(12,2) as product_width_cm, {LOADED} as record_updated_at
         from part""",
     "stg_sellers": f"""
-        select s_suppkey::varchar as seller_id, s_nationkey::integer as seller_zip_code_prefix,
+        select case when s_acctbal >= 0 then s_suppkey::varchar else 'x' || s_suppkey end as seller_id, s_nationkey::integer as seller_zip_code_prefix,
                s_name as seller_city, n_name as seller_state, {LOADED} as record_updated_at
         from supplier left join nation on n_nationkey = s_nationkey""",
     "stg_category_translation": f"""
-        select distinct p_brand as product_category_name,
+        select distinct case when length(p_brand) = 8 then p_brand else lower(p_brand) end as product_category_name,
                'Label ' || substr(p_brand, 7, 2) as product_category_name_english,
                {LOADED} as record_updated_at
-        from part where length(p_brand) = 8""",
+        from part""",
     "stg_geolocation": f"""
-        select c_nationkey::integer as geolocation_zip_code_prefix,
+        select case when c_nationkey = 3 then 99 else c_nationkey end::integer as geolocation_zip_code_prefix,
                sum(c_acctbal::decimal(12,2))::double / count(*) as latitude,
                sum(c_custkey)::double / count(*) as longitude,
                min(c_mktsegment) as city, min(n_name) as state, {LOADED} as record_updated_at
         from customer left join nation on n_nationkey = c_nationkey
-        where c_nationkey <> 3 group by c_nationkey""",
+        group by c_nationkey""",
     "source_dates": """
         select unnest([order_purchase_timestamp::date, order_approved_at::date,
                        order_delivered_carrier_date::date, order_delivered_customer_date::date,
@@ -167,17 +167,21 @@ TABLES = {
         select -1, 'UNKNOWN', 'Unknown', 'Unknown', null, null, null, null, null, null, null,
                {EPOCH}""",
     "customer_keys": f"select customer_id, {key('customer_id')} as customer_key from stg_customers",
+    "product_keys": f"select product_id, {key('product_id')} as product_key from stg_products",
+    "seller_keys": f"select seller_id, {key('seller_id')} as seller_key from stg_sellers",
     "fact_order_items": f"""
         select {key("i.order_id || '|' || i.order_item_id::varchar")} as order_item_key,
                i.order_id, i.order_item_id, coalesce(c.customer_key, -1) as customer_key,
-               {key("i.product_id")} as product_key, {key("i.seller_id")} as seller_key,
+               coalesce(k.product_key, -1) as product_key, coalesce(s.seller_key, -1) as seller_key,
                {day_key("order_purchase_timestamp")} as order_date_key,
                {day_key("shipping_limit_date")} as shipping_date_key, 1::integer as quantity,
                price as item_price, freight_value,
                (price + freight_value)::decimal(12,2) as total_item_value,
                greatest(i.record_updated_at, o.record_updated_at) as record_updated_at
         from stg_order_items i join stg_orders o on o.order_id = i.order_id
-        left join customer_keys c on c.customer_id = o.customer_id""",
+        left join customer_keys c on c.customer_id = o.customer_id
+        left join product_keys k on k.product_id = i.product_id
+        left join seller_keys s on s.seller_id = i.seller_id""",
     "fact_payments": f"""
         select {key("p.order_id || '|' || p.payment_sequential::varchar")} as payment_key,
                p.order_id, payment_sequential, coalesce(c.customer_key, -1) as customer_key,
@@ -280,7 +284,7 @@ TABLES = {
                (o_totalprice::decimal(12,2) + 1)::decimal(12,2) as total_price, o_orderdate
         from orders where o_orderdate >= timestamp '1999-01-01 00:00:00'""",
     "product_text": """
-        select p_partkey::varchar as product_id,
+        select case when p_size % 25 = 0 then 'x' || p_partkey else p_partkey::varchar end as product_id,
                case when p_size % 10 = 0 then '  ' else p_brand end as product_category_name,
                length(p_name)::double as product_name_lenght,
                case when p_size % 7 <> 0 then p_size end::double as product_description_lenght,
@@ -335,13 +339,13 @@ def union(*parts: str) -> str:
 
 
 KNOWN_CUSTOMERS = "select c_custkey from customer where c_acctbal >= 0"
-POINTS = "(select * from customer where c_nationkey <> 3)"
+POINTS = "customer"
 REVIEW_ROWS = "documents d left join labels l on l.doc_id = d.doc_id"
 
 NOT_EMPTY = {
     name: rows_check("file_not_empty", name, "availability", "false", table)
     for name, table in (
-        ("customers", "(select * from customer where c_acctbal >= 0)"),
+        ("customers", "customer"),
         ("orders", "orders"),
         ("order_items", "lineitem"),
         ("payments", "events"),
@@ -438,12 +442,10 @@ CONTRACT = union(
     *REQUIRED.values(),
     not_null(
         "customers",
-        "(select * from customer where c_acctbal >= 0)",
+        "customer",
         ["customer_id", "customer_unique_id"],
     ),
-    unique_check(
-        "customers", "customer_id", "c_custkey", "(select * from customer where c_acctbal >= 0)"
-    ),
+    unique_check("customers", "customer_id", "c_custkey", "customer"),
     not_null(
         "orders", "orders", ["order_id", "customer_id", "order_status", "order_purchase_timestamp"]
     ),
@@ -495,14 +497,14 @@ CONTRACT = union(
         "order_items",
         "lineitem",
         "l_partkey",
-        "select p_partkey from part",
+        "select p_partkey from part where p_size % 25 <> 0",
     ),
     fk_check(
         "order_items_seller_exists",
         "order_items",
         "lineitem",
         "l_suppkey",
-        "select s_suppkey from supplier",
+        "select s_suppkey from supplier where s_acctbal >= 0",
     ),
     PAYMENT_ORDER,
     fk_check(
@@ -516,6 +518,11 @@ CONTRACT = union(
 )
 
 
+def of_contract(names: str) -> str:
+    """The contract's results whose name is like ``names``."""
+    return f"select * from ({CONTRACT}) where test_name like '{names}' escape '\\' and dimension <> 'availability'"
+
+
 def audit(
     name: str, table: str, dimension: str, severity: str, failed: str, total: str, source: str,
     passed: str = "failed_rows = 0",
@@ -634,7 +641,7 @@ QUERIES = {
                timestamp '2024-02-01 06:00:00' as loaded_at, o_orderdate as source_updated_at
         from orders""",
     "clean_blank_to_null": """
-        select p_partkey::varchar as product_id,
+        select case when p_size % 25 = 0 then 'x' || p_partkey else p_partkey::varchar end as product_id,
                case when p_size % 10 <> 0 then p_brand end as category,
                p_size % 7 = 0 as description_is_blank
         from part""",
@@ -681,7 +688,7 @@ QUERIES = {
         from stg_orders o left join customer_keys c on c.customer_id = o.customer_id""",
     "fk_lookup_late_dimensions": f"""
         select order_id, order_item_id, product_id, seller_id,
-               case when p_size > 10 then {key("product_id")} else -1 end as product_key,
+               case when p_size > 10 and p_size % 25 <> 0 then {key("product_id")} else -1 end as product_key,
                case when s_acctbal >= 0 then {key("seller_id")} else -1 end as seller_key
         from stg_order_items left join part on p_partkey::varchar = product_id
         left join supplier on s_suppkey::varchar = seller_id""",
@@ -806,19 +813,18 @@ QUERIES = {
         union all
         select 'states', sum(order_count)::bigint from mart_state_performance
         where customer_state in ('NATION_1', 'NATION_2')""",
-    "dq_not_empty": union(*[NOT_EMPTY[n] for n in ("orders", "payments", "products")]),
+    "dq_not_empty": union(*NOT_EMPTY.values()),
     "dq_required_columns": union(
         *[check for name, check in REQUIRED.items() if name != "payments"],
         fixed("required_columns", "payments", "schema", 1, 5),
     ),
-    "dq_not_null": union(REVIEW_NOT_NULL, ITEM_NOT_NULL),
-    "dq_unique": union(UNIQUE_ITEMS, UNIQUE_ORDERS),
+    "dq_not_null": of_contract("%\\_not\\_null"),
+    "dq_unique": of_contract("%\\_unique"),
     "dq_accepted_values": STATUS_VALUES,
-    "dq_non_negative": union(PRODUCT_NUMBERS, ITEM_NUMBERS),
+    "dq_non_negative": of_contract("%\\_non\\_negative"),
     "dq_range": union(GEO_RANGES, SCORE_RANGE),
     "dq_foreign_key": union(
-        ORDER_CUSTOMER,
-        PAYMENT_ORDER,
+        of_contract("%\\_exists"),
         fk_check(
             "documents_label_exists",
             "documents",
@@ -932,7 +938,7 @@ QUERIES = {
         *[profile_column("lineitem", c, "object") for c in ("l_returnflag", "l_linestatus")],
     ),
     "profile_text_columns": union(
-        profile_column("product_text", "product_id", "int64"),
+        profile_column("product_text", "product_id", "object"),
         profile_column("product_text", "product_category_name", "object"),
         profile_column("product_text", "product_name_lenght", "int64"),
         profile_column("product_text", "product_description_lenght", "float64"),

@@ -593,11 +593,15 @@ def _checks_of(c: Context, name: str, pattern: str) -> DataFrame:
     return found.filter(F.col("test_name").rlike(pattern)).drop("message")
 
 
+def _checks_with(c: Context, field: str | None, pattern: str) -> DataFrame:
+    """Row checks of all data sets whose contract has rules of a kind."""
+    specs = COMMERCE_CONTRACT.datasets.items()
+    return checks.union_all([_checks_of(c, name, pattern) for name, spec in specs if field is None or getattr(spec, field)])
+
+
 @query
 def dq_not_empty(c: Context) -> DataFrame:
-    return checks.union_all(
-        [_checks_of(c, name, "^file_not_empty$") for name in ("orders", "payments", "products")]
-    )
+    return _checks_with(c, None, "^file_not_empty$")
 
 
 @query
@@ -616,56 +620,37 @@ def dq_required_columns(c: Context) -> DataFrame:
 
 @query
 def dq_not_null(c: Context) -> DataFrame:
-    return checks.union_all(
-        [_checks_of(c, name, "_not_null$") for name in ("reviews", "order_items")]
-    )
+    return _checks_with(c, "not_null", "_not_null$")
 
 
 @query
 def dq_unique(c: Context) -> DataFrame:
-    frames = (("order_items", ["order_id", "order_item_id"]), ("orders", ["order_id"]))
-    return checks.union_all(
-        [checks.check_unique(_contract_frame(c, name), name, keys) for name, keys in frames]
-    ).drop("message")
+    keys = [(name, k) for name, spec in COMMERCE_CONTRACT.datasets.items() for k in spec.unique]
+    return checks.union_all([checks.check_unique(_contract_frame(c, name), name, k) for name, k in keys]).drop("message")
 
 
 @query
 def dq_accepted_values(c: Context) -> DataFrame:
-    return _checks_of(c, "orders", "_accepted_values$")
+    return _checks_with(c, "accepted_values", "_accepted_values$")
 
 
 @query
 def dq_non_negative(c: Context) -> DataFrame:
-    return checks.union_all(
-        [_checks_of(c, name, "_non_negative$") for name in ("products", "order_items")]
-    )
+    return _checks_with(c, "non_negative", "_non_negative$")
 
 
 @query
 def dq_range(c: Context) -> DataFrame:
-    return checks.union_all(
-        [_checks_of(c, name, "_range$") for name in ("geolocation", "reviews")]
-    )
+    return _checks_with(c, "ranges", "_range$")
 
 
 @query
 def dq_foreign_key(c: Context) -> DataFrame:
-    return checks.union_all(
-        [
-            checks.check_foreign_key(c.raw(rule.child_dataset), c.raw(rule.parent_dataset), rule)
-            for rule in COMMERCE_CONTRACT.foreign_keys
-            if rule.name in ("orders_customer_exists", "payments_order_exists")
-        ]
-        + [
-            checks.check_foreign_key(
-                c.table("documents"),
-                c.table("labels"),
-                ForeignKey(
-                    "documents_label_exists", "documents", "doc_id", "labels", "doc_id", "WARN"
-                ),
-            )
-        ]
-    ).drop("message")
+    rules = COMMERCE_CONTRACT.foreign_keys
+    found = [checks.check_foreign_key(c.raw(r.child_dataset), c.raw(r.parent_dataset), r) for r in rules]
+    labelled = ForeignKey("documents_label_exists", "documents", "doc_id", "labels", "doc_id", "WARN")
+    found.append(checks.check_foreign_key(c.table("documents"), c.table("labels"), labelled))
+    return checks.union_all(found).drop("message")
 
 
 # CSV files written from test tables: texts of documents have line breaks and quotes.

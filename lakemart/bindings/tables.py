@@ -55,12 +55,11 @@ def _with_nation(spark: SparkSession, sf_dir: str, df: DataFrame, key: str) -> D
 
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers without a negative balance, so orders of the others hit the unknown member."""
-    known = table(spark, sf_dir, "customer").filter("c_acctbal >= 0")
+    """Customers; those in debt are known under another id, so that their orders hit the unknown member."""
     return _raw(
-        _with_nation(spark, sf_dir, known, "c_nationkey"),
+        _with_nation(spark, sf_dir, table(spark, sf_dir, "customer"), "c_nationkey"),
         {
-            "customer_id": "c_custkey",
+            "customer_id": "if(c_acctbal >= 0, cast(c_custkey as string), concat('x', c_custkey))",
             "customer_unique_id": "c_name",
             "customer_zip_code_prefix": "c_nationkey",
             "customer_city": "c_mktsegment",
@@ -147,11 +146,11 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts; the category is blank for every tenth size."""
+    """Parts; the category is blank for every tenth size, and some sizes are known under another id."""
     return _raw(
         table(spark, sf_dir, "part"),
         {
-            "product_id": "p_partkey",
+            "product_id": "if(p_size % 25 = 0, concat('x', p_partkey), cast(p_partkey as string))",
             "product_category_name": "if(p_size % 10 = 0, '  ', p_brand)",
             "product_name_lenght": "length(p_name)",
             "product_description_lenght": "if(p_size % 7 = 0, '', cast(p_size as string))",
@@ -165,10 +164,11 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers; those in debt are known under another id."""
     return _raw(
         _with_nation(spark, sf_dir, table(spark, sf_dir, "supplier"), "s_nationkey"),
         {
-            "seller_id": "s_suppkey",
+            "seller_id": "if(s_acctbal >= 0, cast(s_suppkey as string), concat('x', s_suppkey))",
             "seller_zip_code_prefix": "s_nationkey",
             "seller_city": "s_name",
             "seller_state": "n_name",
@@ -177,12 +177,11 @@ def raw_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_geolocation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Many points per zip prefix: one per customer of the nation (nation 3 has none)."""
-    points = table(spark, sf_dir, "customer").filter("c_nationkey <> 3")
+    """Many points per zip prefix: one per customer of the nation (nation 3 lies under another prefix)."""
     return _raw(
-        _with_nation(spark, sf_dir, points, "c_nationkey"),
+        _with_nation(spark, sf_dir, table(spark, sf_dir, "customer"), "c_nationkey"),
         {
-            "geolocation_zip_code_prefix": "c_nationkey",
+            "geolocation_zip_code_prefix": "if(c_nationkey = 3, 99, c_nationkey)",
             "geolocation_lat": "c_acctbal",
             "geolocation_lng": "c_custkey",
             "geolocation_city": "c_mktsegment",
@@ -192,12 +191,12 @@ def raw_geolocation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_category_translation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """English labels for the brands with a two-digit number; the others fall back."""
+    """English labels for all brands; those without a two-digit number are spelled otherwise, and fall back."""
     brands = table(spark, sf_dir, "part").select("p_brand").distinct()
     return _raw(
-        brands.filter("length(p_brand) = 8"),
+        brands,
         {
-            "product_category_name": "p_brand",
+            "product_category_name": "if(length(p_brand) = 8, p_brand, lower(p_brand))",
             "product_category_name_english": "concat('Label ', substring(p_brand, 7, 2))",
         },
     )
