@@ -25,6 +25,7 @@ from lakemart.plans.model_suite import tested_models
 from lakemart.plans.staging import MODELS, STAGED, UPDATED, stage, staged_keys
 from lakemart.plans.warehouse_checks import latest_run, run_checks, stamp_run
 from lakemart.sources.contract import INCREMENTAL_DATASETS
+from lakemart.sources.folders import folder_count, folder_of
 from lakemart.sources.lake import Lake, Transaction
 from lakemart.sources.raw_load import LOAD_HISTORY, raw_table
 
@@ -35,7 +36,8 @@ RESULT_COLUMNS = "test_name string, model string, kind string, severity string,
 # Ids of the RAW batches that the models already hold.
 BUILT_BATCHES = "audit.built_batches"
 MONTH, BUCKET = "layout_month", "layout_bucket"
-BUCKETS = 64
+# Most folders of a table that is cut by a hash of its key, so that a listing stays short.
+MOST_BUCKETS = 4096
 
 # Key columns of the incremental models (fixed by their grain).
 MODEL_KEYS = {
@@ -87,22 +89,24 @@ def mart_table(name: str) -> str:
 STAGED_DAY = {"orders": "order_purchase_timestamp", "order_items": "shipping_limit_date"}
 
 
-def model_layout(name: str) -> dict[str, str]:
+def model_layout(name: str, rows: int = 0) -> dict[str, str]:
+    """Layout of a model of about ``rows`` rows; a table keeps the layout it was made with."""
     if name in FACT_DAY:
         return {"partition": MONTH, "by": f"cast({FACT_DAY[name]} div 100 as int)"}
-    return _bucket_layout(MODEL_KEYS[name])
+    return _bucket_layout(MODEL_KEYS[name], rows)
 
 
-def staged_layout(name: str) -> dict[str, str]:
+def staged_layout(name: str, rows: int = 0) -> dict[str, str]:
     if name in STAGED_DAY:
         day = STAGED_DAY[name]
         return {"partition": MONTH, "by": f"cast(year({day}) * 100 + month({day}) as int)"}
     keys = MODELS[name].keys if name in MODELS else ()
-    return _bucket_layout(keys) if keys else {}
+    return _bucket_layout(keys, rows) if keys else {}
 
 
-def _bucket_layout(keys: Sequence[str]) -> dict[str, str]:
-    return {"partition": BUCKET, "by": f"cast(pmod(hash({', '.join(keys)}), {BUCKETS}) as int)"}
+def _bucket_layout(keys: Sequence[str], rows: int) -> dict[str, str]:
+    """Folders of about ROWS_PER_FOLDER rows each, whatever the size of the table."""
+    return {"partition": BUCKET, "by": folder_of(keys, min(MOST_BUCKETS, folder_count(rows)))}
 
 
 def _side_by_side(jobs: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
@@ -182,8 +186,9 @@ def stage_into(tx: Transaction, names: Sequence[str] = STAGED, watch: Watch | No
     watch = watch or Watch()
 
     def write(name: str) -> DataFrame:
-        staged = watch(f"stg_{name}", stage(name, tx.read(raw_table(name))))
-        return tx.overwrite(staged_table(name), staged, **staged_layout(name))
+        raw = tx.read(raw_table(name))
+        # Parquet footers tell the number of RAW rows, which is at least that of staged ones.
+        return tx.overwrite(staged_table(name), watch(f"stg_{name}", stage(name, raw)), **staged_layout(name, raw.count()))
 
     return _side_by_side({name: partial(write, name) for name in names})
 
@@ -202,7 +207,7 @@ def build_full(lake: Lake, round_scale: int | None = None, tests: Sequence[Model
         def write_dim(name: str) -> DataFrame:
             main, extra = (staged[n] for n in DIM_INPUT[name])
             dim = watch(name, DIM_BUILDERS[name](main, extra))
-            return tx.overwrite(model_table(name), dim, **model_layout(name))
+            return tx.overwrite(model_table(name), dim, **model_layout(name, main.count()))
 
         _side_by_side({name: partial(write_dim, name) for name in DIM_BUILDERS})
         ids = dimension_ids(tx)
