@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from lakemart.functions import literal, parsed_number
+from lakemart.session import work_path
 
 INTEGER_TEXT = r"^\s*[+-]?\d+\s*$"
 # The words a type-inferring CSV reader takes for booleans.
@@ -105,22 +106,22 @@ def profile_columns(df: DataFrame) -> DataFrame:
 def profile_table(df: DataFrame) -> DataFrame:
     """One row: row count, column count and later copies of equal rows.
 
-    Rows are first grouped by a digest of 128 bits, so that 16 bytes of each travel. Only rows that
-    share a digest are then compared in full, which keeps the count exact.
+    Rows are first grouped by a digest of 128 bits, so that 16 bytes of each travel; digests that
+    occur twice are stored. Only rows with such a digest, if any, are then read again and compared
+    in full, which keeps the count exact.
     """
+    spark = df.sparkSession
     digest = {"_h1": F.xxhash64(*df.columns), "_h2": F.xxhash64(F.lit(1), *df.columns)}
-    digests = df.select(*[value.alias(name) for name, value in digest.items()])
-    groups = digests.groupBy(*digest).agg(F.count(F.lit(1)).alias("n"))
-    shared = groups.filter("n > 1").select(*digest)
+    groups = df.select(*[value.alias(name) for name, value in digest.items()]).groupBy(*digest).agg(F.count(F.lit(1)).alias("n"))
+    seen, path = Observation("rows"), work_path(spark, "shared-digests")
+    groups.observe(seen, F.coalesce(F.sum("n"), F.lit(0)).alias("row_count")).filter("n > 1").select(*digest).write.parquet(path)
+    shared = spark.read.schema("_h1 bigint, _h2 bigint").parquet(path)
+    counted = [F.lit(seen.get["row_count"]).cast("bigint").alias("row_count"), F.lit(len(df.columns)).cast("bigint").alias("column_count")]
+    if shared.isEmpty():
+        return spark.range(1).select(*counted, F.lit(0).cast("bigint").alias("duplicate_rows"))
     suspects = df.withColumns(digest).join(shared, list(digest), "left_semi")
     copies = suspects.groupBy(*digest, *df.columns).agg(F.count(F.lit(1)).alias("n"))
-    counted = groups.select(F.col("n"), F.lit(0).cast("bigint").alias("later"))
-    both = counted.unionByName(copies.select(F.lit(0).cast("bigint").alias("n"), (F.col("n") - 1).alias("later")))
-    return both.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
-        F.lit(len(df.columns)).cast("bigint").alias("column_count"),
-        F.coalesce(F.sum("later"), F.lit(0)).alias("duplicate_rows"),
-    )
+    return copies.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_rows")).select(*counted, "duplicate_rows")
 
 
 def first_values(df: DataFrame, columns: Sequence[str], n: int = SAMPLES) -> dict[str, list]:
