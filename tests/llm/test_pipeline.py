@@ -27,7 +27,7 @@ def test_every_operator_has_a_query():
 
     names = __spark_entry__.queries()
     assert "pipeline" in names
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14))
 
 
 def dedup(spark, rows, schema):
