@@ -26,8 +26,12 @@ CLASSES = HEAD_CLASSES + BANDS
 START = HEAD_WORDS + BANDS
 INPUTS = START + 1
 WINDOW = 32
+#: How many times as wide a window is where only a few lanes hold tokens.
+WIDEST = 8
 LANES = 256
-RATE = 0.1
+RATE = 0.2
+#: What the sums of squared gradients start at. Gradients are means over a window, about 1e-4 for a word.
+FIRST_SQUARE = 1e-8
 
 SHAPES = {
     "inputs": (INPUTS, 3 * HIDDEN),
@@ -69,36 +73,50 @@ def classes_of(tokens: np.ndarray) -> np.ndarray:
     return np.where(tokens < HEAD_WORDS, tokens // CLASS_WORDS, tokens - HEAD_WORDS + HEAD_CLASSES)
 
 
-def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * (np.tanh(0.5 * x) + 1)
-
-
-def steps(weights: Weights, inputs: np.ndarray, state: np.ndarray, reset: np.ndarray) -> tuple[np.ndarray, list]:
-    """States after each input of a window (lanes, time), and what backpropagation needs."""
-    h, kept, out = state, [], np.empty((*inputs.shape, HIDDEN), np.float32)
-    given, by_state = weights["inputs"][inputs], weights["state"]
-    for t in range(inputs.shape[1]):
-        h = h * ~reset[:, t, None]
-        u = h @ by_state
-        a = given[:, t]
-        gates = sigmoid(a[:, : 2 * HIDDEN] + u[:, : 2 * HIDDEN])
-        z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
-        last = u[:, 2 * HIDDEN :]
-        n = np.tanh(a[:, 2 * HIDDEN :] + r * last)
-        kept.append((h, z, r, n, last))
-        h = n + z * (h - n)
+def steps(weights: Weights, inputs: np.ndarray, state: np.ndarray, reset: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """States after each input of a window (lanes, time), and what backpropagation needs.
+
+    Arrays are kept as (feature, time, lane), so that each operation runs along the lanes.
+    """
+    half = np.repeat(np.array([0.5, 0.5, 1], weights["state"].dtype), HIDDEN)  # a sigmoid is a tanh of half its input
+    given = np.take((weights["inputs"] * half).T, inputs.T, axis=1)
+    by_state = np.ascontiguousarray((weights["state"] * half).T)
+    _, length, lanes = given.shape
+    before, out, last, new = np.empty((4, HIDDEN, length, lanes), given.dtype)
+    gates = np.empty((2 * HIDDEN, length, lanes), given.dtype)
+    new_documents = reset.any(axis=0)
+    h = np.ascontiguousarray(state.T)
+    for t in range(length):
+        if new_documents[t]:
+            h = h * ~reset[:, t]
+        before[:, t] = h
+        u = by_state @ h
+        g, n = u[: 2 * HIDDEN], u[2 * HIDDEN :]
+        last[:, t] = n
+        g += given[: 2 * HIDDEN, t]
+        np.tanh(g, out=g)
+        g += 1
+        g *= 0.5
+        gates[:, t] = g
+        n *= g[HIDDEN:]
+        n += given[2 * HIDDEN :, t]
+        np.tanh(n, out=n)
+        new[:, t] = n
+        h = h - n
+        h *= g[:HIDDEN]
+        h += n
         out[:, t] = h
-    return out, kept
+    return out.transpose(2, 1, 0), [before, gates, new, last]
 
 
-def softmax(x: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Natural log of the chosen row's probability in each column, and all probabilities; ``x`` is overwritten."""
+def softmax(x: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Natural log of the chosen row's probability in each column, all probabilities times the
+    column's sum, and that sum; ``x`` is overwritten."""
     x -= x.max(axis=0)
     logs = x[chosen, np.arange(x.shape[1])]
     np.exp(x, out=x)
     total = x.sum(axis=0)
-    x /= total
-    return logs - np.log(total), x
+    return logs - np.log(total), x, total
 
 
 def by_class(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -112,13 +130,13 @@ def by_class(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def log_probabilities(weights: Weights, states: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     """Natural log of each token's class, and of a frequent word in its class, given the states."""
     order, classes, edges = by_class(tokens)
-    states, tokens = states[order], tokens[order]
-    logs, _ = softmax(weights["to_class"].T @ states.T + weights["class_bias"][:, None], classes)
+    states, tokens = np.take(states.T, order, axis=1), tokens[order]
+    logs, *_ = softmax(weights["to_class"].T @ states + weights["class_bias"][:, None], classes)
     for c in range(HEAD_CLASSES):
         own = slice(edges[c], edges[c + 1])
         if edges[c] < edges[c + 1]:
             words = slice(c * CLASS_WORDS, (c + 1) * CLASS_WORDS)
-            logs[own] += softmax(weights["to_word"][words] @ states[own].T + weights["word_bias"][words, None], tokens[own] - c * CLASS_WORDS)[0]
+            logs[own] += softmax(weights["to_word"][words] @ states[:, own] + weights["word_bias"][words, None], tokens[own] - c * CLASS_WORDS)[0]
     out = np.empty_like(logs)
     out[order] = logs
     return out
@@ -126,58 +144,70 @@ def log_probabilities(weights: Weights, states: np.ndarray, tokens: np.ndarray)
 
 def gradients(weights: Weights, inputs: np.ndarray, tokens: np.ndarray, state: np.ndarray, reset: np.ndarray, held: np.ndarray) -> tuple[Weights, np.ndarray, float]:
     """Gradient of the mean negative log-likelihood of a window, the state after it, and the mean."""
-    states, kept = steps(weights, inputs, state, reset)
+    states, (before, gates, new, last) = steps(weights, inputs, state, reset)
     grad = {k: np.zeros(s, np.float32) for k, s in SHAPES.items()}
-    order, classes, edges = by_class(tokens.ravel())
-    flat, target = states.reshape(-1, HIDDEN)[order], tokens.ravel()[order]
-    share = held.ravel()[order] * np.float32(1 / max(1, int(held.sum())))
+    by_lane = states.transpose(2, 1, 0)
+    tokens = tokens.T.ravel().astype(np.int64)
+    order, classes, edges = by_class(tokens)
+    flat, target = np.take(by_lane.reshape(HIDDEN, -1), order, axis=1), tokens[order]
+    share = held.T.ravel()[order] * np.float32(1 / max(1, int(held.sum())))
     at = np.arange(len(target))
-    logs, d = softmax(weights["to_class"].T @ flat.T + weights["class_bias"][:, None], classes)
-    d[classes, at] -= 1
-    d *= share
-    grad["to_class"] = (d @ flat).T
+    logs, d, total = softmax(weights["to_class"].T @ flat + weights["class_bias"][:, None], classes)
+    d *= share / total
+    d[classes, at] -= share
+    grad["to_class"] = flat @ d.T
     grad["class_bias"] = d.sum(axis=1)
-    d_flat = (weights["to_class"] @ d).T
+    d_flat = weights["to_class"] @ d
     for c in range(HEAD_CLASSES):
         own = slice(edges[c], edges[c + 1])
         if edges[c] < edges[c + 1]:
             words = slice(c * CLASS_WORDS, (c + 1) * CLASS_WORDS)
             by_word, word = weights["to_word"][words], target[own] - c * CLASS_WORDS
-            more, d = softmax(by_word @ flat[own].T + weights["word_bias"][words, None], word)
+            more, d, total = softmax(by_word @ flat[:, own] + weights["word_bias"][words, None], word)
             logs[own] += more
-            d[word, at[: len(word)]] -= 1
-            d *= share[own]
-            grad["to_word"][words] = d @ flat[own]
+            d *= share[own] / total
+            d[word, at[: len(word)]] -= share[own]
+            grad["to_word"][words] = d @ flat[:, own].T
             grad["word_bias"][words] = d.sum(axis=1)
-            d_flat[own] += (by_word.T @ d).T
-    d_states = np.empty_like(d_flat, order="C")
-    d_states[order] = d_flat
-    d_states = d_states.reshape(states.shape)
-    back = np.zeros_like(state)
-    lanes, length = inputs.shape
-    d_inputs = np.empty((length, lanes, 3 * HIDDEN), d_states.dtype)
-    d_given = np.empty_like(d_inputs)
-    for t in range(length - 1, -1, -1):
-        h, z, r, n, last = kept[t]
-        dh = d_states[:, t] + back
-        dn = dh * (1 - z) * (1 - n * n)
-        d_inputs[t, :, :HIDDEN] = dh * (h - n) * z * (1 - z)
-        d_inputs[t, :, HIDDEN : 2 * HIDDEN] = dn * last * r * (1 - r)
-        d_inputs[t, :, 2 * HIDDEN :] = dn
-        d_given[t] = d_inputs[t]
-        d_given[t, :, 2 * HIDDEN :] *= r
-        back = (dh * z + d_given[t] @ weights["state"].T) * ~reset[:, t, None]
-    grad["state"] = np.concatenate([k[0] for k in kept]).T @ d_given.reshape(-1, 3 * HIDDEN)
+            d_flat[:, own] += by_word.T @ d
+    d_states = np.empty_like(d_flat)
+    d_states[:, order] = d_flat
+    d_states = d_states.reshape(by_lane.shape)
+    z, r = gates[:HIDDEN], gates[HIDDEN:]
+    through_new = 1 - z
+    through_z = (before - new) * z * through_new
+    through_new *= 1 - new * new
+    d_given = np.empty((3 * HIDDEN, *by_lane.shape[1:]), d_states.dtype)
+    to_z, to_r, to_new = d_given[:HIDDEN], d_given[HIDDEN : 2 * HIDDEN], d_given[2 * HIDDEN :]
+    through_r = last * r * (1 - r)
+    new_documents = reset.any(axis=0)
+    back = np.zeros_like(d_states[:, 0])
+    for t in range(inputs.shape[1] - 1, -1, -1):
+        dh = d_states[:, t]
+        dh += back
+        np.multiply(dh, through_z[:, t], out=to_z[:, t])
+        dn = dh * through_new[:, t]
+        np.multiply(dn, through_r[:, t], out=to_r[:, t])
+        np.multiply(dn, r[:, t], out=to_new[:, t])
+        back = weights["state"] @ d_given[:, t]
+        back += dh * z[:, t]
+        if new_documents[t]:
+            back *= ~reset[:, t]
+    grad["state"] = before.reshape(HIDDEN, -1) @ d_given.reshape(3 * HIDDEN, -1).T
+    np.multiply(d_states, through_new, out=to_new)  # the input of the new state goes past the gate r
     named = inputs.T.ravel().astype(np.uint16)
     order = np.argsort(named, kind="stable")
     named = named[order]
     first = np.flatnonzero(np.concatenate(([True], named[1:] != named[:-1])))
-    grad["inputs"][named[first]] = np.add.reduceat(d_inputs.reshape(-1, 3 * HIDDEN)[order], first, axis=0)
+    grad["inputs"][named[first]] = np.add.reduceat(np.take(d_given.reshape(3 * HIDDEN, -1), order, axis=1), first, axis=1).T
     return grad, states[:, -1], -float((logs * share).sum())
 
 
 class Lanes:
-    """Documents dealt to lanes that run side by side, the longest lane first."""
+    """Documents dealt to lanes that run side by side, the longest lane first.
+
+    Lanes lie end to end, so memory goes with the tokens however long a single document is.
+    """
 
     def __init__(self, documents: list[np.ndarray], lanes: int, rng: np.random.Generator | None = None):
         """``rng`` puts the documents of each lane in random order; else the longest is first."""
@@ -189,43 +219,46 @@ class Lanes:
             heapq.heappush(ends, (length + len(documents[i]), lane))
         if rng:
             dealt = [rng.permutation(lane).tolist() for lane in dealt]
-        rows = [np.concatenate([documents[i] for i in lane]).astype(np.int64) for lane in dealt]
-        order = sorted(range(len(rows)), key=lambda i: -len(rows[i]))
-        rows, dealt = [rows[i] for i in order], [dealt[i] for i in order]
-        self.lengths = np.array([len(r) for r in rows])
-        self.longest = int(self.lengths[0]) if rows else 0
-        shape = (len(rows), self.longest)
-        self.tokens, self.owner, self.reset = np.zeros(shape, np.int32), np.zeros(shape, np.int32), np.zeros(shape, bool)
-        for row, (own, numbers) in enumerate(zip(rows, dealt, strict=True)):
-            self.tokens[row, : len(own)] = own
-            sizes = [len(documents[i]) for i in numbers]
-            self.owner[row, : len(own)] = np.repeat(numbers, sizes)
-            self.reset[row, np.cumsum([0, *sizes[:-1]])] = True
-        self.inputs = np.concatenate([np.full((len(rows), 1), START, np.int32), self.tokens[:, :-1]], axis=1) if self.longest else self.tokens
-        self.inputs[self.reset] = START
+        dealt.sort(key=lambda lane: -sum(len(documents[i]) for i in lane))
+        self.lengths = np.array([sum(len(documents[i]) for i in lane) for lane in dealt], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.longest = int(self.lengths[0]) if dealt else 0
+        numbers = [i for lane in dealt for i in lane]
+        sizes = np.array([len(documents[i]) for i in numbers], np.int64)
+        self.tokens = np.concatenate([documents[i] for i in numbers]).astype(np.uint16) if numbers else np.empty(0, np.uint16)
+        self.owner = np.repeat(np.array(numbers, np.int32), sizes)
+        self.reset = np.zeros(len(self.tokens), bool)
+        self.reset[(np.cumsum(sizes) - sizes)[sizes > 0]] = True
 
     def windows(self):
-        """Each window's part of the lanes that still hold tokens there, and where they hold some."""
-        for start in range(0, self.longest, WINDOW):
+        """Inputs, tokens, starts of documents and owners of each window's part of the lanes that
+        still hold tokens there, and where they hold some. Windows are wider where fewer lanes are left."""
+        start = 0
+        while start < self.longest:
             live = int((self.lengths > start).sum())
-            part = (slice(0, live), slice(start, start + WINDOW))
-            width = min(WINDOW, self.longest - start)
-            yield part, (start + np.arange(width))[None] < self.lengths[:live, None]
+            width = WINDOW * max(1, min(WIDEST, LANES // (2 * live)))
+            along = start + np.arange(min(width, self.longest - start))
+            start += len(along)
+            held = along < self.lengths[:live, None]
+            at = self.starts[:live, None] + np.minimum(along, self.lengths[:live, None] - 1)
+            reset = self.reset[at] & held
+            inputs = np.where(reset, START, self.tokens[at - 1])
+            yield inputs, self.tokens[at], reset, self.owner[at], held
 
 
-def train(weights: Weights, parts: Iterable[list[np.ndarray]], lanes: int = 64) -> Weights:
+def train(weights: Weights, parts: Iterable[list[np.ndarray]], lanes: int = LANES) -> Weights:
     """Weights after one pass over all tokens of whole documents, given in parts that fit the memory.
 
     The state is carried from window to window and starts anew with each document.
     """
     weights = {k: v.copy() for k, v in weights.items()}
-    squares = {k: np.full(v.shape, 1e-3, np.float32) for k, v in weights.items()}
+    squares = {k: np.full(v.shape, FIRST_SQUARE, np.float32) for k, v in weights.items()}
     rng = np.random.default_rng(3)
     for documents in parts:
         dealt = Lanes(documents, lanes, rng)
         state = np.zeros((len(dealt.lengths), HIDDEN), np.float32)
-        for part, held in dealt.windows():
-            grad, state, _ = gradients(weights, dealt.inputs[part], dealt.tokens[part], state[: len(held)], dealt.reset[part], held)
+        for inputs, tokens, reset, _, held in dealt.windows():
+            grad, state, _ = gradients(weights, inputs, tokens, state[: len(held)], reset, held)
             # Windows with few tokens count less, so that every token of a part has the same weight.
             share = np.float32(held.sum() / (len(dealt.lengths) * WINDOW))
             for k, d in grad.items():
@@ -244,9 +277,10 @@ def score(weights: Weights, documents: list[np.ndarray]) -> np.ndarray:
     dealt = Lanes(documents, LANES)
     out = np.zeros(len(documents))
     state = np.zeros((len(dealt.lengths), HIDDEN), np.float32)
-    for part, held in dealt.windows():
-        states, _ = steps(weights, dealt.inputs[part], state[: len(held)], dealt.reset[part])
+    for inputs, tokens, reset, owner, held in dealt.windows():
+        states, _ = steps(weights, inputs, state[: len(held)], reset)
         state = states[:, -1]
-        logs = log_probabilities(weights, states[held], dealt.tokens[part][held].astype(np.int64))
-        out += np.bincount(dealt.owner[part][held], logs, minlength=len(documents))
+        at = np.flatnonzero(held.T)
+        flat = np.take(states.transpose(2, 1, 0).reshape(HIDDEN, -1), at, axis=1)
+        np.add.at(out, owner.T.ravel()[at], log_probabilities(weights, flat.T, tokens.T.ravel()[at].astype(np.int64)))
     return out

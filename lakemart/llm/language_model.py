@@ -2,12 +2,16 @@
 
 Counts of all words of all training documents decide the vocabulary, its classes and the
 probabilities of words that are not frequent. The network learns from every token of every training
-document, its state carried from end to end, in tasks that start from the same weights; the weights
-are averaged after each round. All documents are then scored from end to end.
+document, its state carried from end to end. The documents are dealt by digest to learners, and
+those of each learner to SLICES slices. All learners go through a slice from the same weights, which are
+then averaged, by tokens learned, for the next slice. How many learners there are follows from
+the number of training tokens alone, so scores do not depend on tasks, files or settings. All documents
+are then scored from end to end.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 import zlib
 from collections.abc import Iterable, Iterator
@@ -20,13 +24,15 @@ from pyspark.sql import functions as F
 
 from lakemart.llm import gru
 from lakemart.llm.common import crc_remainder, documents, release_memory, shuffle_tasks, stored, whole_texts
-from lakemart.llm.groups import batches_of, cut, group_texts, grouped, pack_numbers, unpack_all
+from lakemart.llm.groups import GROUP_BYTES, batches_of, cut, group_texts, grouped, pack_numbers, unpack_all
 
 HELD_OUT = (7, 2)
-#: Passes over all training documents.
-ROUNDS = 1
+#: Parts of the one pass over the training documents, with averaged weights after each.
+SLICES = 4
+#: Training tokens of a learner, about.
+LEARNER_TOKENS = 4_000_000
 #: Tokens that one call of the scorer, or one part of the training, runs side by side, about.
-TOKENS_PER_CALL = 600_000
+TOKENS_PER_CALL = 2_400_000
 #: The end of a document as a token; words hold no space.
 END = b" "
 
@@ -88,7 +94,8 @@ def word_counts(dealt: DataFrame, tasks: int) -> DataFrame:
         for b in np.unique(band[sums > 0]).tolist():
             own = sums[(band == b) & (sums > 0)]
             rows.append((None, None, int(own.sum()), len(own), None, None, b))
-        most = np.lexsort((distinct, -sums))[: gru.HEAD_WORDS]
+        # Ties as Spark orders them, so that the choice does not depend on which words share a task.
+        most = np.lexsort((distinct.view(np.int64), -sums))[: gru.HEAD_WORDS]
         rows += [(None, None, None, None, int(h), int(c), None) for h, c in zip(distinct[most].view(np.int64), sums[most], strict=True) if c > 0]
         del names, counts, group, distinct, place, sums, band
         yield batches_of(answer, *map(list, zip(*rows, strict=True)))
@@ -176,58 +183,77 @@ def encoded(texts: DataFrame, counts: DataFrame, vocabulary: Vocabulary) -> Data
     return texts.groupBy("grp").cogroup(counts.groupBy("grp")).applyInArrow(encode, schema)
 
 
-def parts_of(batches: Iterable[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
-    """All documents' token numbers, in lists of about TOKENS_PER_CALL tokens."""
-    held, tokens = [], 0
-    for batch in batches:
-        for ids in batch.column(0).to_pylist():
+def lessons(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[list[np.ndarray]]]]:
+    """Each learner with its documents' token numbers, in lists of about TOKENS_PER_CALL tokens, of
+    rows (learner, ids) sorted by learner."""
+    rows = (row for batch in batches for row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
+
+    def parts(own: Iterable[tuple[int, bytes]]) -> Iterator[list[np.ndarray]]:
+        held, tokens = [], 0
+        for _, ids in own:
             held.append(np.frombuffer(ids, "<u2"))
             tokens += len(held[-1])
             if tokens >= TOKENS_PER_CALL:
                 yield held
                 held, tokens = [], 0
-    if held:
-        yield held
+        if held:
+            yield held
+
+    for learner, own in itertools.groupby(rows, lambda row: row[0]):
+        yield learner, parts(own)
 
 
-def trained(corpus: DataFrame, weights: gru.Weights, tasks: int) -> gru.Weights:
-    """Weights after ROUNDS rounds of training in ``tasks`` tasks, averaged by tokens learned."""
-    learned = corpus.filter(crc_remainder("doc_id", HELD_OUT[0]) != HELD_OUT[1]).select("ids")
+def trained(corpus: DataFrame, weights: gru.Weights, tokens: int) -> gru.Weights:
+    """Weights after one pass over the training documents of ``corpus``, which hold about ``tokens`` tokens.
+
+    A document's digest, of its id and token numbers, names its learner and its slice; equal rows
+    have the same. A learner takes its documents in the order of their ids and token numbers.
+    """
+    learners = max(1, -(-tokens // LEARNER_TOKENS))
+    share = max(1, math.isqrt(learners))
     schema = "weights binary, tokens double, part int"
+    training = corpus.filter(F.coalesce(crc_remainder("doc_id", HELD_OUT[0]) != HELD_OUT[1], F.lit(True))).select(
+        F.pmod(F.xxhash64("doc_id", "ids"), F.lit(learners)).cast("int").alias("learner"),
+        F.pmod(F.xxhash64("ids", "doc_id", F.lit(1)), F.lit(SLICES)).alias("slice"),
+        "doc_id", "ids",
+    )
+
+    def sums(values: Iterable[tuple[bytes, float]], part: int) -> Iterator[pa.RecordBatch]:
+        """Weights averaged by tokens, and these tokens; no rows without tokens."""
+        total, tokens = 0.0, 0.0
+        for raw, n in values:
+            total += np.frombuffer(raw, "<f4").astype(np.float64) * n
+            tokens += n
+        if tokens:
+            raw = (total / tokens).astype("<f4").tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([raw], pa.binary()), pa.array([tokens]), pa.array([part], pa.int32())], names=["weights", "tokens", "part"])
 
     def learner(start: bytes):
         def learn(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            tokens = 0.0
+            for name, parts in lessons(batches):
+                count = 0
 
-            def counted() -> Iterator[list[np.ndarray]]:
-                nonlocal tokens
-                for documents in parts_of(batches):
-                    tokens += sum(map(len, documents))
-                    yield documents
+                def counted() -> Iterator[list[np.ndarray]]:
+                    nonlocal count
+                    for documents in parts:
+                        count += sum(map(len, documents))
+                        yield documents
 
-            after = gru.pack(gru.train(gru.unpack(start), counted()))
+                after = gru.pack(gru.train(gru.unpack(start), counted()))
+                yield from sums([(after, float(count))], name % share)
             release_memory()
-            if tokens:
-                part = zlib.crc32(after) % max(1, math.isqrt(tasks))
-                yield pa.RecordBatch.from_arrays([pa.array([after], pa.binary()), pa.array([tokens]), pa.array([part], pa.int32())], names=["weights", "tokens", "part"])
 
         return learn
 
     def average(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, tokens = None, 0.0
-        for batch in batches:
-            for row in batch.to_pylist():
-                own = np.frombuffer(row["weights"], "<f4").astype(np.float64) * row["tokens"]
-                total = own if total is None else total + own
-                tokens += row["tokens"]
-        if total is not None:
-            raw = (total / tokens).astype("<f4").tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array([raw], pa.binary()), pa.array([tokens]), pa.array([0], pa.int32())], names=["weights", "tokens", "part"])
-
-    for _ in range(ROUNDS):
-        after = learned.mapInArrow(learner(gru.pack(weights)), schema)
-        # Averaged in two steps, so that no task and not the driver gets the weights of all tasks.
-        some = after.repartition(max(1, math.isqrt(tasks)), "part").mapInArrow(average, schema)
+        yield from sums(((row["weights"], row["tokens"]) for batch in batches for row in batch.to_pylist()), 0)
+
+    for number in range(SLICES):
+        own = training.filter(F.col("slice") == number).repartition(learners, "learner")
+        own = own.sortWithinPartitions("learner", "doc_id", "ids").select("learner", "ids")
+        after = own.mapInArrow(learner(gru.pack(weights)), schema)
+        # Averaged in two steps, so that no task and not the driver gets the weights of all learners.
+        some = after.repartition(share, "part").mapInArrow(average, schema)
         found = some.repartition(1).mapInArrow(average, schema).collect()
         if found:
             weights = gru.unpack(found[0]["weights"])
@@ -273,14 +299,15 @@ def log_likelihoods(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     is unseen and the network stays as it starts.
     """
     rows = whole_texts(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("bigint"))
-    tasks = shuffle_tasks(docs.sparkSession)
-    dealt, _ = grouped(rows)
-    texts = group_texts(dealt)
+    dealt, total = grouped(rows)
+    # As many tasks as groups, however the session is set, so that none grows with the documents.
+    tasks = max(shuffle_tasks(docs.sparkSession), -(-total // GROUP_BYTES))
+    texts = group_texts(dealt).repartition(tasks, "grp")
     counts = stored(word_counts(dealt, tasks), "word-counts")
     vocabulary = Vocabulary(counts)
-    of_groups = counts.filter("counts is not null").select("grp", "counts")
+    of_groups = counts.filter("counts is not null").select("grp", "counts").repartition(tasks, "grp")
     corpus = stored(encoded(texts, of_groups, vocabulary), "encoded-documents")
-    weights = trained(corpus, vocabulary.initial(), tasks)
+    weights = trained(corpus, vocabulary.initial(), vocabulary.tokens)
     return scored(corpus, weights).select(
         "doc_id",
         F.coalesce(crc_remainder("doc_id", HELD_OUT[0]) == HELD_OUT[1], F.lit(False)).alias("held_out"),

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -10,6 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from lakemart.llm import bpe, decontamination, gru, language_model, pii, quality_classifier, quality_rules, repeats, secret_scan, simhash, token_counts
 from lakemart.llm.common import new_table_path
@@ -477,9 +479,46 @@ def test_the_language_model_learns_from_every_training_document(spark):
         if zlib.crc32(str(doc).encode()) % 7 != 2:
             ids = np.arange(5, dtype="<u2")
             corpus = spark.createDataFrame([(doc, ids.tobytes())], "doc_id bigint, ids binary")
-            assert gru.pack(language_model.trained(corpus, start, 2)) != gru.pack(start)
+            assert gru.pack(language_model.trained(corpus, start, 5)) != gru.pack(start)
     corpus = spark.createDataFrame([], "doc_id bigint, ids binary")
-    assert gru.pack(language_model.trained(corpus, start, 2)) == gru.pack(start)
+    assert gru.pack(language_model.trained(corpus, start, 5)) == gru.pack(start)
+
+
+def test_scores_do_not_depend_on_tasks_or_files(spark, monkeypatch):
+    """Several learners and slices, ties among the frequent words, and two ways of dealing the rows."""
+    monkeypatch.setattr(language_model, "LEARNER_TOKENS", 2_000)
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{n}" for n in rng.zipf(1.3, rng.integers(0, 60)) if n < 5_000) for _ in range(300)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    before, found = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for partitions, files in (("2", 1), ("7", 5)):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            dealt = rows.orderBy(F.rand(files)).repartition(files)
+            found.append({r["doc_id"]: (r["base_score"], r["score"]) for r in language_model.log_likelihoods(dealt).collect()})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0].keys() == found[1].keys()
+    for doc, (base, score) in found[0].items():
+        assert math.isclose(base, found[1][doc][0], rel_tol=1e-9)
+        assert math.isclose(score, found[1][doc][1], rel_tol=1e-3)
+
+
+def test_held_out_documents_score_better_than_by_counts(spark):
+    rows = language_model.op3_language_model(spark, "/root/testdata/sf0.01").filter("held_out").collect()
+    tokens = sum(r["n_tokens"] for r in rows)
+    assert sum(r["score"] - r["base_score"] for r in rows) / tokens > 0.2
+
+
+def test_a_very_long_text_takes_memory_for_its_tokens_only():
+    documents = [np.full(300_000, 5, np.uint16), *[np.full(20, 7, np.uint16)] * 255]
+    tracemalloc.start()
+    dealt = gru.Lanes(documents, gru.LANES)
+    seen = sum(int(held.sum()) for *_, held in dealt.windows())
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert seen == sum(map(len, documents))
+    assert most < 20 * seen
 
 
 def test_training_carries_the_state_through_every_token_of_a_document(monkeypatch):
