@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.llm.common import documents, shuffle_tasks, stored, whole_texts
-from lakemart.llm.groups import batches_of, cut, group_rows, group_texts, grouped, pack_numbers, packed, unpack_all
+from lakemart.llm.groups import GROUP_BYTES, batches_of, cut, group_rows, group_texts, grouped, pack_numbers, packed, unpack_all
 
 LENGTH = 50
 GRAM = 20
@@ -40,8 +40,11 @@ GRAM = 20
 LOST, OPEN, HOT = 1, 2, 3
 #: Open segments of a code beyond which it is filed by whole strings.
 HOT_SEGMENTS = 4096
-#: Bytes of segments that one transform covers, about; a code's segments stay together.
-TRANSFORM_BYTES = 1_000_000
+#: Bytes of segments that one transform covers, about, so that its arrays stay in a core's cache; a
+#: code's segments stay together, so the size decides nothing else.
+TRANSFORM_BYTES = 64_000
+#: Lost ranges that a task gathers before it sends them on, about.
+RANGES_HELD = 200_000
 
 
 def gram_hashes(raw: bytes) -> np.ndarray:
@@ -111,41 +114,65 @@ def heads(text: np.ndarray) -> np.ndarray:
     return key
 
 
-def suffix_array(head: np.ndarray) -> np.ndarray:
-    """Suffixes in the order of their first 64 bytes, by prefix doubling from their heads."""
-    n, width, key = len(head), HEAD, head
-    while True:
-        order = np.argsort(key)
-        ranked = key[order]
-        rank = np.empty(n, np.uint64)
-        rank[order] = np.cumsum(np.concatenate(([False], ranked[1:] != ranked[:-1])))
-        if width >= 64 or n == 0 or int(rank[order[-1]]) == n - 1:
-            return order
-        second = np.zeros(n, np.uint64)
-        second[: max(0, n - width)] = rank[width:] + np.uint64(1)
-        key = (rank << np.uint64(32)) | second
+def neighbours(new: np.ndarray) -> np.ndarray:
+    """Members of runs of two and more; ``new`` tells where a run starts."""
+    last = np.append(new[1:], True)
+    return ~(new & last)
+
+
+def suffix_array(head: np.ndarray, room: np.ndarray, length: int = LENGTH) -> np.ndarray:
+    """Suffixes in the order of their first ``length`` bytes or more, by prefix doubling from their heads.
+
+    Only suffixes that share their prefix with others, and have room for it, are sorted again: the
+    byte 0 ends a content, so all that share a prefix beyond their room end alike. The rank of a
+    suffix is the first place of those with its prefix.
+    """
+    n, width = len(head), HEAD
+    order = np.argsort(head)
+    ranked = head[order]
+    new = np.concatenate(([True], ranked[1:] != ranked[:-1]))[:n]
+    places = np.arange(n)
+    rank = np.full(n + 1, -1)
+    rank[order] = np.maximum.accumulate(np.where(new, places, 0))
+    while width < length:
+        keep = neighbours(new) & (room[order[places]] >= width)
+        places = places[keep]
+        if not len(places):
+            break
+        own = order[places]
+        key = (rank[own] << 32) | (rank[own + width] + 1)
+        by_key = np.argsort(key)
+        own, key = own[by_key], key[by_key]
+        order[places] = own
+        new = np.concatenate(([True], key[1:] != key[:-1]))
+        rank[own] = np.maximum.accumulate(np.where(new, places, 0))
         width *= 2
+    return order
 
 
-def shared_strings(text: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
+def shared_strings(text: np.ndarray, length: int = LENGTH, room: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Starts of strings of ``length`` bytes that occur twice or more, and a number for each string.
 
-    ``length`` is at least HEAD; ``text`` holds under 2 ** 31 bytes. ``after`` leads from the rank of a suffix to that of
+    ``length`` is at least HEAD; ``text`` holds under 2 ** 31 bytes. ``room`` is the number of bytes
+    from each start to the end of its content, which the byte 0 follows; without it the text is one
+    content. ``after`` leads from the rank of a suffix to that of
     the suffix a byte later: the transform's mapping, read backwards. The interval of a byte c and
     a string w is therefore the run of neighbouring ranks that start with c and lead into the
     interval of w. ``active`` are the ranks in intervals of two and more, ``number`` the interval
     of each (0: none), ``new`` where the next interval starts. As an interval lies inside that of
-    any shorter prefix, nothing once dropped comes back.
+    any shorter prefix, nothing once dropped comes back; nor does a suffix without room.
     """
     n = len(text)
+    if room is None:
+        room = np.arange(n, 0, -1)
     head = heads(text)
-    order = suffix_array(head)
-    rank = np.empty(n + 1, np.int32)
-    rank[order] = np.arange(n, dtype=np.int32)
+    order = suffix_array(head, room, length)
+    rank = np.empty(n + 1, np.int64)
+    rank[order] = np.arange(n)
     rank[n] = n
     after = rank[order + 1]
-    ranked = head[order]
-    active = np.arange(n, dtype=np.int32)
+    ranked, left = head[order], room[order].astype(np.int32)
+    active = np.arange(n)
     number = np.zeros(n + 1, np.int32)
     new = np.concatenate(([True], ranked[1:] != ranked[:-1]))[:n]
     for depth in range(min(HEAD, length), length + 1):
@@ -153,15 +180,14 @@ def shared_strings(text: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray,
             came = number[after]
             new[1:] |= came[1:] != came[:-1]
             new |= came == 0
-        single = new.copy()
-        single[:-1] &= new[1:]
-        keep = ~single
-        number[active] = 0
-        active, after, new = active[keep], after[keep], new[keep]
-        if not len(active):
+        keep = neighbours(new) & (left >= depth)
+        number[active] = np.where(keep, np.cumsum(new, dtype=np.int32), 0)
+        # Those dropped stay so; they are taken out when they are many, or at the end.
+        kept = np.count_nonzero(keep)
+        if kept < 0.8 * len(active) or depth == length:
+            active, after, new, left = active[keep], after[keep], new[keep], left[keep]
+        if not kept:
             break
-        new[0] = True
-        number[active] = np.cumsum(new, dtype=np.int32)
     return order[active], number[active].astype(np.int64)
 
 
@@ -181,7 +207,8 @@ def lost_in(contents: list[bytes], owners: np.ndarray) -> tuple[np.ndarray, np.n
     inside = np.ones(len(text), bool)
     inside[starts + lengths] = False
     text[inside] = code[joined]
-    at, number = shared_strings(text)
+    ends = np.repeat(starts + lengths, lengths + 1)
+    at, number = shared_strings(text, room=ends - np.arange(len(text)))
     content = np.searchsorted(starts, at, "right") - 1
     whole = at + LENGTH <= (starts + lengths)[content]
     at, number, content = at[whole], number[whole], content[whole]
@@ -216,7 +243,8 @@ class Deduplication:
         spark = docs.sparkSession
         rows = whole_texts(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("bigint"))
         self.grouped, total = grouped(rows)
-        self.tasks = shuffle_tasks(spark)
+        #: As many as groups, however the session is set, so that no task grows with the documents.
+        self.tasks = max(shuffle_tasks(spark), -(-total // GROUP_BYTES))
         #: Wide enough that unlike hashes rarely share a code, which only leaves more segments open.
         self.width = min(8, ((total // 16).bit_length() + 6 + 7) // 8)
 
@@ -313,19 +341,33 @@ class Deduplication:
             order = np.argsort(code, kind="stable")
             size = pa.compute.binary_length(table.column("content")).to_numpy()[order]
             same = np.concatenate((code[order][1:] == code[order][:-1], [False]))
+            before = np.concatenate(([0], np.cumsum(size)))
+            held: list[tuple[np.ndarray, ...]] = []
+            ranges = 0
+
+            def told() -> Iterator[pa.RecordBatch]:
+                rows, starts, ends = (np.concatenate(x) for x in zip(*held, strict=True))
+                for g, own in cut(group[rows]):
+                    yield batches_of("grp int, ranges binary", [g], [
+                        pack_numbers((doc[rows[own]], 8), (digest[rows[own]], 8), (starts[own], 8), (ends[own], 8))
+                    ])
+
             at = 0
             while at < len(order):  # whole codes, up to TRANSFORM_BYTES
-                end = at + max(1, int(np.searchsorted(np.cumsum(size[at:]), TRANSFORM_BYTES)))
+                end = max(at + 1, int(np.searchsorted(before, before[at] + TRANSFORM_BYTES)))
                 while end < len(order) and same[end - 1]:
                     end += 1
+                end = min(end, len(order))
                 part = order[at:end]
                 at = end
                 rows, starts, ends = lost_in(table.column("content").take(pa.array(part)).to_pylist(), doc[part])
-                rows = part[rows]
-                for g, own in cut(group[rows]):
-                    yield batches_of("grp int, ranges binary", [g], [
-                        pack_numbers((doc[rows[own]], 8), (digest[rows[own]], 8), (starts[own], 8), (ends[own], 8))
-                    ])
+                held.append((part[rows], starts, ends))
+                ranges += len(rows)
+                if ranges >= RANGES_HELD:
+                    yield from told()
+                    held, ranges = [], 0
+            if held:
+                yield from told()
 
         opened = group_texts(self.grouped).groupBy("grp").cogroup(verdicts.groupBy("grp")).applyInArrow(send, "task int, grp int, blob binary")
         return opened.repartition(tasks, "task").mapInArrow(judge, "grp int, ranges binary")
