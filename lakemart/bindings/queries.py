@@ -22,7 +22,7 @@ from lakemart.session import work_path
 from lakemart.sources import csv_files, extracts, raw_load
 from lakemart.sources.contract import COMMERCE_CONTRACT, INCREMENTAL_DATASETS, ForeignKey
 from lakemart.sources.csv_files import na_to_null
-from lakemart.sources.folders import FolderTable, folder_count, folder_of, write_bucketed
+from lakemart.sources.folders import FolderTable, bucket_count, folder_count, folder_of, write_bucketed
 
 Query = Callable[[Context], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -471,7 +471,9 @@ def stored_upsert(c: Context) -> DataFrame:
 def category_orders_bucketed(c: Context) -> DataFrame:
     """The category mart over facts bucketed by order: items are not shuffled again."""
     path = work_path(c.spark, "fact_order_items")
-    facts_of = write_bucketed(c.fact("order_items"), path.rsplit("/", 1)[-1].replace("-", "_"), path, "order_id", 8)
+    # Parquet footers tell the number of line items, which is at least that of facts.
+    buckets = bucket_count(c.table("lineitem").count())
+    facts_of = write_bucketed(c.fact("order_items"), path.rsplit("/", 1)[-1].replace("-", "_"), path, "order_id", buckets)
     return marts.mart_category_performance(facts_of, c.dim("product"))
 
 

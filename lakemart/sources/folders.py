@@ -18,6 +18,8 @@ from lakemart.operators.upserts import sync_columns
 
 #: Rows of a partition, about, where partitions are ranges of the key's hash.
 ROWS_PER_FOLDER = 1_000_000
+#: Buckets of a small table, so that it is still written and read by several tasks.
+LEAST_BUCKETS = 8
 FOLDER = "folder"
 
 
@@ -30,6 +32,11 @@ def folder_count(rows: int, rows_per_folder: int = ROWS_PER_FOLDER) -> int:
     return max(1, -(-rows // rows_per_folder))
 
 
+def bucket_count(rows: int, rows_per_bucket: int = ROWS_PER_FOLDER) -> int:
+    """Buckets of a table of about ``rows`` rows: a task sorts one of them, whatever the size of the table."""
+    return max(LEAST_BUCKETS, folder_count(rows, rows_per_bucket))
+
+
 class FolderTable:
     """A Parquet table at ``path``, partitioned by ``by`` (SQL over its rows), one row a key.
 

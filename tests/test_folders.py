@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from lakemart.operators import profiles
 from lakemart.plans import marts
 from lakemart.sources import extracts
-from lakemart.sources.folders import FOLDER, FolderTable, folder_count, folder_of, write_bucketed
+from lakemart.sources.folders import FOLDER, FolderTable, bucket_count, folder_count, folder_of, write_bucketed
 
 UTC = dt.timezone.utc
 
@@ -68,6 +68,19 @@ def test_the_mart_over_bucketed_facts_does_not_shuffle_items(spark, tmp_path):
     spark.sql("drop table bucketed_items")
 
 
+def test_buckets_grow_in_number_and_not_in_rows(spark, tmp_path):
+    assert (bucket_count(0), bucket_count(8_000_000), bucket_count(216_000_000)) == (8, 8, 216)
+    most = {}
+    for rows in (2_000, 20_000):
+        items = spark.range(rows).selectExpr("cast(id div 3 as string) as order_id", "id as n")
+        held = write_bucketed(items, f"bucketed_{rows}", str(tmp_path / str(rows)), "order_id", bucket_count(rows, 200))
+        per_file = held.groupBy(F.input_file_name()).count()
+        most[rows] = per_file.agg(F.max("count")).first()[0]
+        assert held.count() == rows
+        spark.sql(f"drop table bucketed_{rows}")
+    assert most[20_000] < 2 * most[2_000] < 800
+
+
 def test_copies_of_whole_rows_are_counted_by_digest(spark):
     rows = [(1, "a", 0.0), (1, "a", -0.0), (1, "a", 0.0), (None, "a", 1.0), ("x", None, None)]
     df = spark.createDataFrame([(str(a) if a else None, b, c) for a, b, c in rows] + [(None, None, None)] * 3, "a string, b string, c double")
