@@ -47,6 +47,28 @@ def join_order(child: DataFrame, orders: DataFrame, seen: DataFrame | None = Non
     return lookup_join(child, orders, "order_id", "inner", seen=seen)
 
 
+def derived_columns(fact: str, round_scale: int | None = None) -> dict[str, Column]:
+    """Columns of a fact that follow from its other ones, which an exchange of its rows can leave out."""
+    if fact == "fact_order_items":
+        return {
+            "order_item_key": stable_key("order_id", "order_item_id"),
+            "quantity": F.lit(1).cast("int"),
+            "total_item_value": (F.col("item_price") + F.col("freight_value")).cast(MONEY),
+        }
+    if fact == "fact_payments":
+        return {"payment_key": stable_key("order_id", "payment_sequential")}
+    return {
+        "order_key": stable_key("order_id"),
+        "purchase_date_key": date_key("order_purchase_timestamp"),
+        "approved_date_key": date_key("order_approved_at"),
+        "delivered_date_key": date_key("order_delivered_customer_date"),
+        "estimated_delivery_date_key": date_key("order_estimated_delivery_date"),
+        **dict(zip([name for name, *_ in DURATIONS], duration_columns(round_scale), strict=True)),
+        "is_delivered_late": late_flag("order_delivered_customer_date", "order_estimated_delivery_date"),
+        "is_cancelled": F.col("order_status") == "canceled",
+    }
+
+
 def fact_order_items(
     items: DataFrame,
     orders: DataFrame,

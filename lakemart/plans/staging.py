@@ -155,8 +155,12 @@ MODELS: dict[str, StagingModel] = {
 CHANGED_AT = "coalesce(source_updated_at, loaded_at)"
 
 
-def stage(dataset: str, raw: DataFrame, lineage: bool = False) -> DataFrame:
-    """Staged form of one RAW data set; ``lineage`` also keeps its batch columns."""
+def stage(dataset: str, raw: DataFrame, lineage: bool = False, of: DataFrame | None = None) -> DataFrame:
+    """Staged form of one RAW data set; ``lineage`` also keeps its batch columns.
+
+    ``of`` holds staged keys: only their rows are cast and returned. They meet the ranked rows by the
+    key the ranking dealt them by; rows with a null key are not among them.
+    """
     if dataset == "geolocation":
         return stg_geolocation(raw)
     model = MODELS[dataset]
@@ -173,6 +177,9 @@ def stage(dataset: str, raw: DataFrame, lineage: bool = False) -> DataFrame:
             tie_breakers=("batch_id", *others, *spelled),
         )
         staged.update({k: f"_key_{k}" for k in model.keys})
+        if of is not None:
+            wanted = of.toDF(*[f"_key_{k}" for k in of.columns])
+            rows = rows.join(wanted, wanted.columns, "left_semi")
     extra = ["batch_id", "loaded_at"] if lineage else []
     columns = [f"{text} as {name}" for name, text in staged.items()]
     return rows.selectExpr(*columns, f"{CHANGED_AT} as {UPDATED}", *extra)

@@ -223,7 +223,9 @@ def build_full(lake: Lake, round_scale: int | None = None, tests: Sequence[Model
         }
         _side_by_side(
             {
-                name: partial(tx.overwrite, model_table(name), watch(name, df), **model_layout(name))
+                name: partial(
+                    tx.overwrite, model_table(name), watch(name, df), **model_layout(name), late=facts.derived_columns(name, round_scale)
+                )
                 for name, df in built.items()
             }
         )
@@ -309,12 +311,21 @@ def changed_rows(dataset: str, raw: DataFrame, watermark: Column) -> DataFrame:
 
 
 def rows_of_orders(rows: DataFrame, order_ids: DataFrame) -> DataFrame:
-    """The rows, RAW or staged, that belong to the given orders."""
+    """The RAW rows that belong to the given orders."""
     tagged = rows.withColumn("_order", identifier("order_id"))
     wanted = order_ids.select(F.col("order_id").alias("_order"))
     return tagged.join(wanted, "_order", "left_semi").drop("_order")
 
 
+def staged_rows_of_orders(rows: DataFrame, order_ids: DataFrame) -> DataFrame:
+    """The staged rows that belong to the given orders.
+
+    Staged ids are clean, so the rows meet on ``order_id`` itself, and the joins and sums by order
+    that follow need no exchange of their own.
+    """
+    return rows.join(order_ids.select("order_id"), "order_id", "left_semi").select(*rows.columns)
+
+
 def fresh_order_ids(raws: Sequence[DataFrame], watermark: Column) -> DataFrame:
     """Ids of the orders with a fresh row in any of the RAW tables.
 
@@ -349,16 +360,15 @@ def current_rows(dataset: str, raw: DataFrame, fresh: DataFrame, watermark: Colu
 
     Fresh rows younger than everything staged (``watermark``) outrank all older versions, so
     ranking them alone is enough. As soon as one is not, or has no source time, all versions of
-    the fresh keys are ranked.
+    the fresh keys are ranked. Keys that are not fresh drop out after the ranking: each task sends one
+    version of a key at most, and the fresh keys are dealt as the ranked rows are, so that RAW rows
+    are shuffled once.
     """
     model = MODELS[dataset]
     late = F.col("source_updated_at").isNull() | (F.col("source_updated_at") <= watermark)
     if not model.keys or fresh.filter(late).isEmpty():
         return stage(dataset, fresh)
-    wanted = staged_keys(dataset, fresh).toDF(*[f"_fresh_{k}" for k in model.keys])
-    tagged = raw.selectExpr("*", *[f"{model.expression(k)} as _fresh_{k}" for k in model.keys])
-    versions = tagged.join(wanted, wanted.columns, "left_semi").drop(*wanted.columns)
-    return stage(dataset, versions)
+    return stage(dataset, raw, of=staged_keys(dataset, fresh))
 
 
 def item_delta(
@@ -463,7 +473,7 @@ def build_increment(
         def upsert_fact(name: str) -> DataFrame:
             inputs = FACT_INPUT[name]
             touched = order_ids_of([fresh[n] for n in inputs])
-            staged = {n: rows_of_orders(tx.read(staged_table(n)), touched) for n in inputs}
+            staged = {n: staged_rows_of_orders(tx.read(staged_table(n)), touched) for n in inputs}
             items, orders, payments = (
                 staged.get(n) for n in ("order_items", "orders", "payments")
             )
@@ -473,7 +483,7 @@ def build_increment(
                 delta = facts.fact_payments(payments, orders, customers)
             else:
                 delta = facts.fact_order_lifecycle(orders, items, payments, customers, round_scale)
-            return tx.upsert(model_table(name), delta, MODEL_KEYS[name], **model_layout(name))
+            return tx.upsert(model_table(name), delta, MODEL_KEYS[name], **model_layout(name), late=facts.derived_columns(name, round_scale))
 
         _side_by_side({name: partial(upsert_fact, name) for name in FACT_DAY})
         if repair_unknown:
@@ -494,7 +504,7 @@ def _repair(tx: Transaction, ids: dict[str, DataFrame], round_scale: int | None)
     def pick(fact: str, keys: Sequence[str] = ("customer_key",)) -> dict[str, DataFrame]:
         open_orders = unresolved(tx.read(model_table(fact)), keys)
         return {
-            name: rows_of_orders(tx.read(staged_table(name)), open_orders)
+            name: staged_rows_of_orders(tx.read(staged_table(name)), open_orders)
             for name in ("orders", "order_items", "payments")
         }
 
