@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakemart.functions import literal, unaccepted
 from lakemart.operators.checks import union_all
@@ -127,14 +128,28 @@ def key_failures(frames: Frames, tests: Sequence[ModelTest]) -> DataFrame | None
     travels as one row a task. A key is duplicated if slot 0 counts more than one row, and orphaned
     if a child's slot counts rows and slot 0 none. An accepted-values test is a space of its own
     that only receives values outside its list.
+
+    Whole numbers travel as the up to eight bytes they are, not as their digits: most keys are surrogate
+    keys, which do not compress.
     """
+    whole = lambda model, column: isinstance(frames[model].schema[column].dataType, T.IntegralType)
+    # Keys that a child refers to by a column of another kind are compared as text.
+    as_text = {t.parent for t in tests if t.kind == "relationships" and not whole(t.model, t.columns[0])}
     spaces: dict[tuple, int] = {}
     entries: dict[str, list[str]] = {}
     children: dict[int, int] = {}
     found: dict[int, list[str]] = {}
 
-    def emit(model: str, space: int, slot: int, columns: Sequence[str], only: str | None = None) -> None:
-        values = ", ".join(f"cast(`{c}` as string)" for c in columns)
+    def packed(model: str, column: str) -> bool:
+        return whole(model, column) and (model, column) not in as_text
+
+    def key_text(model: str, columns: Sequence[str], i: int) -> str:
+        return f"cast(conv(hex(key[{i}]), 16, -10) as string)" if packed(model, columns[i]) else f"cast(key[{i}] as string)"
+
+    def emit(model: str, space: int, slot: int, columns: Sequence[str], only: str | None = None, of: tuple[str, str] | None = None) -> None:
+        """``of``: the parent's model and column, where the key is one of a child."""
+        as_bytes = ["unhex(hex(cast({} as bigint)))" if packed(*(of or (model, c))) else "cast(cast({} as string) as binary)" for c in columns]
+        values = ", ".join(form.format(f"`{c}`") for form, c in zip(as_bytes, columns, strict=True))
         # Nulls are no keys, but for grains of several columns.
         only = only or (f"`{columns[0]}` is not null" if len(columns) == 1 else "true")
         entry = f"if({only}, struct({space} as space, {slot} as slot, array({values}) as key), null)"
@@ -155,17 +170,19 @@ def key_failures(frames: Frames, tests: Sequence[ModelTest]) -> DataFrame | None
         column = test.columns[0] if test.columns else ""
         if test.kind == "unique":
             space = space_of(test.model, test.columns)
-            keys = {"unique_field": "key[0]"} if len(test.columns) == 1 else {c: f"key[{i}]" for i, c in enumerate(test.columns)}
+            shown = {c: key_text(test.model, test.columns, i) for i, c in enumerate(test.columns)}
+            keys = {"unique_field": shown[column]} if len(test.columns) == 1 else shown
             route = failure(test, "s0 > 1", "1", keys | {"n_records": "s0"})
         elif test.kind == "relationships":
             space = space_of(test.parent[0], (test.parent[1],))
             slot = children[space] = children.get(space, 0) + 1
-            emit(test.model, space, slot, (column,))
-            route = failure(test, f"s0 = 0 and s{slot} > 0", f"s{slot}", {"from_field": "key[0]", "n_records": f"s{slot}"})
+            emit(test.model, space, slot, (column,), of=test.parent)
+            orphan = {"from_field": key_text(test.parent[0], test.parent[1:], 0), "n_records": f"s{slot}"}
+            route = failure(test, f"s0 = 0 and s{slot} > 0", f"s{slot}", orphan)
         elif test.kind == "accepted_values":
             space = spaces[test.name,] = len(spaces)
             emit(test.model, space, 0, (column,), unaccepted.sql(f"`{column}`", test.accepted))
-            route = failure(test, "s0 > 0", "1", {"value_field": "key[0]", "n_records": "s0"})
+            route = failure(test, "s0 > 0", "1", {"value_field": key_text(test.model, test.columns, 0), "n_records": "s0"})
         else:
             continue
         found.setdefault(space, []).append(route)
