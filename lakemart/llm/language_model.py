@@ -18,6 +18,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,13 +38,28 @@ TOKENS_PER_CALL = 2_400_000
 END = b" "
 
 
-def words_of(raw: bytes) -> list[bytes]:
-    return [*raw.lower().split(), END]  # bytes: only A-Z and ASCII white space
+def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Names of the distinct tokens of texts, the place among them of every token, text after text, and
+    how many tokens there are up to the end of each text. The end of a text is the last name.
 
-
-def hashes_of(words: Iterable[bytes]) -> np.ndarray:
-    """64-bit names of words. Two words of a billion share one with a chance of about 1 in 40."""
-    return np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64)
+    Names have 64 bits. Two words of a billion share one with a chance of about 1 in 40.
+    """
+    words = pc.ascii_split_whitespace(pc.ascii_lower(texts))  # only A-Z and ASCII white space
+    offsets = words.offsets.to_numpy().astype(np.int64)
+    flat = words.flatten()
+    real = pc.binary_length(flat).to_numpy() > 0  # not so before and after white space at the ends
+    if not real.all():
+        offsets = np.append(0, np.cumsum(real))[offsets - offsets[0]]
+        flat = flat.filter(pa.array(real))
+    flat = flat.dictionary_encode()
+    distinct = [*flat.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False), END]  # faster than to_pylist
+    names = np.fromiter(map(xxhash.xxh64_intdigest, distinct), np.uint64, len(distinct))
+    ends = np.cumsum(np.diff(offsets) + 1)
+    at = np.full(len(flat) + len(ends), len(names) - 1, np.int32)
+    inside = np.ones(len(at), bool)
+    inside[ends - 1] = False
+    at[inside] = flat.indices.to_numpy()
+    return names, at, ends
 
 
 def band_of(counts: np.ndarray) -> np.ndarray:
@@ -68,16 +84,15 @@ def word_counts(dealt: DataFrame, tasks: int) -> DataFrame:
         held = [(np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64))]
         for batch in batches:
             for group, at in cut(batch.column(2).to_numpy()):
-                seen: dict[bytes, int] = {}
                 part = batch.take(pa.array(at))
-                for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    learned = 0 if is_held_out(doc) else 1
-                    for word in words_of(text.encode("utf-8", "surrogatepass")):
-                        seen[word] = seen.get(word, 0) + learned
-                held.append((hashes_of(seen), np.fromiter(seen.values(), np.int64), np.full(len(seen), group)))
+                names, at, ends = tokens_of(part.column(1))
+                learned = ~np.fromiter(map(is_held_out, part.column(0).to_pylist()), bool, part.num_rows)
+                learned = at[np.repeat(learned, np.diff(ends, prepend=0))]
+                held.append((names, np.bincount(learned, minlength=len(names)), np.full(len(names), group)))
         # One blob for each task that this one sends to, whatever the number of groups.
         names, counts, group = (np.concatenate(x) for x in zip(*held, strict=True))
-        found = [(t, pack_numbers((names[at], 8), (counts[at], 8), (group[at], 4))) for t, at in cut(names % np.uint64(tasks))]
+        to = (names % np.uint64(tasks)).astype(np.min_scalar_type(tasks))  # few bytes are sorted faster
+        found = [(t, pack_numbers((names[at], 8), (counts[at], 8), (group[at], 4))) for t, at in cut(to)]
         del names, counts, group, held
         yield batches_of(schema, [t for t, _ in found], [b for _, b in found])
         del found
@@ -161,22 +176,31 @@ def encoded(texts: DataFrame, counts: DataFrame, vocabulary: Vocabulary) -> Data
         names, totals = unpack_all(counts.column("counts").to_pylist(), 8, 8)
         order = np.argsort(names)
         names, totals = names[order], totals[order].astype(np.int64)
-        index: dict[bytes, int] = {}
-        rows = []
+
+        def numbered(rows: list[pa.Table]) -> pa.RecordBatch:
+            rows = pa.concat_tables(rows).combine_chunks().to_batches()[0]
+            own, at, ends = tokens_of(rows.column(1).view(pa.string()))
+            order, seen = np.argsort(own), np.empty(len(own), np.int64)
+            seen[order] = totals[np.searchsorted(names, own[order])]  # names in order are found faster
+            number, share = vocabulary.numbers(own, seen)
+            starts = np.append(0, ends[:-1])
+            sums = [np.add.reduceat(x[at], starts) for x in ((seen > 0).astype(np.int64), np.log10((seen + 1) / max(whole, 1)), share)]
+            ids = pa.py_buffer(number.astype("<u2")[at])
+            ids = pa.BinaryArray.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(np.append(0, 2 * ends).astype(np.int32)), ids])
+            return pa.RecordBatch.from_arrays([rows.column(0).cast(pa.int64()), pa.array(ends - starts), *map(pa.array, sums), ids], schema=arrow)
+
+        # A group is larger than others only by equal rows; it is read in parts.
+        parts, held, size = [], [], 0
         for blob in texts.column("texts").to_pylist():
-            for doc, raw in zip(*(c.to_pylist() for c in pa.ipc.open_stream(blob).read_all().columns), strict=True):
-                rows.append((doc, np.array([index.setdefault(w, len(index)) for w in words_of(raw)], np.int64)))
-        own = hashes_of(index)
-        seen = totals[np.searchsorted(names, own)]
-        number, share = vocabulary.numbers(own, seen)
-        base = np.log10((seen + 1) / max(whole, 1))
-        out = [
-            (doc, len(at), int((seen[at] > 0).sum()), float(base[at].sum()), float(share[at].sum()), number[at].astype("<u2").tobytes())
-            for doc, at in rows
-        ]
-        columns = zip(*out, strict=True) if out else [()] * len(arrow)
-        table = pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
-        del index, rows, out, columns, own, seen
+            held.append(pa.ipc.open_stream(blob).read_all())
+            size += held[-1].nbytes
+            if size >= 2 * GROUP_BYTES:
+                parts.append(numbered(held))
+                held, size = [], 0
+        if held:
+            parts.append(numbered(held))
+        table = pa.Table.from_batches(parts, arrow)
+        del names, totals, order, parts
         release_memory()
         return table
 

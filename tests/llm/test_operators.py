@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -458,6 +459,36 @@ def test_the_state_goes_through_a_whole_document():
     assert len(gru.score(weights, [])) == 0
 
 
+def test_classes_without_training_tokens_share_one_output(monkeypatch):
+    counts, by_word = np.zeros(gru.CLASSES), np.zeros(gru.HEAD_WORDS)
+    counts[[0, gru.HEAD_CLASSES + 2]], by_word[:2] = (9, 4), (5, 4)
+    weights = gru.initial(counts, by_word)
+    shares = np.exp(weights["class_bias"].astype(float))
+    assert shares.sum() == pytest.approx(counts.sum() + gru.CLASSES / 2, rel=1e-5)
+    outputs = [0, gru.HEAD_CLASSES, gru.HEAD_CLASSES + 2, gru.CLASSES - 1]
+    assert np.flatnonzero(shares).tolist() == outputs  # words not seen keep a class of their own
+    sizes, plain = [], gru.softmax
+    monkeypatch.setattr(gru, "softmax", lambda x, chosen: sizes.append(x.shape) or plain(x, chosen))
+    documents = [np.array([0, 1, gru.HEAD_WORDS, gru.HEAD_WORDS + 2] * 20, np.uint16)] * 3
+    assert (gru.score(weights, documents) < 0).all()
+    after = gru.unpack(gru.pack(gru.train(weights, [documents])))
+    assert gru.outputs_of(after)[0].tolist() == outputs
+    assert (gru.score(after, documents) > gru.score(weights, documents)).all()
+    assert {rows for rows, _ in sizes} == {len(outputs), gru.CLASS_WORDS}
+
+
+def test_tokens_of_the_language_model_and_their_names():
+    rng = np.random.default_rng(5)
+    letters = list("aAbZ \t\n\x0b\x0c\r\x1c\x85\xa0\u3000\u00c9\u00e9\0")
+    for _ in range(200):
+        texts = ["x Y", *("".join(rng.choice(letters, rng.integers(0, 12))) for _ in range(rng.integers(0, 6)))]
+        names, at, ends = language_model.tokens_of(pa.array(texts).slice(1))
+        wanted = [[*words(lower(t)), " "] for t in texts[1:]]
+        assert ends.tolist() == np.cumsum([len(x) for x in wanted]).tolist()
+        assert names[at].tolist() == [xxhash.xxh64_intdigest(w.encode()) for x in wanted for w in x]
+        assert len(set(names.tolist())) == len(names)
+
+
 def test_language_model_base_scores(docs, empty):
     got = by_id(language_model.log_likelihoods(docs))
     held = {i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in TEXTS}
