@@ -38,6 +38,17 @@ TOKENS_PER_CALL = 2_400_000
 END = b" "
 
 
+def bytes_of(strings: pa.Array) -> list[bytes]:
+    """Strings as bytes; faster than ``to_pylist``, and ``to_numpy`` would load pandas into every worker."""
+    if not len(strings):
+        return []
+    strings = strings.cast(pa.large_binary())
+    _, offsets, data = strings.buffers()
+    ends = np.frombuffer(offsets, np.int64, len(strings) + 1, 8 * strings.offset).tolist()
+    data = data.to_pybytes()
+    return [data[a:b] for a, b in itertools.pairwise(ends)]
+
+
 def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Names of the distinct tokens of texts, the place among them of every token, text after text, and
     how many tokens there are up to the end of each text. The end of a text is the last name.
@@ -52,7 +63,7 @@ def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         offsets = np.append(0, np.cumsum(real))[offsets - offsets[0]]
         flat = flat.filter(pa.array(real))
     flat = flat.dictionary_encode()
-    distinct = [*flat.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False), END]  # faster than to_pylist
+    distinct = [*bytes_of(flat.dictionary), END]
     names = np.fromiter(map(xxhash.xxh64_intdigest, distinct), np.uint64, len(distinct))
     ends = np.cumsum(np.diff(offsets) + 1)
     at = np.full(len(flat) + len(ends), len(names) - 1, np.int32)
