@@ -28,6 +28,9 @@ VERSION = "lake_version"
 # Text columns of RAW tables and ids get a fifth to a third smaller than with the default.
 CODEC = "zstd"
 COMMITS = "_commits"
+# Spark's setting by which a statement removes its shuffle files as it ends. Else they stay until the
+# driver happens to collect the plan as garbage, and a build holds those of all its statements at once.
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 class ConcurrentCommitError(RuntimeError):
@@ -150,7 +153,10 @@ class Lake:
 
 
 class Transaction:
-    """Changes to any number of tables, published together when the block ends without error."""
+    """Changes to any number of tables, published together when the block ends without error.
+
+    Within the block a statement's shuffle files go as soon as it has ended (``RELEASE``).
+    """
 
     def __init__(self, lake: Lake):
         self.lake = lake
@@ -159,9 +165,12 @@ class Transaction:
         self._id = uuid.uuid4().hex[:12]
 
     def __enter__(self) -> Transaction:
+        self._kept = self.lake.spark.conf.get(RELEASE)
+        self.lake.spark.conf.set(RELEASE, "true")
         return self
 
     def __exit__(self, failure, *_) -> None:
+        self.lake.spark.conf.set(RELEASE, self._kept)
         if failure is None:
             self.commit()
 

@@ -1,6 +1,8 @@
+import time
+
 import pytest
 
-from lakemart.sources.lake import ConcurrentCommitError, Lake
+from lakemart.sources.lake import RELEASE, ConcurrentCommitError, Lake
 
 
 def values(df):
@@ -109,3 +111,24 @@ def test_reopened_lake(spark, lake):
     with lake.transaction() as tx:
         tx.append("a", frame(spark, [(1, 1, "x")]))
     assert values(Lake(spark, lake.root).read("a")) == [(1, 1, "x")]
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def test_a_statement_leaves_no_shuffle_files(spark, lake):
+    before, setting = shuffle_files(spark), spark.conf.get(RELEASE)
+    rows = spark.range(1000).selectExpr("id % 7 as k", "cast(id % 3 as int) as month", "cast(id as string) as v")
+    with lake.transaction() as tx:
+        tx.overwrite("a", rows.groupBy("k", "month").agg({"v": "max"}).toDF("k", "month", "v"), **BY_MONTH)
+        tx.upsert("a", rows.filter("v = '3'"), ["k"])
+        until = time.time() + 20  # executors are told, not waited for
+        while (left := shuffle_files(spark) - before) and time.time() < until:
+            time.sleep(0.2)
+        assert left == set() and len(tx.read("a").filter("v = '3'").collect()) == 1
+    assert spark.conf.get(RELEASE) == setting
+    with pytest.raises(RuntimeError), lake.transaction():
+        raise RuntimeError("stop")
+    assert spark.conf.get(RELEASE) == setting
