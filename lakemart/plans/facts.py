@@ -6,6 +6,9 @@ keys are resolved where the rows are fewest (customers on orders, not on items).
 ``seen`` arguments hold the ids of a staged table before ranking (``staging.cleaned_ids``).
 They are only needed where the staged table is not written yet but computed in the same plan:
 large lookups then search them for missing ids and hot keys, instead of ranking twice.
+
+``dealt`` says that staged rows come in the same buckets of ``order_id`` on all sides. They are then merged
+bucket by bucket, which needs no exchange, and the fact comes in these buckets too.
 """
 
 from __future__ import annotations
@@ -42,8 +45,10 @@ def _order_side(
     return keyed.drop("customer_id")
 
 
-def join_order(child: DataFrame, orders: DataFrame, seen: DataFrame | None = None) -> DataFrame:
+def join_order(child: DataFrame, orders: DataFrame, seen: DataFrame | None = None, dealt: bool = False) -> DataFrame:
     """Inner join of item or payment rows to their order; orphans drop out."""
+    if dealt:
+        return child.join(orders.hint("merge"), "order_id")
     return lookup_join(child, orders, "order_id", "inner", seen=seen)
 
 
@@ -77,10 +82,11 @@ def fact_order_items(
     seller_ids: DataFrame,
     seen_items: DataFrame | None = None,
     seen_orders: DataFrame | None = None,
+    dealt: bool = False,
 ) -> DataFrame:
     rows = lookup_key(items, product_ids, "product_id", "product_key", seen=seen_items)
     rows = lookup_key(rows, seller_ids, "seller_id", "seller_key", seen=seen_items)
-    rows = join_order(rows, _order_side(orders, customer_ids, seen_orders), seen_items)
+    rows = join_order(rows, _order_side(orders, customer_ids, seen_orders), seen_items, dealt)
     return rows.select(
         stable_key("order_id", "order_item_id").alias("order_item_key"),
         "order_id",
@@ -104,8 +110,9 @@ def fact_payments(
     customer_ids: DataFrame,
     seen_payments: DataFrame | None = None,
     seen_orders: DataFrame | None = None,
+    dealt: bool = False,
 ) -> DataFrame:
-    rows = join_order(payments, _order_side(orders, customer_ids, seen_orders), seen_payments)
+    rows = join_order(payments, _order_side(orders, customer_ids, seen_orders), seen_payments, dealt)
     return rows.select(
         stable_key("order_id", "payment_sequential").alias("payment_key"),
         "order_id",
@@ -135,15 +142,15 @@ def payment_totals(payments: DataFrame) -> DataFrame:
     )
 
 
-def with_order_totals(orders: DataFrame, items: DataFrame, payments: DataFrame) -> DataFrame:
+def with_order_totals(orders: DataFrame, items: DataFrame, payments: DataFrame, dealt: bool = False) -> DataFrame:
     """Orders with item and payment totals, 0 where an order has none.
 
     All three sides are unique and hash-partitioned on ``order_id``, so the joins add no
     exchange of their own and no order can fan out.
     """
-    joined = orders.join(item_totals(items), "order_id", "left").join(
-        payment_totals(payments), "order_id", "left"
-    )
+    joined = orders
+    for totals in (item_totals(items), payment_totals(payments)):
+        joined = joined.join(totals.hint("merge") if dealt else totals, "order_id", "left")
     zero = F.lit(0).cast(ORDER_MONEY)
     return joined.withColumns(
         {
@@ -176,9 +183,10 @@ def fact_order_lifecycle(
     customer_ids: DataFrame,
     round_scale: int | None = None,
     seen_orders: DataFrame | None = None,
+    dealt: bool = False,
 ) -> DataFrame:
     rows = lookup_key(orders, customer_ids, "customer_id", "customer_key", seen=seen_orders)
-    rows = with_order_totals(rows, items, payments)
+    rows = with_order_totals(rows, items, payments, dealt)
     return rows.select(
         stable_key("order_id").alias("order_key"),
         "order_id",

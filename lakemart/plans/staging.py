@@ -155,11 +155,14 @@ MODELS: dict[str, StagingModel] = {
 CHANGED_AT = "coalesce(source_updated_at, loaded_at)"
 
 
-def stage(dataset: str, raw: DataFrame, lineage: bool = False, of: DataFrame | None = None) -> DataFrame:
+def stage(dataset: str, raw: DataFrame, lineage: bool = False, of: DataFrame | None = None, buckets: int = 0) -> DataFrame:
     """Staged form of one RAW data set; ``lineage`` also keeps its batch columns.
 
     ``of`` holds staged keys: only their rows are cast and returned. They meet the ranked rows by the
     key the ranking dealt them by; rows with a null key are not among them.
+
+    With ``buckets`` the one exchange deals rows into as many buckets of the first key, and the staged
+    rows can be written so; all versions of a key travel then, so this is for keys that are not hot.
     """
     if dataset == "geolocation":
         return stg_geolocation(raw)
@@ -167,14 +170,15 @@ def stage(dataset: str, raw: DataFrame, lineage: bool = False, of: DataFrame | N
     rows = raw
     staged = {name: model.expression(name) for name in model.columns}
     if model.keys:
+        # How a key was spelled is not staged, so rows that differ in nothing else are one row.
         spelled = [model.columns[k][0] for k in model.keys]
         others = [c for c in model.raw_columns if c not in spelled]
-        cleaned = [f"{staged[k]} as _key_{k}" for k in model.keys]
+        cleaned = raw.selectExpr("*", *[f"{staged[k]} as _key_{k}" for k in model.keys])
         rows = latest_version(
-            raw.selectExpr("*", *cleaned),
+            cleaned.repartition(buckets, f"_key_{model.keys[0]}") if buckets else cleaned,
             keys=[f"_key_{k}" for k in model.keys],
             recency=("source_updated_at", "loaded_at"),
-            tie_breakers=("batch_id", *others, *spelled),
+            tie_breakers=("batch_id", *others),
         )
         staged.update({k: f"_key_{k}" for k in model.keys})
         if of is not None:
@@ -185,10 +189,11 @@ def stage(dataset: str, raw: DataFrame, lineage: bool = False, of: DataFrame | N
     return rows.selectExpr(*columns, f"{CHANGED_AT} as {UPDATED}", *extra)
 
 
-def staged_keys(dataset: str, raw: DataFrame) -> DataFrame:
-    """Distinct natural keys of a staged table, reading only the key columns."""
+def staged_keys(dataset: str, raw: DataFrame, buckets: int = 0) -> DataFrame:
+    """Distinct natural keys of a staged table, reading only the key columns; ``buckets``: see ``stage``."""
     model = MODELS[dataset]
-    return raw.selectExpr(*[f"{model.expression(k)} as {k}" for k in model.keys]).distinct()
+    keys = raw.selectExpr(*[f"{model.expression(k)} as {k}" for k in model.keys])
+    return (keys.repartition(buckets, model.keys[0]) if buckets else keys).distinct()
 
 
 def cleaned_ids(dataset: str, raw: DataFrame) -> DataFrame:

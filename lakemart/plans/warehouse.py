@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from lakemart.functions import UNKNOWN_KEY, identifier
 from lakemart.operators.checks import gate, union_all
+from lakemart.operators.lookups import HOT_SHARE, hot_keys
 from lakemart.operators.model_tests import FAILURE_COLUMNS, ModelTest, failures, observed, outcome
 from lakemart.operators.upserts import high_watermark, time_literal
 from lakemart.plans import dims, facts, marts
@@ -25,7 +26,7 @@ from lakemart.plans.model_suite import tested_models
 from lakemart.plans.staging import MODELS, STAGED, UPDATED, stage, staged_keys
 from lakemart.plans.warehouse_checks import latest_run, run_checks, stamp_run
 from lakemart.sources.contract import INCREMENTAL_DATASETS
-from lakemart.sources.folders import folder_count, folder_of
+from lakemart.sources.folders import bucket_count, folder_count, folder_of
 from lakemart.sources.lake import Lake, Transaction
 from lakemart.sources.raw_load import LOAD_HISTORY, raw_table
 
@@ -87,23 +88,53 @@ def mart_table(name: str) -> str:
 # scans can skip the rest. The others are cut by a hash of their key, so that a small delta
 # rewrites a part of them only.
 STAGED_DAY = {"orders": "order_purchase_timestamp", "order_items": "shipping_limit_date"}
+# Staged rows of orders and the facts meet by order. Where they are many, their files are also cut into the
+# same buckets of the order's id, so that rows are dealt once, for the ranking, and joins, sums, upserts
+# and writes after it need no exchange.
+BY_ORDER = ("orders", "order_items", "payments")
+# Rows of a bucket, about: a task sorts one in memory, and cuts it into a file for each month.
+ROWS_PER_BUCKET = 2_000_000
 
 
-def model_layout(name: str, rows: int = 0) -> dict[str, str]:
+def order_buckets(raws: Sequence[DataFrame]) -> int:
+    """Buckets for the RAW tables of orders: about ROWS_PER_BUCKET rows of the largest table in each.
+
+    0, for tables as they are dealt without buckets, if that is one bucket, or if one order has so many
+    rows that its bucket would stand out. Null and blank ids count as one order here.
+    """
+    most = max(raw.count() for raw in raws)
+    if most <= ROWS_PER_BUCKET:
+        return 0
+    buckets = bucket_count(most, ROWS_PER_BUCKET)
+    for raw in raws:
+        ids = raw.select(F.coalesce(identifier("order_id"), F.lit("")).alias("order_id"))
+        if hot_keys(ids, "order_id", max(HOT_SHARE, 0.25 / buckets)):
+            return 0
+    return buckets
+
+
+def model_layout(name: str, rows: int = 0, buckets: int = 0) -> dict[str, str | int]:
     """Layout of a model of about ``rows`` rows; a table keeps the layout it was made with."""
     if name in FACT_DAY:
-        return {"partition": MONTH, "by": f"cast({FACT_DAY[name]} div 100 as int)"}
+        return {"partition": MONTH, "by": f"cast({FACT_DAY[name]} div 100 as int)"} | _buckets_by_order(buckets)
     return _bucket_layout(MODEL_KEYS[name], rows)
 
 
-def staged_layout(name: str, rows: int = 0) -> dict[str, str]:
+def staged_layout(name: str, rows: int = 0, buckets: int = 0) -> dict[str, str | int]:
     if name in STAGED_DAY:
         day = STAGED_DAY[name]
-        return {"partition": MONTH, "by": f"cast(year({day}) * 100 + month({day}) as int)"}
+        return {"partition": MONTH, "by": f"cast(year({day}) * 100 + month({day}) as int)"} | _buckets_by_order(buckets)
+    if name in BY_ORDER and buckets:
+        # Without a day, the folders are the buckets: ``hash`` is what Spark deals rows by.
+        return {"partition": BUCKET, "by": f"cast(pmod(hash(order_id), {buckets}) as int)"} | _buckets_by_order(buckets)
     keys = MODELS[name].keys if name in MODELS else ()
     return _bucket_layout(keys, rows) if keys else {}
 
 
+def _buckets_by_order(buckets: int) -> dict[str, str | int]:
+    return {"bucket": "order_id", "buckets": buckets} if buckets else {}
+
+
 def _bucket_layout(keys: Sequence[str], rows: int) -> dict[str, str]:
     """Folders of about ROWS_PER_FOLDER rows each, whatever the size of the table."""
     return {"partition": BUCKET, "by": folder_of(keys, min(MOST_BUCKETS, folder_count(rows)))}
@@ -182,13 +213,16 @@ def test_results(lake: Lake, run_id: str) -> DataFrame:
 # ---- full refresh ----------------------------------------------------------------------
 
 
-def stage_into(tx: Transaction, names: Sequence[str] = STAGED, watch: Watch | None = None) -> dict[str, DataFrame]:
+def stage_into(
+    tx: Transaction, names: Sequence[str] = STAGED, watch: Watch | None = None, buckets: int = 0
+) -> dict[str, DataFrame]:
     watch = watch or Watch()
 
     def write(name: str) -> DataFrame:
         raw = tx.read(raw_table(name))
+        staged = watch(f"stg_{name}", stage(name, raw, buckets=buckets if name in BY_ORDER else 0))
         # Parquet footers tell the number of RAW rows, which is at least that of staged ones.
-        return tx.overwrite(staged_table(name), watch(f"stg_{name}", stage(name, raw)), **staged_layout(name, raw.count()))
+        return tx.overwrite(staged_table(name), staged, **staged_layout(name, raw.count(), buckets))
 
     return _side_by_side({name: partial(write, name) for name in names})
 
@@ -202,7 +236,9 @@ def build_full(lake: Lake, round_scale: int | None = None, tests: Sequence[Model
     """
     with lake.transaction() as tx:
         watch = Watch(tests)
-        staged = stage_into(tx, watch=watch)
+        buckets = order_buckets([tx.read(raw_table(name)) for name in BY_ORDER])
+        staged = stage_into(tx, watch=watch, buckets=buckets)
+        dealt = buckets > 0
 
         def write_dim(name: str) -> DataFrame:
             main, extra = (staged[n] for n in DIM_INPUT[name])
@@ -214,17 +250,17 @@ def build_full(lake: Lake, round_scale: int | None = None, tests: Sequence[Model
         items, payments, orders = (staged[n] for n in ("order_items", "payments", "orders"))
         built = {
             "fact_order_items": facts.fact_order_items(
-                items, orders, ids["customer_id"], ids["product_id"], ids["seller_id"]
+                items, orders, ids["customer_id"], ids["product_id"], ids["seller_id"], dealt=dealt
             ),
-            "fact_payments": facts.fact_payments(payments, orders, ids["customer_id"]),
+            "fact_payments": facts.fact_payments(payments, orders, ids["customer_id"], dealt=dealt),
             "fact_order_lifecycle": facts.fact_order_lifecycle(
-                orders, items, payments, ids["customer_id"], round_scale
+                orders, items, payments, ids["customer_id"], round_scale, dealt=dealt
             ),
         }
         _side_by_side(
             {
                 name: partial(
-                    tx.overwrite, model_table(name), watch(name, df), **model_layout(name), late=facts.derived_columns(name, round_scale)
+                    tx.overwrite, model_table(name), watch(name, df), **model_layout(name, buckets=buckets), late=facts.derived_columns(name, round_scale)
                 )
                 for name, df in built.items()
             }
@@ -317,13 +353,15 @@ def rows_of_orders(rows: DataFrame, order_ids: DataFrame) -> DataFrame:
     return tagged.join(wanted, "_order", "left_semi").drop("_order")
 
 
-def staged_rows_of_orders(rows: DataFrame, order_ids: DataFrame) -> DataFrame:
+def staged_rows_of_orders(rows: DataFrame, order_ids: DataFrame, buckets: int = 0) -> DataFrame:
     """The staged rows that belong to the given orders.
 
     Staged ids are clean, so the rows meet on ``order_id`` itself, and the joins and sums by order
-    that follow need no exchange of their own.
+    that follow need no exchange of their own. Where ``rows`` lie in ``buckets``, only the ids are dealt.
     """
-    return rows.join(order_ids.select("order_id"), "order_id", "left_semi").select(*rows.columns)
+    ids = order_ids.select("order_id")
+    ids = ids.repartition(buckets, "order_id").hint("merge") if buckets else ids
+    return rows.join(ids, "order_id", "left_semi").select(*rows.columns)
 
 
 def fresh_order_ids(raws: Sequence[DataFrame], watermark: Column) -> DataFrame:
@@ -355,20 +393,21 @@ def unbuilt_batches(tx: Transaction) -> list[str]:
     return sorted(row["batch_id"] for row in loaded.collect())
 
 
-def current_rows(dataset: str, raw: DataFrame, fresh: DataFrame, watermark: Column) -> DataFrame:
+def current_rows(dataset: str, raw: DataFrame, fresh: DataFrame, watermark: Column, buckets: int = 0) -> DataFrame:
     """Staged current rows of all keys with a fresh RAW row, whenever that row was changed.
 
     Fresh rows younger than everything staged (``watermark``) outrank all older versions, so
     ranking them alone is enough. As soon as one is not, or has no source time, all versions of
     the fresh keys are ranked. Keys that are not fresh drop out after the ranking: each task sends one
     version of a key at most, and the fresh keys are dealt as the ranked rows are, so that RAW rows
-    are shuffled once.
+    are shuffled once. ``buckets``: see ``stage``.
     """
     model = MODELS[dataset]
     late = F.col("source_updated_at").isNull() | (F.col("source_updated_at") <= watermark)
     if not model.keys or fresh.filter(late).isEmpty():
-        return stage(dataset, fresh)
-    return stage(dataset, raw, of=staged_keys(dataset, fresh))
+        return stage(dataset, fresh, buckets=buckets)
+    wanted = staged_keys(dataset, fresh, buckets)
+    return stage(dataset, raw, of=wanted.hint("merge") if buckets else wanted, buckets=buckets)
 
 
 def item_delta(
@@ -448,7 +487,7 @@ def build_increment(
         extras = stage_into(tx, ("geolocation", "category_translation"), watch)
 
         def upsert_staged(name: str) -> DataFrame:
-            changes = current_rows(name, raw[name], fresh[name], marks[name])
+            changes = current_rows(name, raw[name], fresh[name], marks[name], tx.buckets(staged_table(name)))
             keys = MODELS[name].keys
             return tx.upsert(staged_table(name), changes, keys, **staged_layout(name))
 
@@ -473,16 +512,18 @@ def build_increment(
         def upsert_fact(name: str) -> DataFrame:
             inputs = FACT_INPUT[name]
             touched = order_ids_of([fresh[n] for n in inputs])
-            staged = {n: staged_rows_of_orders(tx.read(staged_table(n)), touched) for n in inputs}
+            buckets = {n: tx.buckets(staged_table(n)) for n in inputs}
+            staged = {n: staged_rows_of_orders(tx.read(staged_table(n)), touched, buckets[n]) for n in inputs}
+            dealt = min(buckets.values()) > 0
             items, orders, payments = (
                 staged.get(n) for n in ("order_items", "orders", "payments")
             )
             if name == "fact_order_items":
-                delta = facts.fact_order_items(items, orders, customers, products, sellers)
+                delta = facts.fact_order_items(items, orders, customers, products, sellers, dealt=dealt)
             elif name == "fact_payments":
-                delta = facts.fact_payments(payments, orders, customers)
+                delta = facts.fact_payments(payments, orders, customers, dealt=dealt)
             else:
-                delta = facts.fact_order_lifecycle(orders, items, payments, customers, round_scale)
+                delta = facts.fact_order_lifecycle(orders, items, payments, customers, round_scale, dealt=dealt)
             return tx.upsert(model_table(name), delta, MODEL_KEYS[name], **model_layout(name), late=facts.derived_columns(name, round_scale))
 
         _side_by_side({name: partial(upsert_fact, name) for name in FACT_DAY})
@@ -504,21 +545,22 @@ def _repair(tx: Transaction, ids: dict[str, DataFrame], round_scale: int | None)
     def pick(fact: str, keys: Sequence[str] = ("customer_key",)) -> dict[str, DataFrame]:
         open_orders = unresolved(tx.read(model_table(fact)), keys)
         return {
-            name: staged_rows_of_orders(tx.read(staged_table(name)), open_orders)
-            for name in ("orders", "order_items", "payments")
+            name: staged_rows_of_orders(tx.read(staged_table(name)), open_orders, tx.buckets(staged_table(name)))
+            for name in BY_ORDER
         }
 
+    dealt = min(tx.buckets(staged_table(name)) for name in BY_ORDER) > 0
     rows = pick("fact_order_items", ("customer_key", "product_key", "seller_key"))
     fixed = {
         "fact_order_items": facts.fact_order_items(
-            rows["order_items"], rows["orders"], customers, ids["product_id"], ids["seller_id"]
+            rows["order_items"], rows["orders"], customers, ids["product_id"], ids["seller_id"], dealt=dealt
         )
     }
     rows = pick("fact_payments")
-    fixed["fact_payments"] = facts.fact_payments(rows["payments"], rows["orders"], customers)
+    fixed["fact_payments"] = facts.fact_payments(rows["payments"], rows["orders"], customers, dealt=dealt)
     rows = pick("fact_order_lifecycle")
     fixed["fact_order_lifecycle"] = facts.fact_order_lifecycle(
-        rows["orders"], rows["order_items"], rows["payments"], customers, round_scale
+        rows["orders"], rows["order_items"], rows["payments"], customers, round_scale, dealt=dealt
     )
     _side_by_side(
         {

@@ -12,11 +12,13 @@ Layout: ``<root>/<table>/lake_version=<commit>/[<partition>=<value>/]*.parquet``
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 import json
+import threading
 import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,9 +30,17 @@ VERSION = "lake_version"
 # Text columns of RAW tables and ids get a fifth to a third smaller than with the default.
 CODEC = "zstd"
 COMMITS = "_commits"
+# Spark's name of a folder for rows without a value.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 # Spark's setting by which a statement removes its shuffle files as it ends. Else they stay until the
 # driver happens to collect the plan as garbage, and a build holds those of all its statements at once.
 RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# Two tables in the same buckets of one column also meet by that and further columns as they lie.
+AS_THEY_LIE = "spark.sql.requireAllClusterKeysForCoPartition"
+WITHIN = {RELEASE: "true", AS_THEY_LIE: "false"}
+
+
+_registering = threading.Lock()
 
 
 class ConcurrentCommitError(RuntimeError):
@@ -41,27 +51,28 @@ class ConcurrentCommitError(RuntimeError):
 class TableState:
     """Folders of one table: ``(relative path, partition value or None)``.
 
-    ``partition`` is the name of an integer layout column and ``by`` its SQL expression.
+    ``partition`` is the name of an integer layout column and ``by`` its SQL expression. With ``buckets``,
+    the files of each folder are Spark's buckets of the column ``bucket``.
     """
 
     schema: T.StructType
     partition: str | None = None
     by: str | None = None
     folders: list[tuple[str, str | None]] = field(default_factory=list)
+    bucket: str | None = None
+    buckets: int = 0
+
+    def layout(self) -> dict:
+        return {"partition": self.partition, "by": self.by, "bucket": self.bucket, "buckets": self.buckets}
 
     def to_json(self) -> dict:
-        return {
-            "schema": self.schema.jsonValue(),
-            "partition": self.partition,
-            "by": self.by,
-            "folders": self.folders,
-        }
+        return {"schema": self.schema.jsonValue(), "folders": self.folders, **self.layout()}
 
     @staticmethod
     def from_json(doc: dict) -> TableState:
         folders = [(path, value) for path, value in doc["folders"]]
         schema = T.StructType.fromJson(doc["schema"])
-        return TableState(schema, doc["partition"], doc["by"], folders)
+        return TableState(schema, doc["partition"], doc["by"], folders, doc.get("bucket"), doc.get("buckets", 0))
 
 
 class Files:
@@ -115,6 +126,7 @@ class Lake:
         self.spark = spark
         self.files = Files(spark, root)
         self.root = self.files.root
+        self._listed: set[str] = set()
 
     def state(self) -> tuple[int, dict[str, TableState]]:
         commits = self.files.names(COMMITS, "*.json")
@@ -144,10 +156,41 @@ class Lake:
         if not folders:
             return self.spark.createDataFrame([], schema)
         typed = T.StructType([*schema.fields, T.StructField(VERSION, T.StringType())])
+        if state.buckets:
+            return self._bucketed(table, state, folders).select(*schema.names)
         reader = self.spark.read.schema(typed).option("basePath", f"{self.root}/{table}")
         df = reader.parquet(*[f"{self.root}/{path}" for path in folders])
         return df.select(*[f.name for f in schema.fields])
 
+    def _bucketed(self, table: str, state: TableState, folders: Sequence[str]) -> DataFrame:
+        """The folders as a catalogue table, by which Spark learns of their buckets.
+
+        Its name follows from its content. It stays in the session's catalogue, where plans look it up
+        again when they run; its files are not the catalogue's.
+        """
+        parts = {VERSION: "string", state.partition: "int"}
+        listed = sorted(folders)
+        digest = hashlib.sha256(json.dumps([self.root, table, state.schema.jsonValue(), listed]).encode()).hexdigest()
+        name = f"lake_{digest[:40]}"
+        specs = []
+        for folder in listed:
+            version, value = (part.split("=", 1)[1] for part in folder.rsplit("/", 2)[1:])
+            specs.append(f"partition ({VERSION} = '{version}', `{state.partition}` = {'null' if value == NO_VALUE else value})")
+        with _registering:  # a table is not read before all its folders are listed
+            if name not in self._listed or not self.spark.catalog.tableExists(name):
+                self._register(name, f"{self.root}/{table}", state, parts)
+                self.spark.sql(f"alter table {name} add if not exists {' '.join(specs)}")
+                self._listed.add(name)
+        return self.spark.table(name)
+
+    def _register(self, name: str, path: str, state: TableState, parts: dict[str, str]) -> None:
+        columns = ", ".join(f"`{c}` {kind}" for c, kind in {**{f.name: f.dataType.simpleString() for f in state.schema.fields}, **parts}.items())
+        by = ", ".join(f"`{c}`" for c in parts)
+        self.spark.sql(
+            f"create table if not exists {name} ({columns}) using parquet options (compression '{CODEC}')"
+            f" partitioned by ({by}) clustered by (`{state.bucket}`) sorted by (`{state.bucket}`) into {state.buckets} buckets location '{path}'"
+        )
+
     def transaction(self) -> Transaction:
         return Transaction(self)
 
@@ -155,7 +198,7 @@ class Lake:
 class Transaction:
     """Changes to any number of tables, published together when the block ends without error.
 
-    Within the block a statement's shuffle files go as soon as it has ended (``RELEASE``).
+    The settings ``WITHIN`` hold inside the block.
     """
 
     def __init__(self, lake: Lake):
@@ -165,35 +208,56 @@ class Transaction:
         self._id = uuid.uuid4().hex[:12]
 
     def __enter__(self) -> Transaction:
-        self._kept = self.lake.spark.conf.get(RELEASE)
-        self.lake.spark.conf.set(RELEASE, "true")
+        conf = self.lake.spark.conf
+        self._kept = {name: conf.get(name) for name in WITHIN}
+        for name, value in WITHIN.items():
+            conf.set(name, value)
         return self
 
     def __exit__(self, failure, *_) -> None:
-        self.lake.spark.conf.set(RELEASE, self._kept)
+        for name, value in self._kept.items():
+            self.lake.spark.conf.set(name, value)
         if failure is None:
             self.commit()
 
     def has(self, table: str) -> bool:
         return table in self.tables
 
+    def buckets(self, table: str) -> int:
+        """Buckets of the table's folders, 0 where they have none."""
+        return self.tables[table].buckets
+
     def read(self, table: str, layout: bool = False) -> DataFrame:
         """The table with the changes made so far in this transaction."""
         return self.lake._load(table, self.tables[table], layout)
 
     def _write(
-        self, table: str, df: DataFrame, partition: str | None = None, by: str | None = None, late: dict[str, Column] | None = None
+        self, table: str, df: DataFrame, partition: str | None = None, by: str | None = None, bucket: str | None = None, buckets: int = 0,
+        late: dict[str, Column] | None = None,
     ) -> list[tuple[str, str | None]]:
         """Write one new folder (or one per partition value) and list what was written.
 
         ``late`` states columns of ``df`` again, as functions of its others: they are left out of the
         exchange that gathers the partitions, and computed after it.
+
+        With ``buckets`` rows are dealt by ``bucket`` instead. Spark leaves that exchange out where they
+        already are, as they come from joins and sums of tables with the same buckets.
         """
         folder = f"{table}/{VERSION}={self.base + 1:08d}-{self._id}-{next(self._parts)}"
         target = f"{self.lake.root}/{folder}"
         if partition is None:
             df.write.mode("errorifexists").parquet(target, compression=CODEC)
             return [(folder, None)]
+        if buckets:
+            state = TableState(df.schema, partition, by, bucket=bucket, buckets=buckets)
+            name = f"lake_{uuid.uuid4().hex}"
+            self.lake._register(name, target, state, {partition: "int"})
+            try:
+                df.selectExpr("*", f"{by} as {partition}").repartition(buckets, bucket).write.insertInto(name)
+            finally:
+                self.lake.spark.sql(f"drop table {name}")  # the entry only: tables with a location keep their files
+            names = self.lake.files.names(folder, f"{partition}=*")
+            return [(f"{folder}/{name}", name.split("=", 1)[1]) for name in names]
         # The rebalance hint groups rows by partition value and lets the adaptive planner cut
         # a value with many rows into several tasks and merge small ones.
         late = late or {}
@@ -206,20 +270,19 @@ class Transaction:
     def append(self, table: str, df: DataFrame) -> DataFrame:
         """Add rows as a new folder and return them as written."""
         state = self.tables.get(table) or TableState(df.schema)
-        folders = self._write(table, df, state.partition, state.by)
+        folders = self._write(table, df, **state.layout())
         merged = list(state.schema.fields)
         merged += [f for f in df.schema.fields if f.name not in state.schema.names]
-        self.tables[table] = TableState(
-            T.StructType(merged), state.partition, state.by, [*state.folders, *folders]
-        )
-        return self.lake._load(table, TableState(df.schema, folders=folders))
+        self.tables[table] = replace(state, schema=T.StructType(merged), folders=[*state.folders, *folders])
+        return self.lake._load(table, replace(state, schema=df.schema, folders=folders))
 
     def overwrite(
-        self, table: str, df: DataFrame, partition: str | None = None, by: str | None = None, late: dict[str, Column] | None = None
+        self, table: str, df: DataFrame, partition: str | None = None, by: str | None = None, late: dict[str, Column] | None = None,
+        bucket: str | None = None, buckets: int = 0,
     ) -> DataFrame:
-        """The table with the rows of ``df`` only; ``late``: see ``_write``."""
-        folders = self._write(table, df, partition, by, late)
-        self.tables[table] = TableState(df.schema, partition, by, folders)
+        """The table with the rows of ``df`` only; ``late``, ``buckets``: see ``_write``."""
+        folders = self._write(table, df, partition, by, bucket, buckets, late)
+        self.tables[table] = TableState(df.schema, partition, by, folders, bucket, buckets)
         return self.read(table)
 
     def upsert(
@@ -230,6 +293,8 @@ class Transaction:
         partition: str | None = None,
         by: str | None = None,
         late: dict[str, Column] | None = None,
+        bucket: str | None = None,
+        buckets: int = 0,
     ) -> DataFrame:
         """Replace the rows that share a key with ``changes``; return the changes as written.
 
@@ -238,10 +303,10 @@ class Transaction:
         are found by scanning the key columns alone. The others stay as they are.
         """
         if table not in self.tables:
-            return self.overwrite(table, changes, partition, by, late)
+            return self.overwrite(table, changes, partition, by, late, bucket, buckets)
         old = self.tables[table]
-        fresh = self._write(table, changes, old.partition, old.by, late)
-        written = TableState(changes.schema, old.partition, old.by, fresh)
+        fresh = self._write(table, changes, **old.layout(), late=late)
+        written = replace(old, schema=changes.schema, folders=fresh)
         delta = self.lake._load(table, written)
         if delta.isEmpty() and changes.schema == old.schema:
             return delta
@@ -252,7 +317,7 @@ class Transaction:
             held = self.lake._load(table, old, layout=True).select(*keys, old.partition)
             found = held.join(changed_keys, list(keys), "left_semi")
             rows = found.select(F.col(old.partition).cast("string")).distinct().collect()
-            hit = {"__HIVE_DEFAULT_PARTITION__" if r[0] is None else r[0] for r in rows}
+            hit = {NO_VALUE if r[0] is None else r[0] for r in rows}
         else:
             held = self.lake._load(table, old).select(*keys)
             empty = held.join(changed_keys, list(keys), "left_semi").isEmpty()
@@ -261,11 +326,12 @@ class Transaction:
         kept_folders = [f for f in old.folders if f[1] not in hit]
         if hit:
             touched = self.lake._load(table, old, only=hit)
+            # Rows in buckets stay as they are dealt only where both sides are read by bucket.
+            changed_keys = changed_keys.hint("merge") if old.buckets else changed_keys
             kept = touched.join(changed_keys, list(keys), "left_anti")
             kept = sync_columns(kept, changes)
-            kept_folders += self._write(table, kept, old.partition, old.by)
-        folders = [*kept_folders, *fresh]
-        self.tables[table] = TableState(changes.schema, old.partition, old.by, folders)
+            kept_folders += self._write(table, kept, **old.layout())
+        self.tables[table] = replace(written, folders=[*kept_folders, *fresh])
         return delta
 
     def drop(self, table: str) -> None:
