@@ -14,8 +14,9 @@ from lakemart.session import work_path
 BROADCAST_BYTES = 32 * 1024 * 1024
 # A key is hot from this share of the rows on, so there are fewer than 1 / share of them.
 HOT_SHARE = 0.001
-# Missing keys up to this number are broadcast instead of shuffling the fact.
-MISSING_KEYS = 100_000
+# Missing keys up to this number are broadcast instead of shuffling the fact; a million short ids take
+# about 130 MB of an executor.
+MISSING_KEYS = 1_000_000
 
 
 def source_bytes(df: DataFrame) -> int:

@@ -360,6 +360,7 @@ def staged_rows_of_orders(rows: DataFrame, order_ids: DataFrame, buckets: int =
     that follow need no exchange of their own. Where ``rows`` lie in ``buckets``, only the ids are dealt.
     """
     ids = order_ids.select("order_id")
+    # Spark leaves the exchange out where the ids are dealt already.
     ids = ids.repartition(buckets, "order_id").hint("merge") if buckets else ids
     return rows.join(ids, "order_id", "left_semi").select(*rows.columns)
 
@@ -374,9 +375,10 @@ def fresh_order_ids(raws: Sequence[DataFrame], watermark: Column) -> DataFrame:
     return order_ids_of([fresh_rows(raw, watermark) for raw in raws])
 
 
-def order_ids_of(raws: Sequence[DataFrame]) -> DataFrame:
+def order_ids_of(raws: Sequence[DataFrame], buckets: int = 0) -> DataFrame:
     order_id = identifier("order_id").alias("order_id")
-    return union_all([raw.select(order_id) for raw in raws]).distinct()
+    ids = union_all([raw.select(order_id) for raw in raws])
+    return (ids.repartition(buckets, "order_id") if buckets else ids).distinct()
 
 
 def unbuilt_batches(tx: Transaction) -> list[str]:
@@ -511,8 +513,8 @@ def build_increment(
 
         def upsert_fact(name: str) -> DataFrame:
             inputs = FACT_INPUT[name]
-            touched = order_ids_of([fresh[n] for n in inputs])
             buckets = {n: tx.buckets(staged_table(n)) for n in inputs}
+            touched = order_ids_of([fresh[n] for n in inputs], min(buckets.values()))
             staged = {n: staged_rows_of_orders(tx.read(staged_table(n)), touched, buckets[n]) for n in inputs}
             dealt = min(buckets.values()) > 0
             items, orders, payments = (

@@ -82,3 +82,10 @@ def test_source_bytes_follow_the_files(spark, tmp_path):
     df = spark.read.parquet(str(tmp_path / "t"))
     assert 0 < lookups.source_bytes(df) < 10_000_000
     assert lookups.source_bytes(df.union(df)) == 2 * lookups.source_bytes(df)
+
+
+def test_a_fact_is_not_shuffled_for_many_missing_ids(spark):
+    fact = spark.range(200_000).selectExpr("concat('k', id) as key", "id as row")
+    got = lookups.lookup_key(fact, fact.filter("row % 5 = 0").select("key"), "key", "sk", broadcast_bytes=0)
+    assert "Exchange hashpartitioning" not in got._jdf.queryExecution().executedPlan().toString()
+    assert got.filter(got["sk"] == UNKNOWN_KEY).count() == 160_000 and got.filter("row % 5 = 0").filter(got["sk"] == UNKNOWN_KEY).count() == 0
